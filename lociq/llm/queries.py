@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lociq.llm.common import table
+from lociq.llm.mixing import ORACLE as MIXING_ORACLE
 
 
 def tokenizer_path(name: str) -> str:
@@ -15,6 +16,12 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lociq.llm.mixing import mixed_amounts
+
+    return mixed_amounts(table(spark, sf_dir, "documents"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lociq.llm.token_counts import token_counts
 
@@ -27,8 +34,16 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lociq.llm.token_store import token_store
+
+    return token_store(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mixing": op1_mixing,
     "op2_token_counts": op2_token_counts,
     "op5_bpe": op5_bpe,
+    "op10_token_store": op10_token_store,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op1_mixing": MIXING_ORACLE}
