@@ -28,12 +28,30 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lociq.llm.jaccard_join import jaccard_components
+
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lociq.llm.trie_bpe import bpe_digests
 
     return bpe_digests(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lociq.llm.quality import score_documents
+
+    return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lociq.llm.language_id import identify_languages
+
+    return identify_languages(table(spark, sf_dir, "documents"))
+
+
 def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lociq.llm.token_store import token_store
 
@@ -43,7 +61,10 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_token_counts": op2_token_counts,
+    "op3_jaccard_join": op3_jaccard_join,
     "op5_bpe": op5_bpe,
+    "op6_quality": op6_quality,
+    "op7_language_id": op7_language_id,
     "op10_token_store": op10_token_store,
 }
 ORACLES: dict[str, str] = {"op1_mixing": MIXING_ORACLE}
