@@ -34,6 +34,12 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op4_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lociq.llm.vector_search import nearest
+
+    return nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lociq.llm.trie_bpe import bpe_digests
 
@@ -52,6 +58,12 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(table(spark, sf_dir, "documents"))
 
 
+def op8_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lociq.llm.html_extract import extract_main_text
+
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lociq.llm.token_store import token_store
 
@@ -62,9 +74,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_token_counts": op2_token_counts,
     "op3_jaccard_join": op3_jaccard_join,
+    "op4_vector_search": op4_vector_search,
     "op5_bpe": op5_bpe,
     "op6_quality": op6_quality,
     "op7_language_id": op7_language_id,
+    "op8_html_extract": op8_html_extract,
     "op10_token_store": op10_token_store,
 }
 ORACLES: dict[str, str] = {"op1_mixing": MIXING_ORACLE}
