@@ -1,12 +1,18 @@
-"""Connected components of a distributed edge list."""
+"""Links within posting lists, and connected components of a distributed edge list."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from lociq.llm.common import stored
 
+#: Rounds of neighbour pairs, each in another order, before the exhaustive step.
+ROUNDS = 2
+
 
 def _ordered(df: DataFrame) -> DataFrame:
     return df.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
@@ -34,3 +40,52 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
         before = seen
         now = stored(_star(stored(_star(now, True), "edges"), False), "edges")
     return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
+
+
+def _as_pairs(df: DataFrame, a: str, b: str) -> DataFrame:
+    return df.where(F.col(a) != F.col(b)).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
+
+
+def _neighbours(posts: DataFrame, by: list[str], order: list, can_match: Callable[..., Column]) -> DataFrame:
+    """Pairs of classes that follow each other in a list."""
+    w = Window.partitionBy(*by).orderBy(*order)
+    near = posts.select("cls", "n", "pos", *[F.lag(c).over(w).alias(f"{c}_") for c in ("cls", "n", "pos")])
+    return _as_pairs(near.where(F.col("cls_").isNotNull() & can_match("n", "pos", "n_", "pos_")), "cls", "cls_")
+
+
+def _undecided(posts: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows of the lists whose classes are not all in one component."""
+    known = posts.join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
+    mixed = known.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("token")
+    return known.join(mixed, "token")
+
+
+def link_lists(posts: DataFrame, verified: Callable[[DataFrame], DataFrame], can_match: Callable[..., Column], rounds: int = ROUNDS) -> DataFrame:
+    """Verified links (a, b) that connect every two classes that verified pairs of a common list connect.
+
+    posts has the rows of all lists: token (the list), salt (a part of a long list), cls, n, pos. can_match(n, pos, m, pos2) is a cheap
+    necessary condition on two rows' columns; verified(pairs) keeps the true pairs. First, neighbours of each part and the
+    parts' first rows are paired, in one order after another. What they leave undecided is decided in full: in each list every
+    class outside the list's main component meets all rows of other components. No pair is verified twice.
+    """
+    tried = links = None
+    labels = posts.sparkSession.createDataFrame([], "cls binary, label binary")
+    for turn in range(rounds + 1):
+        now = posts if turn == 0 else stored(_undecided(posts, labels), "undecided")
+        if turn < rounds:
+            order = ["n", "cls"] if turn == 0 else [F.xxhash64("cls", F.lit(turn)), "cls"]
+            heads = now.groupBy("token", "salt").agg(F.min(F.struct("n", "cls", "pos")).alias("h")).select("token", "h.*")
+            pairs = _neighbours(now, ["token", "salt"], order, can_match).unionByName(_neighbours(heads, ["token"], ["n", "cls"], can_match)).distinct()
+        else:
+            sizes = now.groupBy("token", "label").agg(F.count(F.lit(1)).alias("k"))
+            main = sizes.groupBy("token").agg(F.max(F.struct("k", "label")).alias("m")).select("token", F.col("m.label").alias("main"))
+            apart = now.join(main, "token").where("label <> main").select("token", *[F.col(c).alias(f"{c}_") for c in ("cls", "n", "pos", "label")])
+            rest = now.join(apart, "token").where((F.col("label") != F.col("label_")) & can_match("n", "pos", "n_", "pos_"))
+            pairs = _as_pairs(rest, "cls", "cls_")
+        new = stored(pairs.join(tried, ["a", "b"], "left_anti") if tried is not None else pairs, "pairs")
+        found = stored(verified(new), "links")
+        links = links.unionByName(found) if links is not None else found
+        tried = tried.unionByName(new) if tried is not None else new
+        if turn < rounds:
+            labels = components(links, "a", "b").select(F.col("node").alias("cls"), F.col("component").alias("label"))
+    return links

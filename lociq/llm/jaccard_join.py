@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lociq.llm.common import pick, small_batches, stored
-from lociq.llm.graph import components
+from lociq.llm.graph import components, link_lists
 from lociq.llm.words import mix64, range_hashes, slices, text_buffers, word_bounds
 
 WORDS = 5
@@ -39,8 +39,6 @@ WINDOW = 2_000_000
 SALTS = 64
 #: Candidate classes up to this number are looked up by a broadcast of their ids (8 bytes each), more by a shuffle.
 FEW_IDS = 1_000_000
-#: Rounds of neighbour pairs, each in another order, before the exhaustive step.
-ROUNDS = 2
 _MULT = (np.random.default_rng(5).integers(0, 1 << 63, 16, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
 
 
@@ -192,10 +190,6 @@ def _can_match(n: str, pos: str, m: str, pos2: str) -> Column:
     return (F.least(n, m) * DENOMINATOR >= F.greatest(n, m) * NUMERATOR) & (F.least(n - pos, m - pos2) >= _needed(n, m))
 
 
-def _as_pairs(df: DataFrame, a: str, b: str) -> DataFrame:
-    return df.where(F.col(a) != F.col(b)).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
-
-
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs whose sets are similar enough."""
     left = sets.select(F.col("cls").alias("a"), F.col("shingles").alias("x"))
@@ -205,13 +199,6 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(ok).select("a", "b")
 
 
-def _chain(posts: DataFrame, by: list[str], order: list) -> DataFrame:
-    """Pairs of classes that follow each other in a list."""
-    w = Window.partitionBy(*by).orderBy(*order)
-    near = posts.select("cls", "n", "pos", *[F.lag(c).over(w).alias(f"{c}_") for c in ("cls", "n", "pos")])
-    return _as_pairs(near.where(F.col("cls_").isNotNull() & _can_match("n", "pos", "n_", "pos_")), "cls", "cls_")
-
-
 def jaccard_classes(docs: DataFrame, words: int = WORDS) -> tuple[DataFrame, DataFrame]:
     """(members, links).
 
@@ -246,43 +233,10 @@ def jaccard_classes(docs: DataFrame, words: int = WORDS) -> tuple[DataFrame, Dat
     texts = rows.join(F.broadcast(some) if some.count() <= FEW_IDS else some, "doc_id").select("cls", "text")
     sets = stored(texts.mapInArrow(partial(_sets, words=words), "cls binary, shingles array<long>").dropDuplicates(["cls"]), "sets")
 
-    # neighbours, in one order after another
-    links, tried = None, None
-    labels = spark.createDataFrame([], "cls binary, label binary")
-    for turn in range(ROUNDS):
-        now = met if turn == 0 else stored(_undecided(met, labels), "undecided")
-        order = ["n", "cls"] if turn == 0 else [F.xxhash64("cls", F.lit(turn)), "cls"]
-        heads = now.groupBy("token", "salt").agg(F.min(F.struct("n", "cls", "pos")).alias("h")).select("token", "h.*")
-        pairs = _chain(now, ["token", "salt"], order).unionByName(_chain(heads, ["token"], ["n", "cls"])).distinct()
-        links, tried, labels = _decide(pairs, tried, links, sets, labels)
-    # and all that is left: classes outside a list's main component, against the whole list
-    now = stored(_undecided(met, labels), "undecided")
-    sizes = now.groupBy("token", "label").agg(F.count(F.lit(1)).alias("k"))
-    main = sizes.groupBy("token").agg(F.max(F.struct("k", "label")).alias("m")).select("token", F.col("m.label").alias("main"))
-    apart = now.join(main, "token").where("label <> main").select("token", *[F.col(c).alias(f"{c}_") for c in ("cls", "n", "pos", "label")])
-    rest = now.join(apart, "token").where((F.col("label") != F.col("label_")) & _can_match("n", "pos", "n_", "pos_"))
-    links, _, _ = _decide(_as_pairs(rest, "cls", "cls_"), tried, links, sets, labels, last=True)
+    links = link_lists(met, partial(_verified, sets=sets), _can_match)
     return sig.select("doc_id", F.col("n").cast("long").alias("n_shingles"), "cls"), links
 
 
-def _undecided(met: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rows of the lists whose classes are not all in one component."""
-    known = met.join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
-    mixed = known.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("token")
-    return known.join(mixed, "token")
-
-
-def _decide(pairs: DataFrame, tried: DataFrame | None, links: DataFrame | None, sets: DataFrame, labels: DataFrame, last: bool = False):
-    """Verify new pairs; (all links, all tried pairs, labels by all links)."""
-    new = stored(pairs.join(tried, ["a", "b"], "left_anti") if tried is not None else pairs, "pairs")
-    found = stored(_verified(new, sets), "links")
-    links = links.unionByName(found) if links is not None else found
-    if last:
-        return links, None, labels
-    tried = tried.unionByName(new) if tried is not None else new
-    return links, tried, components(links, "a", "b").select(F.col("node").alias("cls"), F.col("component").alias("label"))
-
-
 def jaccard_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of docs.
 

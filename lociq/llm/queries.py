@@ -64,6 +64,12 @@ def op8_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(table(spark, sf_dir, "pages"))
 
 
+def op9_media_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lociq.llm.media_copies import media_groups, rendered_media
+
+    return media_groups(rendered_media(table(spark, sf_dir, "embeddings")))
+
+
 def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lociq.llm.token_store import token_store
 
@@ -79,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality": op6_quality,
     "op7_language_id": op7_language_id,
     "op8_html_extract": op8_html_extract,
+    "op9_media_copies": op9_media_copies,
     "op10_token_store": op10_token_store,
 }
 ORACLES: dict[str, str] = {"op1_mixing": MIXING_ORACLE}
