@@ -28,7 +28,7 @@ CORNERS = 16
 RADIUS = 9
 TABLES = 8
 #: Bits in which matching descriptors may differ, pixels by which matches may miss the common motion, and matches needed.
-MATCH_BITS, MISS, AGREE = 48, 3.0, 6
+MATCH_BITS, MISS, AGREE = 48, 3.0, 10
 _POINTS = np.clip(np.random.default_rng(11).normal(0, RADIUS / 2.2, (256, 2, 2)), -RADIUS + 1, RADIUS - 1)
 _GRID = np.stack(np.meshgrid(np.arange(-RADIUS, RADIUS + 1), np.arange(-RADIUS, RADIUS + 1)), axis=-1).reshape(-1, 2)
 _DISC = _GRID[(_GRID**2).sum(axis=1) <= RADIUS**2]
@@ -107,7 +107,10 @@ def agreeing(f: np.ndarray, g: np.ndarray) -> int:
     if not len(f) or not len(g):
         return 0
     apart = np.bitwise_count(f["bits"][:, None] ^ g["bits"][None]).sum(axis=2)
-    i, j = np.nonzero(apart <= MATCH_BITS)
+    i = np.arange(len(f))
+    j = apart.argmin(axis=1)
+    mutual = (apart.argmin(axis=0)[j] == i) & (apart[i, j] <= MATCH_BITS)  # each is the other's nearest
+    i, j = i[mutual], j[mutual]
     if len(i) < AGREE:
         return len(i)
     grow, turn = g["scale"][j] / f["scale"][i], g["angle"][j] - f["angle"][i]
@@ -173,12 +176,12 @@ def media_groups(media: DataFrame, agree: int = AGREE) -> DataFrame:
 
 
 def picture(seed: int, size: int = 96) -> np.ndarray:
-    """A deterministic picture: rectangles of random place and grey."""
+    """A deterministic picture: cloudy texture of three grains."""
     rng = np.random.default_rng(seed)
-    a = np.full((size, size), 128.0)
-    for x, y, w, h, v in zip(*(rng.integers(0, size, 40) for _ in range(2)), *(rng.integers(6, 28, 40) for _ in range(2)), rng.integers(0, 256, 40), strict=True):
-        a[y : y + h, x : x + w] = v
-    return a
+    a = np.zeros((size, size))
+    for grain in (3, 6, 12):
+        a += _box(np.kron(rng.normal(0, 60, (size // grain, size // grain)), np.ones((grain, grain))), grain // 3)
+    return np.clip(a + 128, 0, 255)
 
 
 def edited(a: np.ndarray, kind: int, seed: int) -> np.ndarray:
