@@ -8,12 +8,17 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_own: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or one of our own if it is unset (tests)."""
     where = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not where:
-        where = "file://" + tempfile.mkdtemp(prefix="lociq-shared-")
-        spark.conf.set("spark.checkpoint.dir", where)
+        app = spark.sparkContext.applicationId
+        if app not in _own:
+            _own[app] = "file://" + tempfile.mkdtemp(prefix="lociq-shared-")
+        where = _own[app]
     return where.rstrip("/")
 
 
