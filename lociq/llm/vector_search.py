@@ -114,12 +114,6 @@ def _index(batches: Iterator[pa.RecordBatch], books) -> Iterator[pa.RecordBatch]
             yield pa.RecordBatch.from_pydict({"ids": [ids.tobytes()], "codes": [np.ascontiguousarray(packed.T).tobytes()], "norms": [(x**2).sum(axis=1).astype("<f8").tobytes()]}, schema=pa.schema([("ids", pa.binary()), ("codes", pa.binary()), ("norms", pa.binary())]))
 
 
-def _query_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        q = _matrix(batch.column(1)).astype("<f8")
-        yield pa.RecordBatch.from_pydict({"q_ids": [batch.column(0).to_numpy(zero_copy_only=False).astype("<i8").tobytes()], "q": [q.tobytes()]}, schema=pa.schema([("q_ids", pa.binary()), ("q", pa.binary())]))
-
-
 def _scan(batches: Iterator[pa.RecordBatch], books, rerank: int) -> Iterator[pa.RecordBatch]:
     """For each query the best `rerank` vectors of this task's blocks, by the sum of table entries."""
     best: dict[int, list] = {}
@@ -136,8 +130,8 @@ def _scan(batches: Iterator[pa.RecordBatch], books, rerank: int) -> Iterator[pa.
                 if len(best) >= OPEN_BLOCKS:
                     yield from out()
                     best.clear()
-                q_ids = np.frombuffer(row["q_ids"], "<i8")
-                q = np.frombuffer(row["q"], "<f8").reshape(len(q_ids), -1)
+                q_ids = np.array(row["q_ids"], np.int64)
+                q = np.array(row["q"], np.float64).reshape(len(q_ids), -1)
                 best[block] = [q_ids, books.value.tables(q), np.full((len(q_ids), rerank), -np.inf, np.float32), np.zeros((len(q_ids), rerank), np.int64)]
             q_ids, tables, scores, ids = best[block]
             new_ids = np.frombuffer(row["ids"], "<i8")
@@ -179,15 +173,12 @@ def nearest(vectors: DataFrame, every: int = 100, k: int = 10, rerank: int = RER
     books = spark.sparkContext.broadcast(fit_codebooks(chosen))
     index = classes.select("vid", "embedding").mapInArrow(partial(_index, books=books), "ids binary, codes binary, norms binary")
 
-    n = queries.count()
-    blocks = max(1, -(-n // QUERY_BLOCK))
-    packed = queries.select("query_key", "embedding").repartition(blocks, "query_key").mapInArrow(_query_blocks, "q_ids binary, q binary")
-    packed = stored(packed.withColumn("block", F.monotonically_increasing_id()), "query-blocks")
+    blocks = max(1, -(-queries.count() // QUERY_BLOCK))
+    some = F.collect_list(F.struct("query_key", "embedding"))
+    packed = queries.withColumn("block", F.pmod("query_key", F.lit(blocks)).cast("int")).groupBy("block").agg(some.alias("s"))
+    packed = packed.select("block", F.col("s.query_key").alias("q_ids"), F.flatten("s.embedding").alias("q"))
     # every index block meets every query block: a stated query set against all rows
-    numbers = [r[0] for r in packed.select("block").collect()]
-    met = index.withColumn("block", F.explode(F.array(*[F.lit(b) for b in numbers]))).join(packed, "block") if numbers else None
-    if met is None:
-        return spark.createDataFrame([], schema)
+    met = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).join(packed, "block")
     scanned = met.mapInArrow(partial(_scan, books=books, rerank=rerank), "query_id long, vid long, near double").withColumnRenamed("query_id", "query_key")
     place = F.row_number().over(Window.partitionBy("query_key").orderBy(F.desc("near"), "vid"))
     candidates = scanned.withColumn("place", place).where(F.col("place") <= rerank).select("query_key", "vid")
