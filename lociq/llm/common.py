@@ -1,40 +1,20 @@
-"""Shared helpers: session settings, shared storage, null-safe column selection."""
+"""Shared helpers: session settings, null-safe column selection, checked broadcasts."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lociq.storage import new_path, stored
+
+__all__ = ["crc32_bucket", "join_checked", "new_path", "pick", "small_batches", "stored", "table"]
+
 #: Rows in one Arrow batch handed to Python; texts may be long, so batches are kept short.
 BATCH_ROWS = 512
 #: A table of at most so many rows may be broadcast; it is counted first.
 BROADCAST_ROWS = 100_000
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own if it is unset (tests)."""
-    sc = spark.sparkContext
-    where = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not where:
-        where = "file://" + tempfile.mkdtemp(prefix="lociq-shared-")
-        spark.conf.set("spark.checkpoint.dir", where)
-    return where.rstrip("/")
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/lociq/{name}-{uuid.uuid4().hex}"
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """df written as Parquet in the shared folder and read again: cuts lineage and survives lost executors."""
-    path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     """Lower the Arrow batch size, so that a batch of long texts stays small; never raises a smaller setting."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"

@@ -1,4 +1,4 @@
-"""Links within posting lists, and connected components of a distributed edge list."""
+"""Links within posting lists."""
 
 from __future__ import annotations
 
@@ -8,40 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lociq.llm.common import stored
+from lociq.operators.graph import components
+from lociq.storage import stored
 
 #: Rounds of neighbour pairs, each in another order, before the exhaustive step.
 ROUNDS = 2
 
 
-def _ordered(df: DataFrame) -> DataFrame:
-    return df.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-
-
-def _star(edges: DataFrame, large: bool) -> DataFrame:
-    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else edges
-    least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
-    met = both.join(least, "u")
-    if large:
-        return _ordered(met.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")))
-    return _ordered(met.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))))
-
-
-def components(edges: DataFrame, a: str, b: str) -> DataFrame:
-    """node, component: for every node of an edge, the smallest node it can reach.
-
-    Alternating large and small stars until nothing changes; each round is written to the shared folder. Nothing
-    but a count and a checksum comes to the driver.
-    """
-    now = stored(_ordered(edges.select(F.col(a).alias("u"), F.col(b).alias("v"))), "edges")
-    sign = lambda df: tuple(df.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first())
-    before = None
-    while (seen := sign(now)) != before and seen[0]:
-        before = seen
-        now = stored(_star(stored(_star(now, True), "edges"), False), "edges")
-    return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
-
-
 def _as_pairs(df: DataFrame, a: str, b: str) -> DataFrame:
     return df.where(F.col(a) != F.col(b)).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
 
@@ -87,5 +60,5 @@ def link_lists(posts: DataFrame, verified: Callable[[DataFrame], DataFrame], can
         links = links.unionByName(found) if links is not None else found
         tried = tried.unionByName(new) if tried is not None else new
         if turn < rounds:
-            labels = components(links, "a", "b").select(F.col("node").alias("cls"), F.col("component").alias("label"))
+            labels = components(links).select(F.col("node").alias("cls"), F.col("component").alias("label"))
     return links

@@ -5,7 +5,8 @@
    hash. Two sets that are similar enough share a shingle among the first n - ceil(t * n) + 1 of each, its prefix.
 3. Classes with the same prefix and size are collapsed into one group. A posting links a prefix shingle to a group.
 4. Neighbours in a posting list, ordered by size, are candidate pairs; length and position filters drop most. Groups are expanded
-   into classes, and pairs are verified on their whole sets. Verified links give components.
+   into classes. A sketch of each set, the number of its shingles in each of 256 ranges of hashes, bounds a pair's intersection
+   from above; pairs that it leaves are verified on their whole sets. Verified links give components.
 5. What neighbours did not decide follows exactly: in each list, every class outside the list's main component is paired with
    all classes of other components that pass the filters. Lists that lie in one component, as those of many near copies do, give
    no pair, so no list is expanded into all its pairs.
@@ -20,19 +21,22 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lociq.llm.common import pick, small_batches, stored
-from lociq.llm.graph import components, link_lists
+from lociq.llm.graph import link_lists
 from lociq.llm.words import mix64, range_hashes, slices, text_buffers, word_bounds
+from lociq.operators.graph import components
 
 WORDS = 5
 #: A similarity of 3/4: 100 * intersection >= 75 * union.
 NUMERATOR, DENOMINATOR = 3, 4
 #: At most so many frequent shingles are sent to the tasks (16 bytes each); the commonest are. They set the order, not the result.
-FREQUENT = 250_000
+FREQUENT = 500_000
+#: Ranges of hashes that a sketch counts.
+SKETCH = 256
 #: Shingles that a task holds while it counts.
 WINDOW = 2_000_000
 #: Parts into which the posting list of a frequent shingle is dealt.
@@ -111,7 +115,7 @@ def _recurring(batches: Iterator[pa.RecordBatch], words: int, window: int) -> It
 
 def frequent_shingles(rows: DataFrame, words: int = WORDS, most: int = FREQUENT, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, counts) of the commonest recurring shingles over all rows, sorted by hash; at most `most`."""
-    counts = stored(rows.select("text").mapInArrow(partial(_recurring, words=words, window=window), "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).where("n >= 8"), "shingle-counts")
+    counts = stored(rows.select("text").mapInArrow(partial(_recurring, words=words, window=window), "token long, n long").groupBy("token").agg(F.sum("n").alias("n")), "shingle-counts")
     step = F.floor(F.log2("n") * 8)  # a histogram finds the lowest count that keeps the table below its bound
     least, total = None, 0
     for s, low, many in sorted(((r[0], r[1], r[2]) for r in counts.groupBy(step.alias("s")).agg(F.min("n"), F.count(F.lit(1))).collect()), reverse=True):
@@ -126,7 +130,7 @@ def frequent_shingles(rows: DataFrame, words: int = WORDS, most: int = FREQUENT,
     return token[order], found["n"].to_numpy(np.int64)[order]
 
 
-_SIGNATURE = "doc_id long, cls binary, n int, gkey long, prefix array<long>, salted array<boolean>"
+_SIGNATURE = "doc_id long, cls binary, n int, gkey long, prefix array<long>, hot_from int, sketch binary"
 
 
 def _signatures(batches: Iterator[pa.RecordBatch], words: int, frequent) -> Iterator[pa.RecordBatch]:
@@ -138,13 +142,11 @@ def _signatures(batches: Iterator[pa.RecordBatch], words: int, frequent) -> Iter
         digests = set_digests(flat, off)
         at = np.minimum(np.searchsorted(common, flat), max(len(common) - 1, 0))
         often = common[at] == flat if len(common) else np.zeros(len(flat), bool)
-        classes, groups, prefixes, salted = [], [], [], []
+        out: dict[str, list] = {c: [] for c in ("cls", "gkey", "prefix", "hot_from", "sketch")}
         for k, (a, z) in enumerate(zip(off[:-1].tolist(), off[1:].tolist(), strict=True)):
             if a == z:
-                classes.append(None)
-                groups.append(None)
-                prefixes.append(None)
-                salted.append(None)
+                for column in out.values():
+                    column.append(None)
                 continue
             p = prefix_size(z - a)
             rare, hot = flat[a:z][~often[a:z]][:p], np.empty(0, np.uint64)
@@ -153,21 +155,30 @@ def _signatures(batches: Iterator[pa.RecordBatch], words: int, frequent) -> Iter
                 hot = mine[np.lexsort((mine, n))][: p - len(rare)]
             prefix = np.concatenate((rare, hot))
             group = int(mix64(np.array([(mix64(prefix) * _MULT[7]).sum(dtype=np.uint64) + np.uint64(z - a)], np.uint64)).view(np.int64)[0])
-            classes.append(digests[k].tobytes())
-            groups.append(group)
-            if group in seen:
-                prefixes.append(None)
-                salted.append(None)
-            else:
+            known = group in seen
+            if not known:
                 if len(seen) > 2_000_000:
                     seen.clear()
                 seen.add(group)
-                prefixes.append(prefix.view(np.int64))
-                salted.append(np.arange(len(prefix)) >= len(rare))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(classes, pa.binary()), pa.array(np.diff(off).astype(np.int32)), pa.array(groups, pa.int64()), pa.array(prefixes, pa.list_(pa.int64())), pa.array(salted, pa.list_(pa.bool_()))],
-            names=["doc_id", "cls", "n", "gkey", "prefix", "salted"],
-        )
+            tally = np.bincount((flat[a:z] >> np.uint64(56)).astype(np.int64), minlength=SKETCH)
+            out["cls"].append(digests[k].tobytes())
+            out["gkey"].append(group)
+            out["prefix"].append(None if known else prefix.view(np.int64))
+            out["hot_from"].append(len(rare))
+            out["sketch"].append(tally.astype("<u4" if tally.max() > 255 else "u1").tobytes())
+        columns = [pa.array(out[c], t) for c, t in (("gkey", pa.int64()), ("prefix", pa.list_(pa.int64())), ("hot_from", pa.int32()), ("sketch", pa.binary()))]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out["cls"], pa.binary()), pa.array(np.diff(off).astype(np.int32)), *columns], names=["doc_id", "cls", "n", "gkey", "prefix", "hot_from", "sketch"])
+
+
+def _plausible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs whose sketches allow an intersection that is large enough."""
+    as_counts = lambda x: np.frombuffer(x, "u1" if len(x) == SKETCH else "<u4").astype(np.int64)
+    for batch in batches:
+        ok = []
+        for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
+            p, q = as_counts(x), as_counts(y)
+            ok.append(int(np.minimum(p, q).sum()) * (NUMERATOR + DENOMINATOR) >= int(p.sum() + q.sum()) * NUMERATOR)
+        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
 
 def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
@@ -190,13 +201,19 @@ def _can_match(n: str, pos: str, m: str, pos2: str) -> Column:
     return (F.least(n, m) * DENOMINATOR >= F.greatest(n, m) * NUMERATOR) & (F.least(n - pos, m - pos2) >= _needed(n, m))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs whose sets are similar enough."""
-    left = sets.select(F.col("cls").alias("a"), F.col("shingles").alias("x"))
-    right = sets.select(F.col("cls").alias("b"), F.col("shingles").alias("y"))
+def _verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame, words: int) -> DataFrame:
+    """The pairs whose sets are similar enough: by their sketches first, then by the sets, made anew from the texts of the classes left."""
+    sketch = classes.select("cls", "sketch")
+    left, right = sketch.select(F.col("cls").alias("a"), F.col("sketch").alias("x")), sketch.select(F.col("cls").alias("b"), F.col("sketch").alias("y"))
+    likely = stored(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(_plausible, "a binary, b binary"), "likely")
+    wanted = likely.select(F.col("a").alias("cls")).union(likely.select("b")).distinct().join(classes.select("cls", "rep"), "cls").where("rep IS NOT NULL")
+    wanted = stored(wanted.select(F.col("rep").alias("doc_id"), "cls"), "wanted")
+    texts = rows.join(F.broadcast(wanted) if wanted.count() <= FEW_IDS else wanted, "doc_id").select("cls", "text")
+    sets = stored(texts.mapInArrow(partial(_sets, words=words), "cls binary, shingles array<long>").dropDuplicates(["cls"]), "sets")
+    left, right = sets.select(F.col("cls").alias("a"), F.col("shingles").alias("x")), sets.select(F.col("cls").alias("b"), F.col("shingles").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
     ok = both * (NUMERATOR + DENOMINATOR) >= (F.size("x") + F.size("y")) * NUMERATOR
-    return pairs.join(left, "a").join(right, "b").where(ok).select("a", "b")
+    return likely.join(left, "a").join(right, "b").where(ok).select("a", "b")
 
 
 def jaccard_classes(docs: DataFrame, words: int = WORDS) -> tuple[DataFrame, DataFrame]:
@@ -211,29 +228,28 @@ def jaccard_classes(docs: DataFrame, words: int = WORDS) -> tuple[DataFrame, Dat
     frequent = spark.sparkContext.broadcast(frequent_shingles(rows, words))
     sig = stored(rows.mapInArrow(partial(_signatures, words=words, frequent=frequent), _SIGNATURE), "signatures")
 
-    # posting lists of groups; lists with one group end here
-    posts = sig.where("prefix IS NOT NULL").select("gkey", "n", F.explode(F.arrays_zip(F.col("prefix").alias("token"), F.col("salted"), F.sequence(F.lit(0), F.size("prefix") - 1).alias("pos"))).alias("p"))
-    posts = posts.select("gkey", "n", F.col("p.token").alias("token"), F.col("p.pos").cast("int").alias("pos"), F.when(F.col("p.salted"), F.pmod(F.xxhash64("gkey"), F.lit(SALTS))).otherwise(0).cast("int").alias("salt"), F.col("p.salted").alias("hot"))
-    w = Window.partitionBy("token", "salt").orderBy("n", "gkey")
-    lists = posts.select("*", F.lag("gkey").over(w).alias("before"), F.lead("gkey").over(w).alias("after"))
+    # posting lists of groups, the frequent shingles' in parts; lists with one group end here. `place` is size, position and a mark.
+    posts = sig.where("prefix IS NOT NULL").select("gkey", "n", "hot_from", F.posexplode("prefix").alias("pos", "token"))
+    hot = F.col("pos") >= F.col("hot_from")
+    part = F.pmod(F.xxhash64("gkey"), F.lit(SALTS)) + 1
+    key = F.when(hot, F.col("token").bitwiseXOR(F.xxhash64(part))).otherwise(F.col("token"))
+    place = F.shiftleft(F.col("n").cast("long"), 32) + F.shiftleft(F.col("pos").cast("long"), 1) + hot.cast("long")
+    w = Window.partitionBy("key").orderBy("place", "gkey")
+    lists = posts.select(key.alias("key"), "gkey", place.alias("place")).select("*", F.lag("gkey").over(w).alias("before"), F.lead("gkey").over(w).alias("after"))
     differs = lambda c: F.coalesce(F.col(c) != F.col("gkey"), F.lit(False))
-    lists = lists.where(F.col("hot") | differs("before") | differs("after")).select("token", "salt", "gkey", "n", "pos")
-    lists = stored(lists, "postings")
+    hot = F.col("place").bitwiseAND(F.lit(1)) == 1
+    lists = lists.where(hot | differs("before") | differs("after"))
+    token = F.when(hot, F.col("key").bitwiseXOR(F.xxhash64(part))).otherwise(F.col("key"))
+    pos = F.shiftright(F.col("place"), 1).bitwiseAND(F.lit((1 << 31) - 1)).cast("int")
+    lists = stored(lists.select(token.alias("token"), F.when(hot, part).otherwise(0).cast("int").alias("salt"), "gkey", pos.alias("pos")), "postings")
 
     # groups are expanded into their classes; a group of several classes is a list of its own
-    classes = stored(sig.where("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.min("gkey").alias("gkey")), "classes")
+    classes = stored(sig.where("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.min("gkey").alias("gkey"), F.first("sketch").alias("sketch")), "classes")
     crowded = classes.groupBy("gkey").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("gkey")
     within = classes.join(crowded, "gkey").select(F.col("gkey").alias("token"), F.pmod(F.xxhash64("cls"), F.lit(SALTS)).cast("int").alias("salt"), "cls", "n", F.lit(0).alias("pos"))
-    met = stored(lists.drop("n").join(classes.select("gkey", "cls", "n"), "gkey").select("token", "salt", "cls", "n", "pos").unionByName(within), "class-postings")
-
-    # whole sets of the classes that have any list
-    wanted = met.select("cls").distinct().join(classes.select("cls", "rep"), "cls").where("rep IS NOT NULL")
-    wanted = stored(wanted, "candidates")
-    some = wanted.select(F.col("rep").alias("doc_id"), "cls")
-    texts = rows.join(F.broadcast(some) if some.count() <= FEW_IDS else some, "doc_id").select("cls", "text")
-    sets = stored(texts.mapInArrow(partial(_sets, words=words), "cls binary, shingles array<long>").dropDuplicates(["cls"]), "sets")
+    met = stored(lists.join(classes.select("gkey", "cls", "n"), "gkey").select("token", "salt", "cls", "n", "pos").unionByName(within), "class-postings")
 
-    links = link_lists(met, partial(_verified, sets=sets), _can_match)
+    links = link_lists(met, partial(_verified, classes=classes, rows=rows, words=words), _can_match)
     return sig.select("doc_id", F.col("n").cast("long").alias("n_shingles"), "cls"), links
 
 
@@ -246,7 +262,7 @@ def jaccard_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
     are rows of their own. An empty table gives an empty result. Other columns are ignored.
     """
     members, links = jaccard_classes(docs, words)
-    found = components(links, "a", "b").select(F.col("node").alias("cls"), F.col("component").alias("root"))
+    found = components(links).select(F.col("node").alias("cls"), F.col("component").alias("root"))
     by_class = members.where("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("rep"))
     rooted = by_class.join(found, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     smallest = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
@@ -255,7 +271,11 @@ def jaccard_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
     return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
-def one_of_each(spark: SparkSession, docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """The rows of docs whose doc_id is the smallest of its component; all columns. Rows with a null doc_id go."""
+def one_of_each(docs: DataFrame, words: int = WORDS) -> DataFrame:
+    """One row of docs, with all its columns, for each component: the one whose doc_id is the component's smallest.
+
+    Of rows that repeat this doc_id the one with the smallest text stays. Rows with a null doc_id go.
+    """
     keep = jaccard_components(docs, words).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(keep, "doc_id", "left_semi")
+    turn = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last()))
+    return docs.join(keep, "doc_id", "left_semi").withColumn("turn_", turn).where("turn_ = 1").select(*docs.columns)
