@@ -12,13 +12,18 @@ from lociq.llm import language_id, quality
 WORD = public_tokenizers.path("word_bpe_49k.json")
 
 
+def junk(k):
+    """Rows 7, 17, ... copy the row three before, junk or not."""
+    return (k - 3 if k % 10 == 7 else k) % 6 == 0 or k == 100
+
+
 def corpus(spark, folder):
     rng = np.random.default_rng(9)
     words = [f"{a}{b}" for a in ("stone", "river", "cloud", "field") for b in ("", "s", "ing", "ed", "ly", "er")]
     rows = []
     for k in range(240):
         text = " ".join(rng.choice(words, 30))
-        if k % 6 == 0:
+        if k % 10 != 7 and junk(k):
             text = " ".join(f"{w}###" for w in rng.choice(words, 30))
         if k % 10 == 7:
             text = rows[k - 3][1] + " again"
@@ -26,7 +31,7 @@ def corpus(spark, folder):
             text = "12 34 56"
         rows.append((k, text, "en", f"s{k % 3}", len(text)))
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").coalesce(2).write.parquet(f"{folder}/documents.parquet")
-    spark.createDataFrame([(k, int(k % 6 > 0 and k != 100), 0) for k in range(120)], "doc_id long, quality int, toxic int").coalesce(1).write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame([(k, int(not junk(k)), 0) for k in range(120)], "doc_id long, quality int, toxic int").coalesce(1).write.parquet(f"{folder}/labels.parquet")
     return rows
 
 
@@ -65,7 +70,7 @@ def test_pipeline(spark, tmp_path):
     rows = corpus(spark, str(tmp_path))
     got = Counter((r.doc_id, r.n_tokens) for r in corpus_pipeline.run(spark, str(tmp_path)).collect())
     assert got == brute(spark, str(tmp_path), rows)
-    clean = {k for k, *_ in rows if k % 6 and k != 100}
+    clean = {k for k, *_ in rows if not junk(k)}
     docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
     for stage in (corpus_pipeline.quality, corpus_pipeline.language):
         docs = stage(spark, docs, str(tmp_path))
