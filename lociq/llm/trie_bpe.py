@@ -128,6 +128,7 @@ class PieceEncoder:
         spec = json.loads(self.tk.to_str())
         merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in spec["model"]["merges"]]
         self.bpe = TrieBpe(spec["model"]["vocab"], merges, spec["model"].get("end_of_word_suffix") or "")
+        self.words: dict[str, list[int]] = {}
         self.added = [t["content"] for t in spec["added_tokens"]]
         self.names = {i: t for t, i in self.tk.get_vocab(with_added_tokens=True).items()}
 
@@ -141,8 +142,10 @@ class PieceEncoder:
             else:
                 normal = self.tk.normalizer.normalize_str(p)
                 cut.append([w for w, _ in self.tk.pre_tokenizer.pre_tokenize_str(normal)])
-        words = dict.fromkeys(w for ws in cut for w in ws or ())
-        ids = self.bpe.encode(words)
+        if len(self.words) > CACHE:
+            self.words.clear()
+        ids = self.words
+        ids.update(self.bpe.encode(dict.fromkeys(w for ws in cut for w in ws or () if w not in ids)))
         out = []
         for p, ws in zip(pieces, cut, strict=True):
             if ws is None or None in (mine := [ids.get(w) for w in ws]):
