@@ -34,14 +34,14 @@ def _undecided(posts: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def link_lists(posts: DataFrame, verified: Callable[[DataFrame], DataFrame], can_match: Callable[..., Column], rounds: int = ROUNDS) -> DataFrame:
-    """Verified links (a, b) that connect every two classes that verified pairs of a common list connect.
+    """cls, label: classes that verified pairs of a common list connect have one label, the smallest of them; classes without a link are left out.
 
     posts has the rows of all lists: token (the list), salt (a part of a long list), cls, n, pos. can_match(n, pos, m, pos2) is a cheap
     necessary condition on two rows' columns; verified(pairs) keeps the true pairs. First, neighbours of each part and the
     parts' first rows are paired, in one order after another. What they leave undecided is decided in full: in each list every
     class outside the list's main component meets all rows of other components. No pair is verified twice.
     """
-    tried = links = None
+    tried = None
     labels = posts.sparkSession.createDataFrame([], "cls binary, label binary")
     for turn in range(rounds + 1):
         now = posts if turn == 0 else stored(_undecided(posts, labels), "undecided")
@@ -56,9 +56,16 @@ def link_lists(posts: DataFrame, verified: Callable[[DataFrame], DataFrame], can
             rest = now.join(apart, "token").where((F.col("label") != F.col("label_")) & can_match("n", "pos", "n_", "pos_"))
             pairs = _as_pairs(rest, "cls", "cls_")
         new = stored(pairs.join(tried, ["a", "b"], "left_anti") if tried is not None else pairs, "pairs")
-        found = stored(verified(new), "links")
-        links = links.unionByName(found) if links is not None else found
         tried = tried.unionByName(new) if tried is not None else new
-        if turn < rounds:
-            labels = components(links).select(F.col("node").alias("cls"), F.col("component").alias("label"))
-    return links
+        labels = _joined(labels, stored(verified(new), "links"))
+    return labels
+
+
+def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """labels after new links: components of the labels that the links connect, not of all classes again."""
+    at = lambda side: labels.select(F.col("cls").alias(side), F.col("label").alias(f"{side}_label"))
+    between = links.join(at("a"), "a", "left").join(at("b"), "b", "left").select(F.coalesce("a_label", "a").alias("a"), F.coalesce("b_label", "b").alias("b"))
+    roots = components(between.where("a <> b").distinct())
+    known = labels.unionByName(links.select(F.col("a").alias("cls")).union(links.select("b")).distinct().join(labels, "cls", "left_anti").select("cls", F.col("cls").alias("label")))
+    moved = known.join(roots.select(F.col("node").alias("label"), "component"), "label", "left")
+    return stored(moved.select("cls", F.coalesce("component", "label").alias("label")), "labels")

@@ -28,13 +28,12 @@ from pyspark.sql.window import Window
 from lociq.llm.common import pick, small_batches, stored
 from lociq.llm.graph import link_lists
 from lociq.llm.words import mix64, range_hashes, slices, text_buffers, word_bounds
-from lociq.operators.graph import components
 
 WORDS = 5
 #: A similarity of 3/4: 100 * intersection >= 75 * union.
 NUMERATOR, DENOMINATOR = 3, 4
-#: At most so many frequent shingles are sent to the tasks (16 bytes each); the commonest are. They set the order, not the result.
-FREQUENT = 500_000
+#: At most so many frequent shingles are sent to the tasks (5 bytes each); the commonest are. They set the order, not the result.
+FREQUENT = 1_000_000
 #: Ranges of hashes that a sketch counts.
 SKETCH = 256
 #: Shingles that a task holds while it counts.
@@ -113,21 +112,32 @@ def _recurring(batches: Iterator[pa.RecordBatch], words: int, window: int) -> It
         yield counted()
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Five bytes for each row instead of a row."""
+    for batch in batches:
+        upper, step = batch.column(0).to_numpy(zero_copy_only=False).astype("<u4"), batch.column(1).to_numpy(zero_copy_only=False).astype(np.uint8)
+        yield pa.RecordBatch.from_arrays([pa.array([upper.tobytes()], pa.binary()), pa.array([step.tobytes()], pa.binary())], names=["upper", "step"])
+
+
 def frequent_shingles(rows: DataFrame, words: int = WORDS, most: int = FREQUENT, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes, counts) of the commonest recurring shingles over all rows, sorted by hash; at most `most`."""
-    counts = stored(rows.select("text").mapInArrow(partial(_recurring, words=words, window=window), "token long, n long").groupBy("token").agg(F.sum("n").alias("n")), "shingle-counts")
-    step = F.floor(F.log2("n") * 8)  # a histogram finds the lowest count that keeps the table below its bound
+    """(upper 32 bits of the hash, step of the count) of the commonest recurring shingles over all rows, sorted; at most `most`.
+
+    Shingles with the same upper bits count together: any order that depends on the shingle alone will do.
+    """
+    found = rows.select("text").mapInArrow(partial(_recurring, words=words, window=window), "token long, n long")
+    counts = found.groupBy(F.shiftrightunsigned("token", 32).alias("upper")).agg(F.sum("n").alias("n"))
+    counts = stored(counts.select("upper", F.least(F.floor(F.log2("n") * 8), F.lit(255)).cast("int").alias("step")), "shingle-counts")
     least, total = None, 0
-    for s, low, many in sorted(((r[0], r[1], r[2]) for r in counts.groupBy(step.alias("s")).agg(F.min("n"), F.count(F.lit(1))).collect()), reverse=True):
+    for step, many in sorted(map(tuple, counts.groupBy("step").count().collect()), reverse=True):  # a histogram keeps the table below its bound
         if total + many > most:
             break
-        least, total = low, total + many
+        least, total = step, total + many
     if least is None:
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
-    found = counts.where(F.col("n") >= least).toPandas()
-    token = found["token"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(token)
-    return token[order], found["n"].to_numpy(np.int64)[order]
+        return np.empty(0, np.uint32), np.empty(0, np.uint8)
+    packed = counts.where(F.col("step") >= least).mapInArrow(_packed, "upper binary, step binary").collect()
+    upper = np.concatenate([np.frombuffer(r[0], "<u4") for r in packed])
+    order = np.argsort(upper)
+    return upper[order], np.concatenate([np.frombuffer(r[1], np.uint8) for r in packed])[order]
 
 
 _SIGNATURE = "doc_id long, cls binary, n int, gkey long, prefix array<long>, hot_from int, sketch binary"
@@ -140,8 +150,9 @@ def _signatures(batches: Iterator[pa.RecordBatch], words: int, frequent) -> Iter
     for batch in batches:
         flat, off = shingle_sets(batch.column(1), words)
         digests = set_digests(flat, off)
-        at = np.minimum(np.searchsorted(common, flat), max(len(common) - 1, 0))
-        often = common[at] == flat if len(common) else np.zeros(len(flat), bool)
+        upper = (flat >> np.uint64(32)).astype(np.uint32)
+        at = np.minimum(np.searchsorted(common, upper), max(len(common) - 1, 0))
+        often = common[at] == upper if len(common) else np.zeros(len(flat), bool)
         out: dict[str, list] = {c: [] for c in ("cls", "gkey", "prefix", "hot_from", "sketch")}
         for k, (a, z) in enumerate(zip(off[:-1].tolist(), off[1:].tolist(), strict=True)):
             if a == z:
@@ -217,10 +228,10 @@ def _verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame, words: int)
 
 
 def jaccard_classes(docs: DataFrame, words: int = WORDS) -> tuple[DataFrame, DataFrame]:
-    """(members, links).
+    """(members, labels).
 
-    members: doc_id, n_shingles, cls, one row per row of docs; cls is null for a text that is null or has no words. links: a, b,
-    verified pairs of different classes, enough to connect all classes that similar pairs connect.
+    members: doc_id, n_shingles, cls, one row per row of docs; cls is null for a text that is null or has no words. labels: cls, label,
+    where classes that similar pairs connect have one label; classes without a similar one are left out.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -249,8 +260,8 @@ def jaccard_classes(docs: DataFrame, words: int = WORDS) -> tuple[DataFrame, Dat
     within = classes.join(crowded, "gkey").select(F.col("gkey").alias("token"), F.pmod(F.xxhash64("cls"), F.lit(SALTS)).cast("int").alias("salt"), "cls", "n", F.lit(0).alias("pos"))
     met = stored(lists.join(classes.select("gkey", "cls", "n"), "gkey").select("token", "salt", "cls", "n", "pos").unionByName(within), "class-postings")
 
-    links = link_lists(met, partial(_verified, classes=classes, rows=rows, words=words), _can_match)
-    return sig.select("doc_id", F.col("n").cast("long").alias("n_shingles"), "cls"), links
+    labels = link_lists(met, partial(_verified, classes=classes, rows=rows, words=words), _can_match)
+    return sig.select("doc_id", F.col("n").cast("long").alias("n_shingles"), "cls"), labels
 
 
 def jaccard_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
@@ -261,8 +272,8 @@ def jaccard_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
     the smallest doc_id that is not null (null if there is none; such a class is not compared with others). Rows that repeat a doc_id
     are rows of their own. An empty table gives an empty result. Other columns are ignored.
     """
-    members, links = jaccard_classes(docs, words)
-    found = components(links).select(F.col("node").alias("cls"), F.col("component").alias("root"))
+    members, labels = jaccard_classes(docs, words)
+    found = labels.withColumnRenamed("label", "root")
     by_class = members.where("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("rep"))
     rooted = by_class.join(found, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     smallest = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))

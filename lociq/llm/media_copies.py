@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 
 from lociq.llm.common import pick, small_batches, stored
 from lociq.llm.graph import link_lists
-from lociq.operators.graph import components
 
 SCALES = (1.0, 0.75, 0.5)
 CORNERS = 16
@@ -163,8 +162,7 @@ def media_groups(media: DataFrame, agree: int = AGREE) -> DataFrame:
     features = stored(found.select("cls", "image").mapInArrow(_features, "cls binary, features binary, keys array<long>"), "media-features")
     posts = features.select(F.explode("keys").alias("token"), F.pmod(F.xxhash64("cls"), F.lit(16)).cast("int").alias("salt"), "cls", F.lit(0).alias("n"), F.lit(0).alias("pos"))
     shared = posts.groupBy("token").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("token")
-    links = link_lists(stored(posts.join(shared, "token"), "media-postings"), partial(_verified, features=features, agree=agree), _any)
-    roots = components(links).select(F.col("node").alias("cls"), F.col("component").alias("root"))
+    roots = link_lists(stored(posts.join(shared, "token"), "media-postings"), partial(_verified, features=features, agree=agree), _any).withColumnRenamed("label", "root")
     classes = found.select("cls", "class_id").join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     smallest = classes.groupBy("root").agg(F.min("class_id").alias("group_id"))
     size = len(np.zeros(1, _FEATURE).tobytes())
