@@ -24,7 +24,7 @@ from lociq.llm.common import pick, small_batches, stored
 
 #: Vectors that the codebooks are fitted on: those with the smallest hash of vec_id.
 SAMPLE = 8000
-RERANK = 200
+RERANK = 500
 CENTROIDS, PART = 16, 2
 #: Weighs parallel error as for scores above this share of the norms' product.
 THRESHOLD = 0.2
