@@ -29,6 +29,8 @@ RADIUS = 9
 TABLES = 8
 #: Bits in which matching descriptors may differ, pixels by which matches may miss the common motion, and matches needed.
 MATCH_BITS, MISS, AGREE = 48, 3.0, 10
+#: Table entries that two images must share before their matches are looked at.
+MEETINGS = 4
 _POINTS = np.clip(np.random.default_rng(11).normal(0, RADIUS / 2.2, (256, 2, 2)), -RADIUS + 1, RADIUS - 1)
 _GRID = np.stack(np.meshgrid(np.arange(-RADIUS, RADIUS + 1), np.arange(-RADIUS, RADIUS + 1)), axis=-1).reshape(-1, 2)
 _DISC = _GRID[(_GRID**2).sum(axis=1) <= RADIUS**2]
@@ -125,17 +127,22 @@ def agreeing(f: np.ndarray, g: np.ndarray) -> int:
     return min(places(f, i[best]), places(g, j[best]))
 
 
+def table_keys(f: np.ndarray) -> np.ndarray:
+    """The distinct table entries of an image: the table's number above each 32 bits of a descriptor."""
+    return np.unique(np.ascontiguousarray(f["bits"]).view("<u4").reshape(-1, TABLES).astype(np.int64) + (np.arange(TABLES) << 32))
+
+
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = [describe(a) if (a := read_image(raw)) is not None else np.zeros(0, _FEATURE) for raw in batch.column(1).to_pylist()]
-        keys = [np.ascontiguousarray(f["bits"]).view("<u4").reshape(-1, TABLES).astype(np.int64) + (np.arange(TABLES) << 32) for f in found]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([f.tobytes() for f in found], pa.binary()), pa.array([np.unique(k) for k in keys], pa.list_(pa.int64()))], names=["cls", "features", "keys"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([f.tobytes() for f in found], pa.binary()), pa.array([table_keys(f) for f in found], pa.list_(pa.int64()))], names=["cls", "features", "keys"])
 
 
 def _consensus(batches: Iterator[pa.RecordBatch], agree: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         f, g = ([np.frombuffer(x, _FEATURE) for x in batch.column(c).to_pylist()] for c in ("x", "y"))
-        ok = [agreeing(p, q) >= agree for p, q in zip(f, g, strict=True)]
+        met = [len(np.intersect1d(table_keys(p), table_keys(q), assume_unique=True)) >= MEETINGS for p, q in zip(f, g, strict=True)]
+        ok = [m and agreeing(p, q) >= agree for m, p, q in zip(met, f, g, strict=True)]
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
 
