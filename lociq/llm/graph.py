@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 from lociq.operators.graph import components
 from lociq.storage import stored
 
-#: Rounds of neighbour pairs, each in another order, before the exhaustive step.
+#: Rounds before the exhaustive step: one of neighbours, the others of classes of each list's main component.
 ROUNDS = 2
 
 
@@ -27,37 +27,50 @@ def _neighbours(posts: DataFrame, by: list[str], order: list, can_match: Callabl
 
 
 def _undecided(posts: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rows of the lists whose classes are not all in one component."""
-    known = posts.join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
-    mixed = known.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("token")
-    return known.join(mixed, "token")
+    """Rows of the lists whose classes are not all in one component, with their labels and the list's commonest label, `main`."""
+    known = stored(posts.join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls")), "known")
+    sizes = known.groupBy("token", "label").agg(F.count(F.lit(1)).alias("k"))
+    main = sizes.groupBy("token").agg(F.count(F.lit(1)).alias("labels"), F.max(F.struct("k", "label")).alias("m")).where("labels > 1")
+    return known.join(main.select("token", F.col("m.label").alias("main")), "token")
+
+
+def _with_main(now: DataFrame, turn: int, can_match: Callable[..., Column]) -> DataFrame:
+    """Pairs of every class outside its list's main component with two classes of that component in the same part of the list, other ones in each list."""
+    draw = F.struct(F.xxhash64("cls", "token", F.lit(turn)).alias("draw"), "cls", "n", "pos")
+    some = now.where("label = main").groupBy("token", "salt").agg(F.min(draw).alias("first"), F.max(draw).alias("last"))
+    some = some.select("token", "salt", F.explode(F.array("first", "last")).alias("r")).select("token", "salt", *[F.col(f"r.{c}").alias(f"{c}_") for c in ("cls", "n", "pos")])
+    return _as_pairs(now.where("label <> main").join(some, ["token", "salt"]).where(can_match("n", "pos", "n_", "pos_")), "cls", "cls_")
 
 
 def link_lists(posts: DataFrame, verified: Callable[[DataFrame], DataFrame], can_match: Callable[..., Column], rounds: int = ROUNDS) -> DataFrame:
     """cls, label: classes that verified pairs of a common list connect have one label, the smallest of them; classes without a link are left out.
 
-    posts has the rows of all lists: token (the list), salt (a part of a long list), cls, n, pos. can_match(n, pos, m, pos2) is a cheap
-    necessary condition on two rows' columns; verified(pairs) keeps the true pairs. First, neighbours of each part and the
-    parts' first rows are paired, in one order after another. What they leave undecided is decided in full: in each list every
-    class outside the list's main component meets all rows of other components. No pair is verified twice.
+    posts has the rows of all lists: token (the list), salt (a part of a long list from 1, or 0 for a list that has no parts), cls, n, pos.
+    can_match(n, pos, m, pos2) is a cheap necessary condition on two rows' columns; verified(pairs) keeps the true pairs. First,
+    neighbours of each part and the parts' first rows are paired, which decides lists of two rows. In longer ones, classes outside the
+    list's main component then meet two of that component. What is still undecided is decided in full: in each list every class outside the main
+    component meets all rows of other components. No pair is verified twice.
     """
     tried = None
     labels = posts.sparkSession.createDataFrame([], "cls binary, label binary")
     for turn in range(rounds + 1):
-        now = posts if turn == 0 else stored(_undecided(posts, labels), "undecided")
-        if turn < rounds:
-            order = ["n", "cls"] if turn == 0 else [F.xxhash64("cls", F.lit(turn)), "cls"]
-            heads = now.groupBy("token", "salt").agg(F.min(F.struct("n", "cls", "pos")).alias("h")).select("token", "h.*")
-            pairs = _neighbours(now, ["token", "salt"], order, can_match).unionByName(_neighbours(heads, ["token"], ["n", "cls"], can_match)).distinct()
+        if turn == 0:
+            heads = posts.where("salt > 0").groupBy("token", "salt").agg(F.min(F.struct("n", "cls", "pos")).alias("h")).select("token", "h.*")
+            pairs = _neighbours(posts, ["token", "salt"], ["n", "cls"], can_match).unionByName(_neighbours(heads, ["token"], ["n", "cls"], can_match)).distinct()
         else:
-            sizes = now.groupBy("token", "label").agg(F.count(F.lit(1)).alias("k"))
-            main = sizes.groupBy("token").agg(F.max(F.struct("k", "label")).alias("m")).select("token", F.col("m.label").alias("main"))
-            apart = now.join(main, "token").where("label <> main").select("token", *[F.col(c).alias(f"{c}_") for c in ("cls", "n", "pos", "label")])
-            rest = now.join(apart, "token").where((F.col("label") != F.col("label_")) & can_match("n", "pos", "n_", "pos_"))
-            pairs = _as_pairs(rest, "cls", "cls_")
+            now = stored(_undecided(posts, labels), "undecided")
+            if turn < rounds:
+                pairs = _with_main(now, turn, can_match)
+            else:
+                apart = now.where("label <> main").select("token", *[F.col(c).alias(f"{c}_") for c in ("cls", "n", "pos", "label")])
+                rest = now.join(apart, "token").where((F.col("label") != F.col("label_")) & can_match("n", "pos", "n_", "pos_"))
+                pairs = _as_pairs(rest, "cls", "cls_")
         new = stored(pairs.join(tried, ["a", "b"], "left_anti") if tried is not None else pairs, "pairs")
         tried = tried.unionByName(new) if tried is not None else new
         labels = _joined(labels, stored(verified(new), "links"))
+        if turn == 0:
+            longer = posts.groupBy("token").agg(F.count(F.lit(1)).alias("k")).where("k > 2").select("token")
+            posts = stored(posts.join(longer, "token", "left_semi"), "longer-lists")
     return labels
 
 

@@ -7,8 +7,8 @@
 4. Neighbours in a posting list, ordered by size, are candidate pairs; length and position filters drop most. Groups are expanded
    into classes. A sketch of each set, the number of its shingles in each of 256 ranges of hashes, bounds a pair's intersection
    from above; pairs that it leaves are verified on their whole sets. Verified links give components.
-5. What neighbours did not decide follows exactly: in each list, every class outside the list's main component is paired with
-   all classes of other components that pass the filters. Lists that lie in one component, as those of many near copies do, give
+5. Classes outside a list's main component meet two classes of that component in each of their lists. What this leaves undecided follows
+   exactly: in each list, every such class is paired with all classes of other components that pass the filters. Lists that lie in one component, as those of many near copies do, give
    no pair, so no list is expanded into all its pairs.
 
 Hashes of 64 bits stand for shingles; two different shingles of one pair of texts agree with probability below 1e-13.
@@ -239,17 +239,20 @@ def jaccard_classes(docs: DataFrame, words: int = WORDS) -> tuple[DataFrame, Dat
     frequent = spark.sparkContext.broadcast(frequent_shingles(rows, words))
     sig = stored(rows.mapInArrow(partial(_signatures, words=words, frequent=frequent), _SIGNATURE), "signatures")
 
-    # posting lists of groups, the frequent shingles' in parts; lists with one group end here. `place` is size, position and a mark.
+    # posting lists of groups, the frequent shingles' in parts; rows without another group of a fitting size end here. `place` is size, position and a mark.
     posts = sig.where("prefix IS NOT NULL").select("gkey", "n", "hot_from", F.posexplode("prefix").alias("pos", "token"))
     hot = F.col("pos") >= F.col("hot_from")
     part = F.pmod(F.xxhash64("gkey"), F.lit(SALTS)) + 1
     key = F.when(hot, F.col("token").bitwiseXOR(F.xxhash64(part))).otherwise(F.col("token"))
     place = F.shiftleft(F.col("n").cast("long"), 32) + F.shiftleft(F.col("pos").cast("long"), 1) + hot.cast("long")
     w = Window.partitionBy("key").orderBy("place", "gkey")
-    lists = posts.select(key.alias("key"), "gkey", place.alias("place")).select("*", F.lag("gkey").over(w).alias("before"), F.lead("gkey").over(w).alias("after"))
-    differs = lambda c: F.coalesce(F.col(c) != F.col("gkey"), F.lit(False))
+    lists = posts.select(key.alias("key"), "gkey", place.alias("place")).select("*", *[f(c).over(w).alias(f"{c}{end}") for f, end in ((F.lag, "_before"), (F.lead, "_after")) for c in ("gkey", "place")])
+    size = lambda c: F.shiftright(c, 32)
+    # a list stands by size: if the next other groups are too small and too large, so are all others
+    fits = lambda small, large: size(small) * DENOMINATOR >= size(large) * NUMERATOR
+    meets = lambda c, ok: F.coalesce((F.col(c) != F.col("gkey")) & ok, F.lit(False))
     hot = F.col("place").bitwiseAND(F.lit(1)) == 1
-    lists = lists.where(hot | differs("before") | differs("after"))
+    lists = lists.where(hot | meets("gkey_before", fits("place_before", "place")) | meets("gkey_after", fits("place", "place_after")))
     token = F.when(hot, F.col("key").bitwiseXOR(F.xxhash64(part))).otherwise(F.col("key"))
     pos = F.shiftright(F.col("place"), 1).bitwiseAND(F.lit((1 << 31) - 1)).cast("int")
     lists = stored(lists.select(token.alias("token"), F.when(hot, part).otherwise(0).cast("int").alias("salt"), "gkey", pos.alias("pos")), "postings")
@@ -257,7 +260,7 @@ def jaccard_classes(docs: DataFrame, words: int = WORDS) -> tuple[DataFrame, Dat
     # groups are expanded into their classes; a group of several classes is a list of its own
     classes = stored(sig.where("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.min("gkey").alias("gkey"), F.first("sketch").alias("sketch")), "classes")
     crowded = classes.groupBy("gkey").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("gkey")
-    within = classes.join(crowded, "gkey").select(F.col("gkey").alias("token"), F.pmod(F.xxhash64("cls"), F.lit(SALTS)).cast("int").alias("salt"), "cls", "n", F.lit(0).alias("pos"))
+    within = classes.join(crowded, "gkey").select(F.col("gkey").alias("token"), (F.pmod(F.xxhash64("cls"), F.lit(SALTS)) + 1).cast("int").alias("salt"), "cls", "n", F.lit(0).alias("pos"))
     met = stored(lists.join(classes.select("gkey", "cls", "n"), "gkey").select("token", "salt", "cls", "n", "pos").unionByName(within), "class-postings")
 
     labels = link_lists(met, partial(_verified, classes=classes, rows=rows, words=words), _can_match)

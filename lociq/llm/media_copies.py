@@ -167,7 +167,7 @@ def media_groups(media: DataFrame, agree: int = AGREE) -> DataFrame:
     rows = pick(media, media_id="long", image="binary").withColumn("cls", F.unhex(F.md5("image")))
     found = stored(rows.groupBy("cls", "image").agg(F.min("media_id").alias("class_id")).where("cls IS NOT NULL").select("cls", "image", "class_id"), "media-classes")
     features = stored(found.select("cls", "image").mapInArrow(_features, "cls binary, features binary, keys array<long>"), "media-features")
-    posts = features.select(F.explode("keys").alias("token"), F.pmod(F.xxhash64("cls"), F.lit(16)).cast("int").alias("salt"), "cls", F.lit(0).alias("n"), F.lit(0).alias("pos"))
+    posts = features.select(F.explode("keys").alias("token"), (F.pmod(F.xxhash64("cls"), F.lit(16)) + 1).cast("int").alias("salt"), "cls", F.lit(0).alias("n"), F.lit(0).alias("pos"))
     shared = posts.groupBy("token").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("token")
     roots = link_lists(stored(posts.join(shared, "token"), "media-postings"), partial(_verified, features=features, agree=agree), _any).withColumnRenamed("label", "root")
     classes = found.select("cls", "class_id").join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
