@@ -11,8 +11,8 @@ from pyspark.sql.window import Window
 from lociq.operators.graph import components
 from lociq.storage import stored
 
-#: Rounds before the exhaustive step: one of neighbours, the others of classes of each list's main component.
-ROUNDS = 2
+#: Rounds before the exhaustive step: one of neighbours by size, the others of neighbours in orders that differ from list to list.
+ROUNDS = 3
 
 
 def _as_pairs(df: DataFrame, a: str, b: str) -> DataFrame:
@@ -34,12 +34,16 @@ def _undecided(posts: DataFrame, labels: DataFrame) -> DataFrame:
     return known.join(main.select("token", F.col("m.label").alias("main")), "token")
 
 
-def _with_main(now: DataFrame, turn: int, can_match: Callable[..., Column]) -> DataFrame:
-    """Pairs of every class outside its list's main component with two classes of that component in the same part of the list, other ones in each list."""
-    draw = F.struct(F.xxhash64("cls", "token", F.lit(turn)).alias("draw"), "cls", "n", "pos")
-    some = now.where("label = main").groupBy("token", "salt").agg(F.min(draw).alias("first"), F.max(draw).alias("last"))
-    some = some.select("token", "salt", F.explode(F.array("first", "last")).alias("r")).select("token", "salt", *[F.col(f"r.{c}").alias(f"{c}_") for c in ("cls", "n", "pos")])
-    return _as_pairs(now.where("label <> main").join(some, ["token", "salt"]).where(can_match("n", "pos", "n_", "pos_")), "cls", "cls_")
+def _shuffled(now: DataFrame, turn: int, can_match: Callable[..., Column]) -> DataFrame:
+    """Pairs of neighbours of different components, and of the parts' first rows, in an order that each list has for itself."""
+    draw = F.xxhash64("cls", "token", F.lit(turn))
+    heads = now.where("salt > 0").groupBy("token", "salt").agg(F.min(F.struct(draw.alias("draw"), "cls", "n", "pos", "label")).alias("h")).select("token", "h.*")
+    found = []
+    for rows, by in ((now, ["token", "salt"]), (heads, ["token"])):
+        w = Window.partitionBy(*by).orderBy(draw, "cls")
+        found.append(rows.select("cls", "n", "pos", "label", *[F.lag(c).over(w).alias(f"{c}_") for c in ("cls", "n", "pos", "label")]))
+    near = found[0].unionByName(found[1])
+    return _as_pairs(near.where(F.col("cls_").isNotNull() & (F.col("label") != F.col("label_")) & can_match("n", "pos", "n_", "pos_")), "cls", "cls_")
 
 
 def link_lists(posts: DataFrame, verified: Callable[[DataFrame], DataFrame], can_match: Callable[..., Column], rounds: int = ROUNDS) -> DataFrame:
@@ -47,9 +51,9 @@ def link_lists(posts: DataFrame, verified: Callable[[DataFrame], DataFrame], can
 
     posts has the rows of all lists: token (the list), salt (a part of a long list from 1, or 0 for a list that has no parts), cls, n, pos.
     can_match(n, pos, m, pos2) is a cheap necessary condition on two rows' columns; verified(pairs) keeps the true pairs. First,
-    neighbours of each part and the parts' first rows are paired, which decides lists of two rows. In longer ones, classes outside the
-    list's main component then meet two of that component. What is still undecided is decided in full: in each list every class outside the main
-    component meets all rows of other components. No pair is verified twice.
+    neighbours of each part and the parts' first rows are paired, which decides lists of two rows. Longer ones
+    are then paired in orders of their own, so that a class meets others in each. What is still undecided is decided in full: in each list
+    every class outside the list's main component meets all rows of other components. No pair is verified twice.
     """
     tried = None
     labels = posts.sparkSession.createDataFrame([], "cls binary, label binary")
@@ -60,7 +64,7 @@ def link_lists(posts: DataFrame, verified: Callable[[DataFrame], DataFrame], can
         else:
             now = stored(_undecided(posts, labels), "undecided")
             if turn < rounds:
-                pairs = _with_main(now, turn, can_match)
+                pairs = _shuffled(now, turn, can_match)
             else:
                 apart = now.where("label <> main").select("token", *[F.col(c).alias(f"{c}_") for c in ("cls", "n", "pos", "label")])
                 rest = now.join(apart, "token").where((F.col("label") != F.col("label_")) & can_match("n", "pos", "n_", "pos_"))

@@ -7,9 +7,9 @@
 4. Neighbours in a posting list, ordered by size, are candidate pairs; length and position filters drop most. Groups are expanded
    into classes. A sketch of each set, the number of its shingles in each of 256 ranges of hashes, bounds a pair's intersection
    from above; pairs that it leaves are verified on their whole sets. Verified links give components.
-5. Classes outside a list's main component meet two classes of that component in each of their lists. What this leaves undecided follows
-   exactly: in each list, every such class is paired with all classes of other components that pass the filters. Lists that lie in one component, as those of many near copies do, give
-   no pair, so no list is expanded into all its pairs.
+5. Lists that are not one component yet are paired again, in an order of their own each. What this leaves undecided follows exactly: in
+   each list, every class outside the list's main component is paired with all classes of other components that pass the filters. Lists
+   that lie in one component, as those of many near copies do, give no pair, so no list is expanded into all its pairs.
 
 Hashes of 64 bits stand for shingles; two different shingles of one pair of texts agree with probability below 1e-13.
 """
