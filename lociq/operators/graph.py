@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -113,37 +112,74 @@ def louvain(n: int, edges: list[tuple[int, int, float]], resolution: float = 1.0
     return own
 
 
-def communities(edges: DataFrame, nodes: DataFrame, resolution: float = 1.0, seed: int = 42, largest: int = 200_000, spread: int = 10) -> DataFrame:
-    """node, community (its smallest member): Louvain within each connected component.
+#: Steps of modularity smaller than this count as none; sums of floating-point numbers differ by less.
+LEAST_GAIN = 1e-9
+#: Similarities are summed as whole numbers of this size, so that sums do not depend on their order.
+WHOLE = 1 << 30
 
-    A component of more than `largest` edges does not go to one task: label propagation over DataFrames, `spread` rounds, cuts it.
+
+def _votes(links: DataFrame, label: DataFrame, total: int, resolution: float) -> tuple[DataFrame, float]:
+    """(node, own, d, c, k: the weight between a node and each community near it; the modularity of label but for loops)."""
+    near = links.join(label.select(F.col("node").alias("v"), "c"), "v").groupBy("node", "c").agg(F.sum("w").alias("k"))
+    votes = stored(near.join(label.select("node", F.col("c").alias("own"), "d"), "node"), "votes")
+    inside = votes.where("c = own").agg(F.coalesce(F.sum("k"), F.lit(0))).first()[0]
+    spread = label.groupBy("c").agg(F.sum("d").alias("d")).agg(F.sum((F.col("d") / total) ** 2)).first()[0]
+    return votes, inside / total - resolution * spread
+
+
+def _proposals(votes: DataFrame, label: DataFrame, total: int, resolution: float) -> DataFrame:
+    """node, own, c, loss (the gain with its sign turned) of each node that a move to c raises modularity for: its best one."""
+    size = label.groupBy("c").agg(F.sum("d").alias("size"))
+    kept = votes.where("c = own").select("node", F.col("k").alias("kept"))
+    other = votes.where("c <> own").join(size, "c").join(size.select(F.col("c").alias("own"), F.col("size").alias("left")), "own").join(kept, "node", "left")
+    gain = F.col("k") - F.coalesce("kept", F.lit(0)) - resolution * F.col("d") * ((F.col("size") - F.col("left") + F.col("d")) / total)
+    best = other.select("node", "own", F.struct((-gain / total).alias("loss"), "c").alias("move")).where(F.col("move.loss") < -LEAST_GAIN)
+    return best.groupBy("node", "own").agg(F.min("move").alias("move")).select("node", "own", "move.c", "move.loss")
+
+
+def communities(edges: DataFrame, nodes: DataFrame, resolution: float = 1.0, seed: int = 42, largest: int | None = None) -> DataFrame:
+    """node, community (its smallest member): Louvain's moves and levels over the whole graph, in DataFrame rounds at any size.
+
+    In a round each node names the move that raises modularity most. Communities have a random order, and moves
+    up in it are made together; if modularity does not rise by them, only moves are made that are the best for both of
+    their communities (gains of moves between disjoint communities add up, so it rises). A level ends when no node has a move; its
+    communities are the nodes of the next one. Modularity rises with each round. `largest` has no effect: all components are treated alike.
     """
-    found = stored(components(edges, nodes), "components")
-    placed = stored(edges.join(found.withColumnRenamed("node", "a"), "a"), "component-edges")
-    big = placed.groupBy("component").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > largest).select("component")
-    small = placed.join(big, "component", "left_anti")
-
-    def split(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["a", "b"])
-        names = np.unique(np.concatenate([pdf["a"].to_numpy(), pdf["b"].to_numpy()]))
-        label = louvain(len(names), list(zip(np.searchsorted(names, pdf["a"]).tolist(), np.searchsorted(names, pdf["b"]).tolist(), pdf["similarity"].tolist(), strict=True)), resolution, seed)
-        frame = pd.DataFrame({"node": names, "label": label})
-        return frame.assign(community=frame.groupby("label")["node"].transform("min"))[["node", "community"]]
-
-    kind = dict(nodes.dtypes)["node"]
-    cut = small.groupBy("component").applyInPandas(split, f"node {kind}, community {kind}")
-    cut = cut.unionByName(propagate_labels(placed.join(big, "component", "left_semi"), spread)) if big.limit(1).count() else cut
-    return found.join(cut, "node", "left").select("node", F.coalesce("community", "node").alias("community"))
-
-
-def propagate_labels(edges: DataFrame, rounds: int = 10) -> DataFrame:
-    """node, community by weighted label propagation; every round each node takes its neighbours' heaviest label, the smallest on ties."""
-    both = stored(edges.select(F.col("a").alias("u"), F.col("b").alias("node"), "similarity").unionByName(edges.select(F.col("b").alias("u"), F.col("a").alias("node"), "similarity")), "both-ways")
-    label = both.select("node").distinct().withColumn("community", F.col("node"))
-    for _ in range(rounds):
-        votes = both.join(label.select(F.col("node").alias("u"), "community"), "u").groupBy("node", "community").agg(F.sum("similarity").alias("w"))
-        label = stored(votes.groupBy("node").agg(F.max_by("community", F.struct("w", -F.col("community"))).alias("community")), "labels")
-    return label
+    both = edges.where("a <> b").select(F.col("a").alias("node"), F.col("b").alias("v"), "similarity")
+    both = both.unionByName(both.select(F.col("v").alias("node"), F.col("node").alias("v"), "similarity"))
+    links = stored(both.groupBy("node", "v").agg(F.sum(F.round(F.col("similarity") * WHOLE).cast("long")).alias("w")), "links")
+    label = stored(links.groupBy("node").agg(F.sum("w").alias("d")).withColumn("c", F.col("node")), "labels")
+    total = label.agg(F.sum("d")).first()[0]
+    own = label.select("node", F.col("c").alias("community"))
+    turn, moved = 0, bool(total)
+    while moved:
+        moved = False
+        votes, score = _votes(links, label, total, resolution)
+        while True:
+            moves = stored(_proposals(votes, label, total, resolution), "moves")
+            if not moves.limit(1).count():
+                break
+            rank = lambda c: F.xxhash64(c, F.lit(seed + turn))  # noqa: B023, E731
+            ends = moves.select("node", "loss", F.explode(F.array("own", "c")).alias("at")).groupBy("at").agg(F.min(F.struct("loss", "node")).node.alias("node"))
+            alone = ends.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n = 2").select("node")
+            turn += 1
+            for some in (moves.where(rank("own") < rank("c")), moves.join(alone, "node", "left_semi")):
+                tried = label.join(some.select("node", F.col("c").alias("to")), "node", "left").select("node", "d", F.coalesce("to", "c").alias("c"))
+                tried = stored(tried, "labels")
+                found, now = _votes(links, tried, total, resolution)
+                if now > score + LEAST_GAIN:
+                    break
+            else:
+                break
+            label, votes, score, moved = tried, found, now, True
+        if moved:
+            own = stored(own.join(label.select(F.col("node").alias("community"), "c"), "community").select("node", F.col("c").alias("community")), "communities")
+            names = label.select("node", "c")
+            links = links.join(names, "node").join(names.select(F.col("node").alias("v"), F.col("c").alias("other")), "v").where("c <> other")
+            links = stored(links.groupBy(F.col("c").alias("node"), F.col("other").alias("v")).agg(F.sum("w").alias("w")), "links")
+            label = stored(label.groupBy("c").agg(F.sum("d").alias("d")).withColumn("node", F.col("c")), "labels")
+    named = own.join(own.groupBy("community").agg(F.min("node").alias("least")), "community").select("node", "least")
+    return nodes.select("node").distinct().join(named, "node", "left").select("node", F.coalesce("least", "node").alias("community"))
 
 
 def edit_distance_pairs(members: DataFrame, limit: int = 10) -> DataFrame:

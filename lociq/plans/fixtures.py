@@ -20,7 +20,7 @@ SELECT doc_id AS is_id, source AS sample_id, lang AS organism,
        translate(regexp_replace(lower(text), '[^a-z]', ''{g}), 'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTAC') AS sequence
 FROM {documents}"""
 _META = "SELECT c_custkey AS srr_accession, n_name AS organism, c_mktsegment AS platform FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey"
-_INC = "SELECT DISTINCT o_custkey AS is_id, l_suppkey AS family FROM {orders} JOIN {lineitem} ON o_orderkey = l_orderkey WHERE o_custkey <= 300"
+_INC = "SELECT DISTINCT o_custkey AS is_id, l_suppkey AS family FROM {orders} JOIN {lineitem} ON o_orderkey = l_orderkey"
 _HSP = """
 SELECT l_orderkey AS qseqid, l_suppkey % 10 AS sseqid, 80.0E0 + l_partkey % 20 AS pident, l_linenumber * 120 AS qstart,
        l_linenumber * 120 + CAST(round(l_quantity) AS BIGINT) * 10 AS qend, CAST(floor(l_extendedprice) AS BIGINT) AS sstart,

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lociq.functions import sequence as fs
 from lociq.operators import backjump, batches, graph, guides, hits, nesting, orfs, ranking
+from lociq.plans.catalog import QUERIES
 
 
 def one(spark, column):
@@ -165,6 +166,35 @@ def test_communities_refine_components(spark):
     assert len(wide) == 31 and len({wide[k] for k in range(20, 25)}) == 1
 
 
+def test_communities_are_alike_at_every_size(spark):
+    edges = [(k, k + 1, 1.0) for k in range(19)] + [(100 + 5 * c + i, 100 + 5 * c + j, 1.0) for c in range(3) for j in range(5) for i in range(j)]
+    edges += [(100 + 5 * c, 105 + 5 * c, 0.5) for c in range(2)]
+    e = spark.createDataFrame(edges, "a long, b long, similarity double")
+    nodes = spark.createDataFrame([(n,) for n in {x for a, b, _ in edges for x in (a, b)}], "node long")
+    got, small = ({r.node: r.community for r in graph.communities(e, nodes, largest=n).collect()} for n in (200_000, 1))
+    assert got == small
+    names = {n: k for k, n in enumerate(sorted(got))}
+    whole = [(names[a], names[b], w) for a, b, w in edges]
+    score = graph.modularity(whole, [got[n] for n in sorted(got)])
+    assert score >= graph.modularity(whole, graph.louvain(len(names), whole)) - 0.03
+    assert all(c == min(n for n in got if got[n] == c) for c in got.values())
+
+
+def test_graph_queries_take_all_ids(spark, tmp_path):
+    orders = [(k, c) for k, c in enumerate((1, 300, 301, 5000))]
+    items = [(k, s) for k in range(4) for s in ((1, 2, 3, 4, 5, 6, 7, 8) if k < 2 else (1, 2, 3, 10 + k, 20 + k))]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame(items, "l_orderkey long, l_suppkey long").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(k, 0) for k in (1, 101)], "c_custkey long, c_nationkey int").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame([(0, "X")], "n_nationkey int, n_name string").write.parquet(f"{tmp_path}/nation.parquet")
+    run = lambda name: QUERIES[name](spark, str(tmp_path)).collect()
+    assert {r.is_id for r in run("incidence")} == {1, 300, 301, 5000}
+    assert {(r.a, r.b) for r in run("jaccard_edges")} == {(1, 300), (1, 301), (1, 5000), (300, 301), (300, 5000), (301, 5000)} and 0.3 <= min(r.similarity for r in run("jaccard_edges")) < 0.34
+    assert {r.component for r in run("components")} == {1}
+    assert {r.node for r in run("louvain_communities")} == {1, 300, 301, 5000} and sum(r["size"] for r in run("system_clusters")) == 4
+    assert {r.sample for r in run("sample_ref_cross")} == {1, 101}
+
+
 @settings(max_examples=10, deadline=None)
 @given(st.lists(st.text("ACGTNacgt", max_size=30), min_size=1, max_size=10))
 def test_entropy_and_revcomp_models(spark, seqs):
