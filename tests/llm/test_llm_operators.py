@@ -255,6 +255,24 @@ def test_html(spark):
     assert got[5][0] == "Story one is here\n\nMore of it" and got[6][0] == "Another story\n\nAnd more\n\nStill"
 
 
+def html_of(spark, rows):
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    return {r.page_id: r.text for r in html_extract.extract_main_text(frame.repartition(3)).collect()}
+
+
+def test_html_differencing_takes_part_on_every_page(spark):
+    article = "<article><p>Share this story with friends</p><p>Story number {0} is told here at length</p>{1}</article><p>Standfirst {0}</p><p>Imprint</p>"
+    rows = [(k, f"http://h/{k}", article.format(k, "<p>A passage of two</p>" if k in (3, 4) else "")) for k in range(1, 8)]
+    template = "".join(f"<p>Template {w}</p>" for w in "abcd")
+    loose = lambda k: template + "".join(f"<p>Body {w} of page {k}</p>" for w in "xyz")
+    rows += [(11, "http://k/1", loose(1)), (12, "http://k/2", loose(1)), (13, "http://k/3", loose(3))]
+    got = html_of(spark, rows)
+    for k in range(1, 8):
+        assert got[k] == "\n\n".join([f"Story number {k} is told here at length", *(["A passage of two"] if k in (3, 4) else []), f"Standfirst {k}"])
+    for k, body in ((11, 1), (12, 1), (13, 3)):
+        assert got[k] == "\n\n".join(f"Body {w} of page {body}" for w in "xyz")
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.sampled_from("abcd"), max_size=12), st.lists(st.sampled_from("abcd"), max_size=12))
 def test_shared_lines_are_longest(a, b):
