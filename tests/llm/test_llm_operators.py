@@ -273,6 +273,14 @@ def test_html_differencing_takes_part_on_every_page(spark):
         assert got[k] == "\n\n".join(f"Body {w} of page {body}" for w in "xyz")
 
 
+def test_html_neighbours_in_a_large_host(spark):
+    rows = [(k, f"http://h/s{k // 4:04}/{k:05}", f"<p>Section {k // 4} has this template</p><p>Page {k} says something of its own</p>") for k in range(1200)]
+    got = html_of(spark, rows)
+    assert sum("template" not in got[k] for k in range(1200) if k % 4) == 900
+    first = html_of(spark, [*rows[:3], (9, "http://a/1", "<p>Logo of a</p><p>One</p>"), (10, "http://a/2", "<p>Logo of a</p><p>Two</p>")])
+    assert first[9] == "One" and first[10] == "Two" and all("template" not in first[k] for k in range(3))
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.sampled_from("abcd"), max_size=12), st.lists(st.sampled_from("abcd"), max_size=12))
 def test_shared_lines_are_longest(a, b):
