@@ -12,7 +12,6 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +23,11 @@ KEPT = 50_000
 #: Unit vectors are summed as whole numbers of this size, so that sums do not depend on their order.
 SCALE = 1 << 20
 UNKNOWN = "und"
+#: A text is accepted from half the cosine that this share of its language's learning texts stays below, and from four
+#: standard deviations of the cosine of unrelated vectors at least.
+LOW, MARGIN, DEVIATIONS = 0.01, 0.5, 4
+#: Steps of the cosine in which learning texts are counted.
+STEPS = 1000
 
 
 class Profiles:
@@ -131,18 +135,48 @@ def _scored(batches: Iterator[pa.RecordBatch], dimensions: int, model) -> Iterat
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.string()), pa.array(score, pa.float64())], names=["doc_id", "held_out", "lang_pred", "score"])
 
 
-def _kept(batches: Iterator[pa.RecordBatch], dimensions: int, model, least: float) -> Iterator[pa.RecordBatch]:
+def _kept(batches: Iterator[pa.RecordBatch], dimensions: int, model, least: dict[str, float]) -> Iterator[pa.RecordBatch]:
     profiles, (langs, prototypes) = Profiles(dimensions), model.value
     for batch in batches:
         found, score = predict(profiles, batch.column("text").to_pylist(), langs, prototypes)
-        yield batch.filter(pc.and_(pa.array([f != UNKNOWN for f in found], pa.bool_()), pa.array(score >= least)))
+        yield batch.filter(pa.array([f != UNKNOWN and x >= least[f] for f, x in zip(found, score.tolist(), strict=True)], pa.bool_()))
+
+
+def _own_cosines(batches: Iterator[pa.RecordBatch], dimensions: int, model) -> Iterator[pa.RecordBatch]:
+    profiles, (langs, prototypes) = Profiles(dimensions), model.value
+    place, counts = {g: k for k, g in enumerate(langs)}, np.zeros((len(langs), STEPS + 1), np.int64)
+    for batch in batches:
+        vectors, lettered = profiles.bundle(batch.column(0).to_pylist())
+        own = np.array([place.get(g, -1) for g in batch.column(1).to_pylist()], np.int64)
+        ok = lettered & (own >= 0)
+        cosine = (vectors[ok].astype(np.float64) * prototypes[own[ok]]).sum(axis=1)
+        np.add.at(counts, (own[ok], (np.clip(cosine, 0, 1) * STEPS).astype(int)), 1)
+    k, step = np.nonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array([langs[i] for i in k], pa.string()), pa.array(step, pa.int32()), pa.array(counts[k, step], pa.int64())], names=["lang", "step", "n"])
+
+
+def least_cosines(labelled: DataFrame, model, dimensions: int = DIMENSIONS) -> dict[str, float]:
+    """The cosine from which a text is accepted for each learned language, from those of all its learning texts (text, lang)."""
+    counts = labelled.mapInArrow(partial(_own_cosines, dimensions=dimensions, model=model), "lang string, step int, n long").groupBy("lang", "step").agg(F.sum("n").alias("n"))
+    steps: dict[str, list[tuple[int, int]]] = {}
+    for lang, step, n in counts.collect():  # STEPS rows for each language at most
+        steps.setdefault(lang, []).append((step, n))
+    floor = DEVIATIONS / dimensions**0.5
+    least = dict.fromkeys(model.value[0], floor)
+    for lang, found in steps.items():
+        found.sort()
+        total = np.cumsum([n for _, n in found])
+        low = found[int(np.searchsorted(total, LOW * total[-1], side="right"))][0] / STEPS
+        least[lang] = max(floor, MARGIN * low)
+    return least
 
 
 def _learn(docs: DataFrame, folds: int, fold: int, dimensions: int):
     small_batches(docs.sparkSession)
     rows = pick(docs, doc_id="long", text="string", lang="string").withColumn("held_out", F.coalesce(crc32_bucket(F.col("doc_id"), folds) == fold, F.lit(False)))
-    model = learn_prototypes(rows.where("NOT held_out AND lang IS NOT NULL AND text IS NOT NULL").select("text", "lang"), dimensions)
-    return rows, docs.sparkSession.sparkContext.broadcast(model)
+    known = rows.where("NOT held_out AND lang IS NOT NULL AND text IS NOT NULL").select("text", "lang")
+    model = learn_prototypes(known, dimensions)
+    return rows, known, docs.sparkSession.sparkContext.broadcast(model)
 
 
 def identify_languages(docs: DataFrame, folds: int = 4, fold: int = 2, dimensions: int = DIMENSIONS) -> DataFrame:
@@ -153,11 +187,13 @@ def identify_languages(docs: DataFrame, folds: int = 4, fold: int = 2, dimension
     held out. Repeated rows are scored each; an empty table gives an empty result; other columns are ignored. Ties go to the
     language that sorts first.
     """
-    rows, model = _learn(docs, folds, fold, dimensions)
+    rows, _, model = _learn(docs, folds, fold, dimensions)
     return rows.select("doc_id", "held_out", "text").mapInArrow(partial(_scored, dimensions=dimensions, model=model), "doc_id long, held_out boolean, lang_pred string, score double")
 
 
-def known_language_only(docs: DataFrame, least: float = 0.02, folds: int = 4, fold: int = 2, dimensions: int = DIMENSIONS) -> DataFrame:
-    """The rows of docs, with all their columns, whose text has letters and is at least `least` near to a learned language."""
-    _, model = _learn(docs, folds, fold, dimensions)
-    return docs.mapInArrow(partial(_kept, dimensions=dimensions, model=model, least=least), docs.schema)
+def known_language_only(docs: DataFrame, least: float | None = None, folds: int = 4, fold: int = 2, dimensions: int = DIMENSIONS) -> DataFrame:
+    """The rows of docs, with all their columns, whose text has letters and is near enough to its nearest language: by `least`, or
+    without it by what the language's own learning texts show (least_cosines)."""
+    _, known, model = _learn(docs, folds, fold, dimensions)
+    limits = least_cosines(known, model, dimensions) if least is None else dict.fromkeys(model.value[0], least)
+    return docs.mapInArrow(partial(_kept, dimensions=dimensions, model=model, least=limits), docs.schema)

@@ -84,3 +84,17 @@ def test_stages_keep_the_columns_and_take_empty_tables(spark, tmp_path):
         assert stage(spark, docs.limit(0), str(tmp_path)).columns == docs.columns
         assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "language", "near_duplicates", "mixing", "encoding"]
+
+
+def test_language_rejects_noise_and_unlearned_languages(spark):
+    rng = np.random.default_rng(12)
+    parts = {"en": ["the", "ing", "and", "th", "er", "ou"], "de": ["sch", "ung", "ein", "ver", "ü", "ach"], "fr": ["eau", "oux", "que", "é", "les", "ai"]}
+    text = lambda g, n: " ".join("".join(rng.choice(g, 3)) for _ in range(n))
+    rows = [(k, text(parts[g], 4 if k % 10 == 0 else 40), g) for k, g in enumerate(list(parts) * 60)]
+    noise = [" ".join("".join(rng.choice(list("bcdfgjklmpwxyz"), 6)) for _ in range(30)) for _ in range(40)]
+    other = [text(["при", "ость", "ень", "ств", "ова"], 30) for _ in range(40)]
+    odd = [(1000 + k, t, None) for k, t in enumerate(noise + other)]
+    docs = spark.createDataFrame(rows + odd, "doc_id long, text string, lang string")
+    kept = {r.doc_id for r in language_id.known_language_only(docs).collect()}
+    assert {k for k, *_ in rows} <= kept and len(kept & {k for k, *_ in odd}) <= 2
+    assert len({r.doc_id for r in language_id.known_language_only(docs, 0.02).collect()} & {k for k, *_ in odd}) > 20
