@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -11,70 +12,99 @@ from pyspark.sql.window import Window
 from lociq.operators.graph import components
 from lociq.storage import stored
 
-#: Rounds before the exhaustive step: one of neighbours by size, the others of neighbours in orders that differ from list to list.
-ROUNDS = 3
+#: Ratio of neighbouring size bands.
+BAND = 1.05
+#: Rows of a band that meet in one task's key; a list's band is cut into parts of about this size.
+PART_ROWS = 1024
+#: The exhaustive step starts when it compares at most this many rows for each row of the lists.
+LINEAR = 8
 
 
 def _as_pairs(df: DataFrame, a: str, b: str) -> DataFrame:
     return df.where(F.col(a) != F.col(b)).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
 
 
-def _neighbours(posts: DataFrame, by: list[str], order: list, can_match: Callable[..., Column]) -> DataFrame:
-    """Pairs of classes that follow each other in a list."""
-    w = Window.partitionBy(*by).orderBy(*order)
-    near = posts.select("cls", "n", "pos", *[F.lag(c).over(w).alias(f"{c}_") for c in ("cls", "n", "pos")])
-    return _as_pairs(near.where(F.col("cls_").isNotNull() & can_match("n", "pos", "n_", "pos_")), "cls", "cls_")
+def _fit() -> Column:
+    """Whether each row's size lies in the other's range."""
+    return F.col("n").between(F.col("lo_"), F.col("hi_")) & F.col("n_").between(F.col("lo"), F.col("hi"))
 
 
-def _undecided(posts: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rows of the lists whose classes are not all in one component, with their labels and the list's commonest label, `main`."""
-    known = stored(posts.join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls")), "known")
-    sizes = known.groupBy("token", "label").agg(F.count(F.lit(1)).alias("k"))
-    main = sizes.groupBy("token").agg(F.count(F.lit(1)).alias("labels"), F.max(F.struct("k", "label")).alias("m")).where("labels > 1")
-    return known.join(main.select("token", F.col("m.label").alias("main")), "token")
+def _band(size: Column) -> Column:
+    return F.floor(F.log(size) / math.log(BAND)).cast("int")
 
 
-def _shuffled(now: DataFrame, turn: int, can_match: Callable[..., Column]) -> DataFrame:
-    """Pairs of neighbours of different components, and of the parts' first rows, in an order that each list has for itself."""
-    draw = F.xxhash64("cls", "token", F.lit(turn))
-    heads = now.where("salt > 0").groupBy("token", "salt").agg(F.min(F.struct(draw.alias("draw"), "cls", "n", "pos", "label")).alias("h")).select("token", "h.*")
-    found = []
-    for rows, by in ((now, ["token", "salt"]), (heads, ["token"])):
-        w = Window.partitionBy(*by).orderBy(draw, "cls")
-        found.append(rows.select("cls", "n", "pos", "label", *[F.lag(c).over(w).alias(f"{c}_") for c in ("cls", "n", "pos", "label")]))
-    near = found[0].unionByName(found[1])
-    return _as_pairs(near.where(F.col("cls_").isNotNull() & (F.col("label") != F.col("label_")) & can_match("n", "pos", "n_", "pos_")), "cls", "cls_")
+def _neighbours(posts: DataFrame, by: list[str]) -> DataFrame:
+    """Pairs of classes that follow each other in a list by size."""
+    w = Window.partitionBy(*by).orderBy("n", "cls")
+    fields = ("cls", "n", "lo", "hi")
+    near = posts.select(*fields, *[F.lag(c).over(w).alias(f"{c}_") for c in fields])
+    return _as_pairs(near.where(F.col("cls_").isNotNull() & _fit()), "cls", "cls_")
 
 
-def link_lists(posts: DataFrame, verified: Callable[[DataFrame], DataFrame], can_match: Callable[..., Column], rounds: int = ROUNDS) -> DataFrame:
+def _undecided(posts: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows of the lists whose classes are not all in one component: with their labels, the list's commonest label `main`, and their band."""
+    known = stored(posts.join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls")), "known")
+    sizes = known.groupBy("token", "label").agg(F.count(F.lit(1)).alias("k"))
+    main = sizes.groupBy("token").agg(F.count(F.lit(1)).alias("labels"), F.max(F.struct("k", "label")).alias("m")).where("labels > 1")
+    return known.join(main.select("token", F.col("m.label").alias("main")), "token").withColumn("band", _band(F.col("n")))
+
+
+def _meetings(rest: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(bands, cells): the bands of each list with their rows k, and the bands that each class outside its list's main component may have
+    partners in."""
+    bands = stored(rest.groupBy("token", "band").agg(F.count(F.lit(1)).alias("k"), F.min("n").alias("n0"), F.max("n").alias("n1"), F.min("lo").alias("lo0"), F.max("hi").alias("hi1")), "bands")
+    apart = rest.where((F.col("label") != F.col("main")) & (F.col("hi") >= F.col("lo")))
+    apart = apart.select("token", "cls", "n", "lo", "hi", "label", F.explode(F.sequence(_band(F.col("lo")), _band(F.col("hi")))).alias("band"))
+    cells = apart.join(bands, ["token", "band"]).where("hi1 >= n AND lo0 <= n AND n0 <= hi AND n1 >= lo")
+    return bands, stored(cells.select("token", "band", "k", *[F.col(c).alias(f"{c}_") for c in ("cls", "n", "lo", "hi", "label")]), "cells")
+
+
+def _met(rest: DataFrame, bands: DataFrame, cells: DataFrame, partners: int | None, turn: int) -> DataFrame:
+    """Pairs of different components: each cell's class with about `partners` rows of the cell's band, or with all of them."""
+    parts = lambda size: F.ceil(F.col("k") / size).cast("int")
+    size = partners or PART_ROWS
+    rows = rest.join(bands.select("token", "band", "k"), ["token", "band"])
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("cls", F.lit(turn)), parts(size)).cast("int")).drop("k", "main")
+    if partners:
+        part = F.pmod(F.xxhash64("cls_", "token", F.lit(turn)), parts(size)).cast("int")
+    else:
+        part = F.explode(F.sequence(F.lit(0), parts(size) - 1))
+    met = rows.join(cells.withColumn("part", part).drop("k"), ["token", "band", "part"])
+    return _as_pairs(met.where((F.col("label") != F.col("label_")) & _fit()), "cls", "cls_")
+
+
+def link_lists(posts: DataFrame, verified: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """cls, label: classes that verified pairs of a common list connect have one label, the smallest of them; classes without a link are left out.
 
-    posts has the rows of all lists: token (the list), salt (a part of a long list from 1, or 0 for a list that has no parts), cls, n, pos.
-    can_match(n, pos, m, pos2) is a cheap necessary condition on two rows' columns; verified(pairs) keeps the true pairs. First,
-    neighbours of each part and the parts' first rows are paired, which decides lists of two rows. Longer ones
-    are then paired in orders of their own, so that a class meets others in each. What is still undecided is decided in full: in each list
-    every class outside the list's main component meets all rows of other components. No pair is verified twice.
+    posts has the rows of all lists: token (the list), salt (a part of a long list from 1, or 0 for a list that has no parts), cls, n (a
+    size, from 1), lo and hi: two rows may be similar only if the size of each lies in the other's range. verified(pairs) keeps the true pairs.
+
+    First, neighbours by size in each part and the parts' first rows are paired, which decides lists of two rows. In the rounds
+    after it only classes outside their list's main component are paired, with classes of other components in
+    bands of sizes that fit. A round makes about as many pairs as the lists have rows, so each outsider meets the more classes the fewer
+    outsiders are left, and at least twice as many as in the round before. As soon as comparing every outsider with all rows that
+    fit is no more than LINEAR times the lists' rows, that is done, and all is decided. No pair is verified twice.
     """
-    tried = None
-    labels = posts.sparkSession.createDataFrame([], "cls binary, label binary")
-    for turn in range(rounds + 1):
-        if turn == 0:
-            heads = posts.where("salt > 0").groupBy("token", "salt").agg(F.min(F.struct("n", "cls", "pos")).alias("h")).select("token", "h.*")
-            pairs = _neighbours(posts, ["token", "salt"], ["n", "cls"], can_match).unionByName(_neighbours(heads, ["token"], ["n", "cls"], can_match)).distinct()
-        else:
-            now = stored(_undecided(posts, labels), "undecided")
-            if turn < rounds:
-                pairs = _shuffled(now, turn, can_match)
-            else:
-                apart = now.where("label <> main").select("token", *[F.col(c).alias(f"{c}_") for c in ("cls", "n", "pos", "label")])
-                rest = now.join(apart, "token").where((F.col("label") != F.col("label_")) & can_match("n", "pos", "n_", "pos_"))
-                pairs = _as_pairs(rest, "cls", "cls_")
-        new = stored(pairs.join(tried, ["a", "b"], "left_anti") if tried is not None else pairs, "pairs")
-        tried = tried.unionByName(new) if tried is not None else new
+    heads = posts.where("salt > 0").groupBy("token", "salt").agg(F.min(F.struct("n", "cls", "lo", "hi")).alias("h")).select("token", "h.*")
+    tried = stored(_neighbours(posts, ["token", "salt"]).unionByName(_neighbours(heads, ["token"])).distinct(), "pairs")
+    labels = _joined(posts.sparkSession.createDataFrame([], "cls binary, label binary"), stored(verified(tried), "links"))
+    longer = posts.groupBy("token").agg(F.count(F.lit(1)).alias("k")).where("k > 2").select("token")
+    posts = stored(posts.join(longer, "token", "left_semi").drop("salt"), "longer-lists")
+    partners, turn, done = 4, 0, False
+    while not done:
+        rest = stored(_undecided(posts, labels), "undecided")
+        bands, cells = _meetings(rest)
+        rows = rest.count()
+        outside, most, all_pairs = cells.agg(F.count(F.lit(1)), F.max("k"), F.sum("k")).first()
+        if not outside:
+            break
+        turn += 1
+        partners = max(2 * partners, rows // outside)
+        done = all_pairs <= LINEAR * rows or partners >= most
+        met = _met(rest, bands, cells, None if done else partners, turn)
+        new = stored(met.join(tried, ["a", "b"], "left_anti"), "pairs")
+        tried = tried.unionByName(new)
         labels = _joined(labels, stored(verified(new), "links"))
-        if turn == 0:
-            longer = posts.groupBy("token").agg(F.count(F.lit(1)).alias("k")).where("k > 2").select("token")
-            posts = stored(posts.join(longer, "token", "left_semi"), "longer-lists")
     return labels
 
 

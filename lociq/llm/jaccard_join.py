@@ -7,9 +7,9 @@
 4. Neighbours in a posting list, ordered by size, are candidate pairs; length and position filters drop most. Groups are expanded
    into classes. A sketch of each set, the number of its shingles in each of 256 ranges of hashes, bounds a pair's intersection
    from above; pairs that it leaves are verified on their whole sets. Verified links give components.
-5. Lists that are not one component yet are paired again, in an order of their own each. What this leaves undecided follows exactly: in
-   each list, every class outside the list's main component is paired with all classes of other components that pass the filters. Lists
-   that lie in one component, as those of many near copies do, give no pair, so no list is expanded into all its pairs.
+5. In lists that are not one component yet, classes outside the list's main component meet more and more classes of other components,
+   at last all that pass the filters (`link_lists`). Lists that lie in one component, as those of many near copies do, give no
+   pair, so no list is expanded into all its pairs.
 
 Hashes of 64 bits stand for shingles; two different shingles of one pair of texts agree with probability below 1e-13.
 """
@@ -40,8 +40,8 @@ SKETCH = 256
 WINDOW = 2_000_000
 #: Parts into which the posting list of a frequent shingle is dealt.
 SALTS = 64
-#: Candidate classes up to this number are looked up by a broadcast of their ids (8 bytes each), more by a shuffle.
-FEW_IDS = 1_000_000
+#: Candidate classes up to this number are looked up by a broadcast of their rows' keys (24 bytes each), more by a shuffle.
+FEW_IDS = 300_000
 _MULT = (np.random.default_rng(5).integers(0, 1 << 63, 16, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
 
 
@@ -127,20 +127,22 @@ def frequent_shingles(rows: DataFrame, words: int = WORDS, most: int = FREQUENT,
     found = rows.select("text").mapInArrow(partial(_recurring, words=words, window=window), "token long, n long")
     counts = found.groupBy(F.shiftrightunsigned("token", 32).alias("upper")).agg(F.sum("n").alias("n"))
     counts = stored(counts.select("upper", F.least(F.floor(F.log2("n") * 8), F.lit(255)).cast("int").alias("step")), "shingle-counts")
-    least, total = None, 0
-    for step, many in sorted(map(tuple, counts.groupBy("step").count().collect()), reverse=True):  # a histogram keeps the table below its bound
+    least, total, share = 256, 0, 0.0
+    for step, many in sorted(map(tuple, counts.groupBy("step").count().collect()), reverse=True):  # a histogram keeps the table near its bound
         if total + many > most:
+            share = (most - total) / many  # of the last step, those with the smallest hashes
             break
         least, total = step, total + many
-    if least is None:
+    kept = (F.col("step") >= least) | ((F.col("step") == least - 1) & (F.pmod(F.xxhash64("upper"), F.lit(1 << 20)) < int(share * (1 << 20))))
+    packed = counts.where(kept).mapInArrow(_packed, "upper binary, step binary").collect()
+    if not packed:
         return np.empty(0, np.uint32), np.empty(0, np.uint8)
-    packed = counts.where(F.col("step") >= least).mapInArrow(_packed, "upper binary, step binary").collect()
     upper = np.concatenate([np.frombuffer(r[0], "<u4") for r in packed])
     order = np.argsort(upper)
     return upper[order], np.concatenate([np.frombuffer(r[1], np.uint8) for r in packed])[order]
 
 
-_SIGNATURE = "doc_id long, cls binary, n int, gkey long, prefix array<long>, hot_from int, sketch binary"
+_SIGNATURE = "doc_id long, rid long, text_hash long, cls binary, n int, gkey long, prefix array<long>, hot_from int"
 
 
 def _signatures(batches: Iterator[pa.RecordBatch], words: int, frequent) -> Iterator[pa.RecordBatch]:
@@ -148,12 +150,12 @@ def _signatures(batches: Iterator[pa.RecordBatch], words: int, frequent) -> Iter
     common, count = frequent.value
     seen: set[int] = set()
     for batch in batches:
-        flat, off = shingle_sets(batch.column(1), words)
+        flat, off = shingle_sets(batch.column(3), words)
         digests = set_digests(flat, off)
         upper = (flat >> np.uint64(32)).astype(np.uint32)
         at = np.minimum(np.searchsorted(common, upper), max(len(common) - 1, 0))
         often = common[at] == upper if len(common) else np.zeros(len(flat), bool)
-        out: dict[str, list] = {c: [] for c in ("cls", "gkey", "prefix", "hot_from", "sketch")}
+        out: dict[str, list] = {c: [] for c in ("cls", "gkey", "prefix", "hot_from")}
         for k, (a, z) in enumerate(zip(off[:-1].tolist(), off[1:].tolist(), strict=True)):
             if a == z:
                 for column in out.values():
@@ -171,14 +173,13 @@ def _signatures(batches: Iterator[pa.RecordBatch], words: int, frequent) -> Iter
                 if len(seen) > 2_000_000:
                     seen.clear()
                 seen.add(group)
-            tally = np.bincount((flat[a:z] >> np.uint64(56)).astype(np.int64), minlength=SKETCH)
             out["cls"].append(digests[k].tobytes())
             out["gkey"].append(group)
             out["prefix"].append(None if known else prefix.view(np.int64))
             out["hot_from"].append(len(rare))
-            out["sketch"].append(tally.astype("<u4" if tally.max() > 255 else "u1").tobytes())
-        columns = [pa.array(out[c], t) for c, t in (("gkey", pa.int64()), ("prefix", pa.list_(pa.int64())), ("hot_from", pa.int32()), ("sketch", pa.binary()))]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out["cls"], pa.binary()), pa.array(np.diff(off).astype(np.int32)), *columns], names=["doc_id", "cls", "n", "gkey", "prefix", "hot_from", "sketch"])
+        columns = [pa.array(out[c], t) for c, t in (("gkey", pa.int64()), ("prefix", pa.list_(pa.int64())), ("hot_from", pa.int32()))]
+        mine = [*batch.columns[:3], pa.array(out["cls"], pa.binary()), pa.array(np.diff(off).astype(np.int32))]
+        yield pa.RecordBatch.from_arrays([*mine, *columns], names=["doc_id", "rid", "text_hash", "cls", "n", "gkey", "prefix", "hot_from"])
 
 
 def _plausible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,50 +193,59 @@ def _plausible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
 
+def _range(n: Column, pos: Column) -> tuple[Column, Column]:
+    """(lo, hi): sizes of sets that may be similar to one of size n whose first common shingle is at pos.
+
+    An intersection of at least t * (n + m - intersection) needs m >= t * n, and n - pos >= t / (1 + t) * (n + m).
+    """
+    hi = F.floor((n - pos) * (NUMERATOR + DENOMINATOR) / NUMERATOR) - n
+    return F.ceil(n * NUMERATOR / DENOMINATOR).cast("int").alias("lo"), hi.cast("int").alias("hi")
+
+
 def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
-    """Sets of the texts that are of the class asked for (a doc_id may stand for several texts)."""
+    """Sets, with their sketches, of the texts that are of the class asked for (a key may stand for several texts); each once in a task."""
+    seen: set[bytes] = set()
     for batch in batches:
         flat, off = shingle_sets(batch.column(1), words)
         lists = pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(flat.view(np.int64)))
-        mine = [c == d.tobytes() for c, d in zip(batch.column(0).to_pylist(), set_digests(flat, off), strict=True)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["cls", "shingles"]).filter(pa.array(mine, pa.bool_()))
-
-
-def _needed(n: Column, m: Column) -> Column:
-    """Least intersection of two similar sets of these sizes: I >= t * (n + m - I)."""
-    return F.ceil((n + m) * NUMERATOR / (NUMERATOR + DENOMINATOR))
-
-
-def _can_match(n: str, pos: str, m: str, pos2: str) -> Column:
-    """Length filter, and position filter for a pair's first common shingle."""
-    n, m, pos, pos2 = F.col(n), F.col(m), F.col(pos), F.col(pos2)
-    return (F.least(n, m) * DENOMINATOR >= F.greatest(n, m) * NUMERATOR) & (F.least(n - pos, m - pos2) >= _needed(n, m))
+        mine, sketches = [], []
+        for k, (c, d) in enumerate(zip(batch.column(0).to_pylist(), map(np.ndarray.tobytes, set_digests(flat, off)), strict=True)):
+            mine.append(c == d and c not in seen)
+            seen.add(d)
+            tally = np.bincount((flat[off[k] : off[k + 1]] >> np.uint64(56)).astype(np.int64), minlength=SKETCH)
+            sketches.append(tally.astype("<u4" if tally.max() > 255 else "u1").tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sketches, pa.binary()), lists], names=["cls", "sketch", "shingles"]).filter(pa.array(mine, pa.bool_()))
 
 
 def _verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame, words: int) -> DataFrame:
-    """The pairs whose sets are similar enough: by their sketches first, then by the sets, made anew from the texts of the classes left."""
-    sketch = classes.select("cls", "sketch")
-    left, right = sketch.select(F.col("cls").alias("a"), F.col("sketch").alias("x")), sketch.select(F.col("cls").alias("b"), F.col("sketch").alias("y"))
-    likely = stored(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(_plausible, "a binary, b binary"), "likely")
-    wanted = likely.select(F.col("a").alias("cls")).union(likely.select("b")).distinct().join(classes.select("cls", "rep"), "cls").where("rep IS NOT NULL")
-    wanted = stored(wanted.select(F.col("rep").alias("doc_id"), "cls"), "wanted")
-    texts = rows.join(F.broadcast(wanted) if wanted.count() <= FEW_IDS else wanted, "doc_id").select("cls", "text")
-    sets = stored(texts.mapInArrow(partial(_sets, words=words), "cls binary, shingles array<long>").dropDuplicates(["cls"]), "sets")
-    left, right = sets.select(F.col("cls").alias("a"), F.col("shingles").alias("x")), sets.select(F.col("cls").alias("b"), F.col("shingles").alias("y"))
+    """The pairs whose sets, made anew from the texts of their classes, are similar enough: by their sketches first, then by the sets."""
+    wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct().join(classes.select("cls", "rep"), "cls")
+    wanted = stored(wanted.select(F.col("rep").alias("rid"), "cls"), "wanted")
+    texts = rows.join(F.broadcast(wanted) if wanted.count() <= FEW_IDS else wanted, "rid").select("cls", "text")
+    sets = stored(texts.mapInArrow(partial(_sets, words=words), "cls binary, sketch binary, shingles array<long>"), "sets")
+    of = lambda column, side, name: sets.select(F.col("cls").alias(side), F.col(column).alias(name))
+    sketched = pairs.join(of("sketch", "a", "x"), "a").join(of("sketch", "b", "y"), "b").select("a", "b", "x", "y")
+    likely = stored(sketched.mapInArrow(_plausible, "a binary, b binary").distinct(), "likely")
     both = F.size(F.array_intersect("x", "y"))
     ok = both * (NUMERATOR + DENOMINATOR) >= (F.size("x") + F.size("y")) * NUMERATOR
-    return likely.join(left, "a").join(right, "b").where(ok).select("a", "b")
+    return likely.join(of("shingles", "a", "x"), "a").join(of("shingles", "b", "y"), "b").where(ok).select("a", "b")
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """doc_id, rid, text_hash, text: rid finds a row's text again; without a doc_id it is the text's hash."""
+    rows = pick(docs, doc_id="long", text="string").withColumn("text_hash", F.xxhash64("text"))
+    return rows.select("doc_id", F.coalesce("doc_id", "text_hash").alias("rid"), "text_hash", "text")
 
 
 def jaccard_classes(docs: DataFrame, words: int = WORDS) -> tuple[DataFrame, DataFrame]:
     """(members, labels).
 
-    members: doc_id, n_shingles, cls, one row per row of docs; cls is null for a text that is null or has no words. labels: cls, label,
+    members: doc_id, text_hash, n_shingles, cls, one row per row of docs; cls is null for a text that is null or has no words. labels: cls, label,
     where classes that similar pairs connect have one label; classes without a similar one are left out.
     """
     spark = docs.sparkSession
     small_batches(spark)
-    rows = pick(docs, doc_id="long", text="string")
+    rows = _keyed(docs)
     frequent = spark.sparkContext.broadcast(frequent_shingles(rows, words))
     sig = stored(rows.mapInArrow(partial(_signatures, words=words, frequent=frequent), _SIGNATURE), "signatures")
 
@@ -258,13 +268,14 @@ def jaccard_classes(docs: DataFrame, words: int = WORDS) -> tuple[DataFrame, Dat
     lists = stored(lists.select(token.alias("token"), F.when(hot, part).otherwise(0).cast("int").alias("salt"), "gkey", pos.alias("pos")), "postings")
 
     # groups are expanded into their classes; a group of several classes is a list of its own
-    classes = stored(sig.where("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.min("gkey").alias("gkey"), F.first("sketch").alias("sketch")), "classes")
+    classes = stored(sig.where("cls IS NOT NULL").groupBy("cls").agg(F.min("rid").alias("rep"), F.min("n").alias("n"), F.min("gkey").alias("gkey")), "classes")
     crowded = classes.groupBy("gkey").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("gkey")
     within = classes.join(crowded, "gkey").select(F.col("gkey").alias("token"), (F.pmod(F.xxhash64("cls"), F.lit(SALTS)) + 1).cast("int").alias("salt"), "cls", "n", F.lit(0).alias("pos"))
-    met = stored(lists.join(classes.select("gkey", "cls", "n"), "gkey").select("token", "salt", "cls", "n", "pos").unionByName(within), "class-postings")
+    met = lists.join(classes.select("gkey", "cls", "n"), "gkey").select("token", "salt", "cls", "n", "pos").unionByName(within)
+    met = stored(met.select("token", "salt", "cls", "n", *_range(F.col("n"), F.col("pos"))), "class-postings")
 
-    labels = link_lists(met, partial(_verified, classes=classes, rows=rows, words=words), _can_match)
-    return sig.select("doc_id", F.col("n").cast("long").alias("n_shingles"), "cls"), labels
+    labels = link_lists(met, partial(_verified, classes=classes, rows=rows, words=words))
+    return sig.select("doc_id", "text_hash", F.col("n").cast("long").alias("n_shingles"), "cls"), labels
 
 
 def jaccard_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
@@ -272,8 +283,7 @@ def jaccard_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
 
     component_id is the smallest doc_id that links of similar texts reach. A text that is null or has no word has no shingles and
     links with nothing; its component_id is its doc_id. Rows with a null doc_id are kept and linked, and the component takes
-    the smallest doc_id that is not null (null if there is none; such a class is not compared with others). Rows that repeat a doc_id
-    are rows of their own. An empty table gives an empty result. Other columns are ignored.
+    the smallest doc_id that is not null (null if there is none). Rows that repeat a doc_id are rows of their own. An empty table gives an empty result. Other columns are ignored.
     """
     members, labels = jaccard_classes(docs, words)
     found = labels.withColumnRenamed("label", "root")
@@ -286,10 +296,27 @@ def jaccard_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """One row of docs, with all its columns, for each component: the one whose doc_id is the component's smallest.
+    """One row of docs, with all its columns, for each component: the one with the smallest doc_id (null last), then the smallest hash of its text.
 
-    Of rows that repeat this doc_id the one with the smallest text stays. Rows with a null doc_id go.
+    Of rows that agree in doc_id and text one stays, whichever columns else they differ in. A text that is null or has no word is
+    a component of its own, so such a row stays unless it repeats another one's doc_id and text.
     """
-    keep = jaccard_components(docs, words).where("doc_id = component_id").select("doc_id").distinct()
-    turn = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last()))
-    return docs.join(keep, "doc_id", "left_semi").withColumn("turn_", turn).where("turn_ = 1").select(*docs.columns)
+    members, labels = jaccard_classes(docs, words)
+    return kept_rows(docs, members, labels)
+
+
+def kept_rows(docs: DataFrame, members: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of docs that one_of_each keeps, by the result of jaccard_classes."""
+    names = list(docs.columns)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("first")
+    roots = members.where("cls IS NOT NULL").groupBy("cls").agg(first).join(labels, "cls", "left")
+    keep = roots.groupBy(F.coalesce("label", "cls").alias("root")).agg(F.min("first").alias("first")).select("first.doc_id", "first.text_hash")
+    alone = members.where("cls IS NULL").select("doc_id", "text_hash")
+    keep = stored(keep.unionByName(alone).distinct().select(F.col("doc_id").alias("keep_id"), F.col("text_hash").alias("keep_hash")), "kept")
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"))
+    have = {c.lower(): c for c in names}
+    get = lambda c, t: F.col("row").getField(have[c]).cast(t) if c in have else F.lit(None).cast(t)
+    row = row.select("row", get("doc_id", "long").alias("keep_id"), F.xxhash64(get("text", "string")).alias("keep_hash"))
+    same = row["keep_id"].eqNullSafe(keep["keep_id"]) & (row["keep_hash"] == keep["keep_hash"])
+    one = row.join(keep, same, "left_semi").withColumn("turn", F.row_number().over(Window.partitionBy("keep_id", "keep_hash").orderBy(F.lit(0))))
+    return one.where("turn = 1").select("row.*")
