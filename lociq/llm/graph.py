@@ -87,7 +87,8 @@ def link_lists(posts: DataFrame, verified: Callable[[DataFrame], DataFrame]) ->
     """
     heads = posts.where("salt > 0").groupBy("token", "salt").agg(F.min(F.struct("n", "cls", "lo", "hi")).alias("h")).select("token", "h.*")
     tried = stored(_neighbours(posts, ["token", "salt"]).unionByName(_neighbours(heads, ["token"])).distinct(), "pairs")
-    labels = _joined(posts.sparkSession.createDataFrame([], "cls binary, label binary"), stored(verified(tried), "links"))
+    kind = dict(posts.dtypes)["cls"]
+    labels = _joined(posts.sparkSession.createDataFrame([], f"cls {kind}, label {kind}"), stored(verified(tried), "links"))
     longer = posts.groupBy("token").agg(F.count(F.lit(1)).alias("k")).where("k > 2").select("token")
     posts = stored(posts.join(longer, "token", "left_semi").drop("salt"), "longer-lists")
     partners, turn, done = 4, 0, False

@@ -1,9 +1,10 @@
 """Cropped and edited copies in a column of images, by local descriptors.
 
-Corners are found on several scales (minimum of the structure tensor's eigenvalues), oriented by the intensity centroid of their
-patch, and described by 256 comparisons of smoothed points turned by that angle. Descriptors meet in eight tables of 32 bits each: two
-descriptors within seven bits of each other agree in one at least. Image pairs that meet are verified by geometric consensus: enough
-matches must agree on one shift, turn and scale. Equal images are one class from the start.
+Corners are found on several scales (minimum of the structure tensor's eigenvalues; the strongest of each grid cell, so their number
+grows with the picture), oriented by the intensity centroid of their patch, and described by 256 comparisons of smoothed points
+turned by that angle. A table entry joins 16 bits of a corner's descriptor, 16 bits of a near corner's, and the coarse
+angles between the two: two patches make entries of unrelated pictures differ. Pictures that share an entry are verified by
+geometric consensus: enough matches must agree on one shift, turn and scale. Equal images are one class from the start.
 
 Images are binary PGM or PPM (P5, P6; 8 bits). Anything else has no features and is a copy only of equal bytes.
 """
@@ -17,25 +18,31 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lociq.llm.common import pick, small_batches, stored
-from lociq.llm.graph import link_lists
+from lociq.llm.common import join_checked, pick, small_batches, stored
+from lociq.llm.graph import PART_ROWS, link_lists
 
-SCALES = (1.0, 0.75, 0.5)
-CORNERS = 16
+SCALES = (1.0, 0.75, 0.56, 0.42)
+#: Pixels of a grid cell's side; each cell gives its strongest corner.
+CELL = 14
 RADIUS = 9
-TABLES = 8
+#: Near corners that a corner is joined with, and tables of joined bits.
+NEAR, TABLES, BITS, SECTORS = 3, 2, 14, 8
 #: Bits in which matching descriptors may differ, pixels by which matches may miss the common motion, and matches needed.
-MATCH_BITS, MISS, AGREE = 48, 3.0, 10
-#: Table entries that two images must share before their matches are looked at.
-MEETINGS = 4
-_POINTS = np.clip(np.random.default_rng(11).normal(0, RADIUS / 2.2, (256, 2, 2)), -RADIUS + 1, RADIUS - 1)
+MATCH_BITS, MISS, AGREE = 56, 3.0, 7
+#: Matches that a motion is derived from; all matches are counted for it.
+MOTIONS = 512
+_RNG = np.random.default_rng(11)
+# A patch is brightest on its right once it is turned, so only points one above the other make fair bits.
+_POINTS = np.clip(_RNG.normal(0, RADIUS / 2.0, (256, 2, 2)), -RADIUS + 1, RADIUS - 1)
+_POINTS[:, 1, 0] = np.clip(_POINTS[:, 0, 0] + _RNG.uniform(-1.5, 1.5, 256), -RADIUS + 1, RADIUS - 1)
+_PICKED = np.stack([_RNG.choice(256, 2 * BITS, replace=False) for _ in range(TABLES)])
 _GRID = np.stack(np.meshgrid(np.arange(-RADIUS, RADIUS + 1), np.arange(-RADIUS, RADIUS + 1)), axis=-1).reshape(-1, 2)
 _DISC = _GRID[(_GRID**2).sum(axis=1) <= RADIUS**2]
 _HEADER = re.compile(rb"P([56])(?:\s|#[^\n]*\n)+(\d+)(?:\s|#[^\n]*\n)+(\d+)(?:\s|#[^\n]*\n)+(\d+)\s")
-_FEATURE = np.dtype([("x", "<f4"), ("y", "<f4"), ("scale", "<f4"), ("angle", "<f4"), ("bits", "<u8", 4)])
+_FEATURE = np.dtype([("x", "<f4"), ("y", "<f4"), ("scale", "<f2"), ("angle", "<f2"), ("bits", "<u8", 4)])
 
 
 def read_image(raw: bytes | None) -> np.ndarray | None:
@@ -68,8 +75,8 @@ def _resized(a: np.ndarray, scale: float) -> np.ndarray:
     return a[y0][:, x0] * (1 - fy) * (1 - fx) + a[y1][:, x0] * fy * (1 - fx) + a[y0][:, x1] * (1 - fy) * fx + a[y1][:, x1] * fy * fx
 
 
-def describe(image: np.ndarray, corners: int = CORNERS) -> np.ndarray:
-    """Features of one image; at most `corners` for each scale, the strongest."""
+def describe(image: np.ndarray, cell: int = CELL) -> np.ndarray:
+    """Features of one image: for each scale the strongest corner of each cell."""
     found = []
     for scale in SCALES:
         a = _resized(image, scale)
@@ -85,8 +92,10 @@ def describe(image: np.ndarray, corners: int = CORNERS) -> np.ndarray:
             for dx in (-2, -1, 0, 1, 2):
                 np.maximum(best, np.roll(inner, (dy, dx), (0, 1)), out=best)
         y, x = np.nonzero((inner == best) & (inner > 1.0))
-        order = np.lexsort((x, y, -inner[y, x]))[:corners]
+        order = np.lexsort((x, y, -inner[y, x]))
         y, x = y[order], x[order]
+        _, first = np.unique((y // cell) * (a.shape[1] // cell + 1) + x // cell, return_index=True)
+        y, x = y[first], x[first]
         if not len(y):
             continue
         patch = a[y[:, None] + _DISC[:, 1], x[:, None] + _DISC[:, 0]]
@@ -104,56 +113,102 @@ def describe(image: np.ndarray, corners: int = CORNERS) -> np.ndarray:
     return np.concatenate(found) if found else np.zeros(0, _FEATURE)
 
 
+def _nearest_bits(f: np.ndarray, g: np.ndarray, rows: int = 256) -> tuple[np.ndarray, np.ndarray]:
+    """For each descriptor of f the nearest one of g, and the bits in which they differ."""
+    j, d = np.zeros(len(f), np.int64), np.zeros(len(f), np.int64)
+    for a in range(0, len(f), rows):
+        apart = np.bitwise_count(f["bits"][a : a + rows, None] ^ g["bits"][None]).sum(axis=2)
+        j[a : a + rows] = apart.argmin(axis=1)
+        d[a : a + rows] = apart.min(axis=1)
+    return j, d
+
+
 def agreeing(f: np.ndarray, g: np.ndarray) -> int:
     """The largest number of one-to-one matches that one shift, turn and scale explains."""
     if not len(f) or not len(g):
         return 0
-    apart = np.bitwise_count(f["bits"][:, None] ^ g["bits"][None]).sum(axis=2)
     i = np.arange(len(f))
-    j = apart.argmin(axis=1)
-    mutual = (apart.argmin(axis=0)[j] == i) & (apart[i, j] <= MATCH_BITS)  # each is the other's nearest
+    j, apart = _nearest_bits(f, g)
+    mutual = (_nearest_bits(g, f)[0][j] == i) & (apart <= MATCH_BITS)  # each is the other's nearest
     i, j = i[mutual], j[mutual]
     if len(i) < AGREE:
         return len(i)
-    grow, turn = g["scale"][j] / f["scale"][i], g["angle"][j] - f["angle"][i]
+    f, g = f[i], g[j]
+    fx, fy, gx, gy = (h[c].astype(np.float64) for h in (f, g) for c in ("x", "y"))
+    start = np.argsort(apart[i], kind="stable")[:MOTIONS]  # the closest matches propose the motions
+    grow = g["scale"].astype(np.float64)[start] / f["scale"].astype(np.float64)[start]
+    turn = g["angle"].astype(np.float64)[start] - f["angle"].astype(np.float64)[start]
     c, s = grow * np.cos(turn), grow * np.sin(turn)
-    tx = g["x"][j] - (c * f["x"][i] - s * f["y"][i])
-    ty = g["y"][j] - (s * f["x"][i] + c * f["y"][i])
-    dx = c[:, None] * f["x"][i] - s[:, None] * f["y"][i] + tx[:, None] - g["x"][j]
-    dy = s[:, None] * f["x"][i] + c[:, None] * f["y"][i] + ty[:, None] - g["y"][j]
+    tx = gx[start] - (c * fx[start] - s * fy[start])
+    ty = gy[start] - (s * fx[start] + c * fy[start])
+    dx = c[:, None] * fx - s[:, None] * fy + tx[:, None] - gx
+    dy = s[:, None] * fx + c[:, None] * fy + ty[:, None] - gy
     near = dx * dx + dy * dy <= (MISS * np.maximum(1, grow)[:, None]) ** 2
     best = near[near.sum(axis=1).argmax()]
-    places = lambda h, k: len({(round(float(x) / 3), round(float(y) / 3)) for x, y in zip(h["x"][k], h["y"][k], strict=True)})
-    return min(places(f, i[best]), places(g, j[best]))
-
-
-def table_keys(f: np.ndarray) -> np.ndarray:
-    """The distinct table entries of an image: the table's number above each 32 bits of a descriptor."""
-    return np.unique(np.ascontiguousarray(f["bits"]).view("<u4").reshape(-1, TABLES).astype(np.int64) + (np.arange(TABLES) << 32))
+    places = lambda x, y: len({(round(float(p) / 3), round(float(q) / 3)) for p, q in zip(x[best], y[best], strict=True)})
+    return min(places(fx, fy), places(gx, gy))
+
+
+def table_keys(f: np.ndarray, near: int = NEAR) -> np.ndarray:
+    """The distinct table entries of an image: bits of a corner and of one of its nearest corners of the same scale, and the sectors of the
+    direction between them and of their turn, both as seen from the first corner."""
+    out = []
+    bits = np.unpackbits(np.ascontiguousarray(f["bits"]).view(np.uint8).reshape(len(f), 32), axis=1)[:, _PICKED].astype(np.int64)  # (n, tables, 32)
+    half = [bits[:, :, k * BITS : (k + 1) * BITS] @ (1 << np.arange(BITS)) for k in (0, 1)]
+    sector = lambda angle: np.floor((angle / (2 * np.pi)) % 1.0 * SECTORS).astype(np.int64) % SECTORS
+    for scale in np.unique(f["scale"]):
+        at = np.flatnonzero(f["scale"] == scale)
+        if len(at) < 2:
+            continue
+        x, y, angle = (f[c][at].astype(np.float64) for c in ("x", "y", "angle"))
+        for a in range(0, len(at), 256):
+            part = slice(a, a + 256)
+            far = (x[part, None] - x) ** 2 + (y[part, None] - y) ** 2
+            far[np.arange(len(far)), a + np.arange(len(far))] = np.inf
+            k = min(near, len(at) - 1)
+            other = np.argsort(far, axis=1, kind="stable")[:, :k]
+            one = np.repeat(np.arange(a, a + len(far)), k)
+            two = other.ravel()
+            way = sector(np.arctan2(y[two] - y[one], x[two] - x[one]) - angle[one])
+            turn = sector(angle[two] - angle[one] + np.pi / SECTORS)
+            code = (way * SECTORS + turn)[:, None] * TABLES + np.arange(TABLES)
+            out.append(((code << 2 * BITS) | (half[0][at[one]] << BITS) | half[1][at[two]]).ravel())
+    return np.unique(np.concatenate(out)) if out else np.zeros(0, np.int64)
+
+
+def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The digest of each image, and the features where this task meets it first."""
+    seen: set[bytes] = set()
+    for batch in batches:
+        found = []
+        for digest, raw in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            new = raw is not None and digest not in seen
+            seen.add(digest)
+            image = read_image(raw) if new else None
+            found.append(None if not new else describe(image).tobytes() if image is not None else b"")
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.binary())], names=["media_id", "digest", "features"])
 
 
-def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = [describe(a) if (a := read_image(raw)) is not None else np.zeros(0, _FEATURE) for raw in batch.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([f.tobytes() for f in found], pa.binary()), pa.array([table_keys(f) for f in found], pa.list_(pa.int64()))], names=["cls", "features", "keys"])
+        keys = [table_keys(np.frombuffer(f, _FEATURE)) for f in batch.column(1).to_pylist()]
+        rows = np.repeat(np.arange(len(keys)), [len(k) for k in keys])
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys) if keys else [], pa.int64()), batch.column(0).take(pa.array(rows, pa.int64()))], names=["token", "cls"])
 
 
 def _consensus(batches: Iterator[pa.RecordBatch], agree: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         f, g = ([np.frombuffer(x, _FEATURE) for x in batch.column(c).to_pylist()] for c in ("x", "y"))
-        met = [len(np.intersect1d(table_keys(p), table_keys(q), assume_unique=True)) >= MEETINGS for p, q in zip(f, g, strict=True)]
-        ok = [m and agreeing(p, q) >= agree for m, p, q in zip(met, f, g, strict=True)]
+        ok = [agreeing(p, q) >= agree for p, q in zip(f, g, strict=True)]
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
 
 def _verified(pairs: DataFrame, features: DataFrame, agree: int) -> DataFrame:
-    left = features.select(F.col("cls").alias("a"), F.col("features").alias("x"))
-    right = features.select(F.col("cls").alias("b"), F.col("features").alias("y"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(partial(_consensus, agree=agree), "a binary, b binary")
-
-
-def _any(*_: str) -> Column:
-    return F.lit(True)
+    wanted = stored(pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct(), "media-wanted")
+    some = join_checked(features, wanted, "cls", "left_semi")
+    left = some.select(F.col("cls").alias("a"), F.col("features").alias("x"))
+    right = some.select(F.col("cls").alias("b"), F.col("features").alias("y"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(partial(_consensus, agree=agree), "a long, b long")
 
 
 def media_groups(media: DataFrame, agree: int = AGREE) -> DataFrame:
@@ -161,20 +216,28 @@ def media_groups(media: DataFrame, agree: int = AGREE) -> DataFrame:
 
     class_id is the smallest media_id with the same bytes, group_id the smallest that verified copies reach. A null image has no
     features and is alone. Null ids stay null. Repeated rows are rows of their own; an empty table gives an empty result; other columns
-    are ignored.
+    are ignored. Images are read once and never shuffled, only their features are.
     """
     small_batches(media.sparkSession, 256)
-    rows = pick(media, media_id="long", image="binary").withColumn("cls", F.unhex(F.md5("image")))
-    found = stored(rows.groupBy("cls", "image").agg(F.min("media_id").alias("class_id")).where("cls IS NOT NULL").select("cls", "image", "class_id"), "media-classes")
-    features = stored(found.select("cls", "image").mapInArrow(_features, "cls binary, features binary, keys array<long>"), "media-features")
-    posts = features.select(F.explode("keys").alias("token"), (F.pmod(F.xxhash64("cls"), F.lit(16)) + 1).cast("int").alias("salt"), "cls", F.lit(0).alias("n"), F.lit(0).alias("pos"))
-    shared = posts.groupBy("token").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("token")
-    roots = link_lists(stored(posts.join(shared, "token"), "media-postings"), partial(_verified, features=features, agree=agree), _any).withColumnRenamed("label", "root")
-    classes = found.select("cls", "class_id").join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-    smallest = classes.groupBy("root").agg(F.min("class_id").alias("group_id"))
-    size = len(np.zeros(1, _FEATURE).tobytes())
-    classes = classes.join(smallest, "root").join(features.select("cls", (F.octet_length("features") / size).cast("long").alias("n_features")), "cls").select("cls", "class_id", "group_id", "n_features")
-    out = rows.drop("image").join(stored(classes, "media-groups"), "cls", "left")
+    rows = pick(media, media_id="long", image="binary").select("media_id", F.unhex(F.md5("image")).alias("digest"), "image")
+    described = rows.mapInArrow(_described, "media_id long, digest binary, features binary").withColumn("cls", F.monotonically_increasing_id())
+    described = stored(described, "media-described")
+    # a class is named by one of its rows that have features; other tasks may have described it too
+    known = described.where("digest IS NOT NULL").select("media_id", "digest", F.when(F.col("features").isNotNull(), F.col("cls")).alias("cls"), F.octet_length("features").alias("bytes"))
+    classes = stored(known.groupBy("digest").agg(F.min("media_id").alias("class_id"), F.min("cls").alias("cls"), F.max("bytes").alias("bytes")), "media-classes")
+    again = known.where("bytes > 0").join(classes.select("digest", F.col("cls").alias("named")), "digest").where("cls <> named").select("cls")
+    features = join_checked(described.where(F.octet_length("features") > 0).select("cls", "features"), stored(again, "media-again"), "cls", "left_anti")
+    entries = features.mapInArrow(_entries, "token long, cls long")
+    shared = stored(entries.groupBy("token").agg(F.count(F.lit(1)).alias("k")).where("k > 1"), "media-shared")
+    part = F.when(F.col("k") > PART_ROWS, F.pmod(F.xxhash64("cls"), F.ceil(F.col("k") / PART_ROWS)) + 1).otherwise(0)
+    one = [F.lit(1).alias(c) for c in ("n", "lo", "hi")]  # pictures have no size that tells
+    posts = stored(entries.join(shared, "token").select("token", part.cast("int").alias("salt"), "cls", *one), "media-postings")
+    roots = link_lists(posts, partial(_verified, features=features, agree=agree)).withColumnRenamed("label", "root")
+    named = classes.select("cls", "digest", "class_id", (F.col("bytes") / _FEATURE.itemsize).cast("long").alias("n_features"))
+    named = named.join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    smallest = named.groupBy("root").agg(F.min("class_id").alias("group_id"))
+    named = stored(named.join(smallest, "root").select("digest", "class_id", "group_id", "n_features"), "media-groups")
+    out = described.select("media_id", "digest").join(named, "digest", "left")
     return out.select("media_id", F.coalesce("n_features", F.lit(0)).alias("n_features"), F.coalesce("class_id", "media_id").alias("class_id"), F.coalesce("group_id", "media_id").alias("group_id"))
 
 

@@ -57,6 +57,21 @@ def test_token_counts(spark):
     assert token_counts.token_counts(frame(spark, []), WORD).count() == 0
 
 
+def test_texts_without_white_space_take_time_in_proportion():
+    """Runs of letters with few or no stable boundaries: encoded characters stay below a fixed multiple of the text's."""
+    tk = token_counts.load_tokenizer(WORD)
+    rng = np.random.default_rng(2)
+    for text in ("一二三" * 20_000, "".join(rng.choice(list("一二三四五六七八九十，。"), 60_000)), "ab1" * 20_000):
+        seen = []
+
+        def offsets(part):
+            seen.append(len(part))
+            return tk.encode(part, add_special_tokens=False).offsets
+
+        assert token_counts.splice_count(offsets, text) == len(tk.encode(text, add_special_tokens=False).ids)
+        assert sum(seen) < 3 * len(text)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.text(alphabet="ab ,.'é\n Z9", max_size=300), st.integers(4, 40), st.integers(1, 10))
 def test_splicing(text, chunk, overlap):
@@ -303,3 +318,50 @@ def test_media(spark):
         assert got[k].group_id == (k - k % 8 if k % 8 < 4 else got[k].class_id)
     assert got[69].class_id == 68 and got[900].group_id == 900 and got[902].group_id == 901 and got[903].n_features == 0
     assert media_copies.media_groups(extra.limit(0)).count() == 0
+
+
+def test_media_finds_crops_and_turns_as_brute_force_does(spark):
+    """Crops to 60 % and 80 % of the side and quarter turns of 40 pictures: at least 0.9 of each kind, and no pair that comparing all pairs denies."""
+    rng = np.random.default_rng(3)
+    kinds = {1: lambda a: a, 2: lambda a: a[:58, -58:], 3: lambda a: a[9:86, 9:86], 4: np.rot90}
+    images = {}
+    for k in range(40):
+        a = np.rint(media_copies.picture(9000 + k))
+        images |= {k * 10 + kind: media_copies.as_pgm(edit(a)) for kind, edit in kinds.items()}
+        images[k * 10 + 5] = media_copies.as_pgm(np.clip(rng.normal(128, 40, (60, 60)), 0, 255))
+    rows = [(i, raw, "x", 7, "y") for i, raw in images.items()] + [(11, images[11], "z", 8, "w")]
+    got = {r.media_id: r.group_id for r in media_copies.media_groups(spark.createDataFrame(rows, "media_id long, image binary, cls string, token int, label string")).collect()}
+    features = {i: media_copies.describe(media_copies.read_image(raw)) for i, raw in images.items()}
+    for kind in (2, 3, 4):
+        assert sum(got[k * 10 + kind] == got[k * 10 + 1] for k in range(40)) >= 36
+    assert all(got[k * 10 + 5] == k * 10 + 5 for k in range(40))
+    ids = sorted(images)[:100]
+    brute = {(a, b) for x, a in enumerate(ids) for b in ids[x + 1 :] if media_copies.agreeing(features[a], features[b]) >= media_copies.AGREE}
+    assert all(a // 10 == b // 10 for a, b in brute)
+    assert all(got[a] // 10 == a // 10 for a in ids)
+
+
+def test_link_lists_in_a_hot_list(spark):
+    """One list of 1,200 rows in 12 components that cross each other in every order, and a list that links with it."""
+    from lociq.llm import graph
+
+    n = 1200
+    rows = [(7, 1 + k % 6, k, 40 + k % 9, 30, 60) for k in range(n)] + [(8, 0, k, 40 + k % 9, 30, 60) for k in (0, n, n + 1)]
+    posts = spark.createDataFrame(rows, "token long, salt int, cls long, n int, lo int, hi int")
+
+    def verified(pairs):
+        return pairs.where(f"(a % 12 = b % 12 AND b < {n}) OR (a = 0 AND b = {n + 1})")
+
+    labels = {r.cls: r.label for r in graph.link_lists(posts, verified).collect()}
+    assert all(labels[k] == k % 12 for k in range(n)) and labels[n + 1] == 0 and n not in labels
+
+
+def test_rows_without_a_doc_id_link_and_stay(spark):
+    words = [f"w{k}" for k in range(60)]
+    near = lambda *at: " ".join("changed" if k in at else w for k, w in enumerate(words))
+    rows = [(None, near(), 1), (3, near(10), 2), (4, near(50), 3), (5, "another text of some words that is unlike all others", 4), (5, near(10), 5), (None, "alone without an id it stays here", 6), (9, None, 7), (9, None, 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, turn int")
+    got = {(r.doc_id, r.n_shingles): r.component_id for r in jaccard_join.jaccard_components(docs).collect()}
+    assert got[4, 56] == got[3, 56] == got[None, 56] == 3  # 3 and 4 meet through the row without an id only
+    kept = sorted(r.turn for r in jaccard_join.one_of_each(docs).collect())
+    assert kept in ([2, 4, 6, 7], [2, 4, 6, 8], [4, 5, 6, 7], [4, 5, 6, 8])
