@@ -202,33 +202,41 @@ def _range(n: Column, pos: Column) -> tuple[Column, Column]:
     return F.ceil(n * NUMERATOR / DENOMINATOR).cast("int").alias("lo"), hi.cast("int").alias("hi")
 
 
-def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
-    """Sets, with their sketches, of the texts that are of the class asked for (a key may stand for several texts); each once in a task."""
+def _of_class(batches: Iterator[pa.RecordBatch], words: int, sketched: bool) -> Iterator[pa.RecordBatch]:
+    """Sets, or their sketches, of the texts that are of the class asked for (a key may stand for several texts); each once in a task."""
     seen: set[bytes] = set()
     for batch in batches:
         flat, off = shingle_sets(batch.column(1), words)
-        lists = pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(flat.view(np.int64)))
-        mine, sketches = [], []
-        for k, (c, d) in enumerate(zip(batch.column(0).to_pylist(), map(np.ndarray.tobytes, set_digests(flat, off)), strict=True)):
+        mine = []
+        for c, d in zip(batch.column(0).to_pylist(), map(np.ndarray.tobytes, set_digests(flat, off)), strict=True):
             mine.append(c == d and c not in seen)
             seen.add(d)
-            tally = np.bincount((flat[off[k] : off[k + 1]] >> np.uint64(56)).astype(np.int64), minlength=SKETCH)
-            sketches.append(tally.astype("<u4" if tally.max() > 255 else "u1").tobytes())
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sketches, pa.binary()), lists], names=["cls", "sketch", "shingles"]).filter(pa.array(mine, pa.bool_()))
+        if sketched:
+            tallies = [np.bincount((flat[a:z] >> np.uint64(56)).astype(np.int64), minlength=SKETCH) for a, z in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)]
+            found = pa.array([t.astype("<u4" if t.max() > 255 else "u1").tobytes() for t in tallies], pa.binary())
+        else:
+            found = pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(flat.view(np.int64)))
+        yield pa.RecordBatch.from_arrays([batch.column(0), found], names=["cls", "found"]).filter(pa.array(mine, pa.bool_()))
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame, words: int) -> DataFrame:
-    """The pairs whose sets, made anew from the texts of their classes, are similar enough: by their sketches first, then by the sets."""
+def _both_found(pairs: DataFrame, classes: DataFrame, rows: DataFrame, words: int, sketched: bool) -> DataFrame:
+    """a, b, x, y: pairs with both sets, or sketches, made anew from the texts of their classes."""
     wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct().join(classes.select("cls", "rep"), "cls")
     wanted = stored(wanted.select(F.col("rep").alias("rid"), "cls"), "wanted")
     texts = rows.join(F.broadcast(wanted) if wanted.count() <= FEW_IDS else wanted, "rid").select("cls", "text")
-    sets = stored(texts.mapInArrow(partial(_sets, words=words), "cls binary, sketch binary, shingles array<long>"), "sets")
-    of = lambda column, side, name: sets.select(F.col("cls").alias(side), F.col(column).alias(name))
-    sketched = pairs.join(of("sketch", "a", "x"), "a").join(of("sketch", "b", "y"), "b").select("a", "b", "x", "y")
+    found = texts.mapInArrow(partial(_of_class, words=words, sketched=sketched), f"cls binary, found {'binary' if sketched else 'array<long>'}")
+    found = stored(found, "sketches" if sketched else "sets")
+    left, right = found.select(F.col("cls").alias("a"), F.col("found").alias("x")), found.select(F.col("cls").alias("b"), F.col("found").alias("y"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
+
+
+def _verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame, words: int) -> DataFrame:
+    """The pairs that are similar enough: by sketches of their sets first; only classes of pairs that these leave have their sets compared."""
+    sketched = _both_found(pairs, classes, rows, words, sketched=True)
     likely = stored(sketched.mapInArrow(_plausible, "a binary, b binary").distinct(), "likely")
     both = F.size(F.array_intersect("x", "y"))
     ok = both * (NUMERATOR + DENOMINATOR) >= (F.size("x") + F.size("y")) * NUMERATOR
-    return likely.join(of("shingles", "a", "x"), "a").join(of("shingles", "b", "y"), "b").where(ok).select("a", "b")
+    return _both_found(likely, classes, rows, words, sketched=False).where(ok).select("a", "b")
 
 
 def _keyed(docs: DataFrame) -> DataFrame:

@@ -1,19 +1,21 @@
 """Token counts by overlap resynchronisation.
 
-Texts up to `huge_bytes` are cut at ASCII white space, which no token of the vocabularies
-handled here crosses, and every distinct piece is encoded once by the tokenizers library.
-Longer texts are encoded in overlapping chunks with offsets. Two neighbouring chunks are
-spliced at a stable boundary: a position in their overlap where a word ends before ASCII white
-space and where both encodings have a token edge. White space is where the pre-tokenizer always
-cuts, so neither side depends on what lies beyond it. If the overlap holds no such position it
-is doubled, and at last the chunk itself grows to the end of the text.
+A text of more than `huge_bytes` is encoded in overlapping chunks with offsets. Two neighbouring chunks are spliced at a stable
+boundary: a position in their overlap where both encodings have a token edge and where the pre-tokenizer cuts whatever stands
+further away (behind a word before ASCII white space, behind a letter before a character that is neither letter nor mark, behind a
+digit before no mark). If the overlap holds no such position it is doubled, and where it has grown to the whole chunk, the
+chunk is at least doubled; so the work stays in proportion to the text whatever it holds.
+
+Shorter texts fit into one chunk. They are cut at ASCII white space, which is such a boundary too, and each distinct piece is encoded once.
 """
 
 from __future__ import annotations
 
 import os
+import unicodedata
 from bisect import bisect_right
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,11 +26,12 @@ from lociq.llm.common import pick, small_batches
 from lociq.llm.words import distinct_ranges, slices, text_buffers, word_bounds
 
 #: A text of more bytes is encoded in overlapping chunks.
-HUGE_BYTES = 48 << 10
-CHUNK_CHARS = 16 << 10
-OVERLAP_CHARS = 512
-#: Distinct pieces remembered by a worker; then it starts anew.
-CACHE = 400_000
+HUGE_BYTES = 4 << 10
+CHUNK_CHARS = 4 << 10
+#: More than the longest special token has, so that no overlap lies inside one.
+OVERLAP_CHARS = 128
+#: Distinct pieces that a worker remembers (then it starts anew), and their length in bytes; longer ones are encoded each time.
+CACHE, CACHED_BYTES = 400_000, 64
 _WHITE = " \t\n\v\f\r"
 
 
@@ -43,45 +46,72 @@ def load_tokenizer(path: str):
     return tk
 
 
+@lru_cache(65536)
+def _kind(c: str) -> str:
+    """L or N for a character that stays a letter or digit at its end when it is normalised and lowered, M for a mark, else O.
+
+    By the oldest Unicode data at hand: what was a letter then is one in every library.
+    """
+    last = unicodedata.normalize("NFC", c).lower()[-1:]
+    kinds = {unicodedata.ucd_3_2_0.category(c)[0], unicodedata.ucd_3_2_0.category(last)[0], unicodedata.category(c)[0], unicodedata.category(last)[0]}
+    if len(kinds) > 1 or "C" in kinds:
+        return "M"  # not the same everywhere: no boundary beside it
+    return kinds.pop() if kinds & {"L", "N", "M"} else "O"
+
+
+def stable(text: str, x: int) -> bool:
+    """Whether the pre-tokenizer cuts between text[x - 1] and text[x] whatever else the text holds."""
+    before, after = text[x - 1], text[x]
+    if after in _WHITE:
+        return before not in _WHITE
+    one, two = _kind(before), _kind(after)
+    return (one == "L" and two in "NO") or (one == "N" and two in "LNO")
+
+
 def splice_count(encode_offsets, text: str, chunk: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS) -> int:
     """Number of tokens of text; encode_offsets(part) gives the (start, end) of each token of a part."""
     n = len(text)
-    total, left, start = 0, 0, 0  # tokens before `left` are counted; the current chunk begins at `start` <= left
-    end = min(n, start + chunk)
-    ends = [z + start for _, z in encode_offsets(text[start:end])]
+    total, left = 0, 0  # tokens before `left` are counted
+    end = min(n, chunk)
+    ends = [z for _, z in encode_offsets(text[:end])]
     while end < n:
         width = overlap
         while True:
-            lo = max(left, end - width)
-            stop = min(n, end + chunk)
+            last = next((x for x in reversed(ends) if left < x < end and stable(text, x)), None)
+            lo = left if last is None else max(left, last - width)  # without a stable place at all no overlap helps
+            stop = min(n, end + max(chunk, end - lo))  # as much behind the overlap as in it, at least
             after = encode_offsets(text[lo:stop])
             ends2 = [z + lo for _, z in after]
-            starts2 = [a + lo for a, _ in after]
-            cut = _common(text, ends, starts2, ends2, lo, end)
+            cut = _common(text, ends, after[0][0] + lo if after else end, ends2, lo, end)
             if cut is not None:
                 total += bisect_right(ends, cut) - bisect_right(ends, left)
-                left, start, end, ends = cut, lo, stop, ends2
+                left, end, ends = cut, stop, ends2
                 break
-            if lo == left:  # no stable place at all: one longer chunk
-                start, end, ends = lo, stop, ends2
+            if lo == left:  # the chunk has more than doubled
+                end, ends = stop, ends2
                 break
-            width *= 2
+            width *= 4
     return total + len(ends) - bisect_right(ends, left) if left else total + len(ends)
 
 
-def _common(text: str, ends1: list[int], starts2: list[int], ends2: list[int], lo: int, hi: int) -> int | None:
-    """The last position in (lo, hi) where a word ends before white space and both encodings have a token edge."""
-    edges1, edges2 = set(ends1[bisect_right(ends1, lo) :]), set(ends2)
-    begun = starts2[0] if starts2 else hi
-    for x in range(hi - 1, max(lo, begun), -1):
-        if text[x] in _WHITE and text[x - 1] not in _WHITE and x in edges1 and x in edges2:
+def _common(text: str, ends1: list[int], begun: int, ends2: list[int], lo: int, hi: int) -> int | None:
+    """The last stable position in (lo, hi), behind the first token of the second chunk, where both encodings have a token edge."""
+    edges2 = set(ends2)
+    for k in range(len(ends1) - 1, bisect_right(ends1, max(lo, begun)) - 1, -1):
+        x = ends1[k]
+        if x < hi and x in edges2 and stable(text, x):
             return x
     return None
 
 
+_WORKER: dict[str, tuple] = {}
+
+
 def count_batches(path: str, huge: int, chunk: int, overlap: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tk, cache = load_tokenizer(path), {}
+        if path not in _WORKER:  # later tasks of the worker find its pieces
+            _WORKER[path] = (load_tokenizer(path), {})
+        tk, cache = _WORKER[path]
         offsets_of = lambda part: tk.encode(part, add_special_tokens=False).offsets
         for batch in batches:
             data, off, _ = text_buffers(batch.column(1))
@@ -96,14 +126,17 @@ def count_batches(path: str, huge: int, chunk: int, overlap: int):
                     starts, ends = starts[keep], ends[keep]
                     first = np.concatenate(([0], np.cumsum(np.where(usual, np.diff(first), 0))))
                 words, inverse = distinct_ranges(s.data, starts, ends)
-                new = [w for w in words if w not in cache]
+                found = [cache.get(w) for w in words]
+                new = [k for k, n in enumerate(found) if n is None]
                 if new:
                     if len(cache) > CACHE:
                         cache.clear()
-                        new = words
-                    encoded = tk.encode_batch([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
-                    cache.update(zip(new, map(len, encoded), strict=True))
-                per_word = np.array([cache[w] for w in words], np.int64)[inverse] if words else np.empty(0, np.int64)
+                    encoded = tk.encode_batch_fast([words[k].decode("utf-8", "replace") for k in new], add_special_tokens=False)
+                    for k, e in zip(new, encoded, strict=True):
+                        found[k] = len(e)
+                        if len(words[k]) <= CACHED_BYTES:
+                            cache[words[k]] = len(e)
+                per_word = np.array(found, np.int64)[inverse] if words else np.empty(0, np.int64)
                 sums = np.concatenate(([0], np.cumsum(per_word)))
                 counts[s.rows] += sums[first[1:]] - sums[first[:-1]]
             for r in long_rows.tolist():
@@ -118,7 +151,7 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = 2048, huge_bytes:
 
     A null text counts as empty: 0 bytes, 0 tokens. A null doc_id stays null; repeated rows are
     counted each. An empty table gives an empty result. Other columns are ignored. No shuffle.
-    The tokenizer must cut at white space without keeping it (word_bpe_49k.json).
+    The tokenizer must cut at white space without keeping it, put letters into runs and digits alone (word_bpe_49k.json).
     """
     small_batches(docs.sparkSession)
     rows = pick(docs, doc_id="long", text="string")

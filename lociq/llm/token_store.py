@@ -2,9 +2,10 @@
 
 A shard file holds the documents of one range of doc_id, in ascending order:
 
-    header   magic 'LQTOKEN1', width of an id in bytes (u32), documents (u64), SHA-256 of the dictionary (32 bytes)
+    blank    as many zero bytes as the header has; frames begin behind them
     frames   one zstandard frame per document: its ids, little-endian, compressed with the shared dictionary
-    index    doc_id (i64), ids (u64) and offset of the frame's end (u64) for every document, as three arrays
+    index    doc_id (i64; 0 for a null), ids (u64), offset of the frame's end (u64) and null flag of doc_id (u8), as four arrays
+    header   magic 'LQTOKEN1', width of an id in bytes (u32), documents (u64), SHA-256 of the dictionary (32 bytes)
     footer   offset of the index (u64), magic
 
 The dictionary is trained on serialized id arrays of a bounded sample and stored beside the shards under its hash. It changes
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lociq.llm.common import new_path, pick, small_batches
-from lociq.llm.token_counts import load_tokenizer
+from lociq.llm.token_counts import CACHE, CACHED_BYTES, load_tokenizer
 from lociq.llm.words import distinct_ranges, slices, text_buffers, word_bounds
 
 MAGIC = b"LQTOKEN1"
@@ -38,7 +39,6 @@ SAMPLE_DOCS = 400
 SAMPLE_BYTES = 8 << 10
 DICT_BYTES = 64 << 10
 LEVEL = 3
-CACHE = 400_000
 _END = 0
 _BLANK = b" \t\n\v\f\r"
 #: White space beyond ASCII, in UTF-8: U+0085, U+00A0, U+1680, U+2000-200A, U+2028, U+2029, U+202F, U+205F, U+3000. (Fixed values.)
@@ -66,7 +66,7 @@ class IdEncoder:
             self.sizes[i] = len(token.encode()) if token in special else len(token)
 
     def library(self, texts: list[bytes]) -> list[np.ndarray]:
-        encoded = self.tk.encode_batch([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)
+        encoded = self.tk.encode_batch_fast([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)
         return [np.array(e.ids, self.type) for e in encoded]
 
     def pieces(self, texts: list[bytes]) -> list[np.ndarray]:
@@ -76,7 +76,7 @@ class IdEncoder:
         plain = [k for k, t in enumerate(texts) if t[0] in _BLANK and t[-1] not in _BLANK]
         for a in range(0, len(plain), 8192):
             mine = plain[a : a + 8192]
-            ids = np.array(self.tk.encode(b"".join([texts[k] for k in mine]).decode("utf-8", "replace"), add_special_tokens=False).ids, self.type)
+            ids = self.library([b"".join([texts[k] for k in mine])])[0]
             upto = np.cumsum(self.sizes[ids])
             ends = np.cumsum([len(texts[k]) for k in mine])
             cut = np.searchsorted(upto, ends)
@@ -107,13 +107,14 @@ class IdEncoder:
             begins = np.concatenate(([0], stops[:-1])) if len(stops) else stops
             count = np.diff(first) + tail
             pieces, inverse = distinct_ranges(s.data, begins, stops)
-            new = [p for p in pieces if p not in self.cache]
+            ids = [self.cache.get(p) for p in pieces]
+            new = [k for k, x in enumerate(ids) if x is None]
             if len(self.cache) > CACHE:
                 self.cache.clear()
-                new = pieces
-            if new:
-                self.cache.update(zip(new, self.pieces(new), strict=True))
-            ids = [self.cache[p] for p in pieces]
+            for k, x in zip(new, self.pieces([pieces[k] for k in new]), strict=True):
+                ids[k] = x
+                if len(pieces[k]) <= CACHED_BYTES:
+                    self.cache[pieces[k]] = x.copy()
             if not ids:
                 continue
             lens = np.array([len(x) for x in ids], np.int64)
@@ -128,6 +129,16 @@ class IdEncoder:
         return out
 
 
+_WORKER: dict[str, IdEncoder] = {}
+
+
+def _encoder(path: str) -> IdEncoder:
+    """The worker's encoder, with the pieces that its earlier tasks met."""
+    if path not in _WORKER:
+        _WORKER[path] = IdEncoder(path)
+    return _WORKER[path]
+
+
 def _filesystem(uri: str):
     from pyarrow.fs import FileSystem
 
@@ -140,7 +151,7 @@ def _shard_writer(tokenizer: str, uri: str, dictionary: bytes, level: int):
 
         context = TaskContext.get()
         shard, name = context.partitionId(), f"shard-{context.partitionId():06d}-{context.taskAttemptId()}.bin"
-        encoder = IdEncoder(tokenizer)
+        encoder = _encoder(tokenizer)
         with_dict = {"dict_data": zstandard.ZstdCompressionDict(dictionary)} if dictionary else {}
         compressor = zstandard.ZstdCompressor(level=level, **with_dict)
         fs, folder = _filesystem(uri)
@@ -235,7 +246,7 @@ def _shard_reader(uri: str, dictionary: bytes, rows: int = 2048):
 
 def _sample_ids(tokenizer: str, cap: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = IdEncoder(tokenizer)
+        encoder = _encoder(tokenizer)
         for batch in batches:
             found = [np.concatenate(p).tobytes()[:cap] if p else b"" for p in encoder.encode(batch.column(0))]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], names=["ids"])
@@ -251,8 +262,9 @@ def train_dictionary(docs: DataFrame, tokenizer: str, size: int = DICT_BYTES, sa
     ids = [r[0] for r in docs.where("text IS NOT NULL").select("doc_id", place.alias("place")).orderBy("place").limit(sample_docs).select("doc_id").collect()]
     if not ids:
         return b""
-    sample = docs.where(F.col("doc_id").isin([i for i in ids if i is not None])).select("text")
-    found = [bytes(r[0]) for r in sample.mapInArrow(_sample_ids(tokenizer, sample_bytes), "ids binary").limit(2 * sample_docs).collect()]
+    wanted = docs.where(F.col("doc_id").isin([i for i in ids if i is not None]) & F.col("text").isNotNull())
+    sample = wanted.groupBy("doc_id").agg(F.min("text").alias("text")).orderBy("doc_id").select("text")  # one text for each id
+    found = [bytes(r[0]) for r in sample.mapInArrow(_sample_ids(tokenizer, sample_bytes), "ids binary").collect()]
     try:
         return zstandard.train_dictionary(size, [x for x in found if len(x) >= 16]).as_bytes()
     except zstandard.ZstdError:
@@ -263,7 +275,7 @@ def write_store(docs: DataFrame, tokenizer: str, uri: str | None = None, level:
     """Write docs' ids, in ascending doc_id order, an end id (0) after each; returns the store's folder and its dictionary.
 
     The manifest (Parquet, in the folder `manifest`) lists the shards with their counts. Null texts are empty (the end id only).
-    Null doc_ids come first; repeated doc_ids stand side by side in order of their texts. Other columns are ignored.
+    Null doc_ids come first; repeated doc_ids stand side by side in order of their texts' hashes. Other columns are ignored.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -274,7 +286,8 @@ def write_store(docs: DataFrame, tokenizer: str, uri: str | None = None, level:
     fs.create_dir(folder, recursive=True)
     with fs.open_output_stream(f"{folder}/dictionary-{hashlib.sha256(dictionary).hexdigest()}.zdict") as out:
         out.write(dictionary)
-    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # ranges of doc_id and the text's hash, so that a null or repeated doc_id is no single range
+    ordered = rows.withColumn("hash", F.xxhash64("text")).repartitionByRange("doc_id", "hash").sortWithinPartitions("doc_id", "hash", "text").select("doc_id", "text")
     ordered.mapInArrow(_shard_writer(tokenizer, uri, dictionary, level), "shard int, file string, docs long, ids long").write.parquet(f"{uri}/manifest")
     return uri, dictionary
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from lociq.llm.common import pick, small_batches
-from lociq.llm.token_counts import CACHE, load_tokenizer
+from lociq.llm.token_counts import CACHE, CACHED_BYTES, load_tokenizer
 from lociq.llm.words import distinct_ranges, slices, text_buffers, word_bounds
 
 #: Pairs of tokens whose compatibility a worker remembers; then it starts anew.
@@ -145,20 +145,46 @@ class PieceEncoder:
         if len(self.words) > CACHE:
             self.words.clear()
         ids = self.words
-        ids.update(self.bpe.encode(dict.fromkeys(w for ws in cut for w in ws or () if w not in ids)))
+        new = self.bpe.encode(dict.fromkeys(w for ws in cut for w in ws or () if w not in ids))
+        ids.update((w, i) for w, i in new.items() if len(w) <= CACHED_BYTES)
         out = []
         for p, ws in zip(pieces, cut, strict=True):
-            if ws is None or None in (mine := [ids.get(w) for w in ws]):
+            if ws is None or None in (mine := [new[w] if w in new else ids.get(w) for w in ws]):
                 out.append(self.tk.encode(p, add_special_tokens=False).ids)
             else:
                 out.append(mine[0] if len(mine) == 1 else [i for x in mine for i in x])
         return out
 
 
+_WORKER: dict[str, tuple[PieceEncoder, dict]] = {}
+
+
+def _worker(path: str) -> tuple[PieceEncoder, dict]:
+    """The worker's encoder and the pieces it remembers, for all its tasks."""
+    if path not in _WORKER:
+        _WORKER[path] = (PieceEncoder(path), {})
+    return _WORKER[path]
+
+
+def _looked_up(words: list[bytes], cache: dict, encode) -> list:
+    """What encode gives for each word; the cache remembers short ones."""
+    found = [cache.get(w) for w in words]
+    new = [k for k, x in enumerate(found) if x is None]
+    if new:
+        if len(cache) > CACHE:
+            cache.clear()
+        for k, x in zip(new, encode([words[k].decode("utf-8", "replace") for k in new]), strict=True):
+            found[k] = x
+            if len(words[k]) <= CACHED_BYTES:
+                cache[words[k]] = x
+    return found
+
+
 def encode_batches(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, cache = PieceEncoder(path), {}
+        encoder, cache = _worker(path)
         names = encoder.names
+        written = lambda pieces: [(len(ids), " ".join(map(str, ids)), " ".join([names[i] for i in ids])) for ids in encoder.encode(pieces)]
         for batch in batches:
             data, off, _ = text_buffers(batch.column(1))
             n = len(off) - 1
@@ -167,14 +193,7 @@ def encode_batches(path: str):
             for s in slices(data, off):
                 starts, ends, first = word_bounds(s)
                 words, inverse = distinct_ranges(s.data, starts, ends)
-                new = [w for w in words if w not in cache]
-                if new:
-                    if len(cache) > CACHE:
-                        cache.clear()
-                        new = words
-                    for w, ids in zip(new, encoder.encode([w.decode("utf-8", "replace") for w in new]), strict=True):
-                        cache[w] = (len(ids), " ".join(map(str, ids)), " ".join([names[i] for i in ids]))
-                found = [cache[w] for w in words]
+                found = _looked_up(words, cache, written)
                 sizes = np.array([x[0] for x in found], np.int64)
                 as_ids, as_text = np.array([x[1] for x in found], object), np.array([x[2] for x in found], object)
                 blank = not sizes.all() if len(sizes) else False
@@ -200,19 +219,14 @@ def encode_batches(path: str):
 
 def id_batches(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, cache = PieceEncoder(path), {}
+        encoder, cache = PieceEncoder(path), {}  # ids alone, so not the digests' cache
         for batch in batches:
             data, off, _ = text_buffers(batch.column(1))
             parts: list[list[np.ndarray]] = [[] for _ in range(len(off) - 1)]
             for s in slices(data, off):
                 starts, ends, first = word_bounds(s)
                 words, inverse = distinct_ranges(s.data, starts, ends)
-                new = [w for w in words if w not in cache]
-                if len(cache) > CACHE:
-                    cache.clear()
-                    new = words
-                cache.update(zip(new, encoder.encode([w.decode("utf-8", "replace") for w in new]), strict=True))
-                ids = [cache[w] for w in words]
+                ids = _looked_up(words, cache, encoder.encode)
                 for r, a, z in zip(s.rows.tolist(), first[:-1].tolist(), first[1:].tolist(), strict=True):
                     parts[r].append([i for k in inverse[a:z].tolist() for i in ids[k]])
             whole = [[i for p in row for i in p] for row in parts]
