@@ -106,11 +106,23 @@ def insertion_calls(vcf: DataFrame, min_size: int = 500, max_size: int = 20_000,
 def read_sam(spark: SparkSession, path: str) -> DataFrame:
     """Alignments of SAM text, 0-based half-open."""
     f = F.split("value", "\t")
+    at = lambda k: F.get(f, F.lit(k))  # noqa: E731  short lines give null before the filter drops them
     rows = spark.read.text(path).where(~F.col("value").startswith("@")).where(F.size(f) >= 11)
-    rows = rows.select(f[0].alias("query_name"), f[1].cast("int").alias("flag"), f[2].alias("reference_name"), (f[3].cast("long") - 1).alias("ref_start"), f[4].cast("int").alias("mapq"), f[5].alias("cigar"), f[9].alias("seq"), f[10].alias("qual"))
+    rows = rows.select(at(0).alias("query_name"), at(1).cast("int").alias("flag"), at(2).alias("reference_name"), (at(3).cast("long") - 1).alias("ref_start"), at(4).cast("int").alias("mapq"), at(5).alias("cigar"), at(9).alias("seq"), at(10).alias("qual"))
     return rows.withColumn("ref_end", F.col("ref_start") + cigar_reference_length(F.col("cigar"))).withColumn("is_reverse", F.col("flag").bitwiseAND(16) != 0)
 
 
+def region(sam: DataFrame, reference: str, start: int, end: int) -> DataFrame:
+    """Mapped alignments that overlap [start, end) of a reference. On Parquet sorted by reference_name and ref_start the filters reach the scan."""
+    mapped = F.col("flag").bitwiseAND(4) == 0
+    return sam.where((F.col("reference_name") == reference) & (F.col("ref_start") < end) & (F.col("ref_end") > start) & mapped)
+
+
+def write_sorted_alignments(sam: DataFrame, path: str) -> None:
+    """Alignments as Parquet in ranges of reference and start, so that a region reads few files and row groups."""
+    sam.repartitionByRange("reference_name", "ref_start").sortWithinPartitions("reference_name", "ref_start").write.mode("overwrite").parquet(path)
+
+
 def best_alignment(sam: DataFrame) -> DataFrame:
     """The mapped alignment of the highest mapping quality for each query, the first on ties."""
     rows = sam.where(F.col("flag").bitwiseAND(4) == 0).withColumn("place", F.monotonically_increasing_id())
@@ -120,10 +132,11 @@ def best_alignment(sam: DataFrame) -> DataFrame:
 def read_paf(spark: SparkSession, path: str) -> DataFrame:
     """PAF rows of at least 12 fields, with the `cg:Z:` tag as cigar if there is one."""
     f = F.split("value", "\t")
+    at = lambda k: F.get(f, F.lit(k))
     rows = spark.read.text(path).where(F.size(f) >= 12)
-    num = lambda k: f[k].cast("long")
+    num = lambda k: at(k).cast("long")
     return rows.select(
-        f[0].alias("query"), num(1).alias("query_len"), num(2).alias("query_start"), num(3).alias("query_end"), f[4].alias("strand"), f[5].alias("target"), num(6).alias("target_len"), num(7).alias("target_start"), num(8).alias("target_end"), num(9).alias("matches"), num(10).alias("block_length"),
+        at(0).alias("query"), num(1).alias("query_len"), num(2).alias("query_start"), num(3).alias("query_end"), at(4).alias("strand"), at(5).alias("target"), num(6).alias("target_len"), num(7).alias("target_start"), num(8).alias("target_end"), num(9).alias("matches"), num(10).alias("block_length"),
         F.substr(F.get(F.filter(f, lambda x: x.startswith("cg:Z:")), F.lit(0)), F.lit(6)).alias("cigar"), F.monotonically_increasing_id().alias("ordinal"),
     )
 

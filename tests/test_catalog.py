@@ -7,7 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
-from lociq.plans.catalog import ORACLES, QUERIES
+from lociq.plans import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
