@@ -17,7 +17,9 @@ BAND = 1.05
 #: Rows of a band that meet in one task's key; a list's band is cut into parts of about this size.
 PART_ROWS = 1024
 #: The exhaustive step starts when it compares at most this many rows for each row of the lists.
-LINEAR = 8
+LINEAR = 4
+#: Lists in which a class looks for partners in one of the rounds before it; similar classes share many.
+LISTS = 4
 
 
 def _as_pairs(df: DataFrame, a: str, b: str) -> DataFrame:
@@ -66,6 +68,8 @@ def _met(rest: DataFrame, bands: DataFrame, cells: DataFrame, partners: int | No
     rows = rest.join(bands.select("token", "band", "k"), ["token", "band"])
     rows = rows.withColumn("part", F.pmod(F.xxhash64("cls", F.lit(turn)), parts(size)).cast("int")).drop("k", "main")
     if partners:
+        draw = F.row_number().over(Window.partitionBy("cls_").orderBy(F.xxhash64("token", "band", F.lit(turn)), "token", "band"))
+        cells = cells.withColumn("draw", draw).where(F.col("draw") <= LISTS).drop("draw")
         part = F.pmod(F.xxhash64("cls_", "token", F.lit(turn)), parts(size)).cast("int")
     else:
         part = F.explode(F.sequence(F.lit(0), parts(size) - 1))
@@ -80,10 +84,10 @@ def link_lists(posts: DataFrame, verified: Callable[[DataFrame], DataFrame]) ->
     size, from 1), lo and hi: two rows may be similar only if the size of each lies in the other's range. verified(pairs) keeps the true pairs.
 
     First, neighbours by size in each part and the parts' first rows are paired, which decides lists of two rows. In the rounds
-    after it only classes outside their list's main component are paired, with classes of other components in
-    bands of sizes that fit. A round makes about as many pairs as the lists have rows, so each outsider meets the more classes the fewer
+    after it only classes outside their list's main component are paired, each in some of its lists, with classes of other components in
+    bands of sizes that fit. A round makes about as many pairs as the lists have rows at most, so each outsider meets the more classes the fewer
     outsiders are left, and at least twice as many as in the round before. As soon as comparing every outsider with all rows that
-    fit is no more than LINEAR times the lists' rows, that is done, and all is decided. No pair is verified twice.
+    fit is no more than LINEAR times the lists' rows, or a round finds no link, that is done, and all is decided. No pair is verified twice.
     """
     heads = posts.where("salt > 0").groupBy("token", "salt").agg(F.min(F.struct("n", "cls", "lo", "hi")).alias("h")).select("token", "h.*")
     tried = stored(_neighbours(posts, ["token", "salt"]).unionByName(_neighbours(heads, ["token"])).distinct(), "pairs")
@@ -91,7 +95,7 @@ def link_lists(posts: DataFrame, verified: Callable[[DataFrame], DataFrame]) ->
     labels = _joined(posts.sparkSession.createDataFrame([], f"cls {kind}, label {kind}"), stored(verified(tried), "links"))
     longer = posts.groupBy("token").agg(F.count(F.lit(1)).alias("k")).where("k > 2").select("token")
     posts = stored(posts.join(longer, "token", "left_semi").drop("salt"), "longer-lists")
-    partners, turn, done = 4, 0, False
+    partners, turn, done, stuck = 4, 0, False, False
     while not done:
         rest = stored(_undecided(posts, labels), "undecided")
         bands, cells = _meetings(rest)
@@ -100,12 +104,15 @@ def link_lists(posts: DataFrame, verified: Callable[[DataFrame], DataFrame]) ->
         if not outside:
             break
         turn += 1
-        partners = max(2 * partners, rows // outside)
-        done = all_pairs <= LINEAR * rows or partners >= most
+        classes = cells.select("cls_").distinct().count()
+        partners = max(2 * partners, rows // min(outside, LISTS * classes))
+        done = all_pairs <= LINEAR * rows or partners >= most or stuck
         met = _met(rest, bands, cells, None if done else partners, turn)
         new = stored(met.join(tried, ["a", "b"], "left_anti"), "pairs")
         tried = tried.unionByName(new)
-        labels = _joined(labels, stored(verified(new), "links"))
+        links = stored(verified(new), "links")
+        stuck = links.isEmpty()
+        labels = _joined(labels, links)
     return labels
 
 

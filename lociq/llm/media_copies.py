@@ -2,9 +2,10 @@
 
 Corners are found on several scales (minimum of the structure tensor's eigenvalues; the strongest of each grid cell, so their number
 grows with the picture), oriented by the intensity centroid of their patch, and described by 256 comparisons of smoothed points
-turned by that angle. A table entry joins 16 bits of a corner's descriptor, 16 bits of a near corner's, and the coarse
-angles between the two: two patches make entries of unrelated pictures differ. Pictures that share an entry are verified by
-geometric consensus: enough matches must agree on one shift, turn and scale. Equal images are one class from the start.
+turned by that angle. A table entry joins 18 bits of a corner's descriptor, 18 bits of a near corner's, and the coarse
+angles between the two: two patches make entries of unrelated pictures differ. Pictures that share two entries are verified by
+geometric consensus: enough matches must agree on one shift, turn and scale. Entries of many pictures are not expanded into pairs but
+linked as lists (`link_lists`). Equal images are one class from the start.
 
 Images are binary PGM or PPM (P5, P6; 8 bits). Anything else has no features and is a copy only of equal bytes.
 """
@@ -23,15 +24,18 @@ from pyspark.sql import functions as F
 
 from lociq.llm.common import join_checked, pick, small_batches, stored
 from lociq.llm.graph import PART_ROWS, link_lists
+from lociq.operators.graph import components
 
-SCALES = (1.0, 0.75, 0.56, 0.42)
+SCALES = (1.0, 0.8, 0.64, 0.51, 0.41)
 #: Pixels of a grid cell's side; each cell gives its strongest corner.
-CELL = 14
+CELL = 15
 RADIUS = 9
 #: Near corners that a corner is joined with, and tables of joined bits.
-NEAR, TABLES, BITS, SECTORS = 3, 2, 14, 8
+NEAR, TABLES, BITS, SECTORS = 3, 2, 18, 8
+#: Entries that a pair must share, and pictures with an entry up to which all their pairs are counted.
+SHARED, FULL = 2, 32
 #: Bits in which matching descriptors may differ, pixels by which matches may miss the common motion, and matches needed.
-MATCH_BITS, MISS, AGREE = 56, 3.0, 7
+MATCH_BITS, MISS, AGREE = 56, 3.0, 6
 #: Matches that a motion is derived from; all matches are counted for it.
 MOTIONS = 512
 _RNG = np.random.default_rng(11)
@@ -113,14 +117,18 @@ def describe(image: np.ndarray, cell: int = CELL) -> np.ndarray:
     return np.concatenate(found) if found else np.zeros(0, _FEATURE)
 
 
-def _nearest_bits(f: np.ndarray, g: np.ndarray, rows: int = 256) -> tuple[np.ndarray, np.ndarray]:
-    """For each descriptor of f the nearest one of g, and the bits in which they differ."""
+def _nearest_bits(f: np.ndarray, g: np.ndarray, rows: int = 256) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each descriptor of f the nearest one of g and the bits in which they differ; for each of g the nearest one of f."""
     j, d = np.zeros(len(f), np.int64), np.zeros(len(f), np.int64)
+    back, least = np.zeros(len(g), np.int64), np.full(len(g), 1 << 30)
     for a in range(0, len(f), rows):
-        apart = np.bitwise_count(f["bits"][a : a + rows, None] ^ g["bits"][None]).sum(axis=2)
+        apart = np.bitwise_count(f["bits"][a : a + rows, None] ^ g["bits"][None]).sum(axis=2, dtype=np.int16)
         j[a : a + rows] = apart.argmin(axis=1)
         d[a : a + rows] = apart.min(axis=1)
-    return j, d
+        best = apart.min(axis=0)
+        back = np.where(best < least, a + apart.argmin(axis=0), back)
+        least = np.minimum(least, best)
+    return j, d, back
 
 
 def agreeing(f: np.ndarray, g: np.ndarray) -> int:
@@ -128,8 +136,8 @@ def agreeing(f: np.ndarray, g: np.ndarray) -> int:
     if not len(f) or not len(g):
         return 0
     i = np.arange(len(f))
-    j, apart = _nearest_bits(f, g)
-    mutual = (_nearest_bits(g, f)[0][j] == i) & (apart <= MATCH_BITS)  # each is the other's nearest
+    j, apart, back = _nearest_bits(f, g)
+    mutual = (back[j] == i) & (apart <= MATCH_BITS)  # each is the other's nearest
     i, j = i[mutual], j[mutual]
     if len(i) < AGREE:
         return len(i)
@@ -229,10 +237,19 @@ def media_groups(media: DataFrame, agree: int = AGREE) -> DataFrame:
     features = join_checked(described.where(F.octet_length("features") > 0).select("cls", "features"), stored(again, "media-again"), "cls", "left_anti")
     entries = features.mapInArrow(_entries, "token long, cls long")
     shared = stored(entries.groupBy("token").agg(F.count(F.lit(1)).alias("k")).where("k > 1"), "media-shared")
+    posts = stored(entries.join(shared, "token").select("token", "k", "cls"), "media-postings")
+    check = partial(_verified, features=features, agree=agree)
+    short = posts.where(F.col("k") <= FULL).select("token", "cls")
+    met = short.withColumnRenamed("cls", "a").join(short.withColumnRenamed("cls", "b"), "token").where("a < b")
+    pairs = stored(met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("met")).where(F.col("met") >= SHARED).select("a", "b"), "media-pairs")
+    links = stored(check(pairs), "media-links")
     part = F.when(F.col("k") > PART_ROWS, F.pmod(F.xxhash64("cls"), F.ceil(F.col("k") / PART_ROWS)) + 1).otherwise(0)
     one = [F.lit(1).alias(c) for c in ("n", "lo", "hi")]  # pictures have no size that tells
-    posts = stored(entries.join(shared, "token").select("token", part.cast("int").alias("salt"), "cls", *one), "media-postings")
-    roots = link_lists(posts, partial(_verified, features=features, agree=agree)).withColumnRenamed("label", "root")
+    long = posts.where(F.col("k") > FULL).select("token", part.cast("int").alias("salt"), "cls", *one)
+    if not long.isEmpty():
+        more = link_lists(stored(long, "media-long-lists"), check).select(F.col("cls").alias("a"), F.col("label").alias("b"))
+        links = links.unionByName(more.where("a <> b"))
+    roots = components(links).select(F.col("node").alias("cls"), F.col("component").alias("root"))
     named = classes.select("cls", "digest", "class_id", (F.col("bytes") / _FEATURE.itemsize).cast("long").alias("n_features"))
     named = named.join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     smallest = named.groupBy("root").agg(F.min("class_id").alias("group_id"))

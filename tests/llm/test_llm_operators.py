@@ -288,6 +288,27 @@ def test_html_differencing_takes_part_on_every_page(spark):
         assert got[k] == "\n\n".join(f"Body {w} of page {body}" for w in "xyz")
 
 
+def test_html_by_brute_force_on_pages_without_zones(spark):
+    """Pages without article or main, and all within main: exactly the lines stay that the nearest URL of the host has not, in order."""
+    rng = np.random.default_rng(8)
+    rows, want = [], {}
+    for h in range(6):
+        shared = [f"Host {h} line {w}" for w in range(4)]
+        paths = sorted(f"/{rng.integers(3)}/{k:02}?id={rng.integers(9)}" for k in range(9))
+        for k, path in enumerate(paths):
+            own = [f"Own {h} {k} {w} of this page" for w in range(2 + k % 3)]
+            order = [*shared[:2], *own[:1], shared[2], *own[1:], shared[3]]
+            page = "".join(f"<p>{x}</p>" for x in order)
+            rows.append((h * 100 + k, f"http://h{h}{path}", f"<main>{page}</main>" if h % 2 else f"<div class='share-price'>{page}</div>", 1, "z"))
+            want[h * 100 + k] = "\n\n".join(own)
+    frame = spark.createDataFrame([*rows, rows[0], rows[0]], "page_id long, url string, html string, part int, host string")
+    got = html_extract.extract_main_text(frame.repartition(3)).collect()
+    assert len(got) == len(rows) + 2 and {r.page_id: r.text for r in got} == want
+    whole = "<article><p>" + "long text " * 60_000 + "</p><div class='ad-slot'>Buy</div><div class='ad-hoc'>Kept</div></article>"
+    long = html_extract.extract_main_text(spark.createDataFrame([(1, "http://a/1", whole)], "page_id long, url string, html string")).first()
+    assert long.text == ("long text " * 60_000).strip() + "\n\nKept"
+
+
 def test_html_neighbours_in_a_large_host(spark):
     rows = [(k, f"http://h/s{k // 4:04}/{k:05}", f"<p>Section {k // 4} has this template</p><p>Page {k} says something of its own</p>") for k in range(1200)]
     got = html_of(spark, rows)
