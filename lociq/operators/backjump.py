@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,41 +21,60 @@ def back_jumps(segments: DataFrame, length: int, min_size: int = 100, max_fracti
     return out.where((F.col("circle_size") > 0) & (F.col("circle_size") >= min_size) & (F.col("circle_size") / length <= max_fraction) & (F.col("overlap_before") >= min_overlap) & (F.col("overlap_after") >= min_overlap))
 
 
-def greedy_clusters(points: list[tuple[int, int]], tolerance: int) -> list[int]:
-    """Cluster numbers of points in their order: a point joins the first cluster with a member within tolerance on both axes.
+class GreedyClusters:
+    """Cluster numbers of points that come by x: a point joins the oldest cluster with a member within tolerance on both axes.
 
-    A point that is near to two clusters joins the older one and does not merge them.
+    A point that is near to two clusters joins the older one and does not merge them. Members further back on x than the tolerance are
+    forgotten, and of members at one place the oldest cluster counts, so memory is bounded by the places of a window.
     """
-    members: list[list[tuple[int, int]]] = []
-    out = []
-    for a, z in points:
-        for k, cluster in enumerate(members):
-            if any(abs(a - x) <= tolerance and abs(z - y) <= tolerance for x, y in cluster):
-                cluster.append((a, z))
-                out.append(k)
-                break
-        else:
-            out.append(len(members))
-            members.append([(a, z)])
-    return out
+
+    def __init__(self, tolerance: int) -> None:
+        self.tolerance, self.n = tolerance, 0
+        self.columns: dict[int, dict[int, int]] = {}  # x: y: oldest cluster there
+
+    def place(self, x: int, y: int) -> int:
+        for old in [c for c in self.columns if c < x - self.tolerance]:
+            del self.columns[old]
+        near = [k for ys in self.columns.values() for z, k in ys.items() if abs(y - z) <= self.tolerance]
+        k = min(near, default=self.n)
+        self.n += k == self.n
+        column = self.columns.setdefault(x, {})
+        column[y] = min(k, column.get(y, k))
+        return k
+
+
+def islands(jumps: DataFrame, tolerance: int = 20) -> DataFrame:
+    """jumps with an island number within ref_id: circle starts of different islands lie further apart than the tolerance, so no cluster crosses them."""
+    w = Window.partitionBy("ref_id").orderBy("circle_start")
+    first = F.coalesce(F.col("circle_start") - F.lag("circle_start").over(w) > tolerance, F.lit(True)).cast("int")
+    up_to = w.rowsBetween(Window.unboundedPreceding, 0)
+    return jumps.withColumn("new_", first).withColumn("island", F.sum("new_").over(up_to)).drop("new_")
 
 
 def cluster_breakpoints(jumps: DataFrame, tolerance: int = 20) -> DataFrame:
-    """jumps with a cluster number within ref_id; the fold is sequential, so each element is one group."""
+    """jumps with an island within ref_id and a cluster within the island. The fold is sequential in an island and streams its sorted rows."""
 
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["circle_start", "circle_end", "read_id", "seg"], kind="stable")
-        return pdf.assign(cluster=greedy_clusters(list(zip(pdf["circle_start"].tolist(), pdf["circle_end"].tolist(), strict=True)), tolerance))
+    def fold(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        group, state = None, GreedyClusters(tolerance)
+        for pdf in frames:
+            found = []
+            for ref, island, x, y in pdf[["ref_id", "island", "circle_start", "circle_end"]].itertuples(index=False):
+                if group != (ref, island):
+                    group, state = (ref, island), GreedyClusters(tolerance)
+                found.append(state.place(x, y))
+            yield pdf.assign(cluster=pd.Series(found, index=pdf.index, dtype="int32"))
 
-    return jumps.groupBy("ref_id").applyInPandas(fold, schema=f"{', '.join(f'{n} {t}' for n, t in jumps.dtypes)}, cluster int")
+    rows = islands(jumps, tolerance)
+    dealt = rows.repartition("ref_id", "island").sortWithinPartitions("ref_id", "island", "circle_start", "circle_end", "read_id", "seg")
+    return dealt.mapInPandas(fold, schema=f"{', '.join(f'{n} {t}' for n, t in rows.dtypes)}, cluster int")
 
 
 def partial_circles(jumps: DataFrame, length: int, tolerance: int = 20, min_reads: int = 2, min_size: int = 100, max_fraction: float = 0.9) -> DataFrame:
     """Calls with median coordinates (cut to whole numbers) of clusters with enough reads."""
-    grouped = cluster_breakpoints(jumps, tolerance).groupBy("ref_id", "cluster")
+    grouped = cluster_breakpoints(jumps, tolerance).groupBy("ref_id", "island", "cluster")
     calls = grouped.agg(
         F.floor(F.median("circle_start")).alias("circle_start"), F.floor(F.median("circle_end")).alias("circle_end"), F.count(F.lit(1)).alias("n_supporting_reads"),
         F.round(F.avg("mapping_quality"), 1).alias("mean_mapq"), F.array_sort(F.collect_list("read_id")).alias("supporting_read_names"),
     )
     calls = calls.withColumn("circle_size", F.col("circle_end") - F.col("circle_start")).withColumn("circle_fraction", F.round(F.col("circle_size") / length, 4))
-    return calls.where((F.col("n_supporting_reads") >= min_reads) & (F.col("circle_size") >= min_size) & (F.col("circle_size") / length <= max_fraction)).drop("cluster")
+    return calls.where((F.col("n_supporting_reads") >= min_reads) & (F.col("circle_size") >= min_size) & (F.col("circle_size") / length <= max_fraction)).drop("island", "cluster")

@@ -2,27 +2,53 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lociq.functions.sequence import revcomp
-
 _PAIR = str.maketrans("ACGTacgt", "TGCAtgca")
 
 
-def kmers(df: DataFrame, seq: str, k: int, pos: str) -> DataFrame:
-    """df with a row for each k-mer of seq: columns pos (from 0) and kmer; shorter sequences give none."""
-    n = F.length(seq)
-    at = F.when(n >= k, F.sequence(F.lit(0), n - k)).otherwise(F.array().cast("array<int>"))
-    return df.withColumn(pos, F.explode(at)).withColumn("kmer", F.upper(F.substr(F.col(seq), F.col(pos) + 1, F.lit(k))))
+def _windows(text: str, k: int) -> np.ndarray:
+    """All k-mers of a text as fixed-width strings."""
+    raw = np.frombuffer(text.encode("utf-32-le"), "<u4")
+    if len(raw) < k:
+        return np.empty(0, f"<U{k}")
+    return np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(raw, k)).view(f"<U{k}").ravel()
+
+
+def seeds_of(a: str, b: str, k: int) -> list[tuple[int, bool, int]]:
+    """(place in a, whether reverse complement, place in b) of the common k-mers, as a scan over a, both orientations, and b meets them."""
+    mine, theirs = _windows(a, k), _windows(b, k)
+    if not len(mine) or not len(theirs):
+        return []
+    order = np.argsort(theirs, kind="stable")
+    placed = theirs[order]
+    out = []
+    for rc in (False, True):
+        asked = _windows(a.translate(_PAIR)[::-1], k)[::-1] if rc else mine
+        lo, hi = np.searchsorted(placed, asked, "left"), np.searchsorted(placed, asked, "right")
+        out += [(i, rc, j) for i in np.flatnonzero(hi > lo).tolist() for j in order[lo[i] : hi[i]].tolist()]
+    return sorted(out)
 
 
 def guide_seeds(pairs: DataFrame, k: int = 9) -> DataFrame:
-    """key, pos1, pos2, orientation of the exact k-mer matches, forward and reverse complement, of columns flank_seq and nc_seq of each key."""
-    left, right = kmers(pairs.select("key", "flank_seq"), "flank_seq", k, "pos1").select("key", "pos1", "kmer"), kmers(pairs.select("key", "nc_seq"), "nc_seq", k, "pos2").select("key", "pos2", "kmer")
-    both = left.withColumn("orientation", F.lit("forward")).unionByName(left.withColumn("kmer", revcomp(F.col("kmer"))).withColumn("orientation", F.lit("reverse_complement")))
-    return both.join(right, ["key", "kmer"]).select("key", "pos1", "pos2", "orientation")
+    """key, pos1, pos2, orientation of the exact k-mer matches, forward and reverse complement, of columns flank_seq and nc_seq of each key.
+
+    A row holds both sequences, so matches are found within it and nothing is shuffled.
+    """
+
+    def find(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            found = [(key, i, j, "reverse_complement" if rc else "forward") for key, a, b in pdf.itertuples(index=False) for i, rc, j in seeds_of(a or "", b or "", k)]
+            yield pd.DataFrame(found, columns=["key", "pos1", "pos2", "orientation"])
+
+    kind = dict(pairs.dtypes)["key"]
+    work = pairs.select("key", F.upper("flank_seq").alias("a"), F.upper("nc_seq").alias("b"))
+    return work.mapInPandas(find, f"key {kind}, pos1 int, pos2 int, orientation string")
 
 
 def tiered(length: Column, mismatches: Column, exact: int = 9, inexact: int = 12) -> Column:
@@ -34,10 +60,20 @@ def extend(a: str, b: str, i: int, j: int, n: int, forward: bool, allowed: int =
 
     Both ends move alike in both orientations, so a reverse-complement match loses its register when it grows.
     """
+    if forward:  # places do not move against each other, so each step adds one comparison
+        bad: list[int] = []
+        while i + n < len(a) and j + n < len(b) and (a[i + n] == b[j + n] or len(bad) < allowed):
+            if a[i + n] != b[j + n]:
+                bad.append(i + n)
+            n += 1
+        while i and j and (a[i - 1] == b[j - 1] or len(bad) < allowed):
+            i, j, n = i - 1, j - 1, n + 1
+            if a[i] != b[j]:
+                bad.append(i)
+        return i, j, n, sorted(p - i for p in bad)
 
     def wrong(i: int, j: int, n: int) -> list[int]:
-        y = b[j : j + n] if forward else b[j : j + n].translate(_PAIR)[::-1]
-        return [k for k, (p, q) in enumerate(zip(a[i : i + n], y)) if p != q]
+        return [k for k, (p, q) in enumerate(zip(a[i : i + n], b[j : j + n].translate(_PAIR)[::-1])) if p != q]
 
     while i + n < len(a) and j + n < len(b) and len(wrong(i, j, n + 1)) <= allowed:
         n += 1
@@ -47,23 +83,23 @@ def extend(a: str, b: str, i: int, j: int, n: int, forward: bool, allowed: int =
 
 
 def guide_hits(pairs: DataFrame, k: int = 9, allowed: int = 1, exact: int = 9, inexact: int = 12) -> DataFrame:
-    """Hits of each key: seeds by a join, then growth, the length rule, and a greedy choice of hits that do not overlap on both sides.
+    """Hits of each key: seeds, growth, the length rule of `tiered`, and a greedy choice of hits that do not overlap on both sides.
 
-    Longer hits come first, then those with fewer mismatches, then the order of seeds. Only keys with a seed reach Python.
+    Longer hits come first, then those with fewer mismatches, then the order of seeds. A key's two sequences hold all that its hits depend on,
+    so nothing is shuffled; `guide_seeds` gives the seeds alone.
     """
-    # the order in which a scan over pos1, orientation and pos2 meets them
-    seeds = guide_seeds(pairs, k).groupBy("key").agg(F.array_sort(F.collect_list(F.struct("pos1", (F.col("orientation") != "forward").alias("rc"), "pos2"))).alias("seeds"))
-    work = pairs.select("key", F.upper("flank_seq").alias("a"), F.upper("nc_seq").alias("b")).join(seeds, "key")
+    work = pairs.select("key", F.upper("flank_seq").alias("a"), F.upper("nc_seq").alias("b"))
 
     def grow(frames):
         for pdf in frames:
             out = []
-            for key, a, b, found in pdf.itertuples(index=False):
-                hits = []
-                for s in found:
-                    i, j, n, wrong = extend(a, b, s["pos1"], s["pos2"], k, not s["rc"], allowed)
-                    if (not wrong and n >= exact) or (len(wrong) <= allowed and n >= inexact):
-                        hits.append((i, j, n, wrong, s["rc"]))
+            for key, a, b in pdf.itertuples(index=False):
+                hits, met = [], set()
+                for p, rc, q in seeds_of(a or "", b or "", k):
+                    i, j, n, wrong = extend(a, b, p, q, k, not rc, allowed)
+                    if (i, j, n, rc) not in met and ((not wrong and n >= exact) or (len(wrong) <= allowed and n >= inexact)):
+                        met.add((i, j, n, rc))  # seeds of one hit grow to the same place
+                        hits.append((i, j, n, wrong, rc))
                 kept: list = []
                 for h in sorted(hits, key=lambda h: (-h[2], len(h[3]))):
                     if not any(h[4] == o[4] and h[0] < o[0] + o[2] and o[0] < h[0] + h[2] and h[1] < o[1] + o[2] and o[1] < h[1] + h[2] for o in kept):

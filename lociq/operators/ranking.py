@@ -51,6 +51,21 @@ def upper_median(col: Column) -> Column:
     return F.element_at(F.array_sort(F.collect_list(col)), F.floor(F.count(col) / 2).cast("int") + 1)
 
 
+def upper_median_of(df: DataFrame, value: str, name: str) -> DataFrame:
+    """One row: the element at n div 2 (from 0) of the sorted values of all rows, null without any.
+
+    Values are counted, the counts dealt by range, and only the range that holds the middle is searched: no task sees all rows.
+    """
+    counts = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("k_"))
+    dealt = stored(counts.repartitionByRange(value).withColumn("part_", F.spark_partition_id()), "value-counts")
+    upto = Window.orderBy("part_").rowsBetween(Window.unboundedPreceding, 0)  # a row for each range
+    parts = dealt.groupBy("part_").agg(F.sum("k_").alias("rows_")).withColumn("end_", F.sum("rows_").over(upto))
+    middle = parts.withColumn("at_", F.floor(F.sum("rows_").over(Window.partitionBy()) / 2)).where("at_ < end_ AND at_ >= end_ - rows_")
+    run = F.sum("k_").over(Window.partitionBy("part_").orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
+    inside = dealt.join(F.broadcast(middle), "part_").withColumn("run_", run + F.col("end_") - F.col("rows_"))
+    return inside.where("run_ > at_").agg(F.min(value).alias(name))
+
+
 def pending(units: DataFrame, finished: DataFrame, keys: list[str]) -> DataFrame:
     """Units whose output does not exist yet."""
     return units.join(finished.select(*keys).distinct(), keys, "left_anti")

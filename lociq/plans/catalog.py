@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lociq.functions import sequence as fs
 from lociq.operators import backjump, batches, graph, guides, hits, junctions, nesting, orfs, ranking
 from lociq.plans.fixtures import Tables, oracle
+from lociq.storage import stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -79,9 +80,9 @@ def revcomp(t: Tables) -> DataFrame:
 
 
 @query("""SELECT is_id, len(p)::BIGINT AS mismatches, COALESCE(array_to_string(p, ','), '') AS positions FROM (
-SELECT is_id, list_filter(range(0, least(length(left(sequence, 40)), length(right(sequence, 40)))), lambda i: substr(left(sequence, 40), i + 1, 1) <> substr(right(sequence, 40), i + 1, 1)) AS p FROM elem)""", "elem")
+SELECT is_id, list_filter(range(0, least(length(left(sequence, 80)), length(right(sequence, 80)))), lambda i: substr(left(sequence, 80), i + 1, 1) <> substr(right(sequence, 80), i + 1, 1)) AS p FROM elem)""", "elem")
 def hamming_positions(t: Tables) -> DataFrame:
-    p = fs.hamming_positions(F.expr("left(sequence, 40)"), F.expr("right(sequence, 40)"))
+    p = fs.hamming_positions(F.expr("left(sequence, 80)"), F.expr("right(sequence, 80)"))
     return t.elem.select("is_id", F.size(p).cast("long").alias("mismatches"), F.array_join(p.cast("array<string>"), ",").alias("positions"))
 
 
@@ -96,14 +97,14 @@ def sample_from_filename(t: Tables) -> DataFrame:
     return t.supplier.select("s_suppkey", fs.sample_of_file(name).alias("sample"))
 
 
-@query("""WITH m AS (SELECT sample_id AS cluster, is_id, concat(left(sequence, 20), right(sequence, 20)) AS seq FROM elem)
+@query("""WITH m AS (SELECT sample_id AS cluster, is_id, concat(left(sequence, 80), right(sequence, 80)) AS seq FROM elem)
 SELECT x.cluster, x.is_id AS a, y.is_id AS b, levenshtein(x.seq, y.seq)::BIGINT AS distance FROM m x JOIN m y ON x.cluster = y.cluster AND x.is_id < y.is_id WHERE levenshtein(x.seq, y.seq) <= 10""", "elem")
 def levenshtein_pairs(t: Tables) -> DataFrame:
     return graph.edit_distance_pairs(_members(t)).select("cluster", "a", "b", F.col("distance").cast("long").alias("distance"))
 
 
 def _members(t: Tables) -> DataFrame:
-    return t.elem.selectExpr("sample_id AS cluster", "is_id", "concat(left(sequence, 20), right(sequence, 20)) AS seq", "left(sequence, 2) AS guide")
+    return t.elem.selectExpr("sample_id AS cluster", "is_id", "concat(left(sequence, 80), right(sequence, 80)) AS seq", "left(sequence, 2) AS guide")
 
 
 @query(r"""SELECT t.l_orderkey AS id, count(*) AS n, sum(t.k)::BIGINT AS reference_bases FROM (
@@ -136,7 +137,16 @@ def back_jumps(t: Tables) -> DataFrame:
     return backjump.back_jumps(t.aln, 1000)
 
 
-@query()
+@query(f"""WITH RECURSIVE {_JUMPS},
+p AS (SELECT *, row_number() OVER (PARTITION BY ref_id ORDER BY circle_start, circle_end, read_id, seg) AS i FROM jumps),
+f(ref_id, i, xs, ys, cs) AS (SELECT ref_id, i, [circle_start], [circle_end], [0] FROM p WHERE i = 1
+UNION ALL SELECT f.ref_id, p.i, list_append(xs, circle_start), list_append(ys, circle_end), list_append(cs, COALESCE(list_min(list_transform(list_filter(range(1, len(xs) + 1), lambda k: abs(xs[k] - circle_start) <= 20 AND abs(ys[k] - circle_end) <= 20),
+lambda k: cs[k])), list_max(cs) + 1)) FROM f JOIN p ON p.ref_id = f.ref_id AND p.i = f.i + 1),
+l AS (SELECT ref_id, unnest(cs) AS cluster, generate_subscripts(cs, 1) AS i FROM (SELECT *, row_number() OVER (PARTITION BY ref_id ORDER BY i DESC) AS k FROM f) WHERE k = 1),
+g AS (SELECT ref_id, cluster, floor(median(circle_start))::BIGINT AS circle_start, floor(median(circle_end))::BIGINT AS circle_end, count(*) AS n_supporting_reads, round(avg(mapping_quality), 1) AS mean_mapq,
+string_agg(read_id, ',' ORDER BY read_id) AS supporting_read_names FROM p JOIN l USING (ref_id, i) GROUP BY ref_id, cluster)
+SELECT ref_id, circle_start, circle_end, n_supporting_reads, mean_mapq, supporting_read_names, circle_end - circle_start AS circle_size, round((circle_end - circle_start) / 1000.0::DOUBLE, 4) AS circle_fraction
+FROM g WHERE n_supporting_reads >= 2 AND circle_end - circle_start >= 100 AND (circle_end - circle_start) / 1000.0::DOUBLE <= 0.9""", "aln")
 def partial_circles(t: Tables) -> DataFrame:
     return backjump.partial_circles(backjump.back_jumps(t.aln, 1000), 1000).withColumn("supporting_read_names", F.array_join(F.col("supporting_read_names").cast("array<string>"), ","))
 
@@ -154,15 +164,16 @@ def collinear_blocks(t: Tables) -> DataFrame:
 
 
 @query("""WITH p AS (SELECT pair_id, seg, core_start, core_end, host_start, host_end, 1500 + pair_id % 100 AS core_len, 1540 + pair_id % 60 AS host_len FROM blocks),
-o AS (SELECT * FROM p WHERE host_len >= core_len AND host_len / core_len::DOUBLE >= 1.02),
+o AS (SELECT pair_id, seg, 'h' AS h, 'c' AS c, core_start, core_end, host_start, host_end, core_len FROM p WHERE host_len >= core_len AND host_len / core_len::DOUBLE >= 1.02
+UNION ALL SELECT pair_id, seg, 'c', 'h', host_start, host_end, core_start, core_end, host_len FROM p WHERE host_len < core_len AND core_len / host_len::DOUBLE >= 1.02),
 g AS (SELECT *, lag(core_end) OVER w AS ce, lag(host_end) OVER w AS he, lag(host_start) OVER w AS hs FROM o WINDOW w AS (PARTITION BY pair_id ORDER BY core_start, seg)),
-k AS (SELECT pair_id, bool_and(COALESCE(host_start >= hs, true)) AS ok, count(*) AS n_aligned_blocks, sum(core_end - core_start)::BIGINT AS total_aligned_bp, round(sum(core_end - core_start) / max(core_len)::DOUBLE, 4) AS alignment_coverage FROM g GROUP BY pair_id),
+k AS (SELECT pair_id, max(h) AS h, max(c) AS c, bool_and(COALESCE(host_start >= hs, true)) AS ok, count(*) AS n_aligned_blocks, sum(core_end - core_start)::BIGINT AS total_aligned_bp, round(sum(core_end - core_start) / max(core_len)::DOUBLE, 4) AS alignment_coverage FROM g GROUP BY pair_id),
 i AS (SELECT pair_id, count(*) AS n_insertions, sum(host_start - he - greatest(core_start - ce, 0))::BIGINT AS total_insertion_bp FROM g WHERE host_start - he - greatest(core_start - ce, 0) >= 50 GROUP BY pair_id)
-SELECT concat('h', pair_id) AS host, concat('c', pair_id) AS core, n_aligned_blocks, total_aligned_bp, alignment_coverage, n_insertions, total_insertion_bp FROM k JOIN i USING (pair_id) WHERE ok""", "blocks")
+SELECT concat(h, pair_id) AS host, concat(c, pair_id) AS core, n_aligned_blocks, total_aligned_bp, alignment_coverage, n_insertions, total_insertion_bp FROM k JOIN i USING (pair_id) WHERE ok""", "blocks")
 def nesting_events(t: Tables) -> DataFrame:
     sizes = t.orders.selectExpr("concat('c', o_orderkey) AS id", "1500 + o_orderkey % 100 AS ext_length").union(t.orders.selectExpr("concat('h', o_orderkey) AS id", "1540 + o_orderkey % 60 AS ext_length"))
     b = t.blocks.selectExpr("concat('c', pair_id) AS query", "concat('h', pair_id) AS target", "'+' AS strand", "core_start AS qs", "core_end AS qe", "host_start AS ts", "host_end AS te", "150 AS matches", "150 AS aligned", "seg AS ordinal")
-    b = nesting.oriented_blocks(b, sizes).where("host LIKE 'h%'")
+    b = nesting.oriented_blocks(b, sizes)
     return nesting.nesting_events(b).select("host", "core", "n_aligned_blocks", "total_aligned_bp", "alignment_coverage", F.col("n_insertions").cast("long").alias("n_insertions"), "total_insertion_bp")
 
 
@@ -189,8 +200,9 @@ def split_best(t: Tables) -> DataFrame:
 
 @query(f"WITH {_PAIRS} SELECT count(*) AS n, min(insertion_length) AS shortest, max(insertion_length) AS longest, list_sort(list(insertion_length))[count(*) // 2 + 1] AS upper_median FROM pairs", "hsp")
 def insertion_length_summary(t: Tables) -> DataFrame:
-    p = hits.split_pairs(t.hsp)
-    return p.agg(F.count(F.lit(1)).alias("n"), F.min("insertion_length").alias("shortest"), F.max("insertion_length").alias("longest"), ranking.upper_median(F.col("insertion_length")).alias("upper_median"))
+    p = stored(hits.split_pairs(t.hsp).select("insertion_length"), "insertion-lengths")
+    ends = p.agg(F.count(F.lit(1)).alias("n"), F.min("insertion_length").alias("shortest"), F.max("insertion_length").alias("longest"))
+    return ends.join(F.broadcast(ranking.upper_median_of(p, "insertion_length", "upper_median")))  # one row each
 
 
 _RANKED = """r AS (SELECT *, row_number() OVER (PARTITION BY qseqid ORDER BY bitscore DESC, ordinal, sseqid, qstart) AS rank FROM (SELECT *, (abs(qend - qstart) + 1) / qlen::DOUBLE AS query_coverage FROM hsp) WHERE query_coverage >= 0.3)"""
@@ -361,7 +373,7 @@ def system_clusters(t: Tables) -> DataFrame:
     return graph.assemble_clusters(labels).withColumn("members", F.array_join(F.col("members").cast("array<string>"), ","))
 
 
-_L1 = """RECURSIVE m AS (SELECT sample_id AS cluster, is_id, concat(left(sequence, 20), right(sequence, 20)) AS seq, left(sequence, 2) AS guide FROM elem),
+_L1 = """RECURSIVE m AS (SELECT sample_id AS cluster, is_id, concat(left(sequence, 80), right(sequence, 80)) AS seq, left(sequence, 2) AS guide FROM elem),
 e AS (SELECT x.is_id AS u, y.is_id AS v FROM m x JOIN m y ON x.cluster = y.cluster AND x.is_id <> y.is_id AND abs(length(x.seq) - length(y.seq)) <= 10 WHERE levenshtein(x.seq, y.seq) <= 10),
 r(node, seen) AS (SELECT is_id, is_id FROM m UNION SELECT r.node, e.v FROM r JOIN e ON r.seen = e.u),
 l AS (SELECT m.cluster, m.is_id, m.guide, k.l1 FROM m JOIN (SELECT node, min(seen) AS l1 FROM r GROUP BY node) k ON m.is_id = k.node)"""
@@ -386,7 +398,7 @@ def _pairs(t: Tables) -> DataFrame:
     return f.selectExpr("concat(is_id, ':up') AS key", "up AS flank_seq", "nc AS nc_seq").unionByName(f.selectExpr("concat(is_id, ':down') AS key", "down AS flank_seq", "nc AS nc_seq")).where("flank_seq <> '' AND nc_seq <> ''")
 
 
-@query("""WITH p AS (SELECT concat(is_id, ':up') AS key, left(sequence, 30) AS a, substring(sequence, 31, 60) AS b FROM elem UNION ALL SELECT concat(is_id, ':down'), right(sequence, 30), substring(sequence, 31, 60) FROM elem),
+@query("""WITH p AS (SELECT concat(is_id, ':up') AS key, left(sequence, 80) AS a, substring(sequence, 81, greatest(length(sequence) - 160, 0)) AS b FROM elem UNION ALL SELECT concat(is_id, ':down'), right(sequence, 80), substring(sequence, 81, greatest(length(sequence) - 160, 0)) FROM elem),
 x AS (SELECT key, i AS pos1, substr(a, i + 1, 9) AS kmer FROM p, unnest(range(0, greatest(length(a) - 8, 0))) u(i) WHERE b <> ''), y AS (SELECT key, i AS pos2, substr(b, i + 1, 9) AS kmer FROM p, unnest(range(0, greatest(length(b) - 8, 0))) u(i)),
 z AS (SELECT key, pos1, kmer, 'forward' AS orientation FROM x UNION ALL SELECT key, pos1, reverse(translate(kmer, 'ACGT', 'TGCA')), 'reverse_complement' FROM x)
 SELECT key, pos1, pos2, orientation FROM z JOIN y USING (key, kmer)""", "elem")

@@ -76,5 +76,5 @@ class Tables:
 
     @cached_property
     def flanked(self) -> DataFrame:
-        """Elements with two flanks of 30 and a noncoding stretch of 60 bases, cut from their sequence."""
-        return self.elem.selectExpr("is_id", "sample_id", "organism", "left(sequence, 30) AS up", "right(sequence, 30) AS down", "substring(sequence, 31, 60) AS nc", "left(sequence, 2) AS guide")
+        """Elements with two flanks of 80 and all between them as the noncoding stretch."""
+        return self.elem.selectExpr("is_id", "sample_id", "organism", "left(sequence, 80) AS up", "right(sequence, 80) AS down", "substring(sequence, 81, greatest(length(sequence) - 160, 0)) AS nc", "left(sequence, 2) AS guide")

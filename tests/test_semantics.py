@@ -18,7 +18,8 @@ def one(spark, column):
 
 
 def test_greedy_clusters_do_not_merge():
-    assert backjump.greedy_clusters([(100, 500), (105, 540), (110, 520)], 20) == [0, 1, 0]
+    fold = backjump.GreedyClusters(20)
+    assert [fold.place(*p) for p in ((100, 500), (105, 540), (110, 520))] == [0, 1, 0]
 
 
 def test_median_is_cut(spark):
@@ -120,6 +121,7 @@ def test_first_longest_and_mode(spark):
     d = spark.createDataFrame([(1, "x", 1), (1, "y", 2), (1, "y", 3), (1, "x", 4), (1, None, 0)], "k int, v string, o int")
     assert ranking.most_common(d, ["k"], "v", "o", "m").first().m == "x"
     assert d.where("o > 0").agg(ranking.upper_median(F.col("o"))).first()[0] == 3
+    assert ranking.upper_median_of(d.where("o > 0"), "o", "m").first().m == 3
 
 
 def test_single_linkage_is_transitive(spark):
