@@ -5,7 +5,9 @@ its metadata (source, language, stated length). Each round, either one labels un
 other to learn from; its sureness is a calibrated probability. At last both are calibrated on the labelled documents, and
 their log odds are added.
 
-The models are fitted on bounded samples (`labelled` and `pool` rows, those with the smallest hash of doc_id); every document is scored.
+The models are fitted on a bounded sample of the labelled documents (`labelled` rows, those with the smallest hash of doc_id) and on the
+pseudo-labels. These come from all documents: in each round every one is scored, and the surest `per_round` of each label and view, among
+documents with different features, are found by a distributed top-k. Every document is scored at last.
 """
 
 from __future__ import annotations
@@ -20,14 +22,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from lociq.llm.common import pick, small_batches
 from lociq.llm.words import distinct_ranges, slices, text_buffers, word_bounds
 
-#: Bounds of the samples that the models are fitted on.
-LABELLED, POOL = 4000, 4000
-ROUNDS, SURE, PER_ROUND = 3, 0.97, 400
+#: Bound of the labelled sample that the models are fitted on.
+LABELLED = 4000
+#: Rounds of exchange, the least probability of a pseudo-label, and pseudo-labels of each kind in the first round (each later one adds as many).
+ROUNDS, SURE, PER_ROUND = 2, 0.97, 200
 _META = 64
+_META_SIZE = 2 * _META + 10
 _KINDS = (b"abcdefghijklmnopqrstuvwxyz", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b" \t", b"\r\n", b".,;:", b"!?", b"#$%&*@", b"|", b"<>{}[]()/\\", b"_=+~^`-", b"'\"", bytes(range(128, 256)), bytes(set(range(32)) - set(b"\t\r\n")) + b"\x7f")
 _KIND_OF = np.zeros((256, len(_KINDS)), np.float64)
 for _k, _bytes in enumerate(_KINDS):
@@ -60,7 +65,7 @@ def text_features(column: pa.Array) -> np.ndarray:
 
 def meta_features(source: pa.Array, lang: pa.Array, n_chars: pa.Array) -> np.ndarray:
     """A row for each document's metadata: hashed source and language, length in steps."""
-    out = np.zeros((len(source), 2 * _META + 10))
+    out = np.zeros((len(source), _META_SIZE))
     for r, (s, g, n) in enumerate(zip(source.to_pylist(), lang.to_pylist(), n_chars.to_pylist(), strict=True)):
         out[r, zlib.crc32((s or "").encode()) % _META] = 1
         out[r, _META + zlib.crc32((g or "").encode()) % _META] = 1
@@ -129,27 +134,23 @@ class Model(NamedTuple):
         return t, m, t + m - self.prior
 
 
-def co_train(text: np.ndarray, meta: np.ndarray, y: np.ndarray, pool_text: np.ndarray, pool_meta: np.ndarray, rounds: int = ROUNDS, sure: float = SURE, per_round: int = PER_ROUND) -> Model | None:
-    """Both views after `rounds` exchanges; None if the labels are not of two kinds."""
-    if len(y) < 8 or len(set(y.tolist())) < 2:
-        return None
-    given = {v: (np.empty(0, np.int64), np.empty(0)) for v in ("text", "meta")}
-    views = {"text": (text, pool_text), "meta": (meta, pool_meta)}
-    limit = math.log(sure / (1 - sure))
-    made: dict[str, View] = {}
-    for turn in range(rounds + 1):
-        for v, (x, pool) in views.items():
-            rows, labels = given[v]
-            made[v] = calibrated(x, y, pool[rows], labels)
-        if turn == rounds or not len(pool_text):
-            break
-        for teacher, pupil in (("text", "meta"), ("meta", "text")):
-            odds = made[teacher].odds(views[teacher][1])
-            order = np.argsort(-np.abs(odds), kind="stable")
-            best = order[np.abs(odds[order]) >= limit][: per_round * (turn + 1)]
-            given[pupil] = (best, (odds[best] > 0).astype(float))
+def fitted(text: np.ndarray, meta: np.ndarray, y: np.ndarray, given: dict[str, tuple[np.ndarray, np.ndarray]]) -> Model:
+    """Both views, each on the labelled rows and on the pseudo-labels that the other one gave it."""
     share = y.mean()
-    return Model(made["text"], made["meta"], float(np.log(share / (1 - share))))
+    return Model(calibrated(text, y, *given["text"]), calibrated(meta, y, *given["meta"]), float(np.log(share / (1 - share))))
+
+
+def surest(odds: np.ndarray, x: np.ndarray, k: int, sure: float = SURE) -> np.ndarray:
+    """Places of the surest k rows of each sign, of equal rows the first, whose probability is at least `sure`; strongest first."""
+    limit = math.log(sure / (1 - sure))
+    odds = np.round(odds, 6)  # the last bits depend on how rows are batched
+    out = []
+    for sign in (1, -1):
+        able = np.flatnonzero(odds * sign >= limit)
+        if len(able):
+            able = able[np.unique(x[able], axis=0, return_index=True)[1]]  # ties stand by their features
+            out.append(able[np.argsort(-odds[able] * sign, kind="stable")[:k]])
+    return np.concatenate(out) if out else np.empty(0, np.int64)
 
 
 def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,35 +165,76 @@ _COLUMNS = {"doc_id": "long", "text": "string", "lang": "string", "source": "str
 
 
 def _sampled(rows: DataFrame, ids: list[int]) -> tuple[list[int], np.ndarray]:
-    """Features of the documents with these ids (a bounded list); a repeated doc_id counts once."""
+    """Features of the documents with these ids (a bounded list); of rows that repeat a doc_id the smallest counts."""
     spark = rows.sparkSession
     few = F.broadcast(spark.createDataFrame([(i,) for i in ids], "doc_id long"))
-    found = {r[0]: r[1] for r in rows.join(few, "doc_id").mapInArrow(_featured, "doc_id long, x array<float>").limit(2 * len(ids)).collect()}
+    others = [c for c in _COLUMNS if c != "doc_id"]
+    one = rows.join(few, "doc_id").groupBy("doc_id").agg(F.min(F.struct(*others)).alias("r")).select("doc_id", "r.*").orderBy("doc_id")
+    found = {r[0]: r[1] for r in one.mapInArrow(_featured, "doc_id long, x array<float>").collect()}
     kept = [i for i in ids if i in found]
     return kept, np.array([found[i] for i in kept], np.float64).reshape(len(kept), -1)
 
 
-def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: int = POOL) -> Model | None:
-    """The co-trained model; None if labels has not both kinds."""
+def _candidates(batches: Iterator[pa.RecordBatch], model, known, k: int) -> Iterator[pa.RecordBatch]:
+    """This task's surest rows of each view and label."""
+    best: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+    for batch in batches:
+        fresh = np.array([i not in known.value for i in batch.column("doc_id").to_pylist()], bool)
+        t = text_features(batch.column("text")).astype(np.float32)
+        m = meta_features(batch.column("source"), batch.column("lang"), batch.column("n_chars")).astype(np.float32)
+        both = np.hstack([t, m])[fresh]
+        for view, odds in zip(("text", "meta"), model.value.odds(t.astype(np.float64), m.astype(np.float64))[:2], strict=True):
+            x, o = np.vstack([best[view][0], both]) if view in best else both, np.concatenate([best[view][1], odds[fresh]]) if view in best else odds[fresh]
+            top = surest(o, x, k)
+            best[view] = (x[top], o[top])
+    for view, (x, o) in best.items():
+        yield pa.RecordBatch.from_arrays([pa.array([view] * len(o), pa.string()), pa.array(np.round(o, 6), pa.float64()), pa.array(list(x), pa.list_(pa.float32()))], names=["view", "odds", "x"])
+
+
+def _pseudo_labels(rows: DataFrame, model: Model, ids: list[int], k: int) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """For each view the features and labels of the surest rows of the table by the other view; at most 2 k rows each."""
+    spark = rows.sparkSession
+    found = rows.mapInArrow(partial(_candidates, model=spark.sparkContext.broadcast(model), known=spark.sparkContext.broadcast(frozenset(ids)), k=k), "view string, odds double, x array<float>")
+    found = found.withColumn("label", F.col("odds") > 0).dropDuplicates(["view", "label", "x"])
+    place = F.row_number().over(Window.partitionBy("view", "label").orderBy(F.desc(F.abs("odds")), "x"))  # 2 k rows of a task at most
+    rows_of = found.withColumn("place", place).where(F.col("place") <= k).orderBy("view", "label", "place").collect()
+    out = {}
+    for teacher, pupil in (("text", "meta"), ("meta", "text")):
+        mine = [r for r in rows_of if r["view"] == teacher]
+        if not mine:
+            out[pupil] = None
+            continue
+        x = np.array([r["x"] for r in mine], np.float64)
+        cut = x.shape[1] - _META_SIZE
+        part = x[:, :cut] if pupil == "text" else x[:, cut:]
+        out[pupil] = (part, np.array([float(r["label"]) for r in mine]))
+    return out
+
+
+def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, rounds: int = ROUNDS, per_round: int = PER_ROUND) -> Model | None:
+    """The co-trained model; None if labels has not both kinds, or fewer than eight labelled documents."""
     rows = pick(docs, **_COLUMNS)
     marks = pick(labels, doc_id="long", quality="int").where("doc_id IS NOT NULL AND quality IS NOT NULL")
-    place = F.xxhash64("doc_id")
-    ids = rows.select("doc_id").where("doc_id IS NOT NULL")
-    known = marks.groupBy("doc_id").agg(F.max("quality").alias("quality")).join(ids.distinct(), "doc_id", "left_semi")
-    sample = {r[0]: r[1] for r in known.select("doc_id", "quality", place.alias("p")).orderBy("p").limit(labelled).collect()}
-    others = [r[0] for r in ids.join(marks, "doc_id", "left_anti").select("doc_id", place.alias("p")).distinct().orderBy("p").limit(pool).collect()]
-    if len(set(sample.values())) < 2:
+    ids = rows.select("doc_id").where("doc_id IS NOT NULL").distinct()
+    known = marks.groupBy("doc_id").agg(F.max("quality").alias("quality")).join(ids, "doc_id", "left_semi")
+    sample = {r[0]: r[1] for r in known.select("doc_id", "quality", F.xxhash64("doc_id").alias("p")).orderBy("p").limit(labelled).collect()}
+    if len(sample) < 8 or len({v > 0 for v in sample.values()}) < 2:
         return None
     kept, x = _sampled(rows, list(sample))
-    _, u = _sampled(rows, others) if others else ([], np.empty((0, x.shape[1])))
-    cut = x.shape[1] - 2 * _META - 10
-    return co_train(x[:, :cut], x[:, cut:], np.array([float(sample[i] > 0) for i in kept]), u[:, :cut].reshape(-1, cut), u[:, cut:].reshape(-1, 2 * _META + 10))
+    y = np.array([float(sample[i] > 0) for i in kept])
+    cut = x.shape[1] - _META_SIZE
+    none = {"text": (x[:0, :cut], y[:0]), "meta": (x[:0, cut:], y[:0])}
+    model = fitted(x[:, :cut], x[:, cut:], y, none)
+    for turn in range(rounds):
+        given = _pseudo_labels(rows, model, kept, per_round * (turn + 1))
+        model = fitted(x[:, :cut], x[:, cut:], y, {v: given[v] or none[v] for v in none})
+    return model
 
 
 def _odds(batch: pa.RecordBatch, model: Model | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     if model is None:
-        high = np.full(batch.num_rows, 30.0)
-        return high, high, high
+        unknown = np.zeros(batch.num_rows)
+        return unknown, unknown, unknown
     return model.odds(text_features(batch.column("text")), meta_features(batch.column("source"), batch.column("lang"), batch.column("n_chars")))
 
 
@@ -214,8 +256,8 @@ def _accepted(batches: Iterator[pa.RecordBatch], model, least: float) -> Iterato
 def score_documents(docs: DataFrame, labels: DataFrame, least: float = 0.5) -> DataFrame:
     """doc_id, text_score, meta_score, score (calibrated probabilities of good quality), accepted for every row of docs.
 
-    Nulls count as empty text, empty name or length 0. Without labels of both kinds every score is near 1. Repeated rows are
-    scored each; an empty table gives an empty result; other columns are ignored. No shuffle of texts.
+    Nulls count as empty text, empty name or length 0. Without labels of both kinds nothing is known: every score is 0.5, and with
+    the usual `least` every row is accepted. Repeated rows are scored each; an empty table gives an empty result; other columns are ignored. No shuffle of texts.
     """
     small_batches(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(train(docs, labels))

@@ -231,11 +231,34 @@ def test_quality(spark):
     assert np.mean([r.accepted == (r.doc_id % 3 > 0) for r in got if r.doc_id >= 150]) >= 0.98
     assert {r.doc_id for r in quality.good_documents(docs, labels).collect()} == {r.doc_id for r in got if r.accepted}
     none = quality.score_documents(frame(spark), labels.limit(0)).collect()
-    assert len(none) == len(ODD) + 2 and all(r.accepted for r in none)
+    assert len(none) == len(ODD) + 2 and all(r.accepted and r.score == 0.5 for r in none)
     assert quality.score_documents(frame(spark), labels).count() == len(ODD) + 2
     assert quality.score_documents(frame(spark, []), labels).count() == 0
 
 
+def test_a_round_of_co_training_by_brute_force(spark):
+    rng = np.random.default_rng(9)
+    word = lambda k: " ".join(rng.choice(["stone", "river", "and", "the", "runs", "over", "42", "a-b", "!!"][: 3 + k % 7], 20 + k % 11))
+    rows = [(k, word(k) + ("." if k % 3 else " ###$$$ ||"), "en" if k % 4 else "de", f"s{k % 3}" if k % 5 else "mixed", 90 + k) for k in range(240)]
+    docs = spark.createDataFrame([*rows, *rows[200:210]], "doc_id long, text string, lang string, source string, n_chars long")
+    labels = spark.createDataFrame([(k, int(k % 3 > 0)) for k in range(60)], "doc_id long, quality int")
+    got = quality.train(docs.repartition(5), labels, rounds=1, per_round=15)
+    t = quality.text_features(pa.array([r[1] for r in rows])).astype(np.float32).astype(np.float64)
+    m = quality.meta_features(*(pa.array([r[c] for r in rows]) for c in (3, 2, 4)))
+    order = [r[0] for r in spark.range(60).selectExpr("id", "xxhash64(id) AS p").orderBy("p").collect()]
+    y = np.array([float(k % 3 > 0) for k in order])
+    model = quality.fitted(t[order], m[order], y, {"text": (t[:0], y[:0]), "meta": (m[:0], y[:0])})
+    new = np.arange(60, 240)
+    both = np.hstack([t, m])[new].astype(np.float32)
+    odds_t, odds_m, _ = model.odds(t[new], m[new])
+    top_t, top_m = quality.surest(odds_t, both, 15), quality.surest(odds_m, both, 15)
+    want = quality.fitted(t[order], m[order], y, {"meta": (m[new][top_t], (odds_t[top_t] > 0).astype(float)), "text": (t[new][top_m], (odds_m[top_m] > 0).astype(float))})
+    assert len(top_t) and len(top_m)
+    assert all(np.allclose(a, b, atol=1e-3) for a, b in zip(got.odds(t, m), want.odds(t, m), strict=True))
+    again = quality.train(docs.repartition(2), labels, rounds=1, per_round=15)
+    assert all(np.allclose(a, b, atol=1e-6) for a, b in zip(got.odds(t, m), again.odds(t, m), strict=True))
+
+
 def test_vector_search(spark):
     rng = np.random.default_rng(5)
     x = rng.normal(size=(1500, 24)).astype(np.float32)
