@@ -11,7 +11,7 @@ Equal vectors are indexed once, with their k + 1 smallest ids, so copies do not
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
+from functools import partial, reduce
 from typing import NamedTuple
 
 import numpy as np
@@ -24,13 +24,16 @@ from lociq.llm.common import pick, small_batches, stored
 
 #: Vectors that the codebooks are fitted on: those with the smallest hash of vec_id.
 SAMPLE = 8000
-RERANK = 500
+#: Vectors reranked for each query in a table of RERANK_ROWS; the number grows with the fourth root of the table's rows.
+RERANK, RERANK_ROWS = 500, 50_000
 CENTROIDS, PART = 16, 2
 #: Weighs parallel error as for scores above this share of the norms' product.
 THRESHOLD = 0.2
 QUERY_BLOCK, INDEX_BLOCK = 512, 4096
-#: Query blocks whose best candidates a task holds at a time.
+#: Query blocks of a wave, which are sent to all tasks: 16,384 queries, whose best candidates a task holds at a time.
 OPEN_BLOCKS = 32
+#: Index blocks that a task scans, at least, where there are enough for all cores: it bounds the candidate lists that meet for a query.
+PART_BLOCKS = 256
 
 
 class Codebooks(NamedTuple):
@@ -114,39 +117,35 @@ def _index(batches: Iterator[pa.RecordBatch], books) -> Iterator[pa.RecordBatch]
             yield pa.RecordBatch.from_pydict({"ids": [ids.tobytes()], "codes": [np.ascontiguousarray(packed.T).tobytes()], "norms": [(x**2).sum(axis=1).astype("<f8").tobytes()]}, schema=pa.schema([("ids", pa.binary()), ("codes", pa.binary()), ("norms", pa.binary())]))
 
 
-def _scan(batches: Iterator[pa.RecordBatch], books, rerank: int) -> Iterator[pa.RecordBatch]:
-    """For each query the best `rerank` vectors of this task's blocks, by the sum of table entries."""
-    best: dict[int, list] = {}
-
-    def out() -> Iterator[pa.RecordBatch]:
-        for q_ids, _, scores, ids in best.values():
-            ok = np.isfinite(scores)
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(q_ids, ok.sum(axis=1))), pa.array(ids[ok]), pa.array(scores[ok].astype(np.float64))], names=["query_id", "vid", "near"])
-
+def _scan(batches: Iterator[pa.RecordBatch], books, wave, rerank: int) -> Iterator[pa.RecordBatch]:
+    """For each query of the wave the best `rerank` vectors of this task's part of the index, by the sum of table entries."""
+    best = [[q_ids, books.value.tables(q), np.full((len(q_ids), rerank), -np.inf, np.float32), np.zeros((len(q_ids), rerank), np.int64)] for q_ids, q in wave.value]
     for batch in batches:
         for row in batch.to_pylist():
-            block = row["block"]
-            if block not in best:
-                if len(best) >= OPEN_BLOCKS:
-                    yield from out()
-                    best.clear()
-                q_ids = np.array(row["q_ids"], np.int64)
-                q = np.array(row["q"], np.float64).reshape(len(q_ids), -1)
-                best[block] = [q_ids, books.value.tables(q), np.full((len(q_ids), rerank), -np.inf, np.float32), np.zeros((len(q_ids), rerank), np.int64)]
-            q_ids, tables, scores, ids = best[block]
             new_ids = np.frombuffer(row["ids"], "<i8")
             codes = np.frombuffer(row["codes"], np.uint8).reshape(-1, len(new_ids))
-            near = np.repeat((-np.frombuffer(row["norms"], "<f8") / 2).astype(np.float32)[None], len(q_ids), axis=0)
-            for b in range(len(codes)):
-                near += tables[:, b][:, codes[b]]
-            all_scores = np.hstack([scores, near])
-            all_ids = np.hstack([ids, np.broadcast_to(new_ids, near.shape)])
-            top = np.argpartition(-all_scores, min(rerank, all_scores.shape[1] - 1), axis=1)[:, :rerank]
-            best[block][2:] = [np.take_along_axis(all_scores, top, axis=1), np.take_along_axis(all_ids, top, axis=1)]
-    yield from out()
-
-
-def nearest(vectors: DataFrame, every: int = 100, k: int = 10, rerank: int = RERANK, sample: int = SAMPLE) -> DataFrame:
+            norms = (-np.frombuffer(row["norms"], "<f8") / 2).astype(np.float32)
+            for block in best:
+                q_ids, tables, scores, ids = block
+                near = np.repeat(norms[None], len(q_ids), axis=0)
+                for b in range(len(codes)):
+                    near += tables[:, b][:, codes[b]]
+                all_scores = np.hstack([scores, near])
+                top = np.argpartition(-all_scores, min(rerank, all_scores.shape[1] - 1), axis=1)[:, :rerank]
+                all_ids = np.hstack([ids, np.broadcast_to(new_ids, near.shape)])
+                block[2:] = [np.take_along_axis(all_scores, top, axis=1), np.take_along_axis(all_ids, top, axis=1)]
+    for q_ids, _, scores, ids in best:
+        ok = np.isfinite(scores)
+        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(q_ids, ok.sum(axis=1))), pa.array(ids[ok]), pa.array(scores[ok].astype(np.float64))], names=["query_key", "vid", "near"])
+
+
+def _wave(queries: DataFrame, blocks: list[int]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(keys, vectors) of the queries of each block: OPEN_BLOCKS * QUERY_BLOCK vectors or so."""
+    rows = queries.where(F.col("block").isin(blocks)).select("block", "query_key", "embedding").collect()
+    return [(np.array([r[1] for r in rows if r[0] == b], np.int64), np.array([r[2] for r in rows if r[0] == b], np.float64)) for b in blocks if any(r[0] == b for r in rows)]
+
+
+def nearest(vectors: DataFrame, every: int = 100, k: int = 10, rerank: int | None = None, sample: int = SAMPLE) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest other vectors of each vector whose vec_id is divisible by `every`.
 
     score is the Euclidean distance in double precision; ties go to the smaller vec_id. Rows with a null id, and vectors that are
@@ -171,17 +170,22 @@ def nearest(vectors: DataFrame, every: int = 100, k: int = 10, rerank: int = RER
     queries = stored(rows.where(F.col("vec_id") % every == 0).select(F.xxhash64("vec_id", "embedding").alias("query_key"), F.col("vec_id").alias("query_id"), "embedding"), "vector-queries")
     chosen = np.array([r[0] for r in classes.select("embedding", F.xxhash64("vid").alias("p")).orderBy("p").limit(sample).collect()], np.float64)
     books = spark.sparkContext.broadcast(fit_codebooks(chosen))
-    index = classes.select("vid", "embedding").mapInArrow(partial(_index, books=books), "ids binary, codes binary, norms binary")
+    rerank = rerank or int(RERANK * max(1.0, classes.count() / RERANK_ROWS) ** 0.25)
+    index = stored(classes.select("vid", "embedding").mapInArrow(partial(_index, books=books), "ids binary, codes binary, norms binary"), "vector-index")
+    parts = index.count()
+    parts = max(1, min(parts, max(spark.sparkContext.defaultParallelism, -(-parts // PART_BLOCKS))))
+    index = stored(index.repartition(parts), "vector-index-parts")
 
+    # every query meets every index block (a stated query set against all rows): waves of queries go to the index, which stays where it is
     blocks = max(1, -(-queries.count() // QUERY_BLOCK))
-    some = F.collect_list(F.struct("query_key", "embedding"))
-    packed = queries.withColumn("block", F.pmod("query_key", F.lit(blocks)).cast("int")).groupBy("block").agg(some.alias("s"))
-    packed = packed.select("block", F.col("s.query_key").alias("q_ids"), F.flatten("s.embedding").alias("q"))
-    # every index block meets every query block: a stated query set against all rows
-    met = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).join(packed, "block")
-    scanned = met.mapInArrow(partial(_scan, books=books, rerank=rerank), "query_id long, vid long, near double").withColumnRenamed("query_id", "query_key")
+    dealt = queries.withColumn("block", F.pmod("query_key", F.lit(blocks)).cast("int"))
     place = F.row_number().over(Window.partitionBy("query_key").orderBy(F.desc("near"), "vid"))
-    candidates = scanned.withColumn("place", place).where(F.col("place") <= rerank).select("query_key", "vid")
+    found = []
+    for a in range(0, blocks, OPEN_BLOCKS):
+        wave = spark.sparkContext.broadcast(_wave(dealt, list(range(a, min(blocks, a + OPEN_BLOCKS)))))
+        scanned = index.mapInArrow(partial(_scan, books=books, wave=wave, rerank=rerank), "query_key long, vid long, near double")
+        found.append(stored(scanned.withColumn("place", place).where(F.col("place") <= rerank).select("query_key", "vid"), "vector-candidates"))
+    candidates = reduce(DataFrame.unionByName, found)
     exact = candidates.join(classes, "vid").join(queries.withColumnRenamed("embedding", "q"), "query_key")
     distance = F.sqrt(F.aggregate(F.zip_with("q", "embedding", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x))
     found = exact.select("query_id", "query_key", distance.alias("score"), F.explode("members").alias("vec_id")).where("vec_id <> query_id")
