@@ -12,9 +12,14 @@ _own: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own if it is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own if it is unset in local mode (tests).
+
+    On a cluster a folder of one machine would lose rows in silence, so there the setting is required.
+    """
     where = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         app = spark.sparkContext.applicationId
         if app not in _own:
             _own[app] = "file://" + tempfile.mkdtemp(prefix="lociq-shared-")
