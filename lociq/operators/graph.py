@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from lociq.operators.ranking import global_row_number
 from lociq.storage import stored
 
 
@@ -25,6 +26,10 @@ def jaccard_edges(inc: DataFrame, least: float = 0.3) -> DataFrame:
     return both.withColumn("similarity", F.col("k") / (F.col("na") + F.col("nb") - F.col("k"))).where(F.col("similarity") >= least).select("a", "b", "similarity")
 
 
+#: Edges that a task of a round writes at least, where there are so many.
+EDGES_IN_FILE = 100_000
+
+
 def components(edges: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
     """node, component (the smallest node reached). nodes (a column `node`) adds nodes without edges.
 
@@ -36,11 +41,12 @@ def components(edges: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
     before = None
     while (sign := tuple(now.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first())) != before and sign[0]:
         before = sign
+        few = lambda df: df.coalesce(max(1, -(-sign[0] // EDGES_IN_FILE)))  # noqa: B023, E731  no more files than the edges fill
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
-        large = stored(norm(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))), "edges")
+        large = stored(few(norm(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")))), "edges")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        now = stored(norm(large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))), "edges")
+        now = stored(few(norm(large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))))), "edges")
     found = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
     found = found.unionByName(found.select(F.col("component").alias("node"), "component").distinct())
     if nodes is None:
@@ -205,4 +211,5 @@ def guide_variants(variants: DataFrame) -> DataFrame:
 def assemble_clusters(labels: DataFrame) -> DataFrame:
     """cluster_id (from 0, largest first, then smallest member), size, members of labelled nodes (node, community)."""
     c = labels.groupBy("community").agg(F.count(F.lit(1)).alias("size"), F.array_sort(F.collect_list("node")).alias("members"))
-    return c.select((F.row_number().over(Window.orderBy(F.desc("size"), "community")) - 1).cast("long").alias("cluster_id"), "size", "members")
+    ranked = global_row_number(c, [F.desc("size"), F.col("community")], "k")  # no task ranks all clusters
+    return ranked.select((F.col("k") - 1).alias("cluster_id"), "size", "members")
