@@ -17,7 +17,7 @@ BAND = 1.05
 #: Rows of a band that meet in one task's key; a list's band is cut into parts of about this size.
 PART_ROWS = 1024
 #: The exhaustive step starts when it compares at most this many rows for each row of the lists.
-LINEAR = 4
+LINEAR = 8
 #: Lists in which a class looks for partners in one of the rounds before it; similar classes share many.
 LISTS = 4
 
@@ -86,8 +86,9 @@ def link_lists(posts: DataFrame, verified: Callable[[DataFrame], DataFrame]) ->
     First, neighbours by size in each part and the parts' first rows are paired, which decides lists of two rows. In the rounds
     after it only classes outside their list's main component are paired, each in some of its lists, with classes of other components in
     bands of sizes that fit. A round makes about as many pairs as the lists have rows at most, so each outsider meets the more classes the fewer
-    outsiders are left, and at least twice as many as in the round before. As soon as comparing every outsider with all rows that
-    fit is no more than LINEAR times the lists' rows, or a round finds no link, that is done, and all is decided. No pair is verified twice.
+    outsiders are left, and at least twice as many as in the round before. As soon as one such round is over and comparing every outsider with all
+    rows that fit is no more than LINEAR times the lists' rows, or a round finds no link, that is done, and all is decided. No pair is
+    verified twice.
     """
     heads = posts.where("salt > 0").groupBy("token", "salt").agg(F.min(F.struct("n", "cls", "lo", "hi")).alias("h")).select("token", "h.*")
     tried = stored(_neighbours(posts, ["token", "salt"]).unionByName(_neighbours(heads, ["token"])).distinct(), "pairs")
@@ -106,7 +107,7 @@ def link_lists(posts: DataFrame, verified: Callable[[DataFrame], DataFrame]) ->
         turn += 1
         classes = cells.select("cls_").distinct().count()
         partners = max(2 * partners, rows // min(outside, LISTS * classes))
-        done = all_pairs <= LINEAR * rows or partners >= most or stuck
+        done = (turn > 1 and all_pairs <= LINEAR * rows) or partners >= most or stuck
         met = _met(rest, bands, cells, None if done else partners, turn)
         new = stored(met.join(tried, ["a", "b"], "left_anti"), "pairs")
         tried = tried.unionByName(new)

@@ -128,13 +128,26 @@ def mixed_amounts(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, block_w
 def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, block_words: int = BLOCK_WORDS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     """Whole documents of the mix: each row of docs as often as its taken words fill it, rounded (only one document of a source is cut).
 
-    Rows are matched to their amounts by doc_id, source and size; rows that agree in all three share the larger amount.
+    Rows are matched to their amounts by doc_id, source and size, and rows that agree in all three one by one, so each amount is
+    used once. The columns of docs are kept whatever their names are.
     """
     amounts = mixed_amounts(docs, weights, block_words, max_epochs).where("taken > 0")
-    copies = amounts.groupBy("doc_id", "source", "size").agg(F.max(F.floor(F.col("taken") / F.col("size") + 0.5)).cast("int").alias("copies_")).where("copies_ > 0")
-    copies = copies.select(*[F.col(c).alias(f"{c}_") for c in ("doc_id", "source", "size")], "copies_")
-    cond = F.col("doc_id").eqNullSafe(F.col("doc_id_")) & F.col("source").eqNullSafe(F.col("source_")) & (word_count(F.col("text")) == F.col("size_"))
-    return docs.join(copies, cond).withColumn("copy_", F.explode(F.sequence(F.lit(1), F.col("copies_")))).select(*docs.columns)
+    copies = amounts.select(*_match_keys(F.col("doc_id"), F.col("source"), F.col("size")), F.floor(F.col("taken") / F.col("size") + 0.5).cast("int").alias("copies"))
+    copies = copies.withColumn("turn", F.row_number().over(Window.partitionBy(*_KEYS).orderBy(F.desc("copies")))).where("copies > 0")
+    have = {c.lower(): c for c in docs.columns}
+    get = lambda c, t: F.col("row").getField(have[c]).cast(t) if c in have else F.lit(None).cast(t)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    rows = rows.select("row", *_match_keys(get("doc_id", "long"), get("source", "string"), word_count(get("text", "string"))))
+    rows = rows.where("match_size > 0").withColumn("turn", F.row_number().over(Window.partitionBy(*_KEYS).orderBy(F.xxhash64("row"))))
+    return rows.join(copies, [*_KEYS, "turn"]).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
+
+
+_KEYS = ("match_id", "match_no_id", "match_source", "match_no_source", "match_size")
+
+
+def _match_keys(doc_id: Column, source: Column, size: Column) -> list[Column]:
+    """doc_id, source and size as columns without nulls, so that one shuffle serves both the turns and the join."""
+    return [F.coalesce(doc_id, F.lit(0)).alias(_KEYS[0]), doc_id.isNull().alias(_KEYS[1]), F.coalesce(source, F.lit("")).alias(_KEYS[2]), source.isNull().alias(_KEYS[3]), size.cast("long").alias(_KEYS[4])]
 
 
 ORACLE = """

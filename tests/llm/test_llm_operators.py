@@ -195,6 +195,19 @@ def test_mixing(spark):
     assert mixing.mixed_amounts(docs.limit(0)).count() == 0
 
 
+def test_mixed_documents_with_clashing_columns_and_repeats(spark):
+    text = lambda n: " ".join(f"w{k}" for k in range(n))
+    rows = [(k, text(50 + k), "abc"[k % 3], k, k + 1, "r", 3) for k in range(30)] + [(5, text(55), "c", 70, 71, "r", 3)] * 2 + [(None, text(40), None, 1, 2, "r", 4), (8, None, "a", 5, 5, "r", 4), (9, "x" * 200_000, "b", 9, 9, "r", 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, size long, copies long, row string, turn int")
+    amounts = Counter()
+    for r in mixing.mixed_amounts(docs).collect():
+        amounts[r.doc_id, r.source, r.size] += int(r.taken / r.size + 0.5) if r.size else 0
+    got = mixing.mixed_documents(docs)
+    assert got.columns == docs.columns
+    found = Counter((r.doc_id, r.source, len((r.text or "").split())) for r in got.collect())
+    assert found == +amounts and (8, "a", 0) not in found
+
+
 def test_schedule_is_low_discrepancy(spark):
     docs = spark.createDataFrame([(k, "w " * 100, "ab"[k % 2]) for k in range(200)], "doc_id long, text string, source string")
     _, parts = mixing.mix(docs, block_words=10)
