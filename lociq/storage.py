@@ -36,3 +36,25 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Rounds:
+    """Tables of a loop by name: a round's table is deleted once its successor has been written, so that one of each name stays.
+
+    What reads a superseded table must have been written or collected before its successor comes.
+    """
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.paths = spark, {}
+
+    def next(self, df: DataFrame, name: str) -> DataFrame:
+        path = new_path(self.spark, name)
+        df.write.parquet(path)
+        self.drop(name)
+        self.paths[name] = path
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        for path in [self.paths.pop(n) for n in names if n in self.paths]:
+            where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
