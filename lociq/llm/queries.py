@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lociq.llm.common import table
+from lociq.llm.exponion import ORACLE as CLUSTERS_ORACLE
 from lociq.llm.mixing import ORACLE as MIXING_ORACLE
 
 
@@ -76,6 +77,12 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lociq.llm.exponion import clusters
+
+    return clusters(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_token_counts": op2_token_counts,
@@ -87,5 +94,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_extract": op8_html_extract,
     "op9_media_copies": op9_media_copies,
     "op10_token_store": op10_token_store,
+    "op11_centroid_clusters": op11_centroid_clusters,
 }
-ORACLES: dict[str, str] = {"op1_mixing": MIXING_ORACLE}
+ORACLES: dict[str, str] = {"op1_mixing": MIXING_ORACLE, "op11_centroid_clusters": CLUSTERS_ORACLE}
