@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lociq.llm.common import table
 from lociq.llm.exponion import ORACLE as CLUSTERS_ORACLE
 from lociq.llm.mixing import ORACLE as MIXING_ORACLE
+from lociq.llm.secret_scan import ORACLE as SECRETS_ORACLE
 
 
 def tokenizer_path(name: str) -> str:
@@ -83,6 +84,12 @@ def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clusters(table(spark, sf_dir, "embeddings"))
 
 
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lociq.llm.secret_scan import secret_digests
+
+    return secret_digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_token_counts": op2_token_counts,
@@ -95,5 +102,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_media_copies": op9_media_copies,
     "op10_token_store": op10_token_store,
     "op11_centroid_clusters": op11_centroid_clusters,
+    "op12_secret_scan": op12_secret_scan,
 }
-ORACLES: dict[str, str] = {"op1_mixing": MIXING_ORACLE, "op11_centroid_clusters": CLUSTERS_ORACLE}
+ORACLES: dict[str, str] = {"op1_mixing": MIXING_ORACLE, "op11_centroid_clusters": CLUSTERS_ORACLE, "op12_secret_scan": SECRETS_ORACLE}
