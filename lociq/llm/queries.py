@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lociq.llm.common import table
+from lociq.llm.divergence import ORACLE as AUDIT_ORACLE
 from lociq.llm.exponion import ORACLE as CLUSTERS_ORACLE
 from lociq.llm.mixing import ORACLE as MIXING_ORACLE
 from lociq.llm.secret_scan import ORACLE as SECRETS_ORACLE
@@ -90,6 +91,12 @@ def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digests(table(spark, sf_dir, "documents"))
 
 
+def op13_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lociq.llm.divergence import source_audit
+
+    return source_audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_token_counts": op2_token_counts,
@@ -103,5 +110,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_token_store": op10_token_store,
     "op11_centroid_clusters": op11_centroid_clusters,
     "op12_secret_scan": op12_secret_scan,
+    "op13_source_audit": op13_source_audit,
+}
+ORACLES: dict[str, str] = {
+    "op1_mixing": MIXING_ORACLE,
+    "op11_centroid_clusters": CLUSTERS_ORACLE,
+    "op12_secret_scan": SECRETS_ORACLE,
+    "op13_source_audit": AUDIT_ORACLE,
 }
-ORACLES: dict[str, str] = {"op1_mixing": MIXING_ORACLE, "op11_centroid_clusters": CLUSTERS_ORACLE, "op12_secret_scan": SECRETS_ORACLE}
