@@ -1,13 +1,13 @@
-"""Families, Jaccard graph, connected components, communities, variants."""
+"""Families, connected components, communities, variants."""
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lociq.operators.ranking import global_row_number
+from lociq.operators.similarity import joined_strings
 from lociq.storage import stored
 
 
@@ -16,16 +16,6 @@ def incidence(members: DataFrame) -> DataFrame:
     return members.select("is_id", "family").where("is_id IS NOT NULL AND family IS NOT NULL").distinct()
 
 
-def jaccard_edges(inc: DataFrame, least: float = 0.3) -> DataFrame:
-    """a < b, similarity of elements that share families; only pairs with a common family are met."""
-    sizes = inc.groupBy("is_id").agg(F.count(F.lit(1)).alias("n"))
-    sized = inc.join(sizes, "is_id")
-    left, right = sized.select(F.col("is_id").alias("a"), "family", F.col("n").alias("na")), sized.select(F.col("is_id").alias("b"), "family", F.col("n").alias("nb"))
-    ratio_ok = F.least("na", "nb") >= F.lit(least) * F.greatest("na", "nb")  # else even full containment is too little
-    both = left.join(right, "family").where((F.col("a") < F.col("b")) & ratio_ok).groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("k"))
-    return both.withColumn("similarity", F.col("k") / (F.col("na") + F.col("nb") - F.col("k"))).where(F.col("similarity") >= least).select("a", "b", "similarity")
-
-
 #: Edges that a task of a round writes at least, where there are so many.
 EDGES_IN_FILE = 100_000
 
@@ -54,70 +44,6 @@ def components(edges: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
     return nodes.select("node").distinct().join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
 
-def modularity(edges: list[tuple[int, int, float]], label: list[int], resolution: float = 1.0) -> float:
-    total = sum(w for _, _, w in edges)
-    inside: dict[int, float] = {}
-    degree: dict[int, float] = {}
-    for a, b, w in edges:
-        degree[label[a]] = degree.get(label[a], 0) + w
-        degree[label[b]] = degree.get(label[b], 0) + w
-        if label[a] == label[b]:
-            inside[label[a]] = inside.get(label[a], 0) + w
-    return sum(inside.get(c, 0) / total - resolution * (d / (2 * total)) ** 2 for c, d in degree.items()) if total else 0.0
-
-
-def louvain(n: int, edges: list[tuple[int, int, float]], resolution: float = 1.0, seed: int = 42) -> list[int]:
-    """Community of each of n nodes: local moves that raise modularity, then the same on the graph of communities."""
-    rng = np.random.default_rng(seed)
-    own = list(range(n))
-    graph: list[dict[int, float]] = [{} for _ in range(n)]
-    loops = [0.0] * n
-    for a, b, w in edges:
-        graph[a][b] = graph[a].get(b, 0) + w
-        graph[b][a] = graph[b].get(a, 0) + w
-    total = sum(w for _, _, w in edges)
-    while total:
-        size = len(graph)
-        degree = [sum(g.values()) + 2 * x for g, x in zip(graph, loops, strict=True)]
-        community, weight = list(range(size)), degree[:]
-        moved = any_move = True
-        any_move = False
-        while moved:
-            moved = False
-            for v in rng.permutation(size).tolist():
-                near: dict[int, float] = {}
-                for u, w in graph[v].items():
-                    near[community[u]] = near.get(community[u], 0) + w
-                old = community[v]
-                weight[old] -= degree[v]
-                gain = lambda c: near.get(c, 0) - resolution * weight[c] * degree[v] / (2 * total)  # noqa: B023, E731
-                best = max(sorted(near), key=gain, default=old)
-                if gain(best) <= gain(old) + 1e-12:
-                    best = old
-                weight[best] += degree[v]
-                if best != old:
-                    community[v], moved, any_move = best, True, True
-        if not any_move:
-            break
-        names = {c: k for k, c in enumerate(sorted(set(community)))}
-        merged: list[dict[int, float]] = [{} for _ in names]
-        inner = [0.0] * len(names)
-        for v in range(size):
-            c = names[community[v]]
-            inner[c] += loops[v]
-            for u, w in graph[v].items():
-                if u > v:
-                    d = names[community[u]]
-                    if c == d:
-                        inner[c] += w
-                    else:
-                        merged[c][d] = merged[c].get(d, 0) + w
-                        merged[d][c] = merged[d].get(c, 0) + w
-        own = [names[community[c]] for c in own]
-        graph, loops = merged, inner
-    return own
-
-
 #: Steps of modularity smaller than this count as none; sums of floating-point numbers differ by less.
 LEAST_GAIN = 1e-9
 #: Similarities are summed as whole numbers of this size, so that sums do not depend on their order.
@@ -188,16 +114,9 @@ def communities(edges: DataFrame, nodes: DataFrame, resolution: float = 1.0, see
     return nodes.select("node").distinct().join(named, "node", "left").select("node", F.coalesce("least", "node").alias("community"))
 
 
-def edit_distance_pairs(members: DataFrame, limit: int = 10) -> DataFrame:
-    """cluster, a < b, distance of members of a cluster whose seq differ by at most `limit` edits."""
-    x, y = (members.select("cluster", F.col("is_id").alias(i), F.col("seq").alias(f"s{i}")) for i in ("a", "b"))
-    pairs = x.join(y, "cluster").where((F.col("a") < F.col("b")) & (F.abs(F.length("sa") - F.length("sb")) <= limit))
-    return pairs.withColumn("distance", F.levenshtein("sa", "sb", limit)).where("distance >= 0").select("cluster", "a", "b", "distance")
-
-
 def flank_variants(members: DataFrame, limit: int = 10) -> DataFrame:
     """cluster, is_id, l1 (smallest member of its variant): single linkage at `limit` edits. is_id is unique over clusters."""
-    found = components(edit_distance_pairs(members, limit), members.select(F.col("is_id").alias("node")))
+    found = components(joined_strings(members, limit), members.select(F.col("is_id").alias("node")))
     return members.select("cluster", "is_id").join(found.select(F.col("node").alias("is_id"), F.col("component").alias("l1")), "is_id")
 
 

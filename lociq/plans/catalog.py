@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lociq.functions import sequence as fs
-from lociq.operators import backjump, batches, graph, guides, hits, junctions, nesting, orfs, ranking
+from lociq.operators import backjump, batches, graph, guides, hits, junctions, nesting, orfs, ranking, similarity
 from lociq.plans.fixtures import Tables, oracle
 from lociq.storage import stored
 
@@ -100,7 +100,7 @@ def sample_from_filename(t: Tables) -> DataFrame:
 @query("""WITH m AS (SELECT sample_id AS cluster, is_id, concat(left(sequence, 80), right(sequence, 80)) AS seq FROM elem)
 SELECT x.cluster, x.is_id AS a, y.is_id AS b, levenshtein(x.seq, y.seq)::BIGINT AS distance FROM m x JOIN m y ON x.cluster = y.cluster AND x.is_id < y.is_id WHERE levenshtein(x.seq, y.seq) <= 10""", "elem")
 def levenshtein_pairs(t: Tables) -> DataFrame:
-    return graph.edit_distance_pairs(_members(t)).select("cluster", "a", "b", F.col("distance").cast("long").alias("distance"))
+    return similarity.edit_distance_pairs(_members(t)).select("cluster", "a", "b", F.col("distance").cast("long").alias("distance"))
 
 
 def _members(t: Tables) -> DataFrame:
@@ -351,25 +351,25 @@ JOIN n x ON e.a = x.is_id JOIN n y ON e.b = y.is_id WHERE k / (x.n + y.n - k)::D
 
 @query(f"WITH {_EDGES} SELECT * FROM edges", "inc")
 def jaccard_edges(t: Tables) -> DataFrame:
-    return graph.jaccard_edges(graph.incidence(t.inc))
+    return similarity.jaccard_edges(graph.incidence(t.inc))
 
 
 @query(f"""WITH RECURSIVE {_EDGES}, both_ways AS (SELECT a AS u, b AS v FROM edges UNION SELECT b, a FROM edges),
 reach(node, seen) AS (SELECT DISTINCT is_id, is_id FROM inc UNION SELECT r.node, w.v FROM reach r JOIN both_ways w ON r.seen = w.u)
 SELECT node, min(seen) AS component FROM reach GROUP BY node""", "inc")
 def components(t: Tables) -> DataFrame:
-    e = graph.jaccard_edges(graph.incidence(t.inc))
+    e = similarity.joined_sets(graph.incidence(t.inc))
     return graph.components(e, t.inc.select(F.col("is_id").alias("node")))
 
 
 @query()
 def louvain_communities(t: Tables) -> DataFrame:
-    return graph.communities(graph.jaccard_edges(graph.incidence(t.inc)), t.inc.select(F.col("is_id").alias("node")))
+    return graph.communities(similarity.jaccard_edges(graph.incidence(t.inc)), t.inc.select(F.col("is_id").alias("node")))
 
 
 @query()
 def system_clusters(t: Tables) -> DataFrame:
-    labels = graph.communities(graph.jaccard_edges(graph.incidence(t.inc)), t.inc.select(F.col("is_id").alias("node")))
+    labels = graph.communities(similarity.jaccard_edges(graph.incidence(t.inc)), t.inc.select(F.col("is_id").alias("node")))
     return graph.assemble_clusters(labels).withColumn("members", F.array_join(F.col("members").cast("array<string>"), ","))
 
 
