@@ -1,115 +1,163 @@
-"""Short alignments between flanks and noncoding regions (guides)."""
+"""Short alignments between flanks and noncoding regions (guides), by column expressions alone.
 
-from __future__ import annotations
+A noncoding stretch is cut into short pieces, so that a window costs no walk from the stretch's first letter. Windows that the flank holds, read
+either way, become seeds; a seed's row has all that it grows by, and only finished hits are shuffled, by key and orientation.
+"""
 
-from collections.abc import Iterator
+from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_PAIR = str.maketrans("ACGTacgt", "TGCAtgca")
+from lociq.functions.sequence import revcomp
+
+FORWARD, REVERSE = "forward", "reverse_complement"
+#: Windows in a piece of a stretch, and pieces in a block of it.
+PIECE, PIECES = 64, 64
 
 
-def _windows(text: str, k: int) -> np.ndarray:
-    """All k-mers of a text as fixed-width strings."""
-    raw = np.frombuffer(text.encode("utf-32-le"), "<u4")
-    if len(raw) < k:
-        return np.empty(0, f"<U{k}")
-    return np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(raw, k)).view(f"<U{k}").ravel()
+def _held(df: DataFrame, **columns: Column) -> DataFrame:
+    """df with columns set that are computed once for each row: expressions that use them are not merged with theirs."""
+    kept = [c for c in df.columns if c not in columns]
+    return df.select(*kept, F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
 
 
-def seeds_of(a: str, b: str, k: int) -> list[tuple[int, bool, int]]:
-    """(place in a, whether reverse complement, place in b) of the common k-mers, as a scan over a, both orientations, and b meets them."""
-    mine, theirs = _windows(a, k), _windows(b, k)
-    if not len(mine) or not len(theirs):
-        return []
-    order = np.argsort(theirs, kind="stable")
-    placed = theirs[order]
-    out = []
-    for rc in (False, True):
-        asked = _windows(a.translate(_PAIR)[::-1], k)[::-1] if rc else mine
-        lo, hi = np.searchsorted(placed, asked, "left"), np.searchsorted(placed, asked, "right")
-        out += [(i, rc, j) for i in np.flatnonzero(hi > lo).tolist() for j in order[lo[i] : hi[i]].tolist()]
-    return sorted(out)
+def _seeds(pairs: DataFrame, k: int, keep_first: bool) -> DataFrame:
+    """key, a, b, i, j, rc, base of windows of k letters; with keep_first a forward one only where its run of equal letters begins.
+
+    b and j are the part of the stretch that a hit can reach (as far as the flank is long) and the window's place in it; it begins at base.
+    """
+    size = PIECE * PIECES
+    work = _held(pairs.select("key", "flank_seq", "nc_seq"), a=F.upper("flank_seq"), b=F.upper("nc_seq"))  # made once, whatever made the sequences
+    work = _held(work.where(f"length(a) >= {k} AND length(b) >= {k}").select("key", "a", "b"), ra=revcomp(F.col("a")), last=F.length("b") - k)
+    work = work.withColumn("g", F.explode(F.expr(f"sequence(0, last div {size})")))
+    work = _held(work, g=F.expr(f"cast(g * {size} AS int)"), off=F.expr(f"cast(greatest(g * {size} - length(a), 0) AS int)"), m=F.length("a"))
+    work = _held(work, block=F.expr(f"concat(' ', substr(b, off + 1, {size + k} + 2 * m))")).drop("b")  # after the letter before its first one
+    work = work.withColumn("c", F.explode(F.expr(f"sequence(0, least({PIECES - 1}, (last - g) div {PIECE}))")))
+    work = work.withColumn("at", F.expr(f"cast(g + c * {PIECE} AS int)")).withColumn("piece", F.expr(f"substr(block, at - off + 1, {PIECE + k})"))
+    work = work.withColumn("o", F.explode(F.expr(f"sequence(0, length(piece) - {k + 1})"))).withColumn("w", F.expr(f"substr(piece, o + 2, {k})"))
+    work = work.where("contains(a, w) OR contains(ra, w)").withColumn("j", F.expr("at + o"))
+    work = work.withColumn("i", F.explode(F.expr(f"sequence(0, m - {k})")))
+    ahead = f"substr(a, i + 1, {k}) = w" + (" AND (i = 0 OR j = 0 OR substr(a, i, 1) <> substr(piece, o + 1, 1))" if keep_first else "")
+    back = f"substr(ra, m - {k} - i + 1, {k}) = w"
+    found = work.withColumn("rc", F.explode(F.expr(f"array(if({ahead}, false, null), if({back}, true, null))"))).where("rc IS NOT NULL")
+    local = F.expr(f"substr(block, j - off + 2 - least(j, m), least(j, m) + m + {k})").alias("b")
+    return found.select("key", "a", local, "i", F.expr("least(j, m)").alias("j"), "rc", F.expr("j - least(j, m)").alias("base"))
 
 
 def guide_seeds(pairs: DataFrame, k: int = 9) -> DataFrame:
     """key, pos1, pos2, orientation of the exact k-mer matches, forward and reverse complement, of columns flank_seq and nc_seq of each key.
 
-    A row holds both sequences, so matches are found within it and nothing is shuffled.
+    A row holds both sequences, so matches are found within it and nothing is shuffled. Nulls and sequences below k letters give none.
     """
+    return _seeds(pairs, k, False).select("key", F.col("i").alias("pos1"), (F.col("base") + F.col("j")).alias("pos2"), F.when(F.col("rc"), REVERSE).otherwise(FORWARD).alias("orientation"))
 
-    def find(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            found = [(key, i, j, "reverse_complement" if rc else "forward") for key, a, b in pdf.itertuples(index=False) for i, rc, j in seeds_of(a or "", b or "", k)]
-            yield pd.DataFrame(found, columns=["key", "pos1", "pos2", "orientation"])
 
-    kind = dict(pairs.dtypes)["key"]
-    work = pairs.select("key", F.upper("flank_seq").alias("a"), F.upper("nc_seq").alias("b"))
-    return work.mapInPandas(find, f"key {kind}, pos1 int, pos2 int, orientation string")
+def tiered(length: Column, mismatches: Column, allowed: int = 1, exact: int = 9, inexact: int = 12) -> Column:
+    """Whether a hit is long enough for its mismatches."""
+    return ((mismatches == 0) & (length >= exact)) | ((mismatches <= allowed) & (length >= inexact))
 
 
-def tiered(length: Column, mismatches: Column, exact: int = 9, inexact: int = 12) -> Column:
-    return ((mismatches == 0) & (length >= exact)) | ((mismatches <= 1) & (length >= inexact))
+def _alike(x: Column, y: Column) -> Column:
+    """Length of the common beginning of two texts of one length."""
+    at = F.array_position(F.zip_with(F.split(x, ""), F.split(y, ""), lambda p, q: p.eqNullSafe(q)), F.lit(False))
+    return F.when((F.length(x) == 0) | (F.length(y) == 0), 0).when(at == 0, F.length(x)).otherwise(at - 1).cast("int")
 
 
-def extend(a: str, b: str, i: int, j: int, n: int, forward: bool, allowed: int = 1) -> tuple[int, int, int, list[int]]:
-    """(pos1, pos2, length, mismatch positions) after growing a seed right, then left, while at most `allowed` mismatches arise.
+def _grown_forward(hit: DataFrame, allowed: int) -> DataFrame:
+    """Runs of equal letters: to the right over up to `allowed` mismatches, then to the left over those that are left.
 
-    Both ends move alike in both orientations, so a reverse-complement match loses its register when it grows.
+    Places do not move against each other, so all seeds of a run grow to the same hit.
     """
-    if forward:  # places do not move against each other, so each step adds one comparison
-        bad: list[int] = []
-        while i + n < len(a) and j + n < len(b) and (a[i + n] == b[j + n] or len(bad) < allowed):
-            if a[i + n] != b[j + n]:
-                bad.append(i + n)
-            n += 1
-        while i and j and (a[i - 1] == b[j - 1] or len(bad) < allowed):
-            i, j, n = i - 1, j - 1, n + 1
-            if a[i] != b[j]:
-                bad.append(i)
-        return i, j, n, sorted(p - i for p in bad)
-
-    def wrong(i: int, j: int, n: int) -> list[int]:
-        return [k for k, (p, q) in enumerate(zip(a[i : i + n], b[j : j + n].translate(_PAIR)[::-1])) if p != q]
-
-    while i + n < len(a) and j + n < len(b) and len(wrong(i, j, n + 1)) <= allowed:
-        n += 1
-    while i and j and len(wrong(i - 1, j - 1, n + 1)) <= allowed:
-        i, j, n = i - 1, j - 1, n + 1
-    return i, j, n, wrong(i, j, n)
+    room = lambda n: F.least(F.length("a") - F.col("i") - n, F.length("b") - F.col("j") - n)
+    end = lambda n: [F.substr(F.col(t), F.col(at) + n + 1, room(n)) for t, at in (("a", "i"), ("b", "j"))]
+    ahead = ~F.col("rc")
+    hit = _held(hit, n=F.when(ahead, F.col("n") + _alike(*end(F.col("n")))).otherwise(F.col("n")))
+    for _ in range(allowed):
+        more = ahead & (F.col("i") + F.col("n") < F.length("a")) & (F.col("j") + F.col("n") < F.length("b"))
+        longer = F.col("n") + 1 + _alike(*end(F.col("n") + 1))
+        hit = _held(hit, bad=F.when(more, F.array_append("bad", F.col("i") + F.col("n"))).otherwise(F.col("bad")), n=F.when(more, longer).otherwise(F.col("n")))
+    for _ in range(allowed):
+        more = ahead & (F.size("bad") < allowed) & (F.col("i") > 0) & (F.col("j") > 0)
+        room_left = F.least("i", "j") - 1
+        before = [F.reverse(F.substr(F.col(t), F.col(at) - room_left, room_left)) for t, at in (("a", "i"), ("b", "j"))]
+        hit = _held(hit, step=F.when(more, 1 + _alike(*before)).otherwise(0))
+        bad = F.when(F.col("step") > 0, F.array_append("bad", F.col("i") - 1)).otherwise(F.col("bad"))
+        hit = _held(hit, bad=bad, **{c: F.col(c) - F.col("step") for c in ("i", "j")}, n=F.col("n") + F.col("step"))
+    return _held(hit, bad=F.array_sort(F.transform("bad", lambda p: p - F.col("i"))))
+
+
+def _grown_reverse(hit: DataFrame, allowed: int) -> DataFrame:
+    """Reverse-complement seeds: to the right and then to the left while at most `allowed` letters differ.
+
+    Both ends move alike, as in the forward case, so a match loses its register when it grows, and each step compares anew.
+    """
+    letters = lambda i, j, n: (f"substr(a, {i} + 1, {n})", f"substr(rb, length(b) - ({j}) - ({n}) + 1, {n})")
+    unlike = lambda i, j, n: "zip_with(split({}, ''), split({}, ''), (p, q) -> p <> q)".format(*letters(i, j, n))
+    few = lambda i, j, n: f"size(filter({unlike(i, j, n)}, z -> z)) <= {allowed}"
+    grow = lambda room, i, j, n: f"aggregate(sequence(1, 1 + {room}), struct(0 AS s, true AS go), (x, t) -> if(x.go AND t <= {room} AND {few(i, j, n)}, struct(x.s + 1 AS s, true AS go), struct(x.s AS s, false AS go)), x -> x.s)"
+    hit = _held(hit, rb=F.when(F.col("rc"), revcomp(F.col("b"))))
+    hit = _held(hit, n=F.expr("if(rc, n + " + grow("greatest(0, least(length(a) - i, length(b) - j) - n)", "i", "j", "n + x.s + 1") + ", n)"))
+    hit = _held(hit, l=F.expr("if(rc, " + grow("least(i, j)", "(i - x.s - 1)", "(j - x.s - 1)", "n + x.s + 1") + ", 0)"))
+    hit = _held(hit, **{c: F.col(c) - F.col("l") for c in ("i", "j")}, n=F.col("n") + F.col("l"))
+    return _held(hit, bad=F.expr(f"if(rc, transform(filter(transform({unlike('i', 'j', 'n')}, (d, t) -> struct(d AS d, t AS t)), z -> z.d), z -> z.t), bad)"))
+
+
+def dealt(pairs: DataFrame, parts: int) -> DataFrame:
+    """pairs dealt to so many tasks by key: for tables of fewer splits than cores, as windows cost far more time than their bytes tell."""
+    return pairs.repartition(parts, "key")
 
 
 def guide_hits(pairs: DataFrame, k: int = 9, allowed: int = 1, exact: int = 9, inexact: int = 12) -> DataFrame:
-    """Hits of each key: seeds, growth, the length rule of `tiered`, and a greedy choice of hits that do not overlap on both sides.
+    """Hits of each key: seeds, growth, the length rule of `tiered`, and a greedy choice of hits of an orientation that do not overlap on both sides.
 
-    Longer hits come first, then those with fewer mismatches, then the order of seeds. A key's two sequences hold all that its hits depend on,
-    so nothing is shuffled; `guide_seeds` gives the seeds alone.
+    Longer hits come first, then those with fewer mismatches, then the order of seeds. key may be of any type that can be grouped, also a
+    struct. Nulls and sequences below k letters give no hits. Seeds that grow to one hit are met as one, so the choice walks
+    over the different hits of a key and orientation.
+    """
+    seeds = _seeds(pairs, k, True).withColumns({"i0": F.col("i"), "j0": F.col("j"), "n": F.lit(k), "bad": F.array().cast("array<int>")})
+    hits = _grown_reverse(_grown_forward(seeds, allowed), allowed).where(tiered(F.col("n"), F.size("bad"), allowed, exact, inexact))
+    hits = hits.select("key", "rc", "i", (F.col("base") + F.col("j")).alias("j"), "n", "bad", "i0", (F.col("base") + F.col("j0")).alias("j0"), F.expr("substr(a, i + 1, n)").alias("x"), F.expr("substr(b, j + 1, n)").alias("y"))
+    hits = hits.groupBy("key", "rc", "i", "j", "n").agg(F.min(F.struct("i0", "j0")).alias("seed"), F.first("bad").alias("bad"), F.first("x").alias("x"), F.first("y").alias("y"))
+    ordered = F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("first"), F.size("bad").alias("wrong"), "seed", "i", "j", "n", "bad", "x", "y"))).alias("h")
+    each = hits.groupBy("key", "rc").agg(ordered)
+    meet = "exists(kept, o -> h.i < o.i + o.n AND o.i < h.i + h.n AND h.j < o.j + o.n AND o.j < h.j + h.n)"
+    chosen = each.select("key", "rc", F.explode(F.expr(f"aggregate(h, slice(h, 1, 0), (kept, h) -> if({meet}, kept, array_append(kept, h)))")).alias("h"))
+    long = lambda c: F.col(f"h.{c}").cast("long")
+    return chosen.select(
+        "key", long("i").alias("pos_in_flanking"), long("j").alias("pos_in_noncoding"), long("n").alias("length"), F.when(F.col("rc"), REVERSE).otherwise(FORWARD).alias("orientation"),
+        F.col("h.wrong").alias("mismatches"), F.col("h.bad").alias("mismatch_positions"), F.col("h.x").alias("seq_flanking"), F.col("h.y").alias("seq_noncoding"),
+    )
+
+
+def region_pairs(records: DataFrame) -> DataFrame:
+    """key (is_id, flanking_source, noncoding_region_index, ...), flank_seq, nc_seq: each noncoding region of an element with each of its flanks.
+
+    records follows schemas.RECORD; regions are 1-based and inclusive, their index counts from 0. Empty flanks and regions are left out.
     """
-    work = pairs.select("key", F.upper("flank_seq").alias("a"), F.upper("nc_seq").alias("b"))
-
-    def grow(frames):
-        for pdf in frames:
-            out = []
-            for key, a, b in pdf.itertuples(index=False):
-                hits, met = [], set()
-                for p, rc, q in seeds_of(a or "", b or "", k):
-                    i, j, n, wrong = extend(a, b, p, q, k, not rc, allowed)
-                    if (i, j, n, rc) not in met and ((not wrong and n >= exact) or (len(wrong) <= allowed and n >= inexact)):
-                        met.add((i, j, n, rc))  # seeds of one hit grow to the same place
-                        hits.append((i, j, n, wrong, rc))
-                kept: list = []
-                for h in sorted(hits, key=lambda h: (-h[2], len(h[3]))):
-                    if not any(h[4] == o[4] and h[0] < o[0] + o[2] and o[0] < h[0] + h[2] and h[1] < o[1] + o[2] and o[1] < h[1] + h[2] for o in kept):
-                        kept.append(h)
-                for i, j, n, wrong, rc in sorted(kept, key=lambda h: (h[0], h[1])):
-                    out.append((key, i, j, n, "reverse_complement" if rc else "forward", len(wrong), wrong, a[i : i + n], b[j : j + n]))
-            yield pd.DataFrame(out, columns=["key", "pos_in_flanking", "pos_in_noncoding", "length", "orientation", "mismatches", "mismatch_positions", "seq_flanking", "seq_noncoding"])
-
-    kind = dict(pairs.dtypes)["key"]
-    return work.mapInPandas(grow, f"key {kind}, pos_in_flanking long, pos_in_noncoding long, length long, orientation string, mismatches int, mismatch_positions array<int>, seq_flanking string, seq_noncoding string")
+    flanks = F.array(*[F.struct(F.lit(s).alias("source"), F.col(f"flanking_{s}.sequence").alias("seq")) for s in ("upstream", "downstream")])
+    rows = records.select("is_id", F.col("is_element.sequence").alias("seq"), flanks.alias("flanks"), F.posexplode("orf_annotation.noncoding_regions").alias("index", "r"))
+    rows = rows.select("is_id", "index", "r", F.expr("substring(seq, cast(greatest(r.start, 1) AS int), cast(r.`end` - greatest(r.start, 1) + 1 AS int))").alias("nc_seq"), F.explode("flanks").alias("f"))
+    key = F.struct("is_id", F.col("f.source").alias("flanking_source"), F.col("index").alias("noncoding_region_index"), F.col("r.type").alias("noncoding_region_type"), F.col("r.start").alias("noncoding_start"), F.col("r.end").alias("noncoding_end"))
+    return rows.where("f.seq <> '' AND nc_seq <> ''").select(key.alias("key"), F.col("f.seq").alias("flank_seq"), "nc_seq")
+
+
+def record_guides(records: DataFrame, **how) -> DataFrame:
+    """is_id, and the columns of a record's guide_hits, of each hit between a noncoding region and a flank of its element."""
+    return guide_hits(region_pairs(records), **how).select("key.*", *[c for c in ("pos_in_flanking", "pos_in_noncoding", "length", "orientation", "mismatches", "mismatch_positions", "seq_flanking", "seq_noncoding")])
+
+
+def with_guides(records: DataFrame, **how) -> DataFrame:
+    """records with their guide_hits (by region, flank and place) and guide_summary; empty and zero for elements without hits."""
+    found = record_guides(records, **how)
+    fields = [c for c in found.columns if c != "is_id"]
+    turn = F.struct("noncoding_region_index", (F.col("flanking_source") != "upstream").alias("turn"), "pos_in_flanking", "pos_in_noncoding", "orientation", F.struct(*fields).alias("hit"))
+    lists = found.groupBy("is_id").agg(F.transform(F.array_sort(F.collect_list(turn)), lambda x: x.hit).alias("guide_hits"))
+    summary = guide_summary(found.withColumn("key", F.col("is_id")), records.select(F.col("is_id").alias("key")))
+    summary = summary.select(F.col("key").alias("is_id"), F.struct(F.col("n_hits").cast("long").alias("n_hits"), "best_length", "has_revcomp_hit").alias("guide_summary"))
+    out = records.drop("guide_hits", "guide_summary").join(lists, "is_id", "left").join(summary, "is_id", "left")
+    kind = dict(lists.dtypes)["guide_hits"]
+    return out.withColumn("guide_hits", F.coalesce("guide_hits", F.array().cast(kind)))
 
 
 def guide_summary(hits: DataFrame, keys: DataFrame) -> DataFrame:

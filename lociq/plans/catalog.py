@@ -395,7 +395,9 @@ def l2_variants(t: Tables) -> DataFrame:
 
 def _pairs(t: Tables) -> DataFrame:
     f = t.flanked
-    return f.selectExpr("concat(is_id, ':up') AS key", "up AS flank_seq", "nc AS nc_seq").unionByName(f.selectExpr("concat(is_id, ':down') AS key", "down AS flank_seq", "nc AS nc_seq")).where("flank_seq <> '' AND nc_seq <> ''")
+    both = f.selectExpr("is_id", "nc AS nc_seq", "inline(array(struct(':up' AS side, up AS flank_seq), struct(':down' AS side, down AS flank_seq)))")
+    pairs = both.where("flank_seq <> '' AND nc_seq <> ''").selectExpr("concat(is_id, side) AS key", "flank_seq", "nc_seq")
+    return guides.dealt(pairs, 4 * t.spark.sparkContext.defaultParallelism)
 
 
 @query("""WITH p AS (SELECT concat(is_id, ':up') AS key, left(sequence, 80) AS a, substring(sequence, 81, greatest(length(sequence) - 160, 0)) AS b FROM elem UNION ALL SELECT concat(is_id, ':down'), right(sequence, 80), substring(sequence, 81, greatest(length(sequence) - 160, 0)) FROM elem),
@@ -406,17 +408,62 @@ def guide_seeds(t: Tables) -> DataFrame:
     return guides.guide_seeds(_pairs(t)).select("key", F.col("pos1").cast("long").alias("pos1"), F.col("pos2").cast("long").alias("pos2"), "orientation")
 
 
-@query()
+# Growth and choice in SQL: letters of a seed's diagonal are compared one by one; the choice folds over a key's sorted hits.
+_GUIDES = """g AS (SELECT key, orientation, i, least(j, length(a)) AS j, j - least(j, length(a)) AS base, a, substr(b, j - least(j, length(a)) + 1, least(j, length(a)) + length(a) + 9) AS b FROM (
+  SELECT key, pos1 AS i, pos2 AS j, 'forward' AS orientation FROM x JOIN y USING (key, kmer)
+  UNION ALL SELECT key, pos1, pos2, 'reverse_complement' FROM (SELECT key, pos1, reverse(translate(kmer, 'ACGT', 'TGCA')) AS kmer FROM x) JOIN y USING (key, kmer)) JOIN pairs USING (key)),
+fr AS (SELECT *, list_filter(range(9, least(length(a) - i, length(b) - j)), lambda t: a[i + t + 1] <> b[j + t + 1]) AS r, list_filter(range(1, least(i, j) + 1), lambda t: a[i - t + 1] <> b[j - t + 1]) AS l
+  FROM g WHERE orientation = 'forward' AND (i = 0 OR j = 0 OR a[i] <> b[j])),
+fm AS (SELECT *, CASE WHEN len(r) > 0 THEN 0 ELSE COALESCE(l[2], least(i, j) + 1) - 1 END AS s FROM fr),
+fh AS (SELECT key, orientation, a, b, i AS i0, j AS j0, i - s AS i, j - s AS j, base, COALESCE(r[2], least(length(a) - i, length(b) - j)) + s AS n, CASE WHEN len(r) > 0 THEN [r[1]] WHEN len(l) > 0 THEN [s - 1] ELSE [] END AS bad FROM fm),
+r1 AS (SELECT *, reverse(translate(b, 'ACGT', 'TGCA')) AS rb, least(length(a) - i, length(b) - j) - 9 AS room FROM g WHERE orientation = 'reverse_complement'),
+r2 AS (SELECT *, 9 + COALESCE(NULLIF(list_position(list_transform(range(1, room + 1), lambda s: len(list_filter(range(0, 9 + s), lambda t: a[i + t + 1] <> rb[length(b) - j - 9 - s + t + 1])) <= 1), false), 0) - 1, room) AS n FROM r1),
+r3 AS (SELECT *, COALESCE(NULLIF(list_position(list_transform(range(1, least(i, j) + 1), lambda s: len(list_filter(range(0, n + s), lambda t: a[i - s + t + 1] <> rb[length(b) - (j - s) - (n + s) + t + 1])) <= 1), false), 0) - 1, least(i, j)) AS s FROM r2),
+rh AS (SELECT key, orientation, a, b, i AS i0, j AS j0, i - s AS i, j - s AS j, base, n + s AS n, list_filter(range(0, n + s), lambda t: a[i - s + t + 1] <> rb[length(b) - (j - s) - (n + s) + t + 1]) AS bad FROM r3),
+h AS (SELECT key, orientation, i, base + j AS j, n, any_value(bad) AS bad, min((i0, base + j0)) AS seed, any_value(substr(a, i + 1, n)) AS x, any_value(substr(b, j + 1, n)) AS y FROM (SELECT * FROM fh UNION ALL SELECT * FROM rh)
+  WHERE (len(bad) = 0 AND n >= 9) OR (len(bad) <= 1 AND n >= 12) GROUP BY key, orientation, i, base + j, n),
+k AS (SELECT key, orientation, list_reduce(list([{'i': i, 'j': j, 'n': n, 'bad': bad, 'x': x, 'y': y}] ORDER BY n DESC, len(bad), seed),
+  lambda kept, o: CASE WHEN len(list_filter(kept, lambda e: e.i < o[1].i + o[1].n AND o[1].i < e.i + e.n AND e.j < o[1].j + o[1].n AND o[1].j < e.j + e.n)) > 0 THEN kept ELSE list_concat(kept, o) END) AS kept FROM h GROUP BY key, orientation),
+hits AS (SELECT key, u.i AS pos_in_flanking, u.j AS pos_in_noncoding, u.n AS length, orientation, len(u.bad)::INTEGER AS mismatches, array_to_string(u.bad, ',') AS mismatch_positions, u.x AS seq_flanking, u.y AS seq_noncoding
+  FROM (SELECT key, orientation, unnest(kept) AS u FROM k))"""
+_KMERS = """x AS (SELECT key, i AS pos1, substr(a, i + 1, 9) AS kmer FROM pairs, unnest(range(0, greatest(length(a) - 8, 0))) u(i)), y AS (SELECT key, i AS pos2, substr(b, i + 1, 9) AS kmer FROM pairs, unnest(range(0, greatest(length(b) - 8, 0))) u(i))"""
+_STRETCH = "substring(sequence, 81, greatest(length(sequence) - 160, 0))"
+_FLANKS = f"pairs AS (SELECT * FROM (SELECT concat(is_id, ':up') AS key, left(sequence, 80) AS a, {_STRETCH} AS b FROM elem UNION ALL SELECT concat(is_id, ':down'), right(sequence, 80), {_STRETCH} FROM elem) WHERE a <> '' AND b <> '')"
+
+
+@query(f"WITH {_FLANKS}, {_KMERS}, {_GUIDES} SELECT * FROM hits", "elem")
 def guide_hits(t: Tables) -> DataFrame:
     return guides.guide_hits(_pairs(t)).withColumn("mismatch_positions", F.array_join(F.col("mismatch_positions").cast("array<string>"), ","))
 
 
-@query()
+@query(f"""WITH {_FLANKS}, {_KMERS}, {_GUIDES}
+SELECT pairs.key, count(hits.key) AS n_hits, COALESCE(max(hits.length), 0) AS best_length, COALESCE(bool_or(hits.orientation = 'reverse_complement'), false) AS has_revcomp_hit FROM pairs LEFT JOIN hits ON pairs.key = hits.key GROUP BY pairs.key""", "elem")
 def guide_summary(t: Tables) -> DataFrame:
     p = _pairs(t)
     return guides.guide_summary(guides.guide_hits(p), p)
 
 
+@query(f"WITH {_FLANKS}, {_KMERS}, {_GUIDES} SELECT key, arg_max(seq_flanking, (length, -pos_in_flanking, -pos_in_noncoding)) AS best_guide FROM hits GROUP BY key", "elem")
+def best_guide(t: Tables) -> DataFrame:
+    return guides.best_guide(guides.guide_hits(_pairs(t)))
+
+
+_REGIONS = f"""pairs AS (SELECT concat(is_id, ':', source, ':', idx) AS key, is_id, source, idx, kind, s, e, a, substr({_STRETCH}, s, e - s + 1) AS b FROM (
+  SELECT is_id, sequence, 'upstream' AS source, left(sequence, 80) AS a FROM elem UNION ALL SELECT is_id, sequence, 'downstream', right(sequence, 80) FROM elem),
+  (SELECT 0::INTEGER AS idx, 'upstream' AS kind, 1::BIGINT AS s UNION ALL SELECT 1, 'intergenic', 101), LATERAL (SELECT CASE idx WHEN 0 THEN 60 ELSE length({_STRETCH}) END AS e) WHERE a <> '' AND b <> '')"""
+
+
+@query(f"""WITH {_REGIONS}, {_KMERS}, {_GUIDES}
+SELECT is_id, source AS flanking_source, idx AS noncoding_region_index, kind AS noncoding_region_type, s AS noncoding_start, e AS noncoding_end, hits.* EXCLUDE (key) FROM hits JOIN pairs USING (key)""", "elem")
+def record_guides(t: Tables) -> DataFrame:
+    """Two noncoding regions of each element's stretch, each with both flanks."""
+    r = t.flanked.select("is_id", F.struct(F.col("nc").alias("sequence")).alias("is_element"), F.struct(F.col("up").alias("sequence")).alias("flanking_upstream"), F.struct(F.col("down").alias("sequence")).alias("flanking_downstream"))
+    regions = "struct(array(struct(1L AS start, 60L AS end, 'upstream' AS type), struct(101L AS start, cast(length(is_element.sequence) AS bigint) AS end, 'intergenic' AS type)) AS noncoding_regions)"
+    pairs = guides.dealt(guides.region_pairs(r.withColumn("orf_annotation", F.expr(regions))), 4 * t.spark.sparkContext.defaultParallelism)
+    found = guides.guide_hits(pairs).withColumn("mismatch_positions", F.array_join(F.col("mismatch_positions").cast("array<string>"), ","))
+    return found.select("key.*", *[c for c in found.columns if c != "key"])
+
+
 # batches and status
 
 @query("""SELECT srr_accession, organism, (row_number() OVER (ORDER BY c DESC, organism, md5(CAST(srr_accession AS VARCHAR)), srr_accession) - 1) % 7 AS batch
