@@ -102,16 +102,27 @@ def split_evidence(guided: DataFrame, annotated: DataFrame, partial: DataFrame)
     return both.select("is_id", kind.alias("circle_type"))
 
 
+def _split_pairs(h: DataFrame, keys: list[str], total: float, gap: tuple[int, int]) -> DataFrame:
+    """p, q, insertion_length of hits (struct h with rs, re, cov) of the same keys where q begins within `gap` behind p's end and both cover enough.
+
+    Hits are dealt into bins by where they begin, as wide as the largest gap; a hit looks for partners in the two bins that its window touches.
+    So hits further apart on the contig never meet, however many a query has there.
+    """
+    low, high = gap
+    wide = max(high - low + 1, 1)
+    q = h.select(*keys, F.col("h").alias("q"), F.floor(F.col("h.rs") / wide).alias("bin_"))
+    p = h.select(*keys, F.col("h").alias("p"), F.explode(F.expr(f"sequence(cast(floor((h.re + {low}) / {wide}) AS bigint), cast(floor((h.re + {high}) / {wide}) AS bigint))")).alias("bin_"))
+    met = p.join(q, [*keys, "bin_"]).withColumn("insertion_length", F.col("q.rs") - F.col("p.re")).where(F.col("insertion_length").between(low, high) & (F.col("p.cov") + F.col("q.cov") >= total))
+    first = (F.col("p.rs") < F.col("q.rs")) | ((F.col("p.rs") == F.col("q.rs")) & (F.col("p") < F.col("q")))
+    return met.where(first).select(*keys, "p", "q", "insertion_length")
+
+
 def split_pairs(hits: DataFrame, pident: float = 80.0, part: float = 0.15, total: float = 0.7, gap: tuple[int, int] = (50, 50_000), overlap: int = 50) -> DataFrame:
     """Pairs of hits of one query on one contig that together cover it, with an insertion between them on the contig."""
     h = with_coverage(hits.where(F.col("pident") >= pident)).withColumn("cov", (F.col("qend") - F.col("qstart") + 1) / F.col("qlen")).where(F.col("cov") >= part)
     h = h.select("qseqid", "sseqid", F.struct("ordinal", "qstart", "qend", F.least("sstart", "send").alias("rs"), F.greatest("sstart", "send").alias("re"), "pident", "cov").alias("h"))
-    pairs = h.alias("x").join(h.alias("y"), ["qseqid", "sseqid"]).where(F.col("x.h") < F.col("y.h")).select("qseqid", "sseqid", F.col("x.h").alias("x"), F.col("y.h").alias("y"))
-    meet = F.greatest(F.lit(0), F.least("x.qend", "y.qend") - F.greatest("x.qstart", "y.qstart") + 1)
-    pairs = pairs.where((F.col("x.cov") + F.col("y.cov") >= total) & (meet <= overlap))
-    swap = F.col("x.rs") > F.col("y.rs")
-    pairs = pairs.select("qseqid", "sseqid", F.when(swap, F.col("y")).otherwise(F.col("x")).alias("p"), F.when(swap, F.col("x")).otherwise(F.col("y")).alias("q"))
-    pairs = pairs.withColumn("insertion_length", F.col("q.rs") - F.col("p.re")).where(F.col("insertion_length").between(*gap))
+    meet = F.greatest(F.lit(0), F.least("p.qend", "q.qend") - F.greatest("p.qstart", "q.qstart") + 1)
+    pairs = _split_pairs(h, ["qseqid", "sseqid"], total, gap).where(meet <= overlap)
     return pairs.select(
         "qseqid", "sseqid", F.col("p.ordinal").alias("ordinal_1"), F.col("q.ordinal").alias("ordinal_2"), F.col("p.qstart").alias("query_start_1"), F.col("p.qend").alias("query_end_1"), F.col("q.qstart").alias("query_start_2"), F.col("q.qend").alias("query_end_2"),
         F.col("p.re").alias("insertion_start"), F.col("q.rs").alias("insertion_end"), "insertion_length", (F.col("p.cov") + F.col("q.cov")).alias("query_coverage"),
@@ -122,13 +133,19 @@ def split_alignments(alignments: DataFrame, part: float = 0.15, total: float = 0
     """The same for alignments with half-open coordinates and mapping qualities, without a rule for overlap on the query."""
     a = alignments.withColumn("cov", (F.col("query_end") - F.col("query_start")) / F.col("query_length")).where((F.col("mapq") >= mapq) & (F.col("cov") >= part))
     a = a.select("query_name", "contig", F.struct("ordinal", "query_start", "query_end", F.col("ref_start").alias("rs"), F.col("ref_end").alias("re"), "mapq", "cov").alias("h"))
-    pairs = a.alias("x").join(a.alias("y"), ["query_name", "contig"]).where(F.col("x.h") < F.col("y.h")).select("query_name", "contig", F.col("x.h").alias("x"), F.col("y.h").alias("y"))
-    swap = F.col("x.rs") > F.col("y.rs")
-    pairs = pairs.select("query_name", "contig", F.when(swap, F.col("y")).otherwise(F.col("x")).alias("p"), F.when(swap, F.col("x")).otherwise(F.col("y")).alias("q"))
-    pairs = pairs.withColumn("insertion_length", F.col("q.rs") - F.col("p.re")).where(F.col("insertion_length").between(*gap) & (F.col("p.cov") + F.col("q.cov") >= total))
+    pairs = _split_pairs(a, ["query_name", "contig"], total, gap)
     return pairs.select("query_name", "contig", F.col("p.re").alias("insertion_start"), F.col("q.rs").alias("insertion_end"), "insertion_length", (F.col("p.cov") + F.col("q.cov")).alias("query_coverage"), F.col("p.mapq").alias("mapq_1"), F.col("q.mapq").alias("mapq_2"))
 
 
+def query_places(alignments: DataFrame) -> DataFrame:
+    """Mapped alignments (as read_sam and read_bam give them) with what split_alignments takes: contig, query_start (the soft clip before the aligned
+    letters, in the stored direction), query_end, query_length (with clips of both kinds) and an ordinal."""
+    n = lambda pattern: F.expr(f"aggregate(transform(regexp_extract_all(cigar, '{pattern}', 1), x -> cast(x AS bigint)), 0L, (s, n) -> s + n)")
+    rows = alignments.where(F.col("flag").bitwiseAND(4) == 0).withColumns({"contig": F.col("reference_name"), "query_start": n("^(?:[0-9]+H)?([0-9]+)S"), "inside_": n("([0-9]+)[MI=X]"), "query_length": n("([0-9]+)[MI=XSH]")})
+    rows = rows.withColumn("query_end", F.col("query_start") + F.col("inside_")).drop("inside_")
+    return rows.withColumn("ordinal", F.xxhash64("contig", "ref_start", "query_start", "flag", "cigar"))
+
+
 def best_splits(pairs: DataFrame) -> DataFrame:
     """The pair of the best coverage for each query and contig."""
     w = Window.partitionBy("qseqid", "sseqid").orderBy(F.desc("query_coverage"), "insertion_start", "insertion_end", "ordinal_1", "ordinal_2")

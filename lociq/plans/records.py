@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lociq.functions import sequence as fs
-from lociq.operators import batches, hits, ranking, records
+from lociq.operators import batches, hits, intervals, ranking, records
 from lociq.plans.catalog import _ENTROPY, _PAIRS, query
 from lociq.plans.fixtures import Tables
 from lociq.sources import readers, writers
+from lociq.sources.bam import read_bam, write_bam
 from lociq.storage import new_path
 
 # filters
@@ -289,6 +290,47 @@ def sam_region(t: Tables) -> DataFrame:
     return rows.groupBy("query_name", "ref_start", "ref_end", "is_reverse").agg(F.count(F.lit(1)).alias("n"))
 
 
+_CHROMOSOMES = [(f"chr{k}", 1 << 28) for k in range(3)]
+_BAM_ROW = ["concat('r', l_orderkey) AS query_name", "CASE WHEN l_linenumber % 4 = 0 THEN 4 ELSE 16 * (l_linenumber % 2) END AS flag", "concat('chr', l_suppkey % 3) AS reference_name"]
+
+
+def _bam(t: Tables, rows: DataFrame) -> str:
+    path = new_path(t.spark, "bam")
+    write_bam(rows, path, _CHROMOSOMES)
+    return path
+
+
+@query("""SELECT concat('r', l_orderkey) AS query_name, l_partkey * 1000 AS ref_start, l_partkey * 1000 + l_linenumber * 11 + 20 AS ref_end, l_linenumber % 2 = 1 AS is_reverse, concat(l_linenumber * 10, 'M5I', l_linenumber + 20, 'D') AS cigar,
+repeat('ACGTN', l_linenumber * 2 + 1) AS seq, repeat('#', l_linenumber * 10 + 5) AS qual, count(*) AS n FROM lineitem WHERE l_suppkey % 3 = 1 AND l_linenumber % 4 <> 0 AND l_partkey * 1000 < 900000 AND l_partkey * 1000 + l_linenumber * 11 + 20 > 100000 GROUP BY ALL""")
+def bam_region(t: Tables) -> DataFrame:
+    rows = t.lineitem.selectExpr(*_BAM_ROW, "l_partkey * 1000 AS ref_start", "cast(l_partkey % 61 AS int) AS mapq", "concat(l_linenumber * 10, 'M5I', l_linenumber + 20, 'D') AS cigar", "repeat('ACGTN', cast(l_linenumber * 2 + 1 AS int)) AS seq", "repeat('#', cast(l_linenumber * 10 + 5 AS int)) AS qual")
+    found = read_bam(t.spark, _bam(t, rows), "chr1", 100_000, 900_000)
+    return found.groupBy("query_name", "ref_start", "ref_end", "is_reverse", "cigar", "seq", "qual").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""WITH a AS (SELECT DISTINCT l_orderkey AS id, l_suppkey % 3 AS contig, l_partkey * 20 % 100000 AS rs, l_partkey * 20 % 100000 + 200 + CAST(l_quantity AS BIGINT) * 5 AS re, l_partkey % 61 AS mapq, (200 + CAST(l_quantity AS BIGINT) * 5) / 840 AS cov, l_linenumber AS l
+FROM lineitem WHERE l_linenumber % 4 <> 0 AND l_partkey % 61 >= 20)
+SELECT concat('r', p.id) AS query_name, concat('chr', p.contig) AS contig, p.re AS insertion_start, q.rs AS insertion_end, q.rs - p.re AS insertion_length, p.cov + q.cov AS query_coverage, p.mapq::INTEGER AS mapq_1, q.mapq::INTEGER AS mapq_2
+FROM a p JOIN a q ON p.id = q.id AND p.contig = q.contig AND p.rs < q.rs AND q.rs - p.re BETWEEN 50 AND 50000 WHERE p.cov + q.cov >= 0.7""")
+def bam_splits(t: Tables) -> DataFrame:
+    """Split alignments of a BAM file."""
+    m = "200 + cast(l_quantity AS bigint) * 5"
+    cigar = f"concat(CASE WHEN l_linenumber = 1 THEN '' ELSE concat(l_linenumber * 50 - 50, 'S') END, {m}, 'M', 890 - l_linenumber * 50 - ({m}), 'S') AS cigar"
+    rows = t.lineitem.selectExpr(*_BAM_ROW, "l_partkey * 20 % 100000 AS ref_start", "cast(l_partkey % 61 AS int) AS mapq", cigar, "'*' AS seq", "'*' AS qual").distinct()
+    return hits.split_alignments(hits.query_places(read_bam(t.spark, _bam(t, rows))))
+
+
+@query("""WITH a AS (SELECT l_suppkey % 5 AS ref, CAST(floor(l_extendedprice) AS BIGINT) * 1000 AS s, CAST(floor(l_extendedprice) AS BIGINT) * 1000 + CASE WHEN l_partkey % 50 = 0 THEN 3000000 ELSE 40 + CAST(l_quantity AS BIGINT) * 12 END AS e FROM lineitem),
+r AS (SELECT o_orderkey AS region, o_custkey % 5 AS ref, CAST(floor(o_totalprice) AS BIGINT) * 200 AS s, CAST(floor(o_totalprice) AS BIGINT) * 200 + CASE WHEN o_orderkey % 7 = 0 THEN 2000000 ELSE 5000 END AS e FROM orders)
+SELECT region, count(*) AS n, sum(least(a.e, r.e) - greatest(a.s, r.s))::BIGINT AS bases FROM r JOIN a ON a.ref = r.ref AND a.s < r.e AND a.e > r.s GROUP BY region""")
+def alignments_in_regions(t: Tables) -> DataFrame:
+    """Many regions at once, short and long ones."""
+    a = t.lineitem.selectExpr("l_suppkey % 5 AS ref", "cast(floor(l_extendedprice) AS bigint) * 1000 AS ref_start", "cast(floor(l_extendedprice) AS bigint) * 1000 + CASE WHEN l_partkey % 50 = 0 THEN 3000000 ELSE 40 + cast(l_quantity AS bigint) * 12 END AS ref_end")
+    r = t.orders.selectExpr("o_orderkey AS region", "o_custkey % 5 AS ref", "cast(floor(o_totalprice) AS bigint) * 200 AS region_start", "cast(floor(o_totalprice) AS bigint) * 200 + CASE WHEN o_orderkey % 7 = 0 THEN 2000000 ELSE 5000 END AS region_end")
+    met = intervals.overlaps(a, r, "ref")
+    return met.groupBy("region").agg(F.count(F.lit(1)).alias("n"), F.sum(F.least("ref_end", "region_end") - F.greatest("ref_start", "region_start")).alias("bases"))
+
+
 @query("SELECT s_suppkey AS pos, 'INS' AS svtype, 600 + s_suppkey % 100 AS svlen, s_suppkey % 9 AS support FROM supplier WHERE s_suppkey % 9 >= 3 AND s_suppkey % 4 = 0")
 def vcf_files(t: Tables) -> DataFrame:
     row = F.expr("concat_ws('\\t', 'chr1', s_suppkey, '.', 'N', '<INS>', '.', 'PASS', concat('SVTYPE=', CASE WHEN s_suppkey % 4 = 0 THEN 'INS' ELSE 'DEL' END, ';SVLEN=', 600 + s_suppkey % 100, ';SUPPORT=', s_suppkey % 9))")
