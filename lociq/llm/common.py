@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lociq.storage import new_path, stored
 
-__all__ = ["crc32_bucket", "join_checked", "new_path", "pick", "small_batches", "stored", "table"]
+__all__ = ["crc32_bucket", "join_checked", "new_path", "pick", "picked", "small_batches", "stored", "table"]
 
 #: Rows in one Arrow batch handed to Python; texts may be long, so batches are kept short.
 BATCH_ROWS = 512
@@ -25,8 +25,13 @@ def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
 
 def pick(df: DataFrame, **types: str) -> DataFrame:
     """Only the named columns, cast; columns that are missing become null, all others are left out."""
+    return df.select(*picked(df, **types))
+
+
+def picked(df: DataFrame, prefix: str = "", **types: str) -> list[Column]:
+    """The columns of pick, their names after prefix."""
     have = {c.lower(): c for c in df.columns}
-    return df.select(*[(F.col(f"`{have[c]}`").cast(t) if c in have else F.lit(None).cast(t)).alias(c) for c, t in types.items()])
+    return [(F.col(f"`{have[c]}`").cast(t) if c in have else F.lit(None).cast(t)).alias(prefix + c) for c, t in types.items()]
 
 
 def join_checked(left: DataFrame, right: DataFrame, on: str | list[str], how: str = "inner", rows: int = BROADCAST_ROWS) -> DataFrame:

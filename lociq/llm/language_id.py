@@ -135,10 +135,10 @@ def _scored(batches: Iterator[pa.RecordBatch], dimensions: int, model) -> Iterat
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.string()), pa.array(score, pa.float64())], names=["doc_id", "held_out", "lang_pred", "score"])
 
 
-def _kept(batches: Iterator[pa.RecordBatch], dimensions: int, model, least: dict[str, float]) -> Iterator[pa.RecordBatch]:
+def _kept(batches: Iterator[pa.RecordBatch], dimensions: int, model, least: dict[str, float], at: int | None) -> Iterator[pa.RecordBatch]:
     profiles, (langs, prototypes) = Profiles(dimensions), model.value
     for batch in batches:
-        found, score = predict(profiles, batch.column("text").to_pylist(), langs, prototypes)
+        found, score = predict(profiles, [None] * batch.num_rows if at is None else batch.column(at).to_pylist(), langs, prototypes)
         yield batch.filter(pa.array([f != UNKNOWN and x >= least[f] for f, x in zip(found, score.tolist(), strict=True)], pa.bool_()))
 
 
@@ -196,4 +196,5 @@ def known_language_only(docs: DataFrame, least: float | None = None, folds: int
     without it by what the language's own learning texts show (least_cosines)."""
     _, known, model = _learn(docs, folds, fold, dimensions)
     limits = least_cosines(known, model, dimensions) if least is None else dict.fromkeys(model.value[0], least)
-    return docs.mapInArrow(partial(_kept, dimensions=dimensions, model=model, least=limits), docs.schema)
+    at = next((k for k, c in enumerate(docs.columns) if c.lower() == "text"), None)  # without the column there is no text to keep
+    return docs.mapInArrow(partial(_kept, dimensions=dimensions, model=model, least=limits, at=at), docs.schema)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lociq.llm.common import pick, small_batches
+from lociq.llm.common import pick, picked, small_batches
 from lociq.llm.words import distinct_ranges, slices, text_buffers, word_bounds
 
 #: Bound of the labelled sample that the models are fitted on.
@@ -248,9 +248,12 @@ def _scores(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(t), pa.array(m), pa.array(both)], names=["doc_id", "text_score", "meta_score", "score"])
 
 
-def _accepted(batches: Iterator[pa.RecordBatch], model, least: float) -> Iterator[pa.RecordBatch]:
+def _accepted(batches: Iterator[pa.RecordBatch], model, least: float, columns: int) -> Iterator[pa.RecordBatch]:
+    """The accepted rows with their first columns; what the model reads comes behind them."""
     for batch in batches:
-        yield batch.filter(pa.array(_probability(_odds(batch, model.value)[2]) >= least))
+        own = pa.RecordBatch.from_arrays(batch.columns[:columns], schema=pa.schema(list(batch.schema)[:columns]))
+        seen = pa.RecordBatch.from_arrays(batch.columns[columns:], names=list(_COLUMNS))
+        yield own.filter(pa.array(_probability(_odds(seen, model.value)[2]) >= least))
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, least: float = 0.5) -> DataFrame:
@@ -266,8 +269,9 @@ def score_documents(docs: DataFrame, labels: DataFrame, least: float = 0.5) -> D
 
 
 def good_documents(docs: DataFrame, labels: DataFrame, least: float = 0.5) -> DataFrame:
-    """The accepted rows of docs, with the columns of documents."""
+    """The accepted rows of docs, with all their columns."""
     small_batches(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(train(docs, labels))
-    rows = pick(docs, **_COLUMNS)
-    return rows.mapInArrow(partial(_accepted, model=model, least=least), rows.schema)
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    rows = docs.select(*own, *picked(docs, "lociq_read_", **_COLUMNS))
+    return rows.mapInArrow(partial(_accepted, model=model, least=least, columns=len(own)), docs.schema)

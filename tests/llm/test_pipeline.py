@@ -86,6 +86,18 @@ def test_stages_keep_the_columns_and_take_empty_tables(spark, tmp_path):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "language", "near_duplicates", "mixing", "encoding"]
 
 
+def test_stages_keep_further_columns_and_names(spark, tmp_path):
+    """Columns beside those of documents stay, also where their names are those of the stages' own; names may have any case."""
+    corpus(spark, str(tmp_path))
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for more in (docs.selectExpr("*", "doc_id % 7 AS score", "'x' AS cls", "1 AS lociq_text", "array(1) AS x"), docs.selectExpr("doc_id", "text AS Text", "lang", "source AS Source", "n_chars AS N_Chars")):
+        for stage in (corpus_pipeline.quality, corpus_pipeline.language):
+            whole = {r.doc_id for r in stage(spark, docs, str(tmp_path)).collect()}
+            got = stage(spark, more, str(tmp_path))
+            assert got.columns == more.columns and {r.doc_id for r in got.collect()} == whole
+    assert corpus_pipeline.language(spark, docs.drop("text"), str(tmp_path)).count() == 0
+
+
 def test_language_rejects_noise_and_unlearned_languages(spark):
     rng = np.random.default_rng(12)
     parts = {"en": ["the", "ing", "and", "th", "er", "ou"], "de": ["sch", "ung", "ein", "ver", "ü", "ach"], "fr": ["eau", "oux", "que", "é", "les", "ai"]}
