@@ -35,7 +35,10 @@ def _seeds(pairs: DataFrame, k: int, keep_first: bool) -> DataFrame:
     work = _held(work, block=F.expr(f"concat(' ', substr(b, off + 1, {size + k} + 2 * m))")).drop("b")  # after the letter before its first one
     work = work.withColumn("c", F.explode(F.expr(f"sequence(0, least({PIECES - 1}, (last - g) div {PIECE}))")))
     work = work.withColumn("at", F.expr(f"cast(g + c * {PIECE} AS int)")).withColumn("piece", F.expr(f"substr(block, at - off + 1, {PIECE + k})"))
-    work = work.withColumn("o", F.explode(F.expr(f"sequence(0, length(piece) - {k + 1})"))).withColumn("w", F.expr(f"substr(piece, o + 2, {k})"))
+    part, stride = max(1, k - 3), min(k, 4)  # each window holds one of the parts that begin at every stride-th letter: most windows go by their part
+    work = work.withColumn("p", F.explode(F.expr(f"sequence(0, length(piece) - {k + 1} + {stride - 1}, {stride})"))).withColumn("u", F.expr(f"substr(piece, p + 2, {part})"))
+    work = work.where("contains(a, u) OR contains(ra, u)")
+    work = work.withColumn("o", F.explode(F.expr(f"sequence(greatest(p - {stride - 1}, 0), least(p, length(piece) - {k + 1}))"))).withColumn("w", F.expr(f"substr(piece, o + 2, {k})"))
     work = work.where("contains(a, w) OR contains(ra, w)").withColumn("j", F.expr("at + o"))
     work = work.withColumn("i", F.explode(F.expr(f"sequence(0, m - {k})")))
     ahead = f"substr(a, i + 1, {k}) = w" + (" AND (i = 0 OR j = 0 OR substr(a, i, 1) <> substr(piece, o + 1, 1))" if keep_first else "")
