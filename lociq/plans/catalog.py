@@ -367,6 +367,14 @@ def louvain_communities(t: Tables) -> DataFrame:
     return graph.communities(similarity.jaccard_edges(graph.incidence(t.inc)), t.inc.select(F.col("is_id").alias("node")))
 
 
+@query("SELECT count(DISTINCT is_id) AS n_nodes, 0::BIGINT AS n_apart, 0::BIGINT AS n_gaining FROM inc", "inc")
+def community_certificate(t: Tables) -> DataFrame:
+    """All elements have a community; none of these falls apart, and no element would gain by moving to another one."""
+    edges = stored(similarity.jaccard_edges(graph.incidence(t.inc)), "jaccard-edges")
+    shown = graph.community_certificate(edges, graph.communities(edges, t.inc.select(F.col("is_id").alias("node"))))
+    return shown.agg(F.sum("size").alias("n_nodes"), F.count_if(F.col("parts") > 1).alias("n_apart"), F.count_if(F.col("best_gain") > graph.LEAST_GAIN).alias("n_gaining"))
+
+
 @query()
 def system_clusters(t: Tables) -> DataFrame:
     labels = graph.communities(similarity.jaccard_edges(graph.incidence(t.inc)), t.inc.select(F.col("is_id").alias("node")))

@@ -165,17 +165,50 @@ def test_communities_refine_components(spark):
     nodes = spark.range(31).withColumnRenamed("id", "node")
     got = {r.node: r.community for r in graph.communities(e, nodes).collect()}
     assert len(got) == 31 and {got[k] for k in range(5)} == {0} and {got[k] for k in range(10, 15)} == {10} and got[30] == 30
-    wide = {r.node: r.community for r in graph.communities(e, nodes, largest=1).collect()}
-    assert len(wide) == 31 and len({wide[k] for k in range(20, 25)}) == 1
 
 
-def test_communities_are_alike_at_every_size(spark):
+def gains(edges, label):
+    """The best gain of modularity of each community by moving one node to a community near it, by recounting."""
+    best, near = {c: 0.0 for c in label.values()}, {}
+    for a, b, _ in edges:
+        near.setdefault(a, set()).add(b)
+        near.setdefault(b, set()).add(a)
+    names = {n: k for k, n in enumerate(sorted(label))}
+    whole = [(names[a], names[b], w) for a, b, w in edges]
+    score = lambda x: modularity(whole, [x[n] for n in sorted(x)])
+    now = score(label)
+    for n in near:
+        for c in {label[v] for v in near[n]} - {label[n]}:
+            best[label[n]] = max(best[label[n]], score(label | {n: c}) - now)
+    return best
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_communities_hang_together_and_no_node_gains_by_moving(spark, seed):
+    rng = __import__("numpy").random.default_rng(seed)
+    pairs = {tuple(sorted(map(int, rng.integers(0, 40, 2)))) for _ in range(90)}
+    edges = [(a, b, float(rng.integers(1, 9)) / 8) for a, b in sorted(pairs) if a != b]
+    e = spark.createDataFrame(edges, "a long, b long, similarity double")
+    nodes = spark.range(42).withColumnRenamed("id", "node")
+    found = graph.communities(e, nodes)
+    label = {r.node: r.community for r in found.collect()}
+    shown = {r.community: r for r in graph.community_certificate(e, found).collect()}
+    assert all(r.parts == 1 and r.best_gain <= 1e-9 for r in shown.values()) and sum(r["size"] for r in shown.values()) == 42
+    assert max(gains(edges, label).values()) <= 1e-8
+    poor = {n: n % 5 for n in range(42)}
+    shown = {r.community: r for r in graph.community_certificate(e, spark.createDataFrame(list(poor.items()), "node long, community long")).collect()}
+    for c, gain in gains(edges, poor).items():
+        inside = [(a, b) for a, b, _ in edges if poor[a] == poor[b] == c]
+        assert abs(shown[c].best_gain - gain) < 1e-8
+        assert shown[c].parts == sum(n % 5 == c for n in range(42)) - len(set(brute_components(inside))) + len(set(brute_components(inside).values()))
+
+
+def test_communities_of_chains_and_cliques(spark):
     edges = [(k, k + 1, 1.0) for k in range(19)] + [(100 + 5 * c + i, 100 + 5 * c + j, 1.0) for c in range(3) for j in range(5) for i in range(j)]
     edges += [(100 + 5 * c, 105 + 5 * c, 0.5) for c in range(2)]
     e = spark.createDataFrame(edges, "a long, b long, similarity double")
     nodes = spark.createDataFrame([(n,) for n in {x for a, b, _ in edges for x in (a, b)}], "node long")
-    got, small = ({r.node: r.community for r in graph.communities(e, nodes, largest=n).collect()} for n in (200_000, 1))
-    assert got == small
+    got = {r.node: r.community for r in graph.communities(e, nodes).collect()}
     names = {n: k for k, n in enumerate(sorted(got))}
     whole = [(names[a], names[b], w) for a, b, w in edges]
     score = modularity(whole, [got[n] for n in sorted(got)])
