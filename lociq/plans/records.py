@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lociq.functions import sequence as fs
-from lociq.operators import batches, hits, intervals, ranking, records
+from lociq.operators import batches, hits, intervals, nesting, ranking, records
 from lociq.plans.catalog import _ENTROPY, _PAIRS, query
 from lociq.plans.fixtures import Tables
 from lociq.sources import readers, writers
@@ -366,3 +366,42 @@ def assembly_reports(t: Tables) -> DataFrame:
     line = F.when(F.col("s_suppkey") % 3 == 0, F.concat(F.lit('{"reports": ['), own, F.lit("]}"))).otherwise(own)
     path = _text(t, t.supplier.select(F.explode(F.array(line, F.lit("not json"))).alias("value")), "reports")
     return readers.read_assembly_reports(t.spark, path).select("accession", "level")
+
+
+@query("""SELECT is_id, len(c)::BIGINT AS n_calls, c[1] AS first_start, list_sum(c)::BIGINT AS starts FROM (SELECT concat('e', o_custkey) AS is_id, list_sort(list(o_orderkey)) AS c FROM orders GROUP BY 1)""")
+def partial_circle_files(t: Tables) -> DataFrame:
+    """Calls written as JSON arrays by folder, read as an ordered list of each element."""
+    path = new_path(t.spark, "partial")
+    calls = t.orders.selectExpr("cast(o_custkey % 5 AS string) AS folder", "concat('e', o_custkey) AS is_id", "500L AS is_length", "o_orderkey AS circle_start", "o_orderkey + 300 AS circle_end", "300L AS circle_size", "0.6D AS circle_fraction", "2L AS n_supporting_reads", "30.5D AS mean_mapq", "array('a', 'b') AS supporting_read_names")
+    writers.write_record_arrays(calls, path, "folder", ["is_id", "circle_start"])
+    found = readers.read_partial_circles(t.spark, path, glob="*.txt")
+    return found.select("is_id", F.size("calls").cast("long").alias("n_calls"), F.col("calls")[0]["circle_start"].alias("first_start"), F.expr("aggregate(calls, 0L, (s, c) -> s + c.circle_start)").alias("starts"))
+
+
+@query("""SELECT concat('f', s_suppkey % 4) AS sample, concat('id', s_suppkey) AS is_id, s_nationkey AS n_reads, 'c' || s_suppkey AS contig FROM supplier WHERE s_suppkey % 4 < 3
+UNION ALL SELECT 'f3', NULL, NULL, NULL""")
+def record_array_files(t: Tables) -> DataFrame:
+    """Records as one JSON array for each sample, read again; a sample without records has an empty array."""
+    path = new_path(t.spark, "arrays")
+    rows = t.supplier.where("s_suppkey % 4 < 3").selectExpr("concat('f', s_suppkey % 4) AS sample", "concat('id', s_suppkey) AS is_id", "named_struct('contig', concat('c', s_suppkey)) AS is_element", "named_struct('n_tail_head_reads', cast(s_nationkey AS bigint)) AS circle_evidence")
+    writers.write_record_arrays(rows, path, "sample", ["is_id"], t.supplier.selectExpr("concat('f', s_suppkey % 4) AS sample"))
+    found = readers.read_records(t.spark, path)
+    files = t.spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(path).select(F.regexp_extract("path", "sample=([^/]+)", 1).alias("sample")).distinct()
+    found = found.select(F.regexp_extract("file", "sample=([^/]+)", 1).alias("sample"), "is_id", F.col("circle_evidence.n_tail_head_reads").cast("int").alias("n_reads"), "contig")
+    return files.join(found, "sample", "left")
+
+
+@query("""WITH k AS (SELECT o_orderkey AS k, 100 + o_orderkey % 50 AS m, 60 + o_custkey % 200 AS g FROM orders)
+SELECT concat('h', k) AS host, concat('c', k) AS core, 7 + m AS insertion_start, 7 + m + g AS insertion_end, m AS core_position, g AS insertion_size, substr(repeat('ACGTTGCAAC', 100), 8 + m, g) AS inserted_sequence, 2::BIGINT AS n_aligned_blocks,
+2 * m AS total_aligned_bp, 1.0::DOUBLE AS alignment_coverage, round((2 * m - 5) / (2 * m), 4) AS mean_identity FROM k""")
+def paf_nesting(t: Tables) -> DataFrame:
+    """From PAF text through blocks of CIGARs to insertions with their sequence; of every third pair the host is the query."""
+    k = t.orders.selectExpr("o_orderkey AS k", "100 + o_orderkey % 50 AS m", "60 + o_custkey % 200 AS g")
+    forth = "concat_ws('\\t', concat('c', k), 2 * m, 0, 2 * m, '+', concat('h', k), 2 * m + g + 10, 7, 7 + 2 * m + g, 2 * m - 5, 2 * m, 60, concat('cg:Z:', m - 5, '=5X', g, 'D', m, '='))"
+    back = "concat_ws('\\t', concat('h', k), 2 * m + g + 10, 7, 7 + 2 * m + g, '+', concat('c', k), 2 * m, 0, 2 * m, 2 * m - 5, 2 * m, 60, concat('cg:Z:', m - 5, '=5X', g, 'I', m, '='))"
+    own = "concat_ws('\\t', concat('h', k), 500, 0, 500, '+', concat('h', k), 500, 0, 500, 500, 500, 60)"
+    path = _text(t, k.select(F.explode(F.array(F.expr(f"if(k % 3 = 0, {back}, {forth})"), F.expr(own))).alias("value")), "paf")
+    blocks = nesting.blocks_of_alignments(readers.read_paf(t.spark, path))
+    sizes = k.select(F.explode(F.expr("array(struct(concat('c', k) AS id, 2 * m AS ext_length), struct(concat('h', k) AS id, 2 * m + g + 10 AS ext_length))")).alias("e")).select("e.*")
+    events = nesting.nesting_events(nesting.oriented_blocks(blocks, sizes), k.selectExpr("concat('h', k) AS id", "repeat('ACGTTGCAAC', 100) AS seq"))
+    return events.select("host", "core", F.inline("insertions"), "n_aligned_blocks", "total_aligned_bp", "alignment_coverage", "mean_identity")

@@ -40,9 +40,9 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     return rows.withColumn("contig", F.coalesce("is_element.contig", "is_element.chrom")).drop("place")
 
 
-def read_partial_circles(spark: SparkSession, path: str) -> DataFrame:
+def read_partial_circles(spark: SparkSession, path: str, glob: str = "*.json") -> DataFrame:
     """is_id with the calls of all JSON files below path, as an ordered list."""
-    raw = spark.read.json(path, schema=PARTIAL_CIRCLE, multiLine=True, mode="PERMISSIVE", recursiveFileLookup=True, pathGlobFilter="*.json").where("is_id IS NOT NULL")
+    raw = spark.read.json(path, schema=PARTIAL_CIRCLE, multiLine=True, mode="PERMISSIVE", recursiveFileLookup=True, pathGlobFilter=glob).where("is_id IS NOT NULL")
     call = F.struct(*[c for c in raw.columns if c not in ("is_id", "is_length")])
     return raw.groupBy("is_id").agg(F.array_sort(F.collect_list(call)).alias("calls"))
 
