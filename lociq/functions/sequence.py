@@ -126,10 +126,28 @@ def without_stops(protein: Column) -> Column:
     return F.regexp_replace(protein, r"\*+$", "")
 
 
+def is_hypothetical(product: Column) -> Column:
+    """Whether a product says nothing: null, empty, or beginning with `hypothetical` in any case."""
+    return F.coalesce(F.lower(product), F.lit("")).rlike("^(?:$|hypothetical)")
+
+
 def orf_label(gene: Column, product: Column, index: Column) -> Column:
-    """Gene, else product (shortened beyond 30 characters), else orf_N."""
+    """Gene, else a telling product (shortened beyond 30 characters), else orf_N."""
     short = F.when(F.length(product) <= 30, product).otherwise(F.concat(F.left(product, F.lit(27)), F.lit("...")))
-    return F.coalesce(F.nullif(gene, F.lit("")), F.nullif(short, F.lit("")), F.concat(F.lit("orf_"), index.cast("string")))
+    return F.coalesce(F.nullif(gene, F.lit("")), F.when(~is_hypothetical(product), short), F.concat(F.lit("orf_"), index.cast("string")))
+
+
+def orf_kind(product: Column, domains: Column) -> Column:
+    """What an ORF is drawn as: `DEDD+Tnp20`, `DEDD` or `Tnp20` by its domains, else `cargo` with a telling product, else `other`."""
+    has = lambda d: F.coalesce(F.array_contains(domains, d), F.lit(False))
+    return F.when(has("DEDD") & has("Tnp20"), "DEDD+Tnp20").when(has("DEDD"), "DEDD").when(has("Tnp20"), "Tnp20").when(~is_hypothetical(product), "cargo").otherwise("other")
+
+
+def orf_title(gene: Column, product: Column, index: Column, length_nt: Column, domains: Column) -> Column:
+    """Label with the protein's length and its domains."""
+    kind = orf_kind(product, domains)
+    tag = F.when(kind.isin("cargo", "other"), "").otherwise(F.concat(F.lit(" "), kind))
+    return F.concat(orf_label(gene, product, index), F.lit(" ("), F.floor(length_nt / 3).cast("string"), F.lit("aa)"), tag)
 
 
 def base_quality(seq: Column, quality: Column) -> Column:

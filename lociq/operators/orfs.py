@@ -63,5 +63,17 @@ def orf_domains(orfs: DataFrame, hits: DataFrame) -> DataFrame:
     return orfs.join(names, ["is_id", "orf_start", "orf_end"], "left")
 
 
+def domain_map(hits: DataFrame, elements: DataFrame) -> DataFrame:
+    """is_id, domains: of each element asked for that has hits a map from (start, end) to its domains, in order of `ordinal`, repeated ones each time.
+
+    hits: is_id, orf_start, orf_end, domain, ordinal. An element's map is as large as its ORFs with domains.
+    """
+    asked = hits.join(elements.select("is_id").distinct(), "is_id", "left_semi")
+    names = F.transform(F.array_sort(F.collect_list(F.struct("ordinal", "domain"))), lambda x: x["domain"]).alias("names")
+    places = asked.groupBy("is_id", "orf_start", "orf_end").agg(names)
+    entry = F.struct(F.struct("orf_start", "orf_end").alias("place"), "names")
+    return places.groupBy("is_id").agg(F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("domains"))
+
+
 def longest_orf(orfs: DataFrame) -> DataFrame:
     return orfs.groupBy("is_id").agg(F.max(F.col("orf_end") - F.col("orf_start") + 1).alias("longest_nt"))

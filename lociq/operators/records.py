@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -28,6 +28,13 @@ def formatter_state(n_total: Column, seq: Column, n_tail_head: Column, require_t
     return state.otherwise("kept")
 
 
+def observed(df: DataFrame, state: Column, states: list[str]) -> tuple[DataFrame, Observation]:
+    """(rows whose state is `kept`, counts of all rows by state): the counts come with the pass that uses the rows, as `observation.get` after it."""
+    observation = Observation()
+    counted = df.withColumn("state_", state).observe(observation, *[F.count_if(F.col("state_") == s).alias(s) for s in ("kept", *states)])
+    return counted.where("state_ = 'kept'").drop("state_"), observation
+
+
 def state_counts(df: DataFrame, state: str = "state") -> DataFrame:
     return df.groupBy(state).agg(F.count(F.lit(1)).alias("n"))
 

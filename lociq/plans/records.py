@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lociq.functions import sequence as fs
-from lociq.operators import batches, hits, intervals, nesting, ranking, records
+from lociq.operators import batches, hits, intervals, nesting, orfs, ranking, records
 from lociq.plans.catalog import _ENTROPY, _PAIRS, query
 from lociq.plans.fixtures import Tables
 from lociq.sources import readers, writers
 from lociq.sources.bam import read_bam, write_bam
-from lociq.storage import new_path
+from lociq.storage import new_path, stored
 
 # filters
 
@@ -405,3 +405,39 @@ def paf_nesting(t: Tables) -> DataFrame:
     sizes = k.select(F.explode(F.expr("array(struct(concat('c', k) AS id, 2 * m AS ext_length), struct(concat('h', k) AS id, 2 * m + g + 10 AS ext_length))")).alias("e")).select("e.*")
     events = nesting.nesting_events(nesting.oriented_blocks(blocks, sizes), k.selectExpr("concat('h', k) AS id", "repeat('ACGTTGCAAC', 100) AS seq"))
     return events.select("host", "core", F.inline("insertions"), "n_aligned_blocks", "total_aligned_bp", "alignment_coverage", "mean_identity")
+
+
+@query(_BITS + """ SELECT count(*) FILTER (sequence = '' OR sequence = 'NA') AS empty, count(*) FILTER (length(sequence) BETWEEN 1 AND 199 AND sequence <> 'NA') AS short, count(*) FILTER (length(sequence) >= 200 AND bits < 1.7) AS low_complexity,
+count(*) FILTER (length(sequence) >= 200 AND bits >= 1.7) AS kept, COALESCE(sum(length(sequence)) FILTER (length(sequence) >= 200 AND bits >= 1.7), 0)::BIGINT AS kept_letters FROM e""", "elem")
+def observed_states(t: Tables) -> DataFrame:
+    """Skip counters from the pass that uses the kept sequences."""
+    kept, seen = records.observed(t.elem.select("sequence"), records.consensus_state(F.col("sequence")), ["empty", "short", "low_complexity"])
+    letters = stored(kept.agg(F.coalesce(F.sum(F.length("sequence")), F.lit(0)).cast("long").alias("kept_letters")), "kept")
+    return letters.select(*[F.lit(n).cast("long").alias(s) for s, n in seen.get.items()], "kept_letters")
+
+
+@query("SELECT CASE WHEN s_suppkey % 9 = 4 THEN 'not JSON' ELSE 'no is_id' END AS reason, count(*) AS n FROM supplier WHERE s_suppkey % 9 IN (4, 5) GROUP BY 1 UNION ALL SELECT 'kept', count(*) FROM supplier WHERE s_suppkey % 9 NOT IN (4, 5)")
+def checked_records(t: Tables) -> DataFrame:
+    """Files of records of which some end too early and some records have no name."""
+    path = new_path(t.spark, "checked")
+    text = F.expr("concat('[', to_json(named_struct('is_id', if(s_suppkey % 9 = 5, NULL, concat('id', s_suppkey)), 'sample_id', 's')), if(s_suppkey % 9 = 4, '', ']'))")
+    t.supplier.select(F.concat(F.lit("f"), F.col("s_suppkey").cast("string")).alias("folder"), text.alias("value")).write.partitionBy("folder").text(path)
+    kept, left = readers.read_records_checked(t.spark, path)
+    return left.groupBy("reason").agg(F.sum("n").alias("n")).unionByName(kept.select(F.lit("kept").alias("reason")).groupBy("reason").agg(F.count(F.lit(1)).alias("n")))
+
+
+@query("""SELECT is_id, orf_start, orf_end, string_agg(x, ',' ORDER BY o, x) AS domains FROM (SELECT is_id, orf_start, orf_end, 1 AS o, 'DEDD' AS x FROM orfs WHERE has_dedd UNION ALL SELECT is_id, orf_start, orf_end, 2, 'Tnp20' FROM orfs WHERE has_tnp20)
+WHERE is_id % 3 <> 0 GROUP BY ALL""", "orfs")
+def domain_map(t: Tables) -> DataFrame:
+    h = t.orfs.where("has_dedd").selectExpr("is_id", "orf_start", "orf_end", "'DEDD' AS domain", "1 AS ordinal").unionByName(t.orfs.where("has_tnp20").selectExpr("is_id", "orf_start", "orf_end", "'Tnp20' AS domain", "2 AS ordinal"))
+    found = orfs.domain_map(h, t.orders.where("o_orderkey % 3 <> 0").select(F.col("o_orderkey").alias("is_id")))
+    return found.select("is_id", F.explode("domains").alias("place", "names")).select("is_id", "place.*", F.array_join("names", ",").alias("domains"))
+
+
+@query("""SELECT p_partkey, CASE WHEN p_partkey % 4 = 0 THEN 'tnpA' WHEN p_partkey % 3 = 0 THEN concat('orf_', p_partkey) WHEN p_partkey % 5 = 0 THEN concat('orf_', p_partkey) WHEN length(p_name) <= 30 THEN p_name ELSE concat(left(p_name, 27), '...') END
+|| ' (' || p_size * 7 // 3 || 'aa)' || CASE p_partkey % 6 WHEN 0 THEN ' DEDD+Tnp20' WHEN 1 THEN ' DEDD' WHEN 2 THEN ' Tnp20' ELSE '' END AS title,
+CASE WHEN p_partkey % 6 = 0 THEN 'DEDD+Tnp20' WHEN p_partkey % 6 = 1 THEN 'DEDD' WHEN p_partkey % 6 = 2 THEN 'Tnp20' WHEN p_partkey % 3 = 0 OR p_partkey % 5 = 0 THEN 'other' ELSE 'cargo' END AS kind FROM part""")
+def orf_titles(t: Tables) -> DataFrame:
+    gene, product = F.expr("if(p_partkey % 4 = 0, 'tnpA', '')"), F.expr("CASE WHEN p_partkey % 3 = 0 THEN 'Hypothetical protein X' WHEN p_partkey % 5 = 0 THEN NULL ELSE p_name END")
+    domains = F.expr("CASE p_partkey % 6 WHEN 0 THEN array('DEDD', 'Tnp20') WHEN 1 THEN array('DEDD') WHEN 2 THEN array('Tnp20') WHEN 3 THEN array() END")
+    return t.part.select("p_partkey", fs.orf_title(gene, product, F.col("p_partkey"), F.col("p_size") * 7, domains).alias("title"), fs.orf_kind(product, domains).alias("kind"))

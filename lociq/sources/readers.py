@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lociq.functions.sequence import cigar_reference_length, reference_header
 from lociq.operators.ranking import first_by
 from lociq.schemas import BLAST6, CIRCLE_SUMMARY, CLUSTER_PAIRS, INSERTIONS, PARTIAL_CIRCLE, RECORD, RUN_METADATA
+from lociq.storage import stored
 
 
 def read_tsv(spark: SparkSession, path: str, schema: str, header: bool = True) -> DataFrame:
@@ -40,6 +41,22 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     return rows.withColumn("contig", F.coalesce("is_element.contig", "is_element.chrom")).drop("place")
 
 
+def read_records_checked(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(element records as read_records has them; file, reason, n of what was left out), from one pass over the files.
+
+    A file that does not parse, such as one that ends too early, gives `not JSON` and no record; records without is_id are counted by file.
+    """
+    bad = "corrupt_"
+    raw = spark.read.json(path, schema=f"{RECORD}, {bad} string", multiLine=True, mode="PERMISSIVE", columnNameOfCorruptRecord=bad)
+    raw = raw.withColumns({"file": F.col("_metadata.file_path"), "sample_dir": _sample_of_path(), "place": F.monotonically_increasing_id(), bad: F.col(bad).isNotNull()})
+    rows = stored(raw, "records")
+    left = rows.where(f"{bad} OR is_id IS NULL").groupBy("file", F.when(F.col(bad), "not JSON").otherwise("no is_id").alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+    spoiled = left.where("reason = 'not JSON'").select("file")  # a row for each such file
+    kept = rows.where("is_id IS NOT NULL").join(spoiled, "file", "left_anti")
+    kept = first_by(kept, ["is_id"], ["file", "place"]).withColumn("contig", F.coalesce("is_element.contig", "is_element.chrom"))
+    return kept.drop("place", bad), left
+
+
 def read_partial_circles(spark: SparkSession, path: str, glob: str = "*.json") -> DataFrame:
     """is_id with the calls of all JSON files below path, as an ordered list."""
     raw = spark.read.json(path, schema=PARTIAL_CIRCLE, multiLine=True, mode="PERMISSIVE", recursiveFileLookup=True, pathGlobFilter=glob).where("is_id IS NOT NULL")
