@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,9 +36,34 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """df written as Parquet in the shared folder and read again: cuts lineage and survives lost executors."""
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
+    if _open:
+        _open[-1].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_open: list[list[str]] = []
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession, *keep: str):
+    """Tables that `stored` writes meanwhile are deleted at the end, but for those under the names in keep: what comes out must read no others."""
+    _open.append([])
+    try:
+        yield
+    finally:
+        mine = _open.pop()
+        kept = [p for p in mine if p.rsplit("/", 1)[1].rsplit("-", 1)[0] in keep]
+        if _open:
+            _open[-1] += kept
+        for path in set(mine) - set(kept):
+            _delete(spark, path)
+
+
 class Rounds:
     """Tables of a loop by name: a round's table is deleted once its successor has been written, so that one of each name stays.
 
@@ -56,5 +82,4 @@ class Rounds:
 
     def drop(self, *names: str) -> None:
         for path in [self.paths.pop(n) for n in names if n in self.paths]:
-            where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
+            _delete(self.spark, path)
