@@ -28,6 +28,7 @@ from pyspark.sql.window import Window
 from lociq.llm.common import pick, small_batches, stored
 from lociq.llm.graph import link_lists
 from lociq.llm.words import mix64, range_hashes, slices, text_buffers, word_bounds
+from lociq.storage import scratch
 
 WORDS = 5
 #: A similarity of 3/4: 100 * intersection >= 75 * union.
@@ -293,12 +294,13 @@ def jaccard_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
     links with nothing; its component_id is its doc_id. Rows with a null doc_id are kept and linked, and the component takes
     the smallest doc_id that is not null (null if there is none). Rows that repeat a doc_id are rows of their own. An empty table gives an empty result. Other columns are ignored.
     """
-    members, labels = jaccard_classes(docs, words)
-    found = labels.withColumnRenamed("label", "root")
-    by_class = members.where("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("rep"))
-    rooted = by_class.join(found, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-    smallest = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
-    by_class = stored(rooted.join(smallest, "root").select("cls", "component_id"), "class-components")
+    with scratch(docs.sparkSession, "signatures", "class-components"):
+        members, labels = jaccard_classes(docs, words)
+        found = labels.withColumnRenamed("label", "root")
+        by_class = members.where("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("rep"))
+        rooted = by_class.join(found, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+        smallest = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
+        by_class = stored(rooted.join(smallest, "root").select("cls", "component_id"), "class-components")
     out = members.join(by_class, "cls", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
@@ -309,8 +311,9 @@ def one_of_each(docs: DataFrame, words: int = WORDS) -> DataFrame:
     Of rows that agree in doc_id and text one stays, whichever columns else they differ in. A text that is null or has no word is
     a component of its own, so such a row stays unless it repeats another one's doc_id and text.
     """
-    members, labels = jaccard_classes(docs, words)
-    return kept_rows(docs, members, labels)
+    with scratch(docs.sparkSession, "kept"):  # the rows come from docs by the stored keys alone
+        members, labels = jaccard_classes(docs, words)
+        return kept_rows(docs, members, labels)
 
 
 def kept_rows(docs: DataFrame, members: DataFrame, labels: DataFrame) -> DataFrame:
