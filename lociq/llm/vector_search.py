@@ -30,8 +30,8 @@ CENTROIDS, PART = 16, 2
 #: Weighs parallel error as for scores above this share of the norms' product.
 THRESHOLD = 0.2
 QUERY_BLOCK, INDEX_BLOCK = 512, 4096
-#: Query blocks of a wave, which are sent to all tasks: 16,384 queries, whose best candidates a task holds at a time.
-OPEN_BLOCKS = 32
+#: Query blocks of a wave, which are sent to all tasks, at most, and bytes of its vectors, their tables and best candidates, which a task holds at a time.
+OPEN_BLOCKS, WAVE_BYTES = 32, 256 << 20
 #: Index blocks that a task scans, at least, where there are enough for all cores: it bounds the candidate lists that meet for a query.
 PART_BLOCKS = 256
 
@@ -59,10 +59,18 @@ class Codebooks(NamedTuple):
         return codes.astype(np.uint8)
 
     def tables(self, q: np.ndarray) -> np.ndarray:
-        """(queries, bytes of a code, 256): inner products of the query with both centroids of a byte."""
-        parts = _parts(q, len(self.centers))
-        one = np.einsum("qmp,mcp->qmc", parts, self.centers)
-        return (one[:, 0::2, None, :] + one[:, 1::2, :, None]).reshape(len(q), len(self.centers) // 2, 256).astype(np.float32)
+        """(queries, subspaces, 16): inner products of the query with each centroid."""
+        return np.einsum("qmp,mcp->qmc", _parts(q, len(self.centers)), self.centers).astype(np.float32)
+
+
+def _byte_table(tables: np.ndarray, b: int) -> np.ndarray:
+    """(queries, 256): the sums of both entries that byte b of a code names."""
+    return (tables[:, 2 * b, None, :] + tables[:, 2 * b + 1, :, None]).reshape(len(tables), 256)
+
+
+def wave_blocks(dimensions: int, rerank: int, budget: int = WAVE_BYTES) -> int:
+    """Query blocks of a wave: for each query its vector (8 bytes a component), tables (32 bytes a component), and `rerank` ids and scores (12 bytes)."""
+    return max(1, min(OPEN_BLOCKS, budget // (QUERY_BLOCK * (40 * dimensions + 12 * rerank))))
 
 
 def _parts(x: np.ndarray, subspaces: int) -> np.ndarray:
@@ -129,7 +137,7 @@ def _scan(batches: Iterator[pa.RecordBatch], books, wave, rerank: int) -> Iterat
                 q_ids, tables, scores, ids = block
                 near = np.repeat(norms[None], len(q_ids), axis=0)
                 for b in range(len(codes)):
-                    near += tables[:, b][:, codes[b]]
+                    near += _byte_table(tables, b)[:, codes[b]]
                 all_scores = np.hstack([scores, near])
                 top = np.argpartition(-all_scores, min(rerank, all_scores.shape[1] - 1), axis=1)[:, :rerank]
                 all_ids = np.hstack([ids, np.broadcast_to(new_ids, near.shape)])
@@ -181,8 +189,9 @@ def nearest(vectors: DataFrame, every: int = 100, k: int = 10, rerank: int | Non
     dealt = queries.withColumn("block", F.pmod("query_key", F.lit(blocks)).cast("int"))
     place = F.row_number().over(Window.partitionBy("query_key").orderBy(F.desc("near"), "vid"))
     found = []
-    for a in range(0, blocks, OPEN_BLOCKS):
-        wave = spark.sparkContext.broadcast(_wave(dealt, list(range(a, min(blocks, a + OPEN_BLOCKS)))))
+    many = wave_blocks(length["d"], rerank)
+    for a in range(0, blocks, many):
+        wave = spark.sparkContext.broadcast(_wave(dealt, list(range(a, min(blocks, a + many)))))
         scanned = index.mapInArrow(partial(_scan, books=books, wave=wave, rerank=rerank), "query_key long, vid long, near double")
         found.append(stored(scanned.withColumn("place", place).where(F.col("place") <= rerank).select("query_key", "vid"), "vector-candidates"))
     candidates = reduce(DataFrame.unionByName, found)

@@ -258,3 +258,52 @@ def test_shares_stay_exact_for_huge_counts(spark):
         assert divergence.shares(np.array([n]), np.array([total]), v)[0] == want
         got = spark.range(1).select(F.expr(divergence._share(f"{n}L", f"{total}L", f"{v}L"))).first()[0]
         assert got == want
+
+
+def test_language_pieces_change_nothing():
+    from lociq.llm.language_id import Profiles
+
+    texts = ["the quick brown fox", None, "", "über die Straße", "привет мир " * 50, "12 34", "a"]
+    whole, lettered = Profiles(256).bundle(texts)
+    for piece in (1, 20, 600):
+        vectors, found = Profiles(256).bundle(texts, piece)
+        assert (vectors == whole).all() and (found == lettered).all()
+
+
+def test_vector_tables_sum_the_products_of_both_halves():
+    from lociq.llm import vector_search
+
+    rng = np.random.default_rng(3)
+    for d in (5, 64, 768):
+        x = rng.normal(size=(40, d))
+        books = vector_search.fit_codebooks(x, rounds=1)
+        codes = books.encode(x)
+        packed = (codes[:, 0::2] | codes[:, 1::2] << 4).T
+        tables = books.tables(x[:7])
+        assert tables.nbytes <= 7 * 32 * (d + 4)
+        near = sum(vector_search._byte_table(tables, b)[:, packed[b]] for b in range(len(packed)))
+        shown = np.stack([books.centers[m][codes[:, m]] for m in range(len(books.centers))], axis=1).reshape(40, -1)[:, :d]
+        assert np.allclose(near, x[:7] @ shown.T, atol=1e-3)
+
+
+def test_vector_waves_stay_within_their_bytes():
+    from lociq.llm.vector_search import OPEN_BLOCKS, QUERY_BLOCK, WAVE_BYTES, wave_blocks
+
+    assert wave_blocks(64, 500) == OPEN_BLOCKS
+    for d in (256, 768, 4096):
+        assert 1 <= wave_blocks(d, 2000) and wave_blocks(d, 2000) * QUERY_BLOCK * (40 * d + 12 * 2000) <= WAVE_BYTES
+
+
+def test_batches_are_bounded_and_never_enlarged(spark):
+    from lociq.llm import common
+
+    rows, size = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = {k: spark.conf.get(k) for k in (rows, size)}
+    try:
+        for given, want in (("64MB", str(common.BATCH_BYTES)), ("1m", "1m"), ("4096", "4096")):
+            spark.conf.set(size, given)
+            common.small_batches(spark)
+            assert spark.conf.get(size) == want
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
