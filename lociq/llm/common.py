@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Iterator
+from functools import wraps
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lociq.storage import new_path, stored
 
-__all__ = ["crc32_bucket", "join_checked", "new_path", "pick", "picked", "small_batches", "stored", "table"]
+__all__ = ["crc32_bucket", "join_checked", "new_path", "pick", "picked", "released", "small_batches", "stored", "table"]
 
 #: Rows in one Arrow batch handed to Python; texts may be long, so batches are kept short.
 BATCH_ROWS = 512
+#: Bytes after which an Arrow batch ends, however few rows it has.
+BATCH_BYTES = 16 << 20
 #: A table of at most so many rows may be broadcast; it is counted first.
 BROADCAST_ROWS = 100_000
 
@@ -21,6 +28,32 @@ def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     now = int(spark.conf.get(key, "10000"))
     if now <= 0 or now > rows:
         spark.conf.set(key, str(rows))
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if _bytes(spark.conf.get(key, "64m")) > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
+def _bytes(setting: str) -> int:
+    """Bytes of a setting such as 64m, 64MB or 1024."""
+    number = setting.lower().removesuffix("b")
+    unit = number[-1:]
+    return int(number[:-1]) << 10 * (1 + "kmgtp".index(unit)) if unit and unit in "kmgtp" else int(number)
+
+
+def released(task: Callable[..., Iterator[pa.RecordBatch]]) -> Callable[..., Iterator[pa.RecordBatch]]:
+    """The task's function, after which a worker gives the memory that it freed back to the machine: workers are kept for later tasks."""
+
+    @wraps(task)
+    def run(batches: Iterator[pa.RecordBatch], *args, **named) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from task(batches, *args, **named)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
+            if trim:
+                trim(0)
+
+    return run
 
 
 def pick(df: DataFrame, **types: str) -> DataFrame:

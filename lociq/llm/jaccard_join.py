@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lociq.llm.common import pick, small_batches, stored
+from lociq.llm.common import pick, released, small_batches, stored
 from lociq.llm.graph import link_lists
 from lociq.llm.words import mix64, range_hashes, slices, text_buffers, word_bounds
 from lociq.storage import scratch
@@ -88,6 +88,7 @@ def prefix_size(n: int) -> int:
     return n - -(-n * NUMERATOR // DENOMINATOR) + 1
 
 
+@released
 def _recurring(batches: Iterator[pa.RecordBatch], words: int, window: int) -> Iterator[pa.RecordBatch]:
     """Shingles that more than one text of a window has, with the number of such texts; a class counts once."""
     held: list[np.ndarray] = []
@@ -146,6 +147,7 @@ def frequent_shingles(rows: DataFrame, words: int = WORDS, most: int = FREQUENT,
 _SIGNATURE = "doc_id long, rid long, text_hash long, cls binary, n int, gkey long, prefix array<long>, hot_from int"
 
 
+@released
 def _signatures(batches: Iterator[pa.RecordBatch], words: int, frequent) -> Iterator[pa.RecordBatch]:
     """Class, size, group and, at a group's first row in this task, its prefix."""
     common, count = frequent.value
@@ -183,6 +185,7 @@ def _signatures(batches: Iterator[pa.RecordBatch], words: int, frequent) -> Iter
         yield pa.RecordBatch.from_arrays([*mine, *columns], names=["doc_id", "rid", "text_hash", "cls", "n", "gkey", "prefix", "hot_from"])
 
 
+@released
 def _plausible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs whose sketches allow an intersection that is large enough."""
     as_counts = lambda x: np.frombuffer(x, "u1" if len(x) == SKETCH else "<u4").astype(np.int64)
@@ -203,6 +206,7 @@ def _range(n: Column, pos: Column) -> tuple[Column, Column]:
     return F.ceil(n * NUMERATOR / DENOMINATOR).cast("int").alias("lo"), hi.cast("int").alias("hi")
 
 
+@released
 def _of_class(batches: Iterator[pa.RecordBatch], words: int, sketched: bool) -> Iterator[pa.RecordBatch]:
     """Sets, or their sketches, of the texts that are of the class asked for (a key may stand for several texts); each once in a task."""
     seen: set[bytes] = set()

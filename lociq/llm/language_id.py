@@ -15,11 +15,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lociq.llm.common import crc32_bucket, pick, small_batches
+from lociq.llm.common import crc32_bucket, pick, released, small_batches
 
 DIMENSIONS = 1024
 #: Trigrams whose vectors a worker keeps (a byte for each dimension); then it starts anew.
 KEPT = 50_000
+#: Letters of the texts that are bundled at a time.
+PIECE = 1 << 20
 #: Unit vectors are summed as whole numbers of this size, so that sums do not depend on their order.
 SCALE = 1 << 20
 UNKNOWN = "und"
@@ -38,8 +40,7 @@ class Profiles:
         self.letters: dict[int, np.ndarray] = {}
         self.rows: dict[int, int] = {}
         self.vectors = np.empty((4096, dimensions), np.int8)
-        self.alpha = np.zeros(0x110000, bool)
-        self.alpha[[c for c in range(0x110000) if not 0xD800 <= c < 0xE000 and chr(c).isalpha()]] = True
+        self.alpha = np.fromiter((not 0xD800 <= c < 0xE000 and chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
 
     def letter(self, code: int) -> np.ndarray:
         v = self.letters.get(code)
@@ -64,8 +65,21 @@ class Profiles:
         self.rows.update((g, base + k) for k, g in enumerate(new))
         return np.array([self.rows[g] for g in grams.tolist()], np.int64)
 
-    def bundle(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """(vectors of length one, has_letter); a text with letters always has a trigram, as spaces stand round it."""
+    def bundle(self, texts: list[str | None], piece: int = PIECE) -> tuple[np.ndarray, np.ndarray]:
+        """(vectors of length one, has_letter); a text with letters always has a trigram, as spaces stand round it. Texts of about
+        `piece` letters are worked on at a time, or one text that is longer."""
+        vectors, lettered = np.zeros((len(texts), self.d), np.float32), np.zeros(len(texts), bool)
+        a = 0
+        while a < len(texts):
+            z, size = a + 1, len(texts[a] or "")
+            while z < len(texts) and size + len(texts[z] or "") <= piece:
+                size += len(texts[z] or "")
+                z += 1
+            vectors[a:z], lettered[a:z] = self._bundled(texts[a:z])
+            a = z
+        return vectors, lettered
+
+    def _bundled(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         joined = "\0".join(f" {(t or '').replace(chr(0), ' ')} " for t in texts).lower()
         codes = np.frombuffer(joined.encode("utf-32-le", "replace"), np.uint32)
         m = np.where(self.alpha[codes], codes, np.where(codes == 0, 0, 32)).astype(np.int64)
@@ -97,6 +111,7 @@ class Profiles:
         return (out / np.maximum(size, 1e-30)[:, None]).astype(np.float32), lettered & (size > 0)
 
 
+@released
 def _sums(batches: Iterator[pa.RecordBatch], dimensions: int) -> Iterator[pa.RecordBatch]:
     profiles, total = Profiles(dimensions), {}
     for batch in batches:
@@ -128,6 +143,7 @@ def predict(profiles: Profiles, texts: list[str | None], langs: list[str], proto
     return [langs[b] if ok else UNKNOWN for b, ok in zip(best.tolist(), lettered.tolist(), strict=True)], score
 
 
+@released
 def _scored(batches: Iterator[pa.RecordBatch], dimensions: int, model) -> Iterator[pa.RecordBatch]:
     profiles, (langs, prototypes) = Profiles(dimensions), model.value
     for batch in batches:
@@ -135,6 +151,7 @@ def _scored(batches: Iterator[pa.RecordBatch], dimensions: int, model) -> Iterat
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.string()), pa.array(score, pa.float64())], names=["doc_id", "held_out", "lang_pred", "score"])
 
 
+@released
 def _kept(batches: Iterator[pa.RecordBatch], dimensions: int, model, least: dict[str, float], at: int | None) -> Iterator[pa.RecordBatch]:
     profiles, (langs, prototypes) = Profiles(dimensions), model.value
     for batch in batches:
@@ -142,6 +159,7 @@ def _kept(batches: Iterator[pa.RecordBatch], dimensions: int, model, least: dict
         yield batch.filter(pa.array([f != UNKNOWN and x >= least[f] for f, x in zip(found, score.tolist(), strict=True)], pa.bool_()))
 
 
+@released
 def _own_cosines(batches: Iterator[pa.RecordBatch], dimensions: int, model) -> Iterator[pa.RecordBatch]:
     profiles, (langs, prototypes) = Profiles(dimensions), model.value
     place, counts = {g: k for k, g in enumerate(langs)}, np.zeros((len(langs), STEPS + 1), np.int64)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lociq.llm.common import pick, picked, small_batches
+from lociq.llm.common import pick, picked, released, small_batches
 from lociq.llm.words import distinct_ranges, slices, text_buffers, word_bounds
 
 #: Bound of the labelled sample that the models are fitted on.
@@ -153,6 +153,7 @@ def surest(odds: np.ndarray, x: np.ndarray, k: int, sure: float = SURE) -> np.nd
     return np.concatenate(out) if out else np.empty(0, np.int64)
 
 
+@released
 def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         t = text_features(batch.column("text"))
@@ -175,6 +176,7 @@ def _sampled(rows: DataFrame, ids: list[int]) -> tuple[list[int], np.ndarray]:
     return kept, np.array([found[i] for i in kept], np.float64).reshape(len(kept), -1)
 
 
+@released
 def _candidates(batches: Iterator[pa.RecordBatch], model, known, k: int) -> Iterator[pa.RecordBatch]:
     """This task's surest rows of each view and label."""
     best: dict[str, tuple[np.ndarray, np.ndarray]] = {}
@@ -242,12 +244,14 @@ def _probability(odds: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
 
 
+@released
 def _scores(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         t, m, both = (_probability(x) for x in _odds(batch, model.value))
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(t), pa.array(m), pa.array(both)], names=["doc_id", "text_score", "meta_score", "score"])
 
 
+@released
 def _accepted(batches: Iterator[pa.RecordBatch], model, least: float, columns: int) -> Iterator[pa.RecordBatch]:
     """The accepted rows with their first columns; what the model reads comes behind them."""
     for batch in batches:
