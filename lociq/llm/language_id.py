@@ -8,7 +8,7 @@ its texts scaled to length one. A text gets the language whose prototype is near
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
+from functools import cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +32,14 @@ LOW, MARGIN, DEVIATIONS = 0.01, 0.5, 4
 STEPS = 1000
 
 
+@cache
+def _alphabet() -> np.ndarray:
+    """Whether each code point is a letter; made once for a worker."""
+    out = np.zeros(0x110000, bool)
+    out[[c for c in range(0x110000) if not 0xD800 <= c < 0xE000 and chr(c).isalpha()]] = True
+    return out
+
+
 class Profiles:
     """Bundled trigram vectors of texts."""
 
@@ -40,7 +48,7 @@ class Profiles:
         self.letters: dict[int, np.ndarray] = {}
         self.rows: dict[int, int] = {}
         self.vectors = np.empty((4096, dimensions), np.int8)
-        self.alpha = np.fromiter((not 0xD800 <= c < 0xE000 and chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
+        self.alpha = _alphabet()
 
     def letter(self, code: int) -> np.ndarray:
         v = self.letters.get(code)
