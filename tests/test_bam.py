@@ -106,3 +106,22 @@ def test_failed_attempts_stay_unseen(spark, tmp_path):
 
 def test_bins():
     assert [bin_ for bin_ in (bam.bin_of(0, 1), bam.bin_of(16384, 16385), bam.bin_of(0, 16385), bam.bin_of(0, 1 << 29))] == [4681, 4682, 585, 0]
+
+
+def test_positions_behind_the_last_bin(spark, tmp_path):
+    path = str(tmp_path / "out")
+    rows = [(f"r{k}", 0, "long", p, 9, "40M", "A" * 40, "*") for k, p in enumerate([5, (1 << 29) - 20, 1 << 29, 1_190_000_000, 2_000_000_000])]
+    bam.write_bam(spark.createDataFrame(rows, ALIGNED), path, [("long", (1 << 31) - 1)])
+    assert key(bam.read_bam(spark, path).collect()) == key(rows)
+    assert [r.query_name for r in bam.read_bam(spark, path, "long", 1_190_000_039, 1_190_000_050).collect()] == ["r3"]
+    with pytest.raises(ValueError, match="behind the last position"):
+        bam.BamFile(open(tmp_path / "x", "wb"), [("long", 9)]).add("far", 0, "long", (1 << 31) - 10, 9, "40M", "A" * 40, "*")
+
+
+def test_bam_region_with_large_keys(spark, tmp_path):
+    """Places of keys above 2.1 million do not fit a file's positions."""
+    from __spark_entry__ import queries
+
+    spark.createDataFrame([(k, p, 1, 1) for k, p in enumerate([150, 899, 900, 600_000, 7_000_000])], "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int").write.parquet(str(tmp_path / "lineitem.parquet"))
+    got = queries()["bam_region"](spark, str(tmp_path)).select("query_name", "ref_start", "n").collect()
+    assert sorted(map(tuple, got)) == [("r0", 150_000, 1), ("r1", 899_000, 1)]
