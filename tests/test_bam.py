@@ -125,3 +125,19 @@ def test_bam_region_with_large_keys(spark, tmp_path):
     spark.createDataFrame([(k, p, 1, 1) for k, p in enumerate([150, 899, 900, 600_000, 7_000_000])], "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int").write.parquet(str(tmp_path / "lineitem.parquet"))
     got = queries()["bam_region"](spark, str(tmp_path)).select("query_name", "ref_start", "n").collect()
     assert sorted(map(tuple, got)) == [("r0", 150_000, 1), ("r1", 899_000, 1)]
+
+
+def test_letters_and_repeated_operations(tmp_path):
+    """Letters of either case and none of the format, an odd number of them, operations met twice, and a quality that does not exist."""
+    path = str(tmp_path / "x.bam")
+    with fs.LocalFileSystem().open_output_stream(path, compression=None) as sink:
+        file = bam.BamFile(sink, REFERENCES)
+        for name in ("a", "b"):
+            file.add(name, 0, "chr1", 10, 9, "3S2M4D", "acG?é", "!I~JK")
+        with pytest.raises(ValueError):
+            file.add("c", 0, "chr1", 10, 9, "1M", "A", " ")
+        file.close()
+    reader = bam.BamReader({"path": path})
+    rows = [tuple(r.values()) for p in reader.partitions() for b in reader.read(p) for r in b.to_pylist()]
+    assert [r[3:9] for r in rows] == [(10, 9, "3S2M4D", "ACGNN", "!I~JK", 16)] * 2
+    assert bam._cigar.cache_info().hits > 0
