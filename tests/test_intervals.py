@@ -63,3 +63,31 @@ def test_query_places(spark):
     rows = [("a", 0, "c", 5, 9, "10S20M3I4D7=5S", 0), ("b", 16, "c", 5, 9, "4H6S10M2H", 0), ("c", 4, "*", -1, 0, "*", 0), ("d", 0, "c", 1, 1, "8M", 0)]
     df = spark.createDataFrame(rows, "query_name string, flag int, reference_name string, ref_start bigint, mapq int, cigar string, ref_end bigint")
     assert {r.query_name: (r.contig, r.query_start, r.query_end, r.query_length) for r in hits.query_places(df).collect()} == {"a": ("c", 10, 40, 45), "b": ("c", 6, 16, 22), "d": ("c", 0, 8, 8)}
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_overlap_totals(spark, parts):
+    """Numbers and lengths by region as the pairs give them: equal places, crowded ones, touching ends, repeated ids, empty and null rows."""
+    rng = np.random.default_rng(parts)
+    spans = lambda n: [(k % 40, f"c{k % 3}", s, s + int(rng.choice([1, 5, 300]))) for k in range(n) if (s := int(rng.integers(-20, 60))) is not None]
+    odd = [(90, "c0", 5, 5), (91, "c0", None, 9), (92, None, 1, 9), (93, "c1", 7, 3), (94, "far", 1, 9)]
+    x = spark.createDataFrame(spans(400) + [(95, "c1", 7, 9)] * 200 + odd[:4], "id int, ref string, ref_start bigint, ref_end bigint")
+    y = spark.createDataFrame(spans(90) + [(96, "c1", 7, 9)] * 3 + odd, "region int, ref string, region_start bigint, region_end bigint")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        met = intervals.overlaps(x, y, "ref")
+        want = met.groupBy("region").agg(F.count(F.lit(1)), F.sum(F.least("ref_end", "region_end") - F.greatest("ref_start", "region_start")))
+        got = intervals.overlap_totals(x, y, "ref", "region")
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) != []
+        assert intervals.overlap_totals(x.limit(0), y, "ref", "region").count() == 0 == intervals.overlap_totals(x, y.limit(0), "ref", "region").count()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_totals_of_many_common_pairs(spark):
+    """All intervals meet all regions: 400 million pairs, which none of the steps makes."""
+    x = spark.range(20_000).selectExpr("'c' AS ref", "id AS ref_start", "100000 + id AS ref_end")
+    y = spark.range(20_000).selectExpr("'c' AS ref", "50000 AS region_start", "50001 + id AS region_end", "id AS region")
+    n, bases = intervals.overlap_totals(x, y, "ref", "region").selectExpr("sum(n)", "sum(bases)").first()
+    assert (n, bases) == (20_000**2, 20_000 * sum(range(1, 20_001)))
