@@ -1,9 +1,11 @@
 """Nearest vectors by score-aware (anisotropic) product quantisation.
 
-Smallest Euclidean distance is largest q.x - |x|^2 / 2, an inner product. Vectors are cut into subspaces of two dimensions with
+A vector is x = c + s u: the nearest of a few anchors c, its distance s, and a direction u of length 1. Smallest Euclidean distance is
+largest -|q - c|^2 / 2 + s (q - c).u - s^2 / 2, an inner product. Directions are cut into subspaces of two dimensions with
 16 centroids each, so a code has four bits. Codebooks and codes minimise a loss that weighs the part of the residual
-that is parallel to the vector more than the rest, as that part changes large inner products most. A scan adds table entries, one
-for every byte of the code; |x|^2 is kept exactly. The best `rerank` vectors of each query are compared exactly on the originals.
+that is parallel to the direction more than the rest, as that part changes large inner products most; what the code leaves has a length and a
+second code. So errors are shares of s: vectors of tight groups, of very different lengths or far from the origin keep their order. A scan adds
+table entries, one for every byte of the codes; s is kept. The best `rerank` vectors of each query are compared exactly on the originals.
 
 Equal vectors are indexed once, with their k + 1 smallest ids, so copies do not fill the candidate lists.
 """
@@ -30,6 +32,8 @@ CENTROIDS, PART = 16, 2
 #: Weighs parallel error as for scores above this share of the norms' product.
 THRESHOLD = 0.2
 QUERY_BLOCK, INDEX_BLOCK = 512, 4096
+#: Anchors at most, and rounds that place them on the sample.
+ANCHORS, ANCHOR_ROUNDS = 256, 8
 #: Query blocks of a wave, which are sent to all tasks, at most, and bytes of its vectors, their tables and best candidates, which a task holds at a time.
 OPEN_BLOCKS, WAVE_BYTES = 32, 256 << 20
 #: Index blocks that a task scans, at least, where there are enough for all cores: it bounds the candidate lists that meet for a query.
@@ -69,7 +73,9 @@ def _byte_table(tables: np.ndarray, b: int) -> np.ndarray:
 
 
 def wave_blocks(dimensions: int, rerank: int, budget: int = WAVE_BYTES) -> int:
-    """Query blocks of a wave: for each query its vector (8 bytes a component), tables (32 bytes a component), and `rerank` ids and scores (12 bytes)."""
+    """Query blocks of a wave: for each query its vector (8 bytes a component), tables (32 bytes a component), and `rerank` ids and scores (12 bytes).
+
+    Two tables and the anchors' distances are held for each, so callers give twice the components and an eighth of the anchors more."""
     return max(1, min(OPEN_BLOCKS, budget // (QUERY_BLOCK * (40 * dimensions + 12 * rerank))))
 
 
@@ -108,36 +114,112 @@ def fit_codebooks(x: np.ndarray, threshold: float = THRESHOLD, rounds: int = 6)
     return Codebooks(centers, weight)
 
 
+class Anchored(NamedTuple):
+    """Anchors, and codebooks for directions from them and for what these leave. Places are (x - origin) / unit."""
+
+    origin: np.ndarray
+    unit: float
+    anchors: np.ndarray
+    first: Codebooks
+    second: Codebooks
+
+    def place(self, x: np.ndarray) -> np.ndarray:
+        return (x - self.origin) / self.unit
+
+    def encode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Codes (rows, subspaces of both codebooks), and of each row its anchor, s, the length of what the first code leaves, and all that no query changes."""
+        y = self.place(x)
+        anchor = _nearest_anchor(y, self.anchors)
+        c = self.anchors[anchor]
+        s, u = _direction(y - c)
+        a = self.first.encode(u)
+        t, v = _direction(u - _decoded(self.first, a, u.shape[1]))
+        b = self.second.encode(v)
+        coded = _decoded(self.first, a, u.shape[1]) + t[:, None] * _decoded(self.second, b, u.shape[1])
+        return np.hstack([a, b]), np.stack([anchor, s, t, -s * (c * coded).sum(axis=1) - s**2 / 2])
+
+    def query(self, q: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Tables of both codebooks, and -|q - c|^2 / 2 for each anchor."""
+        y = self.place(q)
+        far = np.stack([((y - c) ** 2).sum(axis=1) for c in self.anchors], axis=1)
+        return self.first.tables(y), self.second.tables(y), np.maximum(-far / 2, -1e37).astype(np.float32)
+
+
+def _nearest_anchor(y: np.ndarray, anchors: np.ndarray) -> np.ndarray:
+    return ((anchors**2).sum(axis=1) - 2 * (y @ anchors.T)).argmin(axis=1)
+
+
+def _direction(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Lengths and rows of length 1; zero stays zero."""
+    size = np.sqrt((x**2).sum(axis=1))
+    return size, x / np.where(size > 0, size, 1)[:, None]
+
+
+def _decoded(books: Codebooks, codes: np.ndarray, d: int) -> np.ndarray:
+    return np.concatenate([c[codes[:, m]] for m, c in enumerate(books.centers)], axis=1)[:, :d]
+
+
+def fit_anchored(x: np.ndarray) -> Anchored:
+    origin = np.median(x, axis=0)
+    size = np.sqrt(((x - origin) ** 2).sum(axis=1))
+    unit = float(np.median(size[size > 0])) if (size > 0).any() else 1.0
+    y = (x - origin) / unit
+    # rows that are far from the anchors before come first, so that no group is without one
+    rng, anchors, gap = np.random.default_rng(0), [y[0]], ((y - y[0]) ** 2).sum(axis=1)
+    while len(anchors) < min(ANCHORS, len(y)) and (gap > 0).any():
+        weight = np.sqrt(gap)
+        anchors.append(y[rng.choice(len(y), p=weight / weight.sum())])
+        gap = np.minimum(gap, ((y - anchors[-1]) ** 2).sum(axis=1))
+    anchors = np.array(anchors)
+    for _ in range(ANCHOR_ROUNDS):
+        mine = _nearest_anchor(y, anchors)
+        for c in np.unique(mine):
+            anchors[c] = y[mine == c].mean(axis=0)
+    _, u = _direction(y - anchors[_nearest_anchor(y, anchors)])
+    first = fit_codebooks(u)
+    _, v = _direction(u - _decoded(first, first.encode(u), x.shape[1]))
+    return Anchored(origin, unit, anchors, first, fit_codebooks(v, threshold=0.0))
+
+
 def _matrix(column: pa.Array) -> np.ndarray:
     flat = column.flatten().to_numpy(zero_copy_only=False)
     return flat.reshape(len(column), -1).astype(np.float64)
 
 
 def _index(batches: Iterator[pa.RecordBatch], books) -> Iterator[pa.RecordBatch]:
-    """Blocks of the index: ids, codes (a byte for two subspaces) and squared norms."""
+    """Blocks of the index: ids, codes (a byte for two subspaces), and anchor, lengths and constant of each vector."""
     for batch in batches:
         for a in range(0, batch.num_rows, INDEX_BLOCK):
             part = batch.slice(a, INDEX_BLOCK)
             x = _matrix(part.column(1))
-            codes = books.value.encode(x)
+            codes, numbers = books.value.encode(x)
             packed = codes[:, 0::2] | codes[:, 1::2] << 4
             ids = part.column(0).to_numpy(zero_copy_only=False).astype("<i8")
-            yield pa.RecordBatch.from_pydict({"ids": [ids.tobytes()], "codes": [np.ascontiguousarray(packed.T).tobytes()], "norms": [(x**2).sum(axis=1).astype("<f8").tobytes()]}, schema=pa.schema([("ids", pa.binary()), ("codes", pa.binary()), ("norms", pa.binary())]))
+            yield pa.RecordBatch.from_pydict({"ids": [ids.tobytes()], "codes": [np.ascontiguousarray(packed.T).tobytes()], "numbers": [numbers.astype("<f8").tobytes()]}, schema=pa.schema([("ids", pa.binary()), ("codes", pa.binary()), ("numbers", pa.binary())]))
 
 
 def _scan(batches: Iterator[pa.RecordBatch], books, wave, rerank: int) -> Iterator[pa.RecordBatch]:
     """For each query of the wave the best `rerank` vectors of this task's part of the index, by the sum of table entries."""
-    best = [[q_ids, books.value.tables(q), np.full((len(q_ids), rerank), -np.inf, np.float32), np.zeros((len(q_ids), rerank), np.int64)] for q_ids, q in wave.value]
+    best = [[q_ids, books.value.query(q), np.full((len(q_ids), rerank), -np.inf, np.float32), np.zeros((len(q_ids), rerank), np.int64)] for q_ids, q in wave.value]
     for batch in batches:
         for row in batch.to_pylist():
             new_ids = np.frombuffer(row["ids"], "<i8")
             codes = np.frombuffer(row["codes"], np.uint8).reshape(-1, len(new_ids))
-            norms = (-np.frombuffer(row["norms"], "<f8") / 2).astype(np.float32)
+            anchor, s, t, rest = np.frombuffer(row["numbers"], "<f8").reshape(4, -1)
+            anchor, s, t, rest = anchor.astype(np.int64), np.minimum(s, 1e18).astype(np.float32), t.astype(np.float32), np.maximum(rest, -1e37).astype(np.float32)
             for block in best:
                 q_ids, tables, scores, ids = block
-                near = np.repeat(norms[None], len(q_ids), axis=0)
-                for b in range(len(codes)):
-                    near += _byte_table(tables, b)[:, codes[b]]
+                first, second, far = tables
+                half = len(codes) // 2
+                near = np.zeros((len(q_ids), len(new_ids)), np.float32)
+                for b in range(half):
+                    near += _byte_table(second, b)[:, codes[half + b]]
+                near *= t
+                for b in range(half):
+                    near += _byte_table(first, b)[:, codes[b]]
+                near *= s
+                near += rest
+                near += far[:, anchor]
                 all_scores = np.hstack([scores, near])
                 top = np.argpartition(-all_scores, min(rerank, all_scores.shape[1] - 1), axis=1)[:, :rerank]
                 all_ids = np.hstack([ids, np.broadcast_to(new_ids, near.shape)])
@@ -177,9 +259,9 @@ def nearest(vectors: DataFrame, every: int = 100, k: int = 10, rerank: int | Non
     classes = stored(classes.withColumn("vid", F.xxhash64("vid", "embedding")), "vector-classes")
     queries = stored(rows.where(F.col("vec_id") % every == 0).select(F.xxhash64("vec_id", "embedding").alias("query_key"), F.col("vec_id").alias("query_id"), "embedding"), "vector-queries")
     chosen = np.array([r[0] for r in classes.select("embedding", F.xxhash64("vid").alias("p")).orderBy("p").limit(sample).collect()], np.float64)
-    books = spark.sparkContext.broadcast(fit_codebooks(chosen))
+    books = spark.sparkContext.broadcast(fit_anchored(chosen))
     rerank = rerank or int(RERANK * max(1.0, classes.count() / RERANK_ROWS) ** 0.25)
-    index = stored(classes.select("vid", "embedding").mapInArrow(partial(_index, books=books), "ids binary, codes binary, norms binary"), "vector-index")
+    index = stored(classes.select("vid", "embedding").mapInArrow(partial(_index, books=books), "ids binary, codes binary, numbers binary"), "vector-index")
     parts = index.count()
     parts = max(1, min(parts, max(spark.sparkContext.defaultParallelism, -(-parts // PART_BLOCKS))))
     index = stored(index.repartition(parts), "vector-index-parts")
@@ -189,7 +271,7 @@ def nearest(vectors: DataFrame, every: int = 100, k: int = 10, rerank: int | Non
     dealt = queries.withColumn("block", F.pmod("query_key", F.lit(blocks)).cast("int"))
     place = F.row_number().over(Window.partitionBy("query_key").orderBy(F.desc("near"), "vid"))
     found = []
-    many = wave_blocks(length["d"], rerank)
+    many = wave_blocks(2 * length["d"] + ANCHORS // 8, rerank)
     for a in range(0, blocks, many):
         wave = spark.sparkContext.broadcast(_wave(dealt, list(range(a, min(blocks, a + many)))))
         scanned = index.mapInArrow(partial(_scan, books=books, wave=wave, rerank=rerank), "query_key long, vid long, near double")

@@ -307,3 +307,23 @@ def test_batches_are_bounded_and_never_enlarged(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("kind", ["tight", "lengths", "offset", "nested"])
+def test_vector_search_finds_the_nearest_of_other_rows(spark, kind):
+    """Groups much tighter than their distances, lengths of many sizes, a place far from the origin, groups within groups: few are reranked."""
+    from lociq.llm import vector_search
+
+    rng = np.random.default_rng(4)
+    n, d = 4000, 16
+    noise, centre = rng.normal(size=(n, d)), rng.normal(size=(6, d))
+    x = {
+        "tight": lambda: centre[rng.integers(0, 6, n)] + 1e-3 * noise,
+        "lengths": lambda: noise * np.exp(3 * rng.normal(size=(n, 1))),
+        "offset": lambda: noise + 1000,
+        "nested": lambda: 10 * centre[rng.integers(0, 6, n)] + (0.3 * rng.normal(size=(30, d)))[rng.integers(0, 30, n)] + 0.005 * noise,
+    }[kind]()
+    found = vector_search.nearest(spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>"), rerank=100, sample=2000).collect()
+    far = np.sqrt(((x[None, ::100] - x[:, None]) ** 2).sum(axis=2))
+    want = {(q, v) for k, q in enumerate(range(0, n, 100)) for v in [v for v in np.argsort(far[:, k]) if v != q][:10]}
+    assert len({(r.query_id, r.vec_id) for r in found} & want) >= 0.9 * len(want)
