@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 
 def entropy(seq: Column) -> Column:
     """Shannon entropy in bits per base, letter case ignored; 0 for an empty sequence."""
-    s = F.upper(seq)
-    n = F.length(s)
-    share = F.transform(F.array_distinct(F.split(s, "")), lambda c: (n - F.length(F.replace(s, c, F.lit("")))) / n)
-    bits = F.aggregate(F.filter(share, lambda p: p > 0), F.lit(0.0), lambda a, p: a - p * F.log2(p))
-    return F.when(n == 0, F.lit(0.0)).otherwise(bits)
+
+    def bits(s: Column) -> Column:
+        n = F.length(s)
+        share = F.transform(F.array_distinct(F.split(s, "")), lambda c: (n - F.length(F.replace(s, c, F.lit("")))) / n)
+        return F.when(n == 0, F.lit(0.0)).otherwise(F.aggregate(F.filter(share, lambda p: p > 0), F.lit(0.0), lambda a, p: a - p * F.log2(p)))
+
+    return F.transform(F.array(F.upper(seq)), bits)[0]  # whatever makes the sequence is evaluated once, not for each letter
 
 
 def revcomp(seq: Column) -> Column:
@@ -21,9 +23,15 @@ def revcomp(seq: Column) -> Column:
 
 def hamming_positions(a: Column, b: Column) -> Column:
     """Positions (from 0) at which a and b differ, up to the shorter one's end."""
-    n = F.least(F.length(a), F.length(b))
-    where = F.filter(F.sequence(F.lit(0), n - 1), lambda i: F.substr(a, i + 1, F.lit(1)) != F.substr(b, i + 1, F.lit(1)))
-    return F.when(n <= 0, F.array().cast("array<int>")).otherwise(where)
+
+    def where(r: Column) -> Column:
+        n = F.least(F.length(r.a), F.length(r.b))
+        unlike = F.zip_with(F.split(r.a, ""), F.split(r.b, ""), lambda p, q: p != q)
+        places = F.filter(F.transform(unlike, lambda d, i: F.when(d, i)), lambda i: i.isNotNull())
+        none = (n <= 0) | (n.isNotNull() & (r.a.isNull() | r.b.isNull()))
+        return F.when(none, F.array().cast("array<int>")).otherwise(places)
+
+    return F.transform(F.array(F.struct(a.alias("a"), b.alias("b"))), where)[0]  # what makes the sequences is evaluated once, not for each letter
 
 
 def intervals_overlap(s1: Column, e1: Column, s2: Column, e2: Column) -> Column:

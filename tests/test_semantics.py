@@ -251,3 +251,13 @@ def test_hits_keep_order_on_ties(spark):
     h = spark.createDataFrame([("q", "s1", 1, 90, 100, 50.0, 2, "A"), ("q", "s2", 1, 90, 100, 50.0, 1, "B"), ("q", "s3", 1, 10, 100, 99.0, 0, "C")], "qseqid string, sseqid string, qstart int, qend int, qlen int, bitscore double, ordinal int, hit_name string")
     got = hits.ranked_hits(h).orderBy("rank").collect()
     assert [r.hit_name for r in got] == ["B", "A"]
+
+
+def test_sequences_are_made_once_for_all_their_letters(spark):
+    """A Python function cannot run for each letter, so it shows whether what makes a sequence is evaluated outside of the walk over its letters."""
+    from pyspark.sql import functions as F
+
+    same = F.udf(lambda x: x, "string")
+    rows = spark.createDataFrame([("ACGT", "AGGTT"), ("", "A"), (None, "A"), ("AAAA", None), (None, None)], "a string, b string")
+    got = rows.select(fs.hamming_positions(same("a"), same("b")).alias("p"), F.round(fs.entropy(same("a")), 6).alias("e")).collect()
+    assert [tuple(r) for r in got] == [([1], 2.0), ([], 0.0), ([], None), ([], 0.0), (None, None)]
