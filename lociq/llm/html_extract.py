@@ -29,8 +29,8 @@ ARTICLE, OTHER, FURNITURE, WIDE = 0, 1, 2, 3
 WIDE_PAGES = 5
 #: Pages that share so much of their text outside of furniture are copies, which tell nothing about each other's template.
 COPY = 0.95
-#: Pages that a range has at least on average, and those that it also gets from the ranges beside it, at each end.
-RANGE, BESIDE = 256, 8
+#: Pages that a range has at least on average.
+RANGE = 256
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
 _NAMES = re.compile(r"""\b(?:class|id|role|aria-label)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
@@ -158,8 +158,13 @@ def body(lines: list[tuple[str, int]]) -> int:
 
 def is_copy(lines: list[tuple[str, int]], other: list[tuple[str, int]]) -> bool:
     """Whether two pages share nearly all of their text outside of furniture."""
-    mine, theirs = ([x for x, z in p if z != FURNITURE] for p in (lines, other))
-    return mine == theirs or sum(len(mine[k]) for k in shared_lines(mine, theirs)) >= COPY * max(body(lines), body(other))
+    return _alike(*([(x, len(x)) for x, z in p if z != FURNITURE] for p in (lines, other)))
+
+
+def _alike(mine: list[tuple], theirs: list[tuple]) -> bool:
+    """is_copy for the lines outside of furniture, each as what tells it from others, and its characters."""
+    common = lambda: sum(mine[k][1] for k in shared_lines([x for x, _ in mine], [x for x, _ in theirs]))
+    return mine == theirs or common() >= COPY * max(sum(n for _, n in p) for p in (mine, theirs))
 
 
 def main_text(lines: list[tuple[str, int]], neighbour: list[tuple[str, int]] | None) -> str:
@@ -191,26 +196,123 @@ def _place(host: str, path: str, page_id: int | None) -> tuple:
     return host, path, page_id is not None, page_id or 0
 
 
+def _digest(lines: list[tuple[str, int]]) -> str:
+    return blake2b(repr(lines).encode("utf-8", "replace"), digest_size=16).hexdigest()
+
+
+def _range_of(starts: list[tuple], key: tuple) -> int:
+    return max(0, bisect_right(starts, key) - 1)
+
+
+def _bodies(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
+    """Of each page with text outside of furniture its range, digest, and the hashes and sizes of those lines, for hosts that more than one range has."""
+    starts = model.value
+    for batch in batches:
+        take, part, digest, hashes, sizes = [], [], [], [], []
+        for k, (host, path, page_id, page) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("host", "path", "page_id", "html")), strict=True)):
+            at = _range_of(starts, _place(host, path, page_id))
+            if not (at and starts[at][0] == host or at + 1 < len(starts) and starts[at + 1][0] == host):
+                continue
+            found = page_lines(page or "")
+            if body(found):
+                take.append(k)
+                part.append(at)
+                digest.append(_digest(found))
+                hashes.append([_line_hash("", x) for x, z in found if z != FURNITURE])
+                sizes.append([len(x) for x, z in found if z != FURNITURE])
+        rows = batch.select(["host", "path", "page_id"]).take(pa.array(take, pa.int64()))
+        yield pa.RecordBatch.from_arrays(
+            [*rows.columns, pa.array(part, pa.int32()), pa.array(digest, pa.string()), pa.array(hashes, pa.list_(pa.int64())), pa.array(sizes, pa.list_(pa.int32()))],
+            names=["host", "path", "page_id", "part", "digest", "hashes", "sizes"],
+        )
+
+
+_KEY = pa.struct([("path", pa.string()), ("page_id", pa.int64()), ("digest", pa.string())])
+_LINES = pa.list_(pa.struct([("line", pa.int64()), ("size", pa.int32())]))
+_CHAIN = pa.schema([("part", pa.int32()), ("host", pa.string()), *[(c, _KEY) for c in ("first", "last", "before", "second")], ("head", _LINES), ("tail", _LINES)])
+_CHAIN_TYPE = "part int, host string, " + ", ".join(f"{c} struct<path: string, page_id: bigint, digest: string>" for c in ("first", "last", "before", "second")) + ", head array<struct<line: bigint, size: int>>, tail array<struct<line: bigint, size: int>>"
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each range and host, of rows that come ordered: the first and the last page with their lines, the last page before the last run of
+    copies and the first one of the second run (null if there is one run)."""
+    now: dict | None = None
+    for batch in batches:
+        out = []
+        for r in batch.to_pylist():
+            key, lines = {c: r[c] for c in ("path", "page_id", "digest")}, list(zip(r["hashes"], r["sizes"], strict=True))
+            if now is None or (now["part"], now["host"]) != (r["part"], r["host"]):
+                out += [now] if now else []
+                now = {"part": r["part"], "host": r["host"], "first": key, "before": None, "second": None, "head": lines}
+            elif not _alike(lines, now["tail"]):
+                now |= {"before": now["last"], "second": now["second"] or key}
+            now |= {"last": key, "tail": lines}
+        yield _chain(out)
+    yield _chain([now] if now else [])
+
+
+def _chain(out: list[dict]) -> pa.RecordBatch:
+    lists = {c: [[{"line": x, "size": n} for x, n in r[c]] for r in out] for c in ("head", "tail")}
+    return pa.RecordBatch.from_arrays([pa.array(lists.get(f.name) or [r[f.name] for r in out], f.type) for f in _CHAIN], schema=_CHAIN)
+
+
+def _goes_on(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Whether the first page of a range is a copy of the host's last page in a range before."""
+    for batch in batches:
+        pair = [[[(x["line"], x["size"]) for x in p] if p is not None else None for p in batch.column(c).to_pylist()] for c in ("head", "ended")]
+        found = [e is not None and _alike(h, e) for h, e in zip(*pair, strict=True)]
+        names = [f.name for f in _CHAIN if f.type != _LINES]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(found, pa.bool_())], names=[*names, "goes_on"])
+
+
+def _neighbours_elsewhere(chain: list) -> dict[tuple, list[tuple[int, int]]]:
+    """(host, path, page_id, digest) of the pages that a range needs from other ones, with these ranges and -1 or 1: the different page before the
+    run of copies that the range begins in, or, if there is none and the range is within that run, the different page after it.
+
+    chain has the rows of _goes_on; a host has one for each of its ranges.
+    """
+    need: dict[tuple, list[tuple[int, int]]] = defaultdict(list)
+    hosts: dict[str, list] = defaultdict(list)
+    for r in sorted(chain, key=lambda r: r["part"]):
+        hosts[r["host"]].append(r)
+    for host, ranges in hosts.items():
+        found, page = [], None
+        for k, r in enumerate(ranges):
+            if k:
+                page = (ranges[k - 1]["before"] or page) if r["goes_on"] else ranges[k - 1]["last"]
+            found.append(page)
+            if page:
+                need[host, *page].append((r["part"], -1))
+        page = None
+        for k in reversed(range(len(ranges))):
+            if k + 1 < len(ranges):
+                page = (ranges[k + 1]["second"] or page) if ranges[k + 1]["goes_on"] else ranges[k + 1]["first"]
+            if page and not found[k] and not ranges[k]["second"]:
+                need[host, *page].append((ranges[k]["part"], 1))
+    return dict(need)
+
+
 def _cut(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
-    """Lines and zones of each page, with its range; the pages at a range's ends also go to the range beside it (own is false)."""
-    starts, firsts, lasts = model.value
+    """Lines and zones of each page, with its range; a page also goes to the ranges that need it from here (turn is -1 or 1 there)."""
+    starts, need = model.value
+    hosts = {key[0] for key in need}
     for batch in batches:
-        take, part, own, lines, zones = [], [], [], [], []
+        take, part, turn, digests, lines, zones = [], [], [], [], [], []
         for k, (host, path, page_id, page, wide) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("host", "path", "page_id", "html", "wide")), strict=True)):
             found, wide = page_lines(page or ""), set(wide or ())
-            key = _place(host, path, page_id)
-            at = max(0, bisect_right(starts, key) - 1)
-            beside = ([at - 1] if at and key <= firsts[at] else []) + ([at + 1] if at + 1 < len(starts) and key >= lasts[at] else [])
-            for p in (at, *beside):
+            digest = _digest(found)
+            elsewhere = need.get((host, path, page_id, digest), []) if host in hosts else []
+            for p, side in ((_range_of(starts, _place(host, path, page_id)), 0), *elsewhere):
                 take.append(k)
                 part.append(p)
-                own.append(p == at)
+                turn.append(side)
+                digests.append(digest)
                 lines.append([x for x, _ in found])
                 zones.append([WIDE if wide and z == ARTICLE and _line_hash(host, x) in wide else z for x, z in found])
         rows = batch.select(["page_id", "url", "host", "path"]).take(pa.array(take, pa.int64()))
         yield pa.RecordBatch.from_arrays(
-            [*rows.columns, pa.array(part, pa.int32()), pa.array(own, pa.bool_()), pa.array(lines, pa.list_(pa.string())), pa.array(zones, pa.list_(pa.int8()))],
-            names=["page_id", "url", "host", "path", "part", "own", "lines", "zones"],
+            [*rows.columns, pa.array(part, pa.int32()), pa.array(turn, pa.int8()), pa.array(digests, pa.string()), pa.array(lines, pa.list_(pa.string())), pa.array(zones, pa.list_(pa.int8()))],
+            names=["page_id", "url", "host", "path", "part", "turn", "digest", "lines", "zones"],
         )
 
 
@@ -221,10 +323,9 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     group = last = before = None  # last: the page before; before: the last one that is no copy of it
 
     def done(row: tuple, other: list | None) -> None:
-        page_id, url, own, lines = row
-        if own:
-            text = main_text(lines, other)
-            out.append((page_id, url, text, len(text)))
+        page_id, url, lines = row
+        text = main_text(lines, other)
+        out.append((page_id, url, text, len(text)))
 
     for batch in batches:
         for r in batch.to_pylist():
@@ -233,7 +334,15 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     done(w, None)
                 waiting, last, before, group = [], None, None, (r["part"], r["host"])
             lines = list(zip(r["lines"], r["zones"], strict=True))
-            row = (r["page_id"], r["url"], r["own"], last if lines == last else lines)
+            if r["turn"] < 0:
+                before = lines
+                continue
+            if r["turn"] > 0:
+                for w in waiting:
+                    done(w, lines)
+                waiting = []
+                continue
+            row = (r["page_id"], r["url"], last if lines == last else lines)
             if not body(lines):
                 done(row, None)
                 continue
@@ -245,7 +354,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 waiting.append(row)
             else:
                 done(row, before)
-            last = row[3]
+            last = row[2]
         yield _rows(out)
         out.clear()
     for w in waiting:
@@ -270,11 +379,12 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every row of pages.
 
     A null html is empty and gives an empty text. Pages without a URL, or whose URL has no host, form one host. The neighbour is
-    deterministic up to rows that agree in host, path, page_id and html, and but for runs of more than BESIDE copies across the end
-    of a range. A page without a different one on its host is compared with none. Repeated rows are handled each; an empty table gives an empty result;
+    deterministic up to rows that agree in host, path, page_id and html: runs of copies are followed across the ends of ranges, however
+    many ranges they fill. A page without a different one on its host is compared with none. Repeated rows are handled each; an empty table gives an empty result;
     other columns are ignored.
 
-    Pages are dealt by ranges of host, path and page_id, so no task holds a host; a range also gets the pages beside its ends.
+    Pages are dealt by ranges of host, path and page_id, so no task holds a host. A first pass over hashes of lines tells for each range which pages of other ranges its
+    ends need (two at most), and these are sent there too.
     """
     spark = pages.sparkSession
     small_batches(spark)
@@ -285,11 +395,18 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     keys = ["host", "path", "page_id"]
     n = min(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), rows.select("page_id").count() // RANGE + 1)
     dealt = rows.select(keys).repartitionByRange(n, *keys).withColumn("part", F.spark_partition_id())
-    turn = [F.row_number().over(Window.partitionBy("part").orderBy(*(f(c) for c in keys))) for f in (F.asc, F.desc)]
-    ends = dealt.select("part", F.struct(*keys).alias("key"), turn[0].alias("up"), turn[1].alias("down")).where(f"up <= {BESIDE} OR down <= {BESIDE}")
-    ends = ends.groupBy("part").agg(F.min("key"), F.max(F.when(F.col("up") <= BESIDE, F.col("key"))), F.min(F.when(F.col("down") <= BESIDE, F.col("key")))).collect()
-    starts, firsts, lasts = (sorted(_place(*r[k]) for r in ends) for k in (1, 2, 3))
-    model = spark.sparkContext.broadcast((starts, firsts, lasts))
-    cut = join_checked(rows, stored(_wide_lines(rows), "wide-lines"), "host", "left").mapInArrow(partial(_cut, model=model), "page_id long, url string, host string, path string, part int, own boolean, lines array<string>, zones array<byte>")
-    near = cut.repartitionById(max(1, len(starts)), F.col("part")).sortWithinPartitions("part", "host", "path", "page_id", "lines")
+    starts = sorted(_place(*r[1]) for r in dealt.groupBy("part").agg(F.min(F.struct(*keys))).collect())
+    need = _neighbours_elsewhere(_chains(rows, starts)) if len(starts) > 1 else {}
+    model = spark.sparkContext.broadcast((starts, need))
+    cut = join_checked(rows, stored(_wide_lines(rows), "wide-lines"), "host", "left").mapInArrow(partial(_cut, model=model), "page_id long, url string, host string, path string, part int, turn byte, digest string, lines array<string>, zones array<byte>")
+    near = cut.repartitionById(max(1, len(starts)), F.col("part")).sortWithinPartitions("part", "host", "turn", "path", "page_id", "digest")
     return near.mapInArrow(_compare, "page_id long, url string, text string, n_chars long")
+
+
+def _chains(rows: DataFrame, starts: list[tuple]) -> list:
+    """The rows of _goes_on: a range has two hosts at most that other ranges have too."""
+    model = rows.sparkSession.sparkContext.broadcast(starts)
+    bodies = rows.mapInArrow(partial(_bodies, model=model), "host string, path string, page_id long, part int, digest string, hashes array<long>, sizes array<int>")
+    near = bodies.repartitionById(len(starts), F.col("part")).sortWithinPartitions("part", "host", "path", "page_id", "digest")
+    runs = near.mapInArrow(_runs, _CHAIN_TYPE).withColumn("ended", F.lag("tail").over(Window.partitionBy("host").orderBy("part")))
+    return runs.mapInArrow(_goes_on, _CHAIN_TYPE.split(", head")[0] + ", goes_on boolean").collect()

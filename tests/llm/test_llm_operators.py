@@ -345,6 +345,18 @@ def test_html_by_brute_force_on_pages_without_zones(spark):
     assert long.text == ("long text " * 60_000).strip() + "\n\nKept"
 
 
+def test_html_runs_of_copies_across_ranges(spark, monkeypatch):
+    """A run of copies that fills several ranges is compared with the page before it, or at the host's beginning with the one after it."""
+    monkeypatch.setattr(html_extract, "RANGE", 8)
+    one, other, copy = "<p>Logo</p><p>One</p>", "<p>Logo</p><p>Other</p><p>Foot</p>", "<p>Logo</p><p>The same</p><p>Foot</p>"
+    rows = [(k, f"http://{h}/{k:03}", page) for h, pages in (("a", [one, other] + [copy] * 60), ("b", [copy] * 60 + [one] * 20 + [other]), ("c", [copy] * 30)) for k, page in enumerate(pages, 1000 * ord(h))]
+    got = html_of(spark, rows)
+    text = lambda h: [got[k] for k in sorted(got) if k // 1000 == ord(h)]
+    assert text("a") == ["One", "Other\n\nFoot"] + ["The same"] * 60
+    assert text("b") == ["The same\n\nFoot"] * 60 + ["One"] * 20 + ["Other\n\nFoot"]
+    assert text("c") == ["Logo\n\nThe same\n\nFoot"] * 30
+
+
 def test_html_neighbours_in_a_large_host(spark):
     rows = [(k, f"http://h/s{k // 4:04}/{k:05}", f"<p>Section {k // 4} has this template</p><p>Page {k} says something of its own</p>") for k in range(1200)]
     got = html_of(spark, rows)
