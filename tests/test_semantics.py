@@ -23,6 +23,26 @@ def test_greedy_clusters_do_not_merge():
     assert [fold.place(*p) for p in ((100, 500), (105, 540), (110, 520))] == [0, 1, 0]
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 120), st.integers(0, 90)), max_size=80), st.integers(0, 25))
+def test_greedy_clusters_are_those_of_all_members(points, tolerance):
+    members = []
+    for x, y in sorted(points):
+        near = [k for a, b, k in members if x - a <= tolerance and abs(y - b) <= tolerance]
+        members.append((x, y, min(near, default=len({k for _, _, k in members}))))
+    fold = backjump.GreedyClusters(tolerance)
+    assert [fold.place(x, y) for x, y in sorted(points)] == [k for _, _, k in members]
+
+
+def test_clusters_are_folded_over_places_and_not_over_reads(spark):
+    """A hundred reads of one place are one step of the fold."""
+    rows = [(read, ref, x, x + 300, 1) for ref in (1, 2) for x in (100, 110, 200) for read in range(100)]
+    jumps = spark.createDataFrame(rows, "read_id long, ref_id long, circle_start long, circle_end long, seg long")
+    found = backjump.cluster_breakpoints(jumps).collect()
+    assert len(found) == 600 and {(r.ref_id, r.circle_start, r.island, r.cluster) for r in found} == {(ref, *w) for ref in (1, 2) for w in ((100, 1, 0), (110, 1, 0), (200, 2, 0))}
+    assert backjump.places(jumps).count() == 6
+
+
 def test_median_is_cut(spark):
     assert spark.createDataFrame([(v,) for v in (1, 2, 4, 5)], "v long").agg(F.floor(F.median("v"))).first()[0] == 3
 
