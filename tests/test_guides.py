@@ -95,3 +95,24 @@ def test_regions_and_flanks_of_records(spark):
 def test_best_guide(spark):
     hits = spark.createDataFrame([(1, 3, 0, 9, "A"), (1, 5, 2, 12, "C"), (1, 5, 1, 12, "G"), (2, 0, 0, 9, "T")], "key int, pos_in_flanking int, pos_in_noncoding int, length int, seq_flanking string")
     assert {r.key: r.best_guide for r in guides.best_guide(hits).select("key", F.col("best_guide")).collect()} == {1: "G", 2: "T"}
+
+
+def test_signs_of_expressions_in_sequences_are_letters(spark):
+    rows = [(1, "AC.T\\E*GT(C", "GGAC.T\\E*GT(CGG"), (2, "AC.TAC*GT", "ACGTACCGT"), (3, "A\nC[GT]AC^", "TTA\nC[GT]AC^$")]
+    df = spark.createDataFrame(rows, "key int, flank_seq string, nc_seq string")
+    got = {k: set() for k, _, _ in rows}
+    for r in guides.guide_hits(df).collect():
+        got[r.key].add((*r[1:6], tuple(r.mismatch_positions), r.seq_flanking, r.seq_noncoding))
+    assert got == {k: brute(a, b) for k, a, b in rows}
+
+
+def test_the_choice_looks_at_near_hits_only(spark):
+    """A stretch of short repeats has tens of thousands of hits for one flank: each meets those kept beside it, not all that are kept."""
+    df = spark.createDataFrame([(1, "ACGT" * 20, "ACGT" * 1_000)], "key int, flank_seq string, nc_seq string")
+    hits = guides.guide_hits(df)
+    far = spark.createDataFrame([(1, False, 0, 100 * k, 9, (0, 100 * k), [], "", "") for k in range(50)], "key int, rc boolean, i int, j int, n int, seed struct<i0:int,j0:int>, bad array<int>, x string, y string")
+    assert guides._islands(far).select("island").distinct().count() == 50 and guides._chosen(guides._islands(far)).count() == 50
+    kept = [(r.orientation, r.pos_in_flanking, r.pos_in_noncoding, r.length) for r in hits.collect()]
+    assert sum(n == 80 and o == "forward" for o, _, _, n in kept) == 50
+    for o, i, j, n in kept[::37]:
+        assert not any(o == p and (i, j) != (x, y) and i < x + m and x < i + n and j < y + m and y < j + n for p, x, y, m in kept)
