@@ -327,3 +327,20 @@ def test_vector_search_finds_the_nearest_of_other_rows(spark, kind):
     far = np.sqrt(((x[None, ::100] - x[:, None]) ** 2).sum(axis=2))
     want = {(q, v) for k, q in enumerate(range(0, n, 100)) for v in [v for v in np.argsort(far[:, k]) if v != q][:10]}
     assert len({(r.query_id, r.vec_id) for r in found} & want) >= 0.9 * len(want)
+
+
+def test_bpe_cuts_ascii_pieces_without_the_library():
+    import random
+
+    from lociq.llm import trie_bpe
+    from lociq.llm.queries import tokenizer_path
+
+    path = tokenizer_path("word_bpe_49k.json")
+    encoder, library = trie_bpe.PieceEncoder(path), trie_bpe.load_tokenizer(path)
+    rng = random.Random(5)
+    signs = "aabcdehilmnorstTVDS'''\"0129.,-_()[]{}\\/^$|?*+<>&%#@!~`;:="
+    pieces = ["".join(rng.choices(signs, k=rng.randint(1, 14))) for _ in range(3_000)] + ["it's", "WE'VE", "'", "x\x1fy", "\x7f", "<|endoftext|>a", "naïve", "a b"]
+    want = [library.encode(p, add_special_tokens=False).ids for p in pieces]
+    assert encoder.encode(pieces) == want
+    encoder.tk = None  # pieces of printable ASCII signs need it no more
+    assert encoder.encode(["don't", "x=3;", "(y)"]) == [library.encode(p, add_special_tokens=False).ids for p in ("don't", "x=3;", "(y)")]
