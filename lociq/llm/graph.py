@@ -35,12 +35,19 @@ def _band(size: Column) -> Column:
     return F.floor(F.log(size) / math.log(BAND)).cast("int")
 
 
-def _neighbours(posts: DataFrame, by: list[str]) -> DataFrame:
-    """Pairs of classes that follow each other in a list by size."""
-    w = Window.partitionBy(*by).orderBy("n", "cls")
+def _side_by_side(posts: DataFrame) -> DataFrame:
+    """token, salt, cls, n, lo, hi, before (the class before it in its part by size, if it fits), longer (whether its part has more than two rows, or its list has parts)."""
+    w = Window.partitionBy("token", "salt").orderBy("n", "cls")
     fields = ("cls", "n", "lo", "hi")
-    near = posts.select(*fields, *[F.lag(c).over(w).alias(f"{c}_") for c in fields])
-    return _as_pairs(near.where(F.col("cls_").isNotNull() & _fit()), "cls", "cls_")
+    at = lambda f, k: f("n", k).over(w).isNotNull()
+    longer = (F.col("salt") > 0) | at(F.lag, 2) | at(F.lead, 2) | (at(F.lag, 1) & at(F.lead, 1))
+    near = posts.select("token", "salt", *fields, *[F.lag(c).over(w).alias(f"{c}_") for c in fields], longer.alias("longer"))
+    return near.select("token", "salt", *fields, F.when(_fit(), F.col("cls_")).alias("before"), "longer")
+
+
+def _neighbours(near: DataFrame) -> DataFrame:
+    """Pairs of classes that follow each other in a list by size."""
+    return _as_pairs(near.where("before IS NOT NULL"), "cls", "before")
 
 
 def _undecided(posts: DataFrame, labels: DataFrame) -> DataFrame:
@@ -90,15 +97,16 @@ def link_lists(posts: DataFrame, verified: Callable[[DataFrame], DataFrame]) ->
     rows that fit is no more than LINEAR times the lists' rows, or a round finds no link, that is done, and all is decided. No pair is
     verified twice.
     """
-    heads = posts.where("salt > 0").groupBy("token", "salt").agg(F.min(F.struct("n", "cls", "lo", "hi")).alias("h")).select("token", "h.*")
-    tried = stored(_neighbours(posts, ["token", "salt"]).unionByName(_neighbours(heads, ["token"])).distinct(), "pairs")
+    near = stored(_side_by_side(posts), "neighbours")
+    heads = near.where("salt > 0").groupBy("token", "salt").agg(F.min(F.struct("n", "cls", "lo", "hi")).alias("h")).select("token", F.lit(0).alias("salt"), "h.*")
+    tried = stored(_neighbours(near).unionByName(_neighbours(_side_by_side(heads))).distinct(), "pairs")
     kind = dict(posts.dtypes)["cls"]
     labels = _joined(posts.sparkSession.createDataFrame([], f"cls {kind}, label {kind}"), stored(verified(tried), "links"))
-    longer = posts.groupBy("token").agg(F.count(F.lit(1)).alias("k")).where("k > 2").select("token")
-    posts = stored(posts.join(longer, "token", "left_semi").drop("salt"), "longer-lists")
+    posts = near.where("longer").select("token", "cls", "n", "lo", "hi")
     partners, turn, done, stuck = 4, 0, False, False
     while not done:
         rest = stored(_undecided(posts, labels), "undecided")
+        posts = rest.select("token", "cls", "n", "lo", "hi")  # a list that lies in one component stays in it
         bands, cells = _meetings(rest)
         rows = rest.count()
         outside, most, all_pairs = cells.agg(F.count(F.lit(1)), F.max("k"), F.sum("k")).first()
