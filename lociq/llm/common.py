@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from lociq.storage import new_path, stored
 
-__all__ = ["crc32_bucket", "join_checked", "new_path", "pick", "picked", "released", "small_batches", "stored", "table"]
+__all__ = ["crc32_bucket", "give_back", "join_checked", "new_path", "pick", "picked", "released", "small_batches", "stored", "table"]
 
 #: Rows in one Arrow batch handed to Python; texts may be long, so batches are kept short.
 BATCH_ROWS = 512
@@ -40,6 +40,14 @@ def _bytes(setting: str) -> int:
     return int(number[:-1]) << 10 * (1 + "kmgtp".index(unit)) if unit and unit in "kmgtp" else int(number)
 
 
+def give_back() -> None:
+    """Give memory that this process has freed back to the machine."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
+    if trim:
+        trim(0)
+
+
 def released(task: Callable[..., Iterator[pa.RecordBatch]]) -> Callable[..., Iterator[pa.RecordBatch]]:
     """The task's function, after which a worker gives the memory that it freed back to the machine: workers are kept for later tasks."""
 
@@ -48,10 +56,7 @@ def released(task: Callable[..., Iterator[pa.RecordBatch]]) -> Callable[..., Ite
         try:
             yield from task(batches, *args, **named)
         finally:
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
-            if trim:
-                trim(0)
+            give_back()
 
     return run
 

@@ -20,12 +20,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from lociq.llm.common import pick, small_batches
-from lociq.llm.token_counts import CACHE, CACHED_BYTES, load_tokenizer
+from lociq.llm.common import give_back, pick, released, small_batches
+from lociq.llm.token_counts import CACHED_BYTES, load_tokenizer
 from lociq.llm.words import distinct_ranges, slices, text_buffers, word_bounds
 
 #: Pairs of tokens whose compatibility a worker remembers; then it starts anew.
-PAIRS = 1_000_000
+PAIRS = 250_000
+#: Pieces, and words, that a worker remembers (about 400 bytes each); then it starts anew.
+CACHE = 200_000
 
 
 class TrieBpe:
@@ -203,6 +205,7 @@ def _worker(path: str) -> tuple[PieceEncoder, dict]:
     """The worker's encoder and the pieces it remembers, for all its tasks."""
     if path not in _WORKER:
         _WORKER[path] = (PieceEncoder(path), {})
+        give_back()  # reading the file takes several times what stays
     return _WORKER[path]
 
 
@@ -250,10 +253,12 @@ def encode_batches(path: str):
                 sha_text[r].update((glue + " ".join(as_text[mine].tolist())).encode())
         return counts, [h.hexdigest() for h in sha_ids], [h.hexdigest() for h in sha_text]
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             with _no_search_for_cycles():
                 counts, ids, text = digests(batch.column(1))
+            give_back()
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(text, pa.string())],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
@@ -263,6 +268,7 @@ def encode_batches(path: str):
 
 
 def id_batches(path: str):
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, cache = PieceEncoder(path), {}  # ids alone, so not the digests' cache
         for batch in batches:
