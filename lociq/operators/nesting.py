@@ -55,16 +55,17 @@ def collinear(blocks: DataFrame, keys: list[str], order: list[str]) -> DataFrame
 def nesting_events(blocks: DataFrame, sequences: DataFrame | None = None, least: int = 50) -> DataFrame:
     """One row for each host and core with insertions: block statistics and the insertions, with their sequence if sequences (id, seq) is given."""
     keys, order = ["host", "core"], ["core_start", "ordinal"]
-    ok = collinear(blocks, keys, order).where("is_collinear").select(*keys)
-    b = blocks.join(ok, keys)
-    gaps = insertion_gaps(b, keys, order, least)
-    if sequences is not None:
-        gaps = gaps.join(sequences.select(F.col("id").alias("host"), "seq"), "host", "left").withColumn("inserted_sequence", F.expr("substring(seq, cast(insertion_start + 1 as int), cast(greatest(insertion_end - insertion_start, 0) as int))"))
-    fields = ["insertion_start", "insertion_end", "core_position", "insertion_size", *(["inserted_sequence"] if sequences is not None else [])]
-    found = gaps.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("insertions"))
-    stats = b.groupBy(*keys).agg(
+    w = Window.partitionBy(*keys).orderBy(*order)
+    # all that a pair needs comes from one pass over its blocks: they are shuffled once
+    b = blocks.where("host IS NOT NULL AND core IS NOT NULL").select("*", (F.col("host_start") < F.lag("host_start").over(w)).alias("back"), *[F.lag(c).over(w).alias(f"{c}_before") for c in ("core_end", "host_end")])
+    size = (F.col("host_start") - F.col("host_end_before")) - F.greatest(F.col("core_start") - F.col("core_end_before"), F.lit(0))
+    gap = F.struct(F.col("host_end_before").alias("insertion_start"), F.col("host_start").alias("insertion_end"), F.col("core_end_before").alias("core_position"), size.alias("insertion_size"))
+    out = b.groupBy(*keys).agg(
+        F.array_sort(F.collect_list(F.when(size >= least, gap))).alias("insertions"), F.bool_or(F.coalesce("back", F.lit(False))).alias("back"),
         F.count(F.lit(1)).alias("n_aligned_blocks"), F.sum(F.col("core_end") - F.col("core_start")).alias("total_aligned_bp"),
         F.round(F.sum(F.col("core_end") - F.col("core_start")) / F.max("core_len"), 4).alias("alignment_coverage"), F.round(F.try_divide(F.sum("matches"), F.sum("aligned")), 4).alias("mean_identity"),
-    )
-    out = found.join(stats, keys)
+    ).where(~F.col("back") & (F.size("insertions") > 0)).drop("back")
+    if sequences is not None:
+        cut = F.expr("transform(insertions, i -> named_struct('insertion_start', i.insertion_start, 'insertion_end', i.insertion_end, 'core_position', i.core_position, 'insertion_size', i.insertion_size, 'inserted_sequence', substring(seq, cast(i.insertion_start + 1 as int), cast(greatest(i.insertion_end - i.insertion_start, 0) as int))))")
+        out = out.join(sequences.select(F.col("id").alias("host"), "seq"), "host", "left").withColumn("insertions", cut).drop("seq")
     return out.withColumn("n_insertions", F.size("insertions")).withColumn("total_insertion_bp", F.aggregate("insertions", F.lit(0).cast("long"), lambda s, i: s + i["insertion_size"]))
