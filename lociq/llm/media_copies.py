@@ -5,7 +5,7 @@ grows with the picture), oriented by the intensity centroid of their patch, and
 turned by that angle. A table entry joins 18 bits of a corner's descriptor, 18 bits of a near corner's, and the coarse
 angles between the two: two patches make entries of unrelated pictures differ. Pictures that share two entries are verified by
 geometric consensus: enough matches must agree on one shift, turn and scale. Entries of many pictures are not expanded into pairs but
-linked as lists (`link_lists`). Equal images are one class from the start.
+linked as lists (`link_lists`); a pair met there is compared on the same condition. Equal images are one class from the start.
 
 Images are binary PGM or PPM (P5, P6; 8 bits). Anything else has no features and is a copy only of equal bytes.
 """
@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from lociq.llm.common import join_checked, pick, small_batches, stored
 from lociq.llm.graph import PART_ROWS, link_lists
@@ -32,10 +33,15 @@ CELL = 15
 RADIUS = 9
 #: Near corners that a corner is joined with, and tables of joined bits.
 NEAR, TABLES, BITS, SECTORS = 3, 2, 18, 8
-#: Entries that a pair must share, and pictures with an entry up to which all their pairs are counted.
-SHARED, FULL = 2, 32
+#: Entries that a pair must share, and pictures with an entry up to which all their pairs are counted. Chance makes lists that grow with the
+#: table (17 pictures of 51,282 at most), and counting a pair costs far less than comparing it.
+SHARED, FULL = 2, 128
 #: Bits in which matching descriptors may differ, pixels by which matches may miss the common motion, and matches needed.
 MATCH_BITS, MISS, AGREE = 56, 3.0, 6
+#: Pixels of pictures of one shape that are described together.
+TOGETHER = 1 << 16
+#: Pixels after which the pictures read so far are described.
+READ = 1 << 20
 #: Matches that a motion is derived from; all matches are counted for it.
 MOTIONS = 512
 _RNG = np.random.default_rng(11)
@@ -57,64 +63,116 @@ def read_image(raw: bytes | None) -> np.ndarray | None:
     data = np.frombuffer(raw, np.uint8, offset=m.end())
     if int(m[4]) > 255 or width * height * depth == 0 or len(data) < width * height * depth:
         return None
-    return data[: width * height * depth].reshape(height, width, depth).mean(axis=2)
+    data = data[: width * height * depth].astype(np.float64).reshape(height, width, depth)
+    return data.mean(axis=2) if depth > 1 else data[..., 0]
+
+
+def _padded(a: np.ndarray, r: int) -> np.ndarray:
+    """Pictures (the last two axes) with r more pixels on each side, edges repeated."""
+    return np.pad(a, [(0, 0)] * (a.ndim - 2) + [(r, r)] * 2, mode="edge")
 
 
 def _box(a: np.ndarray, r: int) -> np.ndarray:
-    """Mean over a square of 2r + 1 pixels, edges repeated."""
-    s = np.pad(a, ((r + 1, r), (r + 1, r)), mode="edge").cumsum(axis=0).cumsum(axis=1)
+    """Mean over a square of 2r + 1 pixels of pictures (the last two axes), edges repeated. Each is added up in the same order, wherever it lies."""
     k = 2 * r + 1
-    return (s[k:, k:] - s[:-k, k:] - s[k:, :-k] + s[:-k, :-k]) / k**2
+    h, w = a.shape[-2:]
+    p = _padded(a, r)
+    rows = p[..., :h, :] + p[..., 1 : h + 1, :] if r else p.copy()
+    for d in range(2, k):
+        rows += p[..., d : d + h, :]
+    out = rows[..., :w] + rows[..., 1 : w + 1] if r else rows
+    for d in range(2, k):
+        out += rows[..., d : d + w]
+    out /= k**2
+    return out
 
 
 def _resized(a: np.ndarray, scale: float) -> np.ndarray:
     if scale == 1:
         return a
-    h, w = max(1, round(a.shape[0] * scale)), max(1, round(a.shape[1] * scale))
+    high, wide = a.shape[-2:]
+    h, w = max(1, round(high * scale)), max(1, round(wide * scale))
     y, x = (np.arange(h) + 0.5) / scale - 0.5, (np.arange(w) + 0.5) / scale - 0.5
-    y0, x0 = np.clip(y.astype(int), 0, a.shape[0] - 1), np.clip(x.astype(int), 0, a.shape[1] - 1)
-    y1, x1 = np.minimum(y0 + 1, a.shape[0] - 1), np.minimum(x0 + 1, a.shape[1] - 1)
-    fy, fx = np.clip(y - y0, 0, 1)[:, None], np.clip(x - x0, 0, 1)[None]
+    y0, x0 = np.clip(y.astype(int), 0, high - 1), np.clip(x.astype(int), 0, wide - 1)
+    y1, x1 = np.minimum(y0 + 1, high - 1), np.minimum(x0 + 1, wide - 1)
+    fy, fx = np.clip(y - y0, 0, 1)[:, None], np.clip(x - x0, 0, 1)
     a = _box(a, 1)
-    return a[y0][:, x0] * (1 - fy) * (1 - fx) + a[y1][:, x0] * fy * (1 - fx) + a[y0][:, x1] * (1 - fy) * fx + a[y1][:, x1] * fy * fx
-
-
-def describe(image: np.ndarray, cell: int = CELL) -> np.ndarray:
-    """Features of one image: for each scale the strongest corner of each cell."""
-    found = []
+    a = a[..., y0, :] * (1 - fy) + a[..., y1, :] * fy
+    return a[..., x0] * (1 - fx) + a[..., x1] * fx
+
+
+def _highest(a: np.ndarray, r: int) -> np.ndarray:
+    """The largest value within r pixels along both axes; nothing lies beyond the edges."""
+    for axis in (-2, -1):
+        best = a.copy()
+        one, two = np.moveaxis(a, axis, -1), np.moveaxis(best, axis, -1)
+        for d in range(1, r + 1):
+            np.maximum(two[..., d:], one[..., :-d], out=two[..., d:])
+            np.maximum(two[..., :-d], one[..., d:], out=two[..., :-d])
+        a = best
+    return a
+
+
+def _features(images: np.ndarray, cell: int) -> list[np.ndarray]:
+    """Features of pictures of one shape."""
+    found: list[list[np.ndarray]] = [[] for _ in images]
+    reach = int(np.ceil(np.hypot(*(np.abs(_POINTS).max(axis=(0, 1)))))) + 1  # how far a turned point may lie beyond the edge
     for scale in SCALES:
-        a = _resized(image, scale)
-        if min(a.shape) <= 2 * RADIUS + 2:
+        a = _resized(images, scale)
+        if min(a.shape[1:]) <= 2 * RADIUS + 2:
             break
-        gy, gx = np.gradient(_box(a, 1))
+        gy, gx = np.gradient(_box(a, 1), axis=(1, 2))
         xx, yy, xy = _box(gx * gx, 2), _box(gy * gy, 2), _box(gx * gy, 2)
         strength = (xx + yy) / 2 - np.sqrt(((xx - yy) / 2) ** 2 + xy**2)
         inner = np.zeros_like(strength)
-        inner[RADIUS:-RADIUS, RADIUS:-RADIUS] = strength[RADIUS:-RADIUS, RADIUS:-RADIUS]
-        best = inner.copy()
-        for dy in (-2, -1, 0, 1, 2):  # maxima within two pixels
-            for dx in (-2, -1, 0, 1, 2):
-                np.maximum(best, np.roll(inner, (dy, dx), (0, 1)), out=best)
-        y, x = np.nonzero((inner == best) & (inner > 1.0))
-        order = np.lexsort((x, y, -inner[y, x]))
-        y, x = y[order], x[order]
-        _, first = np.unique((y // cell) * (a.shape[1] // cell + 1) + x // cell, return_index=True)
-        y, x = y[first], x[first]
+        inner[:, RADIUS:-RADIUS, RADIUS:-RADIUS] = strength[:, RADIUS:-RADIUS, RADIUS:-RADIUS]
+        t, y, x = np.nonzero((inner == _highest(inner, 2)) & (inner > 1.0))  # maxima within two pixels
+        order = np.lexsort((x, y, -inner[t, y, x], t))
+        t, y, x = t[order], y[order], x[order]
+        down, across = a.shape[1] // cell + 1, a.shape[2] // cell + 1
+        _, first = np.unique((t * down + y // cell) * across + x // cell, return_index=True)
+        t, y, x = t[first], y[first], x[first]
         if not len(y):
             continue
-        patch = a[y[:, None] + _DISC[:, 1], x[:, None] + _DISC[:, 0]]
-        patch = patch - patch.mean(axis=1, keepdims=True)
-        angle = np.arctan2(patch @ _DISC[:, 1], patch @ _DISC[:, 0])
-        c, s = np.cos(angle)[:, None, None], np.sin(angle)[:, None, None]
-        px = np.rint(_POINTS[..., 0] * c - _POINTS[..., 1] * s).astype(int)
-        py = np.rint(_POINTS[..., 0] * s + _POINTS[..., 1] * c).astype(int)
-        smooth = _box(a, 2)
-        v = smooth[np.clip(y[:, None, None] + py, 0, a.shape[0] - 1), np.clip(x[:, None, None] + px, 0, a.shape[1] - 1)]
+        wide = a.shape[2]
+        patch = a.reshape(-1)[((t * a.shape[1] + y) * wide + x)[:, None] + (_DISC[:, 1] * wide + _DISC[:, 0])]
+        patch -= patch.mean(axis=1, keepdims=True)
+        angle = np.arctan2(patch @ _DISC[:, 1].astype(np.float64), patch @ _DISC[:, 0].astype(np.float64))
+        c, s = np.cos(angle)[:, None], np.sin(angle)[:, None]
+        smooth = _padded(_box(a, 2), reach)
+        high, wide = smooth.shape[1:]
+        at = ((t * high + y + reach) * wide + x + reach)[:, None]
+        values = []
+        for qx, qy in (_POINTS[:, 0].T, _POINTS[:, 1].T):  # the two points that are compared
+            px, py = np.rint(qx * c - qy * s), np.rint(qx * s + qy * c)
+            py *= wide
+            py += px
+            values.append(smooth.reshape(-1)[at + py.astype(np.int64)])
         out = np.zeros(len(y), _FEATURE)
         out["x"], out["y"], out["scale"], out["angle"] = x / scale, y / scale, 1 / scale, angle
-        out["bits"] = np.packbits(v[..., 0] < v[..., 1], axis=1).view("<u8")
-        found.append(out)
-    return np.concatenate(found) if found else np.zeros(0, _FEATURE)
+        out["bits"] = np.packbits(values[0] < values[1], axis=1).view("<u8")
+        for k, part in enumerate(np.split(out, np.searchsorted(t, np.arange(1, len(images))))):
+            found[k].append(part)
+    return [np.concatenate(f) if f else np.zeros(0, _FEATURE) for f in found]
+
+
+def describe_all(images: list[np.ndarray], cell: int = CELL) -> list[np.ndarray]:
+    """Features of each image: for each scale the strongest corner of each cell. Pictures of one shape go together, up to TOGETHER pixels of them."""
+    shapes: dict[tuple[int, ...], list[int]] = {}
+    for k, image in enumerate(images):
+        shapes.setdefault(image.shape, []).append(k)
+    found: list[np.ndarray] = [np.zeros(0, _FEATURE)] * len(images)
+    for (h, w), at in shapes.items():
+        step = max(1, TOGETHER // (h * w))
+        for a in range(0, len(at), step):
+            for k, f in zip(at[a : a + step], _features(np.stack([images[k] for k in at[a : a + step]]), cell), strict=True):
+                found[k] = f
+    return found
+
+
+def describe(image: np.ndarray, cell: int = CELL) -> np.ndarray:
+    """Features of one image: for each scale the strongest corner of each cell."""
+    return describe_all([image], cell)[0]
 
 
 def _nearest_bits(f: np.ndarray, g: np.ndarray, rows: int = 256) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -188,12 +246,24 @@ def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The digest of each image, and the features where this task meets it first."""
     seen: set[bytes] = set()
     for batch in batches:
-        found = []
+        found: list[bytes | None] = []
+        rows, images, pixels = [], [], 0
+
+        def describe_read() -> None:
+            for row, f in zip(rows, describe_all(images), strict=True):  # noqa: B023
+                found[row] = f.tobytes()  # noqa: B023
+
         for digest, raw in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
             new = raw is not None and digest not in seen
             seen.add(digest)
             image = read_image(raw) if new else None
-            found.append(None if not new else describe(image).tobytes() if image is not None else b"")
+            found.append(b"" if new else None)
+            if image is not None:
+                rows, images, pixels = [*rows, len(found) - 1], [*images, image], pixels + image.size
+            if pixels >= READ:
+                describe_read()
+                rows, images, pixels = [], [], 0
+        describe_read()
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.binary())], names=["media_id", "digest", "features"])
 
 
@@ -219,6 +289,12 @@ def _verified(pairs: DataFrame, features: DataFrame, agree: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(partial(_consensus, agree=agree), "a long, b long")
 
 
+def _sharing(pairs: DataFrame, held: DataFrame) -> DataFrame:
+    """The pairs whose pictures share enough entries: those of each are in held (cls, tokens)."""
+    one, two = (held.select(F.col("cls").alias(c), F.col("tokens").alias(f"tokens_{c}")) for c in ("a", "b"))
+    return pairs.join(one, "a").join(two, "b").where(F.size(F.array_intersect("tokens_a", "tokens_b")) >= SHARED).select("a", "b")
+
+
 def media_groups(media: DataFrame, agree: int = AGREE) -> DataFrame:
     """media_id, n_features, class_id, group_id of every row of media (media_id, image).
 
@@ -236,8 +312,8 @@ def media_groups(media: DataFrame, agree: int = AGREE) -> DataFrame:
     again = known.where("bytes > 0").join(classes.select("digest", F.col("cls").alias("named")), "digest").where("cls <> named").select("cls")
     features = join_checked(described.where(F.octet_length("features") > 0).select("cls", "features"), stored(again, "media-again"), "cls", "left_anti")
     entries = features.mapInArrow(_entries, "token long, cls long")
-    shared = stored(entries.groupBy("token").agg(F.count(F.lit(1)).alias("k")).where("k > 1"), "media-shared")
-    posts = stored(entries.join(shared, "token").select("token", "k", "cls"), "media-postings")
+    posts = entries.withColumn("k", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("k > 1")
+    posts = stored(posts.select("token", "k", "cls"), "media-postings")
     check = partial(_verified, features=features, agree=agree)
     short = posts.where(F.col("k") <= FULL).select("token", "cls")
     met = short.withColumnRenamed("cls", "a").join(short.withColumnRenamed("cls", "b"), "token").where("a < b")
@@ -247,7 +323,10 @@ def media_groups(media: DataFrame, agree: int = AGREE) -> DataFrame:
     one = [F.lit(1).alias(c) for c in ("n", "lo", "hi")]  # pictures have no size that tells
     long = posts.where(F.col("k") > FULL).select("token", part.cast("int").alias("salt"), "cls", *one)
     if not long.isEmpty():
-        more = link_lists(stored(long, "media-long-lists"), check).select(F.col("cls").alias("a"), F.col("label").alias("b"))
+        long = stored(long, "media-long-lists")
+        held = join_checked(posts, stored(long.select("cls").distinct(), "media-wanted"), "cls", "left_semi").groupBy("cls").agg(F.collect_list("token").alias("tokens"))
+        held = stored(held, "media-held")
+        more = link_lists(long, lambda met: check(stored(_sharing(met, held), "media-pairs"))).select(F.col("cls").alias("a"), F.col("label").alias("b"))
         links = links.unionByName(more.where("a <> b"))
     roots = components(links).select(F.col("node").alias("cls"), F.col("component").alias("root"))
     named = classes.select("cls", "digest", "class_id", (F.col("bytes") / _FEATURE.itemsize).cast("long").alias("n_features"))
