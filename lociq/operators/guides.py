@@ -15,6 +15,8 @@ from lociq.functions.sequence import revcomp
 FORWARD, REVERSE = "forward", "reverse_complement"
 #: Windows in a piece of a stretch, and pieces in a block of it.
 PIECE, PIECES = 64, 64
+#: Letters of the stretches that a task searches, about: its seeds and hits are sorted by the task, so they must not grow with the table.
+LETTERS = 4 << 20
 #: SQL that turns a text into an expression for it: a backslash before what is neither letter nor digit.
 _PLAIN = r"regexp_replace({}, '[^A-Za-z0-9]', '\\\\$0')"
 
@@ -136,6 +138,11 @@ def dealt(pairs: DataFrame, parts: int) -> DataFrame:
     return pairs.repartition(parts, "key")
 
 
+def parts_of(letters: int | None, cores: int) -> int:
+    """Tasks to deal stretches of so many letters to: four for each core at least, and as many as LETTERS asks for, whatever the number of cores."""
+    return max(4 * cores, -(-(letters or 0) // LETTERS))
+
+
 def _islands(hits: DataFrame) -> DataFrame:
     """hits with island: of a key and orientation, hits on different islands have no letter of the stretch in common, so none bars one of another."""
     by = Window.partitionBy("key", "rc").orderBy("j")
@@ -147,16 +154,17 @@ def _chosen(hits: DataFrame) -> DataFrame:
     """key, rc, h of the greedy choice: hits in order, but for those that overlap an earlier one on both sides.
 
     What is kept lies in cells by its first place on the stretch. A cell is as long as the island's longest hit, so a hit looks into three
-    cells of its island and not at all that is kept.
+    cells of its island and not at all that is kept. Hits are collected without what follows from the rest: y only where it is not x.
     """
-    order = F.struct((-F.col("n")).alias("first"), F.size("bad").alias("wrong"), "seed", "i", "j", "n", "bad", "x", "y")
+    order = F.struct((-F.col("n")).alias("first"), F.size("bad").alias("wrong"), "seed", "i", "j", "bad", "x", F.when(F.col("x") != F.col("y"), F.col("y")).alias("y"))
     each = hits.groupBy("key", "rc", "island").agg(F.sort_array(F.collect_list(order)).alias("h"), F.min("j").alias("low"), F.max("j").alias("high"), F.max("n").alias("size"))
-    meet = "exists(flatten(slice(kept, greatest(1, cell - 1), 3)), o -> h.i < o.i + o.n AND o.i < h.i + h.n AND h.j < o.j + o.n AND o.j < h.j + h.n)"
+    meet = "exists(flatten(slice(kept, greatest(1, cell - 1), 3)), o -> h.i < o.i - o.first AND o.i < h.i - h.first AND h.j < o.j - o.first AND o.j < h.j - h.first)"
     put = "concat(slice(kept, 1, cell - 1), array(array_append(kept[cell - 1], h)), slice(kept, cell + 1, size(kept)))"
     cell = "cast((h.j - low) div size AS int) + 1"
     step = f"if({meet}, kept, {put})".replace("cell", f"({cell})")
     kept = f"flatten(aggregate(h, array_repeat(slice(h, 1, 0), cast((high - low) div size AS int) + 1), (kept, h) -> {step}))"
-    return each.select("key", "rc", F.explode(F.expr(f"if(size(h) = 1, h, {kept})")).alias("h"))
+    chosen = each.select("key", "rc", F.explode(F.expr(f"if(size(h) = 1, h, {kept})")).alias("h"))
+    return chosen.withColumn("h", F.expr("named_struct('n', -h.first, 'wrong', h.wrong, 'i', h.i, 'j', h.j, 'bad', h.bad, 'x', h.x, 'y', coalesce(h.y, h.x))"))
 
 
 def guide_hits(pairs: DataFrame, k: int = 9, allowed: int = 1, exact: int = 9, inexact: int = 12) -> DataFrame:
