@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pathlib import Path
 
-from lociq.plans import QUERIES, records
-from lociq.storage import new_path
+from lociq.plans import QUERIES, catalog, records
+from lociq.storage import new_path, stored
 
 
 def test_checked_records_writes_a_file_for_each_supplier_in_few_folders(spark, tmp_path, monkeypatch):
@@ -18,3 +18,13 @@ def test_checked_records_writes_a_file_for_each_supplier_in_few_folders(spark, t
     files = list(Path(paths[0].removeprefix("file://")).glob("folder=*/*.txt"))
     assert len(files) == 1_000 and len({f.parent for f in files}) == 11
     assert len({f.name.split("-")[1] for f in files}) > 1  # tasks
+
+
+def test_variants_read_whole_texts_once(spark, monkeypatch):
+    """Only the table of members reads documents; its rows and the variants' plan stay short."""
+    made = []
+    monkeypatch.setattr(catalog, "stored", lambda df, name: made.append(name) or stored(df, name))
+    for name in ("l1_variants", "l2_variants"):
+        made.clear()
+        plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert made == ["members"] and "regexp_replace" not in plan
